@@ -1,0 +1,31 @@
+"""Tables stored half way through a job.
+
+A stored table cuts the lineage: a lost executor costs the running tasks, not the work
+before.  It lives in the shared folder named by ``spark.checkpoint.dir``.
+"""
+
+from __future__ import annotations
+
+import tempfile
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def staging_folder(spark: SparkSession) -> str:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    folder = tempfile.mkdtemp(prefix="chatprep-")  # one machine only: tests and samples
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write the table once and go on from the stored copy."""
+    spark = df.sparkSession
+    path = f"{staging_folder(spark)}/{name}-{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
