@@ -89,11 +89,14 @@ def _json_pair(raw: Column, variant: Column) -> Column:
     entries = F.map_entries(F.from_json(raw, "map<string,string>"))
     kinds = F.try_variant_get(variant, "$", "map<string,variant>")
 
+    def under(name):
+        return F.filter(entries, lambda e: F.lower(e["key"]) == name)
+
     def value(names):
         # Presence of the key decides, so a null value under it still wins.
         chain = F
         for name in names:
-            hits = F.filter(entries, lambda e, n=name: F.lower(e["key"]) == n)
+            hits = under(name)
             last = F.get(hits, F.size(hits) - 1)
             chain = chain.when(
                 F.size(hits) > 0, _as_text(last["value"], F.try_element_at(kinds, last["key"]))
