@@ -8,48 +8,28 @@ from pyspark.sql import Column, functions as F
 WORD = "[a-z0-9]+|[ぁ-んァ-ン一-龥ー]+"
 GRAM_LENGTHS = (2, 3)
 
-# Code points per piece when a long text is cut for n-gram extraction.
+# Characters of a text whose n-grams are listed together.
 PIECE = 65_536
 
+POINT_BYTES = 4
+
 
 def words(folded) -> Column:
     return F.regexp_extract_all(folded, F.lit(WORD), F.lit(0))
 
 
-def grams(compact: Column, n: int) -> Column:
-    """All runs of ``n`` code points.
-
-    The pattern matches at every position without consuming, so one pass over the
-    text gives the overlapping runs; the class keeps a match from starting inside a
-    surrogate pair.
-    """
-    return F.regexp_extract_all(compact, F.lit(rf"(?=([^\p{{Cs}}]{{{n}}}))"), F.lit(1))
-
-
-def cut(compact: Column) -> Column:
-    """A text as a list of pieces; all but the last have ``PIECE`` code points."""
-    return F.regexp_extract_all(compact, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
-
+def code_points(text) -> Column:
+    """Fixed-width form: any run of characters is a byte slice, found without a scan."""
+    return F.encode(text, "UTF-32")
 
-def with_following(cut_text: Column, after: Column) -> Column:
-    """Pieces as ``struct<piece, next>``; ``next`` is what n-grams reach into.
 
-    ``cut_text`` should be a column, not an expression: it is read once per piece.
-    ``after`` is the text that follows the last piece.
-    """
-    reach = max(GRAM_LENGTHS) - 1
+def from_code_points(points) -> Column:
+    return F.decode(points, "UTF-32")
 
-    def following(i):
-        head = F.coalesce(F.substring(F.get(cut_text, i + 1), 1, reach), F.lit(""))
-        return F.substring(F.concat(head, after), 1, reach)
 
-    return F.transform(
-        cut_text, lambda p, i: F.struct(p.alias("piece"), following(i).alias("next"))
-    )
+def point_count(points) -> Column:
+    return (F.octet_length(points) / POINT_BYTES).cast("int")
 
 
-def piece_grams(piece: Column, following: Column) -> Column:
-    """Every n-gram that starts inside ``piece``."""
-    return F.concat(
-        *[grams(F.concat(piece, F.substring(following, 1, n - 1)), n) for n in GRAM_LENGTHS]
-    )
+def point_slice(points: Column, start: Column, length: int) -> Column:
+    return F.substring(points, start * POINT_BYTES + 1, length * POINT_BYTES)

@@ -6,7 +6,15 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from chatprep.functions.terms import GRAM_LENGTHS, cut, piece_grams, with_following, words
+from chatprep.functions.terms import (
+    GRAM_LENGTHS,
+    PIECE,
+    code_points,
+    from_code_points,
+    point_count,
+    point_slice,
+    words,
+)
 from chatprep.functions.text import drop_whitespace, fold
 
 
@@ -17,42 +25,88 @@ class Index(NamedTuple):
     term_stats: DataFrame
 
 
-def tokenize_terms(
-    df: DataFrame, keys: str | list[str], text: str, *, after: Column | None = None
-) -> DataFrame:
-    """One ``<keys>, term`` row per word and per 2- and 3-character n-gram of the text.
+def _coded_terms(df: DataFrame, keys: list[str], text: str, after: Column | None) -> DataFrame:
+    """One ``<keys>, _term`` row per word and n-gram, the term as code points.
 
-    N-grams run over the text without white space.  A long text is cut into pieces
-    first, so a task holds the n-grams of one piece at a time; n-grams across a cut
-    are kept.  ``after`` gives what follows the text where it goes on in another row.
+    Every row of the last step is one slice of the text or one of its words, so no
+    list of terms is ever built.  A long text is walked in pieces; n-grams across
+    their ends are kept.
     """
-    keys = [keys] if isinstance(keys, str) else keys
-    folded = df.select(
+    texts = df.select(
         *keys,
         fold(F.col(text)).alias("_text"),
         (F.lit("") if after is None else after).alias("_after"),
-    ).withColumn("_cut", cut(drop_whitespace(F.col("_text"))))
-    pieces = folded.select(
+    ).withColumn("_own", drop_whitespace(F.col("_text")))
+    coded = texts.select(
         *keys,
-        "_text",
-        F.posexplode(with_following(F.col("_cut"), F.col("_after"))).alias("_i", "_p"),
+        words("_text").alias("_words"),
+        F.length("_own").alias("_length"),
+        code_points(F.concat("_own", "_after")).alias("_points"),
     )
-    # The words of the whole text go with its first piece.
-    whole_words = F.when(F.col("_i") == 0, words(F.col("_text"))).otherwise(
-        F.array().cast("array<string>")
+    # Blank texts keep one empty piece: a filter on the length would be moved down to the
+    # scan and clean every text there a second time.
+    last_piece = F.floor(F.greatest(F.col("_length") - 1, F.lit(0)) / PIECE).cast("int")
+    pieces = coded.select(
+        "*", F.explode(F.sequence(F.lit(0), last_piece)).alias("_piece")
+    ).withColumn("_start", F.col("_piece") * PIECE)
+    own = F.least(F.lit(PIECE), F.col("_length") - F.col("_start"))
+    left = point_count("_points") - F.col("_start")
+    # How many n-grams of each length start in the piece; the words go with the first.
+    counted = pieces.withColumns(
+        {
+            f"_count{n}": F.greatest(F.least(own, left - (n - 1)), F.lit(0)) for n in GRAM_LENGTHS
+        }
+        | {"_count_words": F.when(F.col("_piece") == 0, F.size("_words")).otherwise(F.lit(0))}
     )
-    terms = F.concat(whole_words, piece_grams(F.col("_p.piece"), F.col("_p.next")))
-    return pieces.select(*keys, F.explode(terms).alias("term"))
+    total = sum((F.col(f"_count{n}") for n in GRAM_LENGTHS), F.col("_count_words"))
+    numbered = (
+        counted.withColumn("_total", total)
+        .filter(F.col("_total") > 0)
+        .select("*", F.explode(F.sequence(F.lit(0), F.col("_total") - 1)).alias("_i"))
+    )
+    i, chain = F.col("_i"), F
+    for n in GRAM_LENGTHS:
+        count = F.col(f"_count{n}")
+        chain = chain.when(i < count, point_slice(F.col("_points"), F.col("_start") + i, n))
+        i = i - count
+    return numbered.select(*keys, chain.otherwise(code_points(F.get("_words", i))).alias("_term"))
+
+
+def _keys(key: str | list[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def tokenize_terms(df: DataFrame, key: str | list[str], text: str) -> DataFrame:
+    """One ``<key>, term`` row per word and per 2- and 3-character n-gram of the text.
+
+    N-grams run over the text without white space.
+    """
+    keys = _keys(key)
+    coded = _coded_terms(df, keys, text, None)
+    return coded.select(*keys, from_code_points("_term").alias("term"))
+
 
+def _counted(coded: DataFrame, keys: list[str]) -> DataFrame:
+    """Terms are counted in coded form and spelled out once per distinct term."""
+    counts = coded.groupBy(*keys, "_term").agg(F.count(F.lit(1)).alias("tf"))
+    return counts.select(*keys, from_code_points("_term").alias("term"), "tf")
 
-def tokenize_parts(parts: DataFrame) -> DataFrame:
-    """Terms of texts that span several rows (``doc_seq, part, text``).
+
+def term_counts(df: DataFrame, key: str | list[str], text: str) -> DataFrame:
+    """``<key>, term, tf``: the bag of terms of every row's text."""
+    keys = _keys(key)
+    return _counted(_coded_terms(df, keys, text, None), keys)
+
+
+def part_term_counts(parts: DataFrame) -> DataFrame:
+    """``doc_seq, term, tf`` of texts that span several rows (``doc_seq, part, text``).
 
     Every part is at least one character without white space, so the heads of the
     next two parts hold all that an n-gram can reach into.
     """
     reach = max(GRAM_LENGTHS) - 1
     in_document = Window.partitionBy("doc_seq").orderBy("part")
+    # The window sees a few characters per part, never the texts.
     heads = parts.select(
         "doc_seq",
         "part",
@@ -63,21 +117,14 @@ def tokenize_parts(parts: DataFrame) -> DataFrame:
         "doc_seq", "part", F.substring(F.concat(*ahead), 1, reach).alias("_following")
     )
     joined = parts.join(following, ["doc_seq", "part"])
-    return tokenize_terms(joined, "doc_seq", "text", after=F.col("_following"))
-
-
-def count_terms(terms: DataFrame, key: str) -> DataFrame:
-    return terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-
-
-def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, term, tf``: the bag of terms of every row's text."""
-    return count_terms(tokenize_terms(df, key, text), key)
+    return _counted(_coded_terms(joined, ["doc_seq"], "text", F.col("_following")), ["doc_seq"])
 
 
 def document_frequency(postings: DataFrame) -> DataFrame:
     """``term, df``: in how many documents a term stands."""
-    return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # One per posting.  Reading tf keeps its column, so that where df and scores come
+    # from the same shuffled postings the two plans stay alike and share the shuffle.
+    return postings.groupBy("term").agg(F.sum(F.least("tf", F.lit(1))).alias("df"))
 
 
 def idf_table(frequencies: DataFrame, documents: DataFrame) -> DataFrame:
@@ -91,5 +138,5 @@ def build_index(documents: DataFrame, parts: DataFrame | None = None) -> Index:
     """Index ``doc_seq, text``; ``parts`` holds the texts that span several rows."""
     postings = term_counts(documents.filter(F.col("text").isNotNull()), "doc_seq", "text")
     if parts is not None:
-        postings = postings.unionByName(count_terms(tokenize_parts(parts), "doc_seq"))
+        postings = postings.unionByName(part_term_counts(parts))
     return Index(postings, idf_table(document_frequency(postings), documents))

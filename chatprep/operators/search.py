@@ -7,12 +7,10 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 from chatprep.functions.conversations import message
 from chatprep.operators.index import (
     Index,
-    count_terms,
     document_frequency,
     idf_table,
+    part_term_counts,
     term_counts,
-    tokenize_parts,
-    tokenize_terms,
 )
 
 # Query text, in characters, up to which its terms (at most three per character,
@@ -47,15 +45,18 @@ def fits_broadcast(queries: DataFrame, limit: int = BROADCAST_CHARS) -> bool:
     return (chars or 0) <= limit
 
 
-def spread_documents(documents: DataFrame, task_chars: int = TASK_CHARS) -> DataFrame:
-    """Place texts by ``doc_seq`` in as many partitions as their length asks for.
+def spread_documents(
+    documents: DataFrame, task_chars: int = TASK_CHARS
+) -> tuple[DataFrame, int]:
+    """Texts placed by ``doc_seq`` in as many partitions as their length asks for.
 
     Terms outnumber characters two to one, so partition counts chosen from the bytes
     of the texts (as adaptive execution would) leave far too few tasks.
     """
     chars = documents.agg(F.sum(F.length("text"))).first()[0] or 0
     at_least = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return documents.repartition(max(at_least, -(-chars // task_chars)), "doc_seq")
+    tasks = max(at_least, -(-chars // task_chars))
+    return documents.repartition(tasks, "doc_seq"), tasks
 
 
 def lookup_idf(query_terms: DataFrame, term_stats: DataFrame) -> DataFrame:
@@ -65,9 +66,15 @@ def lookup_idf(query_terms: DataFrame, term_stats: DataFrame) -> DataFrame:
     )
 
 
+def _damped(postings: DataFrame) -> DataFrame:
+    """Replace ``tf`` by its share in a score, once per posting and not once per match."""
+    return postings.select("doc_seq", "term", (F.lit(1.0) + F.log("tf")).alias("_share"))
+
+
 def _sum_scores(matches: DataFrame) -> DataFrame:
-    part = F.col("weight") * (F.lit(1.0) + F.log(F.col("tf")))
-    return matches.groupBy("query_id", "doc_seq").agg(F.sum(part).alias("score"))
+    return matches.groupBy("query_id", "doc_seq").agg(
+        F.sum(F.col("weight") * F.col("_share")).alias("score")
+    )
 
 
 def score_documents(
@@ -80,8 +87,15 @@ def score_documents(
     shuffled by term, with frequent terms salted.
     """
     weights = lookup_idf(query_terms, term_stats)
+    postings = _damped(postings)
     if broadcast:
-        return _sum_scores(postings.join(F.broadcast(weights), "term"))
+        by_term = weights.groupBy("term").agg(
+            F.collect_list(F.struct("query_id", "weight")).alias("_asked")
+        )
+        matches = postings.join(F.broadcast(by_term), "term").select(
+            "doc_seq", "_share", F.inline("_asked")
+        )
+        return _sum_scores(matches)
     total = F.broadcast(term_stats.agg((F.sum("df") / SALT_SHARE).alias("_limit")))  # one row
     hot = term_stats.crossJoin(total).filter(F.col("df") > F.col("_limit")).select(
         "term", F.lit(SALTS).alias("_salts")
@@ -119,19 +133,27 @@ def search_documents(
 ) -> DataFrame:
     """Hits of ``query_id, text`` in ``doc_seq, text``, without a saved index.
 
-    Only terms of the queries are counted.  Texts are spread by ``doc_seq`` once, so
-    counting, scoring and the first ranking of a document happen in one task.
+    Texts are spread by ``doc_seq`` once; a document is then counted, scored and first
+    ranked in one task.  Only postings of the queries' terms go on, through one shuffle
+    that document frequencies and scores share.
     """
     broadcast = fits_broadcast(queries)
     query_terms = term_counts(queries, "query_id", "text")
+    # Joined after counting: a semi join would be moved ahead of it, to every single term.
     asked = query_terms.select("term").distinct()
     asked = F.broadcast(asked) if broadcast else asked
     texts = documents.select("doc_seq", "text").filter(F.col("text").isNotNull())
-    terms = tokenize_terms(spread_documents(texts), "doc_seq", "text")
-    postings = count_terms(terms.join(asked, "term", "left_semi"), "doc_seq")
+    # Scoring has more to do per document than counting, hence twice the tasks.
+    spread, tasks = spread_documents(texts)
+    postings = (
+        term_counts(spread, "doc_seq", "text")
+        .join(asked, "term")
+        .select("doc_seq", "term", "tf")
+        .repartition(2 * tasks, "doc_seq")
+    )
     split = None
     if parts is not None:
-        split = count_terms(tokenize_parts(parts).join(asked, "term", "left_semi"), "doc_seq")
+        split = part_term_counts(parts).join(asked, "term").select("doc_seq", "term", "tf")
     found = postings if split is None else postings.unionByName(split)
     stats = idf_table(document_frequency(found), documents)
     scores = score_documents(query_terms, postings, stats, broadcast=broadcast)
