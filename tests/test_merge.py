@@ -52,7 +52,7 @@ def test_formats(pairs):
 
 
 def test_url_ends_at_wide_space(pairs):
-    rows = pairs(("q", shop("A", "", "https://a.example　more")), ("q", shop("B")))
+    rows = pairs(("q", shop("A", "", "https://a.example\u3000more")), ("q", shop("B")))
     assert merged(rows)["q"] == f"{SHOPS_HEADER}\n1. A\n   地図: https://a.example\n2. B"
 
 

@@ -21,7 +21,7 @@ def test_json_shapes(json_records):
     got = talks(
         normalize_conversations(
             json_records(
-                chat((" User ", " hi "), ("ASSISTANT", "yo　")),
+                chat((" User ", " hi "), ("ASSISTANT", "yo\u3000")),
                 {"messages": [{"role": "user", "content": "hi"}, 5, "x", None, {"role": "assistant"}]},
                 {"messages": []},
                 {"conversations": [

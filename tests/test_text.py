@@ -10,7 +10,7 @@ def test_whitespace_is_every_unicode_space():
 
 
 def test_clean_strips_all_kinds(spark):
-    texts = [None, "", " a b ", "　x ", "\x1c\x85y \n", WHITESPACE, "a　b"]
+    texts = [None, "", " a b ", "\u3000x\u2028", "\x1c\x85y\u00a0\n", WHITESPACE, "a\u3000b"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in rows.select(clean(F.col("t"))).collect()]
     assert got == [(t or "").strip() for t in texts]
