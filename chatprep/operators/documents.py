@@ -15,7 +15,7 @@ from chatprep.operators.groups import (
     split_by_size,
 )
 
-KEY = ["_name", "_single"]
+KEY = ["_name"]
 FIELDS = ["title", "categories", "feature", "url", "answer"]
 
 
@@ -79,16 +79,13 @@ def _head() -> list[Column]:
     ]
 
 
-def _named_rows(pairs: DataFrame) -> DataFrame:
+def _fact_rows(pairs: DataFrame) -> DataFrame:
     facts = extract_category(extract_facts(pairs, "assistant"), "user")
-    unnamed = F.col("name") == ""
     return facts.select(
         F.col("name").alias("_name"),
-        # Rows without a name are documents of their own.
-        F.when(unnamed, F.col("seq")).otherwise(F.lit(-1)).alias("_single"),
         "seq",
         "user",
-        F.when(unnamed, F.col("user")).otherwise(F.col("name")).alias("title"),
+        F.when(F.col("name") == "", F.col("user")).otherwise(F.col("name")).alias("title"),
         "feature",
         "url",
         F.nullif("category", F.lit("")).alias("category"),
@@ -96,6 +93,25 @@ def _named_rows(pairs: DataFrame) -> DataFrame:
     )
 
 
+def _with_text(fields: DataFrame, questions: str) -> DataFrame:
+    text = F.concat_ws("\n", *_head(), F.col(questions), F.col("answer"))
+    return fields.select("doc_seq", *FIELDS, text.alias("text"))
+
+
+def _unnamed(rows: DataFrame) -> DataFrame:
+    """A row without a name is a document of its own: nothing to group."""
+    single = rows.select(
+        F.col("seq").alias("doc_seq"),
+        "title",
+        F.array_compact(F.array("category")).alias("categories"),
+        "feature",
+        "url",
+        "answer",
+        "user",
+    )
+    return _with_text(single, "user")
+
+
 def _questions() -> Column:
     """All questions of a group in order, with repeats, as one text."""
     ordered = F.array_sort(F.collect_list(F.struct("seq", "user")))
@@ -108,9 +124,8 @@ def _whole(rows: DataFrame) -> DataFrame:
         *_facts("seq"),
         F.array_sort(F.collect_set("category")).alias("categories"),
         _questions().alias("_questions"),
-    ).select(*_fields(), "_questions")
-    text = F.concat_ws("\n", *_head(), F.col("_questions"), F.col("answer"))
-    return grouped.select("doc_seq", *FIELDS, text.alias("text"))
+    )
+    return _with_text(grouped.select(*_fields(), "_questions"), "_questions")
 
 
 def _split(rows: DataFrame, piece_rows: int) -> Knowledge:
@@ -162,11 +177,14 @@ def build_knowledge(
     pairs: DataFrame, *, cell_chars: int = CELL_CHARS, piece_rows: int = PIECE_ROWS
 ) -> Knowledge:
     """Group ``seq, user, assistant`` by the name in the answer."""
-    rows = _named_rows(pairs)
+    rows = _fact_rows(pairs)
+    named = rows.filter(F.col("_name") != "")
     weight = F.length("user") + F.length(F.coalesce("category", F.lit(""))) + 32
-    within, beyond = split_by_size(rows, KEY, group_sizes(rows, KEY, weight), cell_chars)
+    within, beyond = split_by_size(named, KEY, group_sizes(named, KEY, weight), cell_chars)
     large = _split(beyond, piece_rows)
-    return Knowledge(_whole(within).unionByName(large.documents), large.parts)
+    unnamed = _unnamed(rows.filter(F.col("_name") == ""))
+    documents = unnamed.unionByName(_whole(within)).unionByName(large.documents)
+    return Knowledge(documents, large.parts)
 
 
 def build_documents(pairs: DataFrame) -> DataFrame:

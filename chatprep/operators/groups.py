@@ -7,6 +7,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 # Characters one assembled cell may hold.  A cell lives in one task's memory.
 CELL_CHARS = 1 << 26
 
+# A key with more than 1/HOT_SHARE of all rows is spread over several join keys; there
+# are fewer than HOT_SHARE such keys.
+HOT_SHARE = 10_000
+
 # Consecutive order values that share one piece of a split group.
 PIECE_ROWS = 1 << 16
 
@@ -43,3 +47,30 @@ def split_by_size(
 def piece_of(order: str, rows: int = PIECE_ROWS) -> Column:
     """Piece number of a row: neighbours in order share a piece of at most ``rows`` rows."""
     return F.floor(F.col(order) / F.lit(rows)).cast("bigint")
+
+
+def hot_keys(counts: DataFrame, key: str, count: str, share: int = HOT_SHARE) -> DataFrame:
+    """``key, _salts`` of the keys above their share: enough salts to bring each below."""
+    limit = F.broadcast(counts.agg((F.sum(count) / share).alias("_limit")))  # one row
+    return (
+        counts.crossJoin(limit)
+        .filter(F.col(count) > F.col("_limit"))
+        .select(key, F.ceil(F.col(count) / F.col("_limit")).cast("int").alias("_salts"))
+    )
+
+
+def salted_join(
+    many: DataFrame, few: DataFrame, key: str, spread_by: str, hot: DataFrame
+) -> DataFrame:
+    """Inner join in which the ``many`` rows of a hot key meet copies of its ``few`` rows
+    in several tasks.  ``hot`` comes from ``hot_keys``: fewer than HOT_SHARE rows."""
+
+    def with_salts(side):
+        joined = side.join(F.broadcast(hot), key, "left")
+        return joined.withColumn("_salts", F.coalesce("_salts", F.lit(1)))
+
+    salt = F.pmod(F.xxhash64(spread_by), "_salts").cast("int")
+    left = with_salts(many).withColumn("_salt", salt).drop("_salts")
+    copies = F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))
+    right = with_salts(few).withColumn("_salt", copies).drop("_salts")
+    return left.join(right, [key, "_salt"]).drop("_salt")

@@ -18,6 +18,10 @@ from chatprep.functions.terms import (
 from chatprep.functions.text import drop_whitespace, fold
 
 
+# Document text, in characters, whose terms one task expands and counts.
+TASK_CHARS = 1 << 24
+
+
 class Index(NamedTuple):
     """``postings``: doc_seq, term, tf.  ``term_stats``: term, df, idf."""
 
@@ -134,9 +138,34 @@ def idf_table(frequencies: DataFrame, documents: DataFrame) -> DataFrame:
     return frequencies.crossJoin(n).select("term", "df", idf.alias("idf"))
 
 
+def spread_documents(
+    documents: DataFrame, task_chars: int = TASK_CHARS
+) -> tuple[DataFrame, int]:
+    """Texts placed by ``doc_seq`` in as many partitions as their length asks for.
+
+    Terms outnumber characters two to one, so partition counts chosen from the bytes
+    of the texts (as adaptive execution would) leave far too few tasks.  Placed like
+    this, terms are counted per document without a shuffle of terms.
+    """
+    texts = documents.select("doc_seq", "text").filter(F.col("text").isNotNull())
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    at_least = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(at_least, -(-chars // task_chars))
+    return texts.repartition(tasks, "doc_seq"), tasks
+
+
+def document_postings(documents: DataFrame, parts: DataFrame | None = None) -> DataFrame:
+    """``doc_seq, term, tf`` of all documents; ``parts`` holds texts that span several rows."""
+    postings = term_counts(spread_documents(documents)[0], "doc_seq", "text")
+    return postings if parts is None else postings.unionByName(part_term_counts(parts))
+
+
 def build_index(documents: DataFrame, parts: DataFrame | None = None) -> Index:
-    """Index ``doc_seq, text``; ``parts`` holds the texts that span several rows."""
-    postings = term_counts(documents.filter(F.col("text").isNotNull()), "doc_seq", "text")
-    if parts is not None:
-        postings = postings.unionByName(part_term_counts(parts))
+    """Index of ``doc_seq, text``.  Both tables of it come from the postings: store those
+    first (as ``write_index`` does) where both are to be written."""
+    postings = document_postings(documents, parts)
+    return index_of(postings, documents)
+
+
+def index_of(postings: DataFrame, documents: DataFrame) -> Index:
     return Index(postings, idf_table(document_frequency(postings), documents))

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, Window
+from pyspark.sql import DataFrame, Window, functions as F
 
 from chatprep.functions.conversations import message
+from chatprep.operators.groups import hot_keys, salted_join
 from chatprep.operators.index import (
     Index,
     document_frequency,
     idf_table,
     part_term_counts,
+    spread_documents,
     term_counts,
 )
 
@@ -17,14 +19,6 @@ from chatprep.operators.index import (
 # 150 MB) are broadcast.
 BROADCAST_CHARS = 1_000_000
 
-# A term in more than 1/SALT_SHARE of all postings is spread over several join keys;
-# there are fewer than SALT_SHARE such terms.
-SALT_SHARE = 10_000
-SALTS = 64
-
-# Document text, in characters, whose terms one task expands and counts.
-TASK_CHARS = 1 << 24
-
 # Labels of a context block, the answer when nothing is found, and the
 # prompt around question and context.
 CATEGORY_LABEL = "ジャンル: "
@@ -45,20 +39,6 @@ def fits_broadcast(queries: DataFrame, limit: int = BROADCAST_CHARS) -> bool:
     return (chars or 0) <= limit
 
 
-def spread_documents(
-    documents: DataFrame, task_chars: int = TASK_CHARS
-) -> tuple[DataFrame, int]:
-    """Texts placed by ``doc_seq`` in as many partitions as their length asks for.
-
-    Terms outnumber characters two to one, so partition counts chosen from the bytes
-    of the texts (as adaptive execution would) leave far too few tasks.
-    """
-    chars = documents.agg(F.sum(F.length("text"))).first()[0] or 0
-    at_least = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(at_least, -(-chars // task_chars))
-    return documents.repartition(tasks, "doc_seq"), tasks
-
-
 def lookup_idf(query_terms: DataFrame, term_stats: DataFrame) -> DataFrame:
     """``query_id, term, weight``: query count times idf, for terms some document has."""
     return query_terms.join(term_stats, "term").select(
@@ -96,19 +76,8 @@ def score_documents(
             "doc_seq", "_share", F.inline("_asked")
         )
         return _sum_scores(matches)
-    total = F.broadcast(term_stats.agg((F.sum("df") / SALT_SHARE).alias("_limit")))  # one row
-    hot = term_stats.crossJoin(total).filter(F.col("df") > F.col("_limit")).select(
-        "term", F.lit(SALTS).alias("_salts")
-    )
-
-    def salted(side: DataFrame, salt: Column) -> DataFrame:
-        spread = side.join(F.broadcast(hot), "term", "left")
-        return spread.withColumn("_salts", F.coalesce("_salts", F.lit(1))).withColumn("_salt", salt)
-
-    left = salted(postings, F.pmod(F.xxhash64("doc_seq"), "_salts").cast("int"))
-    right = salted(weights, F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
-    matches = left.drop("_salts").join(right.drop("_salts"), ["term", "_salt"])
-    return _sum_scores(matches)
+    hot = hot_keys(term_stats, "term", "df")
+    return _sum_scores(salted_join(postings, weights, "term", "doc_seq", hot))
 
 
 def top_k(scores: DataFrame, k: int = 6) -> DataFrame:
@@ -135,48 +104,58 @@ def search_documents(
 
     Texts are spread by ``doc_seq`` once; a document is then counted, scored and first
     ranked in one task.  Only postings of the queries' terms go on, through one shuffle
-    that document frequencies and scores share.
+    that document frequencies and scores share.  ``parts`` holds the texts that span
+    several rows.
     """
     broadcast = fits_broadcast(queries)
     query_terms = term_counts(queries, "query_id", "text")
-    # Joined after counting: a semi join would be moved ahead of it, to every single term.
-    asked = query_terms.select("term").distinct()
-    asked = F.broadcast(asked) if broadcast else asked
-    texts = documents.select("doc_seq", "text").filter(F.col("text").isNotNull())
+    spread, tasks = spread_documents(documents)
     # Scoring has more to do per document than counting, hence twice the tasks.
-    spread, tasks = spread_documents(texts)
-    postings = (
-        term_counts(spread, "doc_seq", "text")
-        .join(asked, "term")
-        .select("doc_seq", "term", "tf")
-        .repartition(2 * tasks, "doc_seq")
-    )
-    split = None
+    sides = [_placed(term_counts(spread, "doc_seq", "text"), query_terms, broadcast, 2 * tasks)]
     if parts is not None:
-        split = part_term_counts(parts).join(asked, "term").select("doc_seq", "term", "tf")
-    found = postings if split is None else postings.unionByName(split)
-    stats = idf_table(document_frequency(found), documents)
-    scores = score_documents(query_terms, postings, stats, broadcast=broadcast)
-    if split is not None:
-        # Scored apart: a union would lose the placement by document.
-        scores = scores.unionByName(
-            score_documents(query_terms, split, stats, broadcast=broadcast)
-        )
-    return top_k(scores, k)
+        # Terms of one such document come from many tasks: scored apart, so that the
+        # others keep their placement.
+        sides.append(_placed(part_term_counts(parts), query_terms, broadcast, tasks))
+    postings = sides[0] if parts is None else sides[0].unionByName(sides[1])
+    stats = idf_table(document_frequency(postings), documents)
+    scores = [score_documents(query_terms, s, stats, broadcast=broadcast) for s in sides]
+    return top_k(scores[0] if parts is None else scores[0].unionByName(scores[1]), k)
 
 
 def search_index(queries: DataFrame, index: Index, k: int = 6) -> DataFrame:
     """Hits of ``query_id, text`` in a saved index."""
+    broadcast = fits_broadcast(queries)
     query_terms = term_counts(queries, "query_id", "text")
-    scores = score_documents(
-        query_terms, index.postings, index.term_stats, broadcast=fits_broadcast(queries)
-    )
-    return top_k(scores, k)
+    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    postings = _placed(index.postings, query_terms, broadcast, tasks)
+    return top_k(score_documents(query_terms, postings, index.term_stats, broadcast=broadcast), k)
+
+
+def _placed(postings: DataFrame, query_terms: DataFrame, broadcast: bool, tasks: int) -> DataFrame:
+    """The postings some query asks for, brought together by document.
+
+    Scores are then summed and first ranked in place instead of shuffling a row per
+    match.  The filter is an inner join with distinct terms: a semi join would be moved
+    ahead of the counting of terms, to every single occurrence.  With a query table too
+    large to broadcast the postings stay as they are and the scoring join filters them.
+    """
+    if not broadcast:
+        return postings
+    asked = F.broadcast(query_terms.select("term").distinct())
+    found = postings.join(asked, "term").select("doc_seq", "term", "tf")
+    return found.repartition(tasks, "doc_seq")
 
 
 def attach_documents(hits: DataFrame, documents: DataFrame, *, small: bool) -> DataFrame:
-    """Document fields for hits; ``small`` says the hits are known to fit a broadcast."""
-    return documents.drop("text").join(F.broadcast(hits) if small else hits, "doc_seq")
+    """Document fields for hits; ``small`` says the hits are known to fit a broadcast.
+
+    Otherwise a document that many queries hit is joined in several tasks.
+    """
+    fields = documents.drop("text")
+    if small:
+        return fields.join(F.broadcast(hits), "doc_seq")
+    counts = hits.groupBy("doc_seq").agg(F.count(F.lit(1)).alias("_hits"))
+    return salted_join(hits, fields, "doc_seq", "query_id", hot_keys(counts, "doc_seq", "_hits"))
 
 
 def make_context(found: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chatprep.operators.documents import build_knowledge
-from chatprep.operators.index import build_index
 from chatprep.operators.merge import merge_same_user, merge_same_user_pairs
 from chatprep.operators.normalize import normalize_conversations, resolve_columns
 from chatprep.operators.quality import tag_conversations, validate_conversations
@@ -23,7 +22,6 @@ from chatprep.operators.search import (
     search_index,
 )
 from chatprep.operators.stats import dataset_stats, run_counters, size_guidance, with_lengths
-from chatprep.plans.staging import stage
 from chatprep.sinks.writers import (
     read_index,
     write_index,
@@ -32,6 +30,7 @@ from chatprep.sinks.writers import (
     write_training_bundle,
 )
 from chatprep.sources.files import read_csv_records, read_pairs, read_records, read_training_json
+from chatprep.staging import stage
 
 
 class Built(NamedTuple):
@@ -135,12 +134,19 @@ def search(
     ``prompts=True`` gives the model prompts of the queries with hits instead of the
     plain context.
     """
-    knowledge = build_knowledge(pairs)
-    documents = knowledge.documents
-    hits = search_documents(queries, documents, top_k, parts=knowledge.parts)
+    documents, parts = _stored_knowledge(pairs)
+    hits = search_documents(queries, documents, top_k, parts=parts)
     return _answers(queries, hits, documents, prompts)
 
 
+def _stored_knowledge(pairs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Documents, and the parts of those too long for one row if there are any.  Both are
+    read several times from here on."""
+    knowledge = build_knowledge(pairs)
+    parts = stage(knowledge.parts, "parts")
+    return stage(knowledge.documents, "documents"), None if parts.isEmpty() else parts
+
+
 def _answers(queries, hits, documents, prompts):
     # A query batch small enough for the scoring broadcast has small hits as well.
     found = attach_documents(hits, documents, small=fits_broadcast(queries))
@@ -155,9 +161,8 @@ def search_file(spark: SparkSession, path: str, queries: DataFrame, **options) -
 
 def save_index(pairs: DataFrame, path: str) -> None:
     """Build the knowledge documents of the pairs and store them with their index."""
-    knowledge = build_knowledge(pairs)
-    documents = stage(knowledge.documents, "documents")
-    write_index(build_index(documents, stage(knowledge.parts, "parts")), documents, path)
+    documents, parts = _stored_knowledge(pairs)
+    write_index(documents, path, parts=parts)
 
 
 def search_saved(

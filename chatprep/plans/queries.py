@@ -35,8 +35,14 @@ from chatprep.operators.search import search_documents, search_index
 from chatprep.operators.split import split_train_valid
 from chatprep.operators.stats import dataset_stats, run_counters, size_guidance, with_lengths
 from chatprep.plans.jobs import build_dataset, render_training_text, search, validate_dataset
-from chatprep.plans.staging import stage, staging_folder
-from chatprep.sinks.writers import in_order, write_jsonl, write_merged_csv
+from chatprep.staging import stage, staging_folder
+from chatprep.sinks.writers import (
+    in_order,
+    read_index,
+    write_index,
+    write_jsonl,
+    write_merged_csv,
+)
 from chatprep.sources.files import read_csv_records, read_pairs, read_records
 from chatprep.sources.turns import chat_turns_to_conversations
 
@@ -330,12 +336,9 @@ def search_topk(spark, folder):
 
 
 def search_stored_index(spark, folder):
-    index = build_index(_documents(spark, folder))
-    postings = stage(index.postings, "postings")
-    stored = index._replace(
-        postings=postings,
-        term_stats=idf_table(document_frequency(postings), _documents(spark, folder)),
-    )
+    path = _new_path(spark, "index")
+    write_index(_documents(spark, folder), path)
+    stored, _ = read_index(spark, path)
     return _rounded(search_index(_questions(spark, folder), stored))
 
 

@@ -7,9 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chatprep.operators.index import Index
+from chatprep.operators.index import Index, document_postings, index_of
 from chatprep.operators.normalize import messages_to_sharegpt
 from chatprep.operators.split import split_train_valid
+from chatprep.staging import stage
 
 
 def in_order(df: DataFrame, *keys: str) -> DataFrame:
@@ -43,17 +44,25 @@ def write_merged_csv(pairs: DataFrame, path: str, *, mode: str = "overwrite") ->
 
 
 def write_index(
-    index: Index, documents: DataFrame, path: str, *, mode: str = "overwrite"
+    documents: DataFrame,
+    path: str,
+    *,
+    parts: DataFrame | None = None,
+    mode: str = "overwrite",
 ) -> None:
-    """Store postings, term statistics and documents for later query batches.
+    """Index documents and store postings, term statistics and documents.
 
-    Postings are laid out by term, then document: a lookup skips row groups of other
-    terms, and a term that is in every document is spread over several files.
+    Terms are counted once: the counts are stored as they come, and statistics and the
+    final order are made from the stored table.  Postings are laid out by term, then
+    document: a lookup skips row groups of other terms, and a term that is in every
+    document is spread over several files.
     """
     base = path.rstrip("/")
-    in_order(index.postings, "term", "doc_seq").write.mode(mode).parquet(f"{base}/postings")
-    in_order(index.term_stats, "term").write.mode(mode).parquet(f"{base}/term_stats")
     documents.write.mode(mode).parquet(f"{base}/documents")
+    postings = stage(document_postings(documents, parts), "postings")
+    index = index_of(postings, documents)
+    in_order(index.postings, "term", "doc_seq").write.mode(mode).parquet(f"{base}/postings")
+    index.term_stats.write.mode(mode).parquet(f"{base}/term_stats")
 
 
 def read_index(spark: SparkSession, path: str) -> tuple[Index, DataFrame]:

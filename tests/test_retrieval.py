@@ -5,10 +5,15 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from chatprep.operators import index as index_module
+from chatprep.operators import groups, index as index_module
 from chatprep.operators import search as search_module
 from chatprep.operators.documents import build_documents, build_knowledge, extract_category
-from chatprep.operators.index import build_index, term_counts, tokenize_terms
+from chatprep.operators.index import (
+    build_index,
+    spread_documents,
+    term_counts,
+    tokenize_terms,
+)
 from chatprep.operators.search import (
     NOTHING_FOUND,
     answer_queries,
@@ -18,7 +23,6 @@ from chatprep.operators.search import (
     score_documents,
     search_documents,
     search_index,
-    spread_documents,
     top_k,
 )
 from chatprep.plans.jobs import save_index, search, search_saved
@@ -94,8 +98,9 @@ def test_search_matches_brute_force(spark, partitions):
 
 
 def test_large_query_tables_take_the_salted_join(spark, monkeypatch):
-    monkeypatch.setattr(search_module, "BROADCAST_CHARS", 0)
-    monkeypatch.setattr(search_module, "SALT_SHARE", 50)
+    monkeypatch.setattr(
+        search_module, "hot_keys", lambda counts, key, n: groups.hot_keys(counts, key, n, 50)
+    )
     monkeypatch.setattr(search_module, "fits_broadcast", lambda q: False)
     documents = table(spark, "doc_seq", TEXTS)
     questions = table(spark, "query_id", QUESTIONS)
@@ -104,6 +109,18 @@ def test_large_query_tables_take_the_salted_join(spark, monkeypatch):
     assert found(search_index(questions, build_index(documents), 3)) == want
 
 
+def test_hot_keys_are_split_and_joined_whole(spark):
+    many = spark.createDataFrame(
+        [("hot" if i % 2 else f"k{i % 9}", i) for i in range(400)], "key string, i bigint"
+    )
+    few = spark.createDataFrame([("hot", 1), ("hot", 2), ("k2", 3), ("none", 4)], "key string, j bigint")
+    counts = many.groupBy("key").count()
+    hot = groups.hot_keys(counts, "key", "count", 10)
+    assert {r["key"]: r["_salts"] for r in hot.collect()}["hot"] == 5
+    got = groups.salted_join(many, few, "key", "i", hot)
+    assert sorted(got.collect()) == sorted(many.join(few, "key").collect())
+
+
 def test_more_tasks_for_longer_texts(spark):
     documents = table(spark, "doc_seq", TEXTS)
     at_least = int(spark.conf.get("spark.sql.shuffle.partitions"))
