@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -32,15 +32,6 @@ MERGED_FROM = 1 << 62
 QUESTION = ["system", "user"]
 
 
-class Merged(NamedTuple):
-    """``oversized`` holds merged answers too long for one row, in ordered parts
-    (``seq, system, user, part, text``); their texts joined in order are the answer."""
-
-    rows: DataFrame
-    oversized: DataFrame
-    stats: DataFrame
-
-
 def distinct_answers(pairs: DataFrame) -> DataFrame:
     """One row per question and answer: first ``seq`` and number of rows.
 
@@ -162,13 +153,72 @@ def merge_stats(pairs: DataFrame, passed: DataFrame | None = None) -> DataFrame:
     return groups.unionByName(passing).agg(*[F.sum(c).alias(c) for c in groups.columns])
 
 
+class Merged:
+    """Result of merging ``seq, system, user, assistant`` pairs.
+
+    * ``rows``: one row per (system, user)
+    * ``oversized``: merged answers too long for one row, in ordered parts (``seq,
+      system, user, part, text``); their texts joined in order are the answer
+    * ``stats``: the one-row counters
+
+    Each plan is built when it is asked for.
+    """
+
+    def __init__(self, pairs: DataFrame, cell_chars: int = CELL_CHARS, piece_rows: int = PIECE_ROWS):
+        self.pairs = pairs
+        self._cell_chars = cell_chars
+        self._piece_rows = piece_rows
+
+    @cached_property
+    def _by_size(self) -> tuple[DataFrame, DataFrame]:
+        weight = F.length("assistant") + 32
+        sizes = group_sizes(_keyed(self.pairs), QUESTION, weight, item="assistant")
+        return split_by_size(distinct_answers(self.pairs), QUESTION, sizes, self._cell_chars)
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        return _merge_within(self._by_size[0])
+
+    @cached_property
+    def oversized(self) -> DataFrame:
+        return _merge_beyond(self._by_size[1], self._piece_rows)
+
+    @cached_property
+    def stats(self) -> DataFrame:
+        return merge_stats(self.pairs)
+
+
 def merge_pairs(
     pairs: DataFrame, *, cell_chars: int = CELL_CHARS, piece_rows: int = PIECE_ROWS
 ) -> Merged:
-    """``seq, system, user, assistant`` pairs to one row per (system, user)."""
-    sizes = group_sizes(_keyed(pairs), QUESTION, F.length("assistant") + 32, item="assistant")
-    within, beyond = split_by_size(distinct_answers(pairs), QUESTION, sizes, cell_chars)
-    return Merged(_merge_within(within), _merge_beyond(beyond, piece_rows), merge_stats(pairs))
+    """One row per (system, user) with the distinct answers in order."""
+    return Merged(pairs, cell_chars, piece_rows)
+
+
+class MergedConversations(Merged):
+    """``rows`` are conversations: those that are no single pair first, then the merged."""
+
+    def __init__(self, conversations: DataFrame, default_system: str | None, **sizes):
+        super().__init__(messages_to_pairs(conversations), **sizes)
+        self._passed = non_pairs(conversations)
+        self._default_system = default_system
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        merged = _merge_within(self._by_size[0]).select(
+            (F.col("seq") + F.lit(MERGED_FROM)).alias("seq"),
+            pair_messages(F.col("user"), F.col("assistant"), F.col("system")).alias("messages"),
+        )
+        return self._passed.unionByName(with_default_system(merged, self._default_system))
+
+    @cached_property
+    def oversized(self) -> DataFrame:
+        parts = _merge_beyond(self._by_size[1], self._piece_rows)
+        return parts.withColumn("seq", F.col("seq") + F.lit(MERGED_FROM))
+
+    @cached_property
+    def stats(self) -> DataFrame:
+        return merge_stats(self.pairs, self._passed)
 
 
 def merge_same_user(
@@ -177,41 +227,40 @@ def merge_same_user(
     *,
     cell_chars: int = CELL_CHARS,
     piece_rows: int = PIECE_ROWS,
-) -> Merged:
+) -> MergedConversations:
     """Merge the single question/answer conversations that share system and question.
 
-    Other conversations pass through and come first.  Conversations must already
-    carry the default system message; it is added again where merging left none.
+    Conversations must already carry the default system message; it is added again where
+    merging left none.
     """
-    pairs, passed = messages_to_pairs(conversations), non_pairs(conversations)
-    merged = merge_pairs(pairs, cell_chars=cell_chars, piece_rows=piece_rows)
-    rows = merged.rows.select(
-        (F.col("seq") + F.lit(MERGED_FROM)).alias("seq"),
-        pair_messages(F.col("user"), F.col("assistant"), F.col("system")).alias("messages"),
+    return MergedConversations(
+        conversations, default_system, cell_chars=cell_chars, piece_rows=piece_rows
     )
-    together = passed.unionByName(with_default_system(rows, default_system))
-    oversized = merged.oversized.withColumn("seq", F.col("seq") + F.lit(MERGED_FROM))
-    return Merged(together, oversized, merge_stats(pairs, passed))
 
 
 def merge_same_user_pairs(pairs: DataFrame) -> Merged:
     """The table variant: blank pairs are dropped before merging.
 
-    The input comes back unchanged when no question has two answers.  ``system`` is a
+    ``rows`` is the input unchanged when no question has two answers.  ``system`` is a
     column of the result only if some row has one.
     """
-    if "system" not in pairs.columns:
-        pairs = pairs.withColumn("system", F.lit(None).cast("string"))
-        plain = pairs.drop("system")
-    else:
-        plain = pairs
-    stripped = drop_blank_pairs(
-        pairs.select("seq", *[clean(F.col(c)).alias(c) for c in ("system", "user", "assistant")])
+    with_system = "system" in pairs.columns
+    system = clean(F.col("system")) if with_system else F.lit("")
+    merged = Merged(
+        drop_blank_pairs(
+            pairs.select(
+                "seq",
+                system.alias("system"),
+                clean(F.col("user")).alias("user"),
+                clean(F.col("assistant")).alias("assistant"),
+            )
+        )
     )
-    merged = merge_pairs(stripped)
     # Two one-row questions that decide the shape of the result.
     if merged.stats.first()["merged_prompt_groups"] == 0:
-        return Merged(plain, merged.oversized.limit(0), merged.stats)
-    with_system = stripped.filter(F.col("system") != "").limit(1).count() > 0
-    columns = ["seq", "user", "assistant"] + (["system"] if with_system else [])
-    return Merged(merged.rows.select(*columns), merged.oversized, merged.stats)
+        merged.rows = pairs
+    elif merged.pairs.filter(F.col("system") != "").isEmpty():
+        merged.rows = merged.rows.select("seq", "user", "assistant")
+    else:
+        merged.rows = merged.rows.select("seq", "user", "assistant", "system")
+    return merged

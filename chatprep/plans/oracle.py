@@ -344,6 +344,7 @@ SELECT d.seq * 2 + 1, coalesce(k.dialog, '') FROM dialogs d LEFT JOIN known k ON
         select=f"""SELECT seq, 'system: ' || {quoted(SYSTEM)} || chr(10) || 'user: ' || "user"
   || chr(10) || 'assistant: ' || assistant AS dialog FROM part_pairs""",
     ),
+    "unusable_records": f"SELECT event_id AS seq, {quoted(c.NO_PAIR)} AS reason FROM events",
     "named_columns": query(PART_PAIRS, select='SELECT seq, "user", assistant FROM part_pairs'),
     "dataset_statistics": query(
         TURNS,
@@ -419,6 +420,13 @@ UNION ALL SELECT 'both', CASE WHEN n < 2 THEN n ELSE 0 END FROM sizes""",
         select="""SELECT term, count(*) AS df,
   round(ln(((SELECT count(*) FROM texts) + 1) / (count(*) + 0.5)) + 1, 6) AS idf
 FROM held GROUP BY term""",
+    ),
+    "query_weights": query(
+        QUESTIONS,
+        TEXTS,
+        hits("texts", 0),
+        select="""SELECT query_id, term, round(tf * idf, 6) AS weight
+FROM asked JOIN stats USING (term)""",
     ),
     "search_topk": query(
         QUESTIONS,
@@ -465,6 +473,14 @@ FROM turns GROUP BY seq""",
     ),
 }
 
+ORACLE["prepared_csv"] = query(
+    PART_PAIRS,
+    "asked AS (SELECT * FROM part_pairs WHERE assistant <> '')",
+    merged("asked"),
+    select="""SELECT 'user: ' || "user" || chr(10) || 'assistant: ' || assistant AS dialog
+FROM groups""",
+)
+
 # Builds work on two copies of every conversation, with a default system message.
 _BUILT = [
     TURNS,

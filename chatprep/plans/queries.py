@@ -26,15 +26,22 @@ from chatprep.operators.quality import (
     drop_blank_pairs,
     duplicate_rows,
     flag_too_long,
+    reject_unusable,
     split_valid,
     tag_conversations,
     validate_conversations,
 )
 from chatprep.operators.render import render_chat_text, response_mask_report
-from chatprep.operators.search import search_documents, search_index
+from chatprep.operators.search import lookup_idf, search_documents, search_index
 from chatprep.operators.split import split_train_valid
 from chatprep.operators.stats import dataset_stats, run_counters, size_guidance, with_lengths
-from chatprep.plans.jobs import build_dataset, render_training_text, search, validate_dataset
+from chatprep.plans.jobs import (
+    build_dataset,
+    prepare_from_csv_or_jsonl,
+    render_training_text,
+    search,
+    validate_dataset,
+)
 from chatprep.staging import stage, staging_folder
 from chatprep.sinks.writers import (
     in_order,
@@ -224,6 +231,13 @@ def json_pairs(spark, folder):
     return _dialog(normalize_conversations(pairs.select("seq", raw.alias("raw")), SYSTEM))
 
 
+def unusable_records(spark, folder):
+    """The JSON properties of events hold no question and answer."""
+    events = table(spark, folder, "events")
+    records = events.select(F.col("event_id").alias("seq"), F.col("props").alias("raw"))
+    return reject_unusable(normalize_conversations(records))[1]
+
+
 def named_columns(spark, folder):
     pairs = _part_pairs(spark, folder)
     records = pairs.select(
@@ -327,6 +341,13 @@ def document_idf(spark, folder):
     return idf_table(counts, documents).withColumn("idf", F.round("idf", 6))
 
 
+def query_weights(spark, folder):
+    """What each term of a question adds to a score, before the count in the document."""
+    asked = term_counts(_questions(spark, folder), "query_id", "text")
+    weights = lookup_idf(asked, build_index(_documents(spark, folder)).term_stats)
+    return weights.withColumn("weight", F.round("weight", 6))
+
+
 def _rounded(hits):
     return hits.withColumn("score", F.round("score", 6))
 
@@ -439,6 +460,13 @@ def rendered_file(spark, folder):
     return text.select("text")
 
 
+def prepared_csv(spark, folder):
+    path, out = f"{_new_path(spark, 'pairs')}.csv", _new_path(spark, "out")
+    write_merged_csv(_part_pairs(spark, folder), path)
+    written = prepare_from_csv_or_jsonl(spark, path, out)
+    return _dialog(normalize_conversations(read_records(spark, written))).select("dialog")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in [
@@ -456,6 +484,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         non_pair_conversations,
         json_shapes,
         json_pairs,
+        unusable_records,
         named_columns,
         dataset_statistics,
         counters,
@@ -470,6 +499,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         knowledge_documents,
         benchmark_terms,
         document_idf,
+        query_weights,
         search_topk,
         search_stored_index,
         search_context,
@@ -483,5 +513,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         built_sharegpt,
         validation_report,
         rendered_file,
+        prepared_csv,
     ]
 }

@@ -35,7 +35,7 @@ def read_csv_records(spark: SparkSession, path: str, *, multi_line: bool = True)
     last = {name.lower(): i for i, name in enumerate(names)}
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
     scan = with_order_columns(_csv_reader(spark, multi_line).schema(schema).csv(path, header=True))
-    numbered = with_seq(spark, path, scan)
+    numbered = with_seq(spark, path, scan, whole_files=multi_line)
     kept = [
         F.col(f"_c{i}").alias(names[i])
         for name, i in last.items()
@@ -111,8 +111,9 @@ def read_json_records(spark: SparkSession, path: str, *, layout: str = "auto") -
         raise ValueError(f"unknown layout {layout!r}")
     if layout == "auto":
         layout = "document" if _is_document(spark, path) else "lines"
-    scan = _read_documents(spark, path) if layout == "document" else _read_lines(spark, path)
-    return with_seq(spark, path, scan)
+    document = layout == "document"
+    scan = _read_documents(spark, path) if document else _read_lines(spark, path)
+    return with_seq(spark, path, scan, whole_files=document)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:

@@ -30,20 +30,25 @@ def with_order_columns(scan: DataFrame) -> DataFrame:
     )
 
 
-def _first_blocks(spark: SparkSession, path) -> list[tuple[str, int]]:
-    """(file, running megabyte of its start), from the listing only."""
-    listing = (
+def _listing(spark: SparkSession, path) -> list[tuple[str, int]]:
+    """(file, size) in path order; file names and sizes only, never content."""
+    files = (
         spark.read.format("binaryFile")
         .load(path)
         .select("_metadata.file_path", "_metadata.file_size")
-        .collect()  # file names, never file content
+        .collect()
     )
+    return sorted((f["file_path"], f["file_size"]) for f in files)
+
+
+def _first_blocks(files: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """(file, running megabyte of its start)."""
     starts, block = [], 0
-    for row in sorted(listing, key=lambda r: r["file_path"]):
-        starts.append((row["file_path"], block))
-        block += (row["file_size"] >> BLOCK_BITS) + 1
+    for name, size in files:
+        starts.append((name, block))
+        block += (size >> BLOCK_BITS) + 1
     if block > MAX_BLOCK:
-        raise ValueError(f"{path}: more than {MAX_BLOCK} MB of input in one read")
+        raise ValueError(f"more than {MAX_BLOCK} MB of input in one read")
     return starts
 
 
@@ -51,11 +56,17 @@ def _pack(block: Column) -> Column:
     return F.shiftleft(block.cast("bigint"), PLACE_BITS) + F.col("_place")
 
 
-def with_seq(spark: SparkSession, path, scan: DataFrame) -> DataFrame:
-    """Turn the order columns into ``seq``; ``_file`` stays as ``source``."""
-    if _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")) < 1 << BLOCK_BITS:
+def with_seq(spark: SparkSession, path, scan: DataFrame, *, whole_files: bool = False) -> DataFrame:
+    """Turn the order columns into ``seq``; ``_file`` stays as ``source``.
+
+    ``whole_files`` says Spark reads each file in one task: the records of large files
+    are then spread, so that what follows is not done by those few tasks.
+    """
+    task_bytes = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    if task_bytes < 1 << BLOCK_BITS:
         raise ValueError("spark.sql.files.maxPartitionBytes must be 1 MB or more")
-    starts = _first_blocks(spark, path)
+    files = _listing(spark, path)
+    starts = _first_blocks(files)
     if len(starts) <= 1:
         numbered = scan.withColumn("seq", _pack(F.col("_block")))
     else:
@@ -65,6 +76,8 @@ def with_seq(spark: SparkSession, path, scan: DataFrame) -> DataFrame:
         numbered = scan.join(table, "_file").withColumn(
             "seq", _pack(F.col("_first") + F.col("_block"))
         )
+    if whole_files and max((size for _, size in files), default=0) > task_bytes:
+        numbered = numbered.repartition(-(-sum(size for _, size in files) // task_bytes), "seq")
     others = [c for c in scan.columns if c not in ORDER_COLUMNS]
     return numbered.select("seq", F.col("_file").alias("source"), *[F.col(f"`{c}`") for c in others])
 

@@ -130,6 +130,22 @@ def test_order_over_files_and_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", default)
 
 
+def test_large_unsplittable_file_is_spread(spark, tmp_path):
+    body = "user,assistant\n" + "".join(f'q{i},"{"y" * 300}\n"\n' for i in range(9000))
+    document = "[" + ",\n".join(json.dumps({"user": f"q{i}", "assistant": "y" * 300}) for i in range(9000)) + "]"
+    paths = [put(tmp_path, "a.csv", body), put(tmp_path, "a.json", document)]
+    default = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+        for path in paths:
+            records = read_records(spark, path)
+            assert records.rdd.getNumPartitions() > 1
+            got = normalize_conversations(records).orderBy("seq").collect()
+            assert [r["messages"][0]["content"] for r in got] == [f"q{i}" for i in range(9000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", default)
+
+
 def lines(folder):
     texts = [p.read_text(encoding="utf-8") for p in sorted(folder.glob("part-*"))]
     return [json.loads(x) for t in texts for x in t.split("\n") if x]
