@@ -47,12 +47,16 @@ def read_csv_records(spark: SparkSession, path: str, *, multi_line: bool = True)
 def is_json_value(text: Column) -> Column:
     """Is the text exactly one JSON value?
 
-    Spark's parsers stop after the first value, so the text is also tried inside a
-    list and inside an object: whatever follows the value breaks one of the two.
+    Spark's parser stops after the first value, so the text is also tried inside a list
+    and inside an object: whatever follows the value breaks one of the two.
     """
-    in_list = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")
-    in_object = F.try_parse_json(F.concat(F.lit('{"value":'), text, F.lit("}")))
-    return (F.coalesce(F.size(in_list), F.lit(0)) == 1) & in_object.isNotNull()
+    strict = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    in_list = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", strict)
+    in_object = F.from_json(
+        F.concat(F.lit('{"value":'), text, F.lit("}")), "struct<value:string>", strict
+    )
+    one = F.coalesce(F.size(in_list), F.lit(0)) == 1
+    return one & (in_object["value"].isNotNull() | (strip(text) == "null"))
 
 
 def _is_document(spark: SparkSession, path: str) -> bool:
@@ -82,20 +86,26 @@ def _read_lines(spark: SparkSession, path: str) -> DataFrame:
 def _read_documents(spark: SparkSession, path: str) -> DataFrame:
     whole = with_order_columns(spark.read.text(path, wholetext=True)).filter(~is_blank("value"))
     text = strip(F.col("value"))
-    variant = F.try_parse_json(text)
-    items = F.from_json(text, "array<string>")
-    kinds = F.try_variant_get(variant, "$", "array<variant>")
-    elements = F.transform(
-        items,
-        # Only objects are records; other elements stay as rows without usable text.
-        lambda item, i: F.when(F.schema_of_variant(F.get(kinds, i)).startswith("OBJECT"), item),
+    items = F.when(text.startswith("["), F.from_json(text, "array<string>")).otherwise(
+        F.array(text)
+    )
+    kinds = F.when(text.startswith("["), F.from_json(text, "array<variant>")).otherwise(
+        F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<variant>")
     )
-    found = F.when(text.startswith("["), elements).otherwise(F.array(text))
-    checked = F.when(is_json_value(text), found).otherwise(
+    checked = F.when(is_json_value(text), items).otherwise(
         F.raise_error(F.concat(F.col("_file"), F.lit(" is not valid JSON"))).cast("array<string>")
     )
-    return whole.select("_file", "_block", F.posexplode(checked).alias("_place", "raw")).withColumn(
-        "_place", F.col("_place").cast("bigint")
+    parsed = whole.select("_file", "_block", checked.alias("_items"), kinds.alias("_kinds"))
+    elements = parsed.select(
+        "_file", "_block", F.posexplode(F.arrays_zip("_items", "_kinds")).alias("_place", "_e")
+    )
+    # Only objects are records; other elements stay as rows without usable text.
+    is_object = F.schema_of_variant(F.col("_e._kinds")).startswith("OBJECT")
+    return elements.select(
+        "_file",
+        "_block",
+        F.col("_place").cast("bigint").alias("_place"),
+        F.when(is_object, F.col("_e._items")).alias("raw"),
     )
 
 
