@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from chatprep.llm import mixing, sharding
+from chatprep.llm import decontamination, mixing, quality_rules, sharding
 
 QUERIES = {
     "op4_sharding": sharding.op4_sharding,
     "op7_mixing": mixing.op7_mixing,
+    "op8_quality_rules": quality_rules.op8_quality_rules,
+    "op9_decontamination": decontamination.op9_decontamination,
 }
 
 ORACLE = {
     "op4_sharding": sharding.ORACLE,
     "op7_mixing": mixing.ORACLE,
+    "op8_quality_rules": quality_rules.ORACLE,
+    "op9_decontamination": decontamination.ORACLE,
 }
