@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from chatprep.llm import decontamination, mixing, quality_rules, sharding
+from chatprep.llm import decontamination, jaccard_join, mixing, quality_rules, sharding
 
 QUERIES = {
+    "op1_jaccard_join": jaccard_join.op1_jaccard_join,
     "op4_sharding": sharding.op4_sharding,
     "op7_mixing": mixing.op7_mixing,
     "op8_quality_rules": quality_rules.op8_quality_rules,
@@ -12,6 +13,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_jaccard_join": jaccard_join.ORACLE,
     "op4_sharding": sharding.ORACLE,
     "op7_mixing": mixing.ORACLE,
     "op8_quality_rules": quality_rules.ORACLE,
