@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from chatprep.llm import decontamination, jaccard_join, mixing, quality_rules, sharding
+from chatprep.llm import decontamination, jaccard_join, language_id, mixing, quality_rules, sharding
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
     "op4_sharding": sharding.op4_sharding,
+    "op5_language_id": language_id.op5_language_id,
     "op7_mixing": mixing.op7_mixing,
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_decontamination": decontamination.op9_decontamination,
