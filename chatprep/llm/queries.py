@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from chatprep.llm import decontamination, jaccard_join, language_id, mixing, quality_rules, sharding
+from chatprep.llm import decontamination, jaccard_join, language_id, mixing, quality_rules, sharding, substring_dedup
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
+    "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op4_sharding": sharding.op4_sharding,
     "op5_language_id": language_id.op5_language_id,
     "op7_mixing": mixing.op7_mixing,
@@ -15,6 +16,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_jaccard_join": jaccard_join.ORACLE,
+    "op2_substring_dedup": substring_dedup.ORACLE,
     "op4_sharding": sharding.ORACLE,
     "op7_mixing": mixing.ORACLE,
     "op8_quality_rules": quality_rules.ORACLE,
