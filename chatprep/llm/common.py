@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatprep import staging
+
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -14,6 +16,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Store the table in the shared folder and go on from there.
+
+    The shuffle files behind a stored table are of no more use, so Spark is told to remove
+    them as soon as it is written.
+    """
+    spark = df.sparkSession
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "true")
+    try:
+        return staging.stage(df, name)
+    finally:
+        spark.conf.set(setting, before) if before is not None else spark.conf.unset(setting)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z and nothing else; null becomes the empty text."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())

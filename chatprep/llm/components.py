@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatprep.staging import stage
+from chatprep.llm.common import stage
+
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -22,8 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatprep.llm.common import fresh, group_key, lower_ascii, read_table, split_words
-from chatprep.staging import stage
+from chatprep.llm.common import fresh, group_key, lower_ascii, read_table, split_words, stage
 
 # Word characters are digits, letters a-z and everything beyond ASCII.
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"

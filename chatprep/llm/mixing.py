@@ -24,8 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chatprep.llm.common import WORD, fresh, group_key, read_table, seeded_hash
-from chatprep.staging import stage
+from chatprep.llm.common import WORD, fresh, group_key, read_table, seeded_hash, stage
 
 SLICE_BITS = 12
 HASH_BITS = 52

@@ -23,8 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatprep.llm.common import SPACE, UPPER, fresh, group_key, read_table, split_words
-from chatprep.staging import stage
+from chatprep.llm.common import SPACE, UPPER, fresh, group_key, read_table, split_words, stage
 
 SHINGLE = 5
 MIN_WORDS = 10
