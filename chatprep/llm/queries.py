@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from chatprep.llm import decontamination, jaccard_join, language_id, mixing, quality_rules, sharding, substring_dedup
+from chatprep.llm import decontamination, jaccard_join, language_id, mixing, pii, quality_rules, secret_scan, sharding, substring_dedup
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op4_sharding": sharding.op4_sharding,
     "op5_language_id": language_id.op5_language_id,
+    "op6_secret_scan": secret_scan.op6_secret_scan,
     "op7_mixing": mixing.op7_mixing,
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_decontamination": decontamination.op9_decontamination,
+    "op10_pii": pii.op10_pii,
 }
 
 ORACLE = {
