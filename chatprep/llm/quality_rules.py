@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatprep.llm.common import SPACE, UPPER, fresh, group_key, read_table, split_words, stage
+from chatprep.llm.common import SPACE, SYMBOLS, UPPER, fresh, group_key, read_table, split_words, stage
 
 SHINGLE = 5
 MIN_WORDS = 10
@@ -31,7 +31,6 @@ REPEAT_PERCENT = 20
 LINE_SHARE = 0.02
 LINE_DOCS = 20
 KEPT_PERCENT = 30
-SYMBOLS = "#*$%&|<>"
 DIGITS = "0123456789"
 
 
@@ -79,7 +78,7 @@ def document_counts(docs: DataFrame) -> DataFrame:
         "w",
         F.size("w").cast("bigint").alias("n_words"),
         F.aggregate("w", F.lit(0).cast("bigint"), lambda a, s: a + F.length(s)).alias("word_chars"),
-        F.length(F.regexp_replace("text", "[^#*$%&|<>]+", "")).cast("bigint").alias("n_symbols"),
+        F.length(F.regexp_replace("text", f"[^{SYMBOLS}]+", "")).cast("bigint").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         F.transform(
             "lines", lambda s: F.struct(F.xxhash64(normal_line(s)).alias("line"), F.size(split_words(s)).alias("words"))

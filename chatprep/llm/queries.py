@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from chatprep.llm import decontamination, jaccard_join, language_id, mixing, pii, quality_rules, secret_scan, sharding, substring_dedup
+from chatprep.llm import decontamination, jaccard_join, language_id, mixing, pii, quality_classifier, quality_rules, secret_scan, sharding, substring_dedup
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
+    "op3_quality_classifier": quality_classifier.op3_quality_classifier,
     "op4_sharding": sharding.op4_sharding,
     "op5_language_id": language_id.op5_language_id,
     "op6_secret_scan": secret_scan.op6_secret_scan,
