@@ -43,11 +43,10 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chatprep.llm.common import fresh, read_table
+from chatprep.llm.common import fresh, read_table, stage
 from chatprep.llm.components import connected_components
-from chatprep.staging import stage
 
-SHELL = 0.6  # the smallest size of a shell over its largest
+SHELL = 0.1  # smallest over largest size of a shell is the similarity less this
 SALT = 512  # members of a cell that one task measures
 BLOCK = 512  # documents held while a window streams past
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -78,7 +77,7 @@ def _shells(size: int, num: int, den: int) -> list[tuple[int, int]]:
     """(number, largest size) of the shells that hold sets of this size."""
     low, number, found = 1, 0, []
     while low * num <= size * den:  # a set of low n-grams may still link with this one
-        high = max(low, int(low / SHELL))
+        high = max(low, int(low / (num / den - SHELL)))
         if size <= high:
             found.append((number, high))
         low, number = high + 1, number + 1
@@ -117,11 +116,10 @@ def _slices(n: int, num: int, den: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(ids), SIZE, np.int8)),
-                        pa.array(np.arange(len(ids), dtype=np.int64) + (ids[0] or 0)),
                         pa.array(sizes, pa.int64()),
                         pa.array(ids, pa.int64()),
                     ],
-                    names=["kind", "slot", "slice", "doc"],
+                    names=["kind", "slice", "doc"],
                 )
                 if not hashes:
                     continue
@@ -130,10 +128,9 @@ def _slices(n: int, num: int, den: int):
                 key, doc = key[order], doc[order]
                 first = np.concatenate(([True], key[1:] != key[:-1]))
                 again = ~first | np.concatenate((~first[1:], [False]))
-                yield _batch(kind=np.full(first.sum(), SLICE, np.int8), slot=key[first], slice=key[first], doc=doc[first])
+                yield _batch(kind=np.full(first.sum(), SLICE, np.int8), slice=key[first], doc=doc[first])
                 if again.any():  # repeats inside the batch go anywhere but to the task of their slice
-                    spread = _mix(doc[again].view(np.uint64)).view(np.int64)
-                    yield _batch(kind=np.full(again.sum(), LOCAL, np.int8), slot=spread, slice=key[again], doc=doc[again])
+                    yield _batch(kind=np.full(again.sum(), LOCAL, np.int8), slice=key[again], doc=doc[again])
 
     return run
 
@@ -142,9 +139,9 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by (kind, slice, doc): members of slices that occur twice, and all other kinds."""
     last = None  # the last row of kind SLICE, and whether it has been given out
     for batch in batches:
-        kind, key, doc = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2, 3))
+        kind, key, doc = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
         mine = kind == SLICE
-        rest = batch.filter(pa.array(~mine)).select([0, 2, 3])
+        rest = batch.filter(pa.array(~mine))
         if rest.num_rows:
             yield rest
         key, doc = key[mine].astype(np.int64), doc[mine].astype(np.int64)
@@ -162,17 +159,6 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(kind=np.full(out.sum(), SLICE, np.int8), slice=key[out], doc=doc[out])
 
 
-def _sets(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                ids = batch.column(0).slice(at, 256)
-                sets = [ngram_set(t.as_py(), n).tobytes() for t in batch.column(1).slice(at, 256)]
-                yield pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.binary())], names=["doc", "grams"])
-
-    return run
-
-
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
@@ -189,24 +175,28 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[spots] == a).sum())
 
 
-DISTANCE = "pivot bigint, doc bigint, size bigint, pivot_size bigint, gap bigint, linked boolean, inner boolean, grams binary"
+DISTANCE = "pivot bigint, doc bigint, size bigint, gap bigint, linked boolean, inner boolean, grams binary"
+
 
+def _measure(n: int, num: int, den: int):
+    """Rows (pivot, salt, role, doc, crowded, text), pivots first in each (pivot, salt), to distances.
 
-def _measure(num: int, den: int):
-    """Rows (pivot, salt, role, doc, grams), pivots first in each (pivot, salt), to distances."""
+    Sets are given out only for members of regions with more than two members: others have
+    nobody but the pivot to link with there.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in DISTANCE.split(", ")]
-        types = [pa.int64()] * 5 + [pa.bool_(), pa.bool_(), pa.binary()]
+        types = [pa.int64()] * 4 + [pa.bool_(), pa.bool_(), pa.binary()]
         rows, weight, here, centres = [], 0, None, []
 
         def flush():
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
-        for pivot, salt, role, doc, grams in _rows(batches):
+        for pivot, salt, role, doc, crowded, text in _rows(batches):
             if (pivot, salt) != here:
                 here, centres = (pivot, salt), []
-            mine = np.frombuffer(grams, np.uint64)
+            mine = ngram_set(text, n)
             if role == 0:
                 centres.append(mine)
                 continue
@@ -218,11 +208,12 @@ def _measure(num: int, den: int):
                 inner = 2 * common >= union
                 # Members of the ball that may link over its rim appear on both sides.
                 rim = inner and den * (common - (union + 1) // 2) <= (den - num) * union
-                moved = np.setxor1d(mine, centre, assume_unique=True).tobytes() if inner else b""
                 for ball in [True] * inner + [False] * (rim or not inner):
-                    kept = moved if ball else grams
-                    rows.append((pivot, doc, len(mine), len(centre), gap, linked, ball, kept))
-                    weight += len(kept)
+                    kept = None
+                    if crowded:
+                        kept = (np.setxor1d(mine, centre, assume_unique=True) if ball else mine).tobytes()
+                        weight += len(kept)
+                    rows.append((pivot, doc, len(mine), gap, linked, ball, kept))
             if len(rows) >= 2048 or weight > 4_000_000:
                 if rows:
                     yield flush()
@@ -290,46 +281,50 @@ def _links(links: list[tuple]) -> pa.RecordBatch:
 
 def _regions(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """(doc, size) of every row, and (slice, doc) of every slice that several documents share."""
-    rows = docs.mapInArrow(_slices(n, num, den), "kind tinyint, slot bigint, slice bigint, doc bigint")
-    sorted_rows = rows.repartition(F.col("slot")).sortWithinPartitions("kind", "slice", "doc")
+    rows = docs.mapInArrow(_slices(n, num, den), "kind tinyint, slice bigint, doc bigint")
+    target = F.when(F.col("kind") == SLICE, F.col("slice")).otherwise(F.xxhash64("doc"))
+    sorted_rows = rows.repartition(target).sortWithinPartitions("kind", "slice", "doc")
     found = stage(sorted_rows.mapInArrow(_repeated, "kind tinyint, slice bigint, doc bigint"), "jaccard-regions")
     sizes = found.filter(F.col("kind") == SIZE).select("doc", F.col("slice").alias("size"))
     return sizes, found.filter(F.col("kind") != SIZE).select("slice", "doc").distinct()
 
 
 def _cells(members: DataFrame) -> DataFrame:
-    """(pivot, doc): every member of a region with the pivot of the region."""
+    """(pivot, doc, crowded): every member of a region with the pivot of the region.
+
+    ``crowded`` tells whether a region of both has a third member.
+    """
     members = stage(members, "jaccard-members")
     shared = members.groupBy("doc").agg(F.count(F.lit(1)).alias("shared"))
     weighed = members.join(shared, "doc")
-    pivots = weighed.groupBy("slice").agg(F.max_by("doc", F.struct("shared", -F.col("doc"))).alias("pivot"))
+    pivots = weighed.groupBy("slice").agg(
+        F.max_by("doc", F.struct("shared", -F.col("doc"))).alias("pivot"), (F.count(F.lit(1)) > 2).alias("crowded")
+    )
     pairs = members.join(pivots, "slice").filter(F.col("doc") != F.col("pivot"))
-    return stage(pairs.select("pivot", "doc").distinct(), "jaccard-cells")
+    return stage(pairs.groupBy("pivot", "doc").agg(F.max("crowded").alias("crowded")), "jaccard-cells")
 
 
 def _distances(docs: DataFrame, cells: DataFrame, n: int, num: int, den: int) -> DataFrame:
     pivots = cells.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / SALT).cast("int").alias("salts"))
-    ids = cells.select("doc").union(cells.select("pivot")).distinct()
-    sets = stage(
-        docs.join(ids, "doc").select("doc", "text").mapInArrow(_sets(n), "doc bigint, grams binary"), "jaccard-sets"
-    )
-    own = pivots.select("pivot", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"), F.col("pivot").alias("doc"))
-    others = cells.join(pivots, "pivot").select("pivot", F.pmod(F.xxhash64("doc"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"), "doc")
+    salts = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    own = pivots.select("pivot", salts, F.lit(0).alias("role"), F.col("pivot").alias("doc"), F.lit(False).alias("crowded"))
+    salt = F.pmod(F.xxhash64("doc"), F.col("salts")).cast("int").alias("salt")
+    others = cells.join(pivots, "pivot").select("pivot", salt, F.lit(1).alias("role"), "doc", "crowded")
     laid = (
         own.unionByName(others)
-        .join(sets, "doc")
-        .select("pivot", "salt", "role", "doc", "grams")
+        .join(docs, "doc")
+        .select("pivot", "salt", "role", "doc", "crowded", "text")
         .repartition("pivot", "salt")
         .sortWithinPartitions("pivot", "salt", "role")
     )
-    return stage(laid.mapInArrow(_measure(num, den), DISTANCE), "jaccard-distances")
+    return stage(laid.mapInArrow(_measure(n, num, den), DISTANCE), "jaccard-distances")
 
 
 def _inner_links(distances: DataFrame, num: int, den: int) -> DataFrame:
     """Links between members of a cell of which at least one does not link to its pivot."""
     cell = F.xxhash64("pivot", "inner")
-    apart = F.col("doc").isNotNull() & ~F.col("linked")
-    cells = distances.withColumn("cell", cell)
+    apart = ~F.col("linked")
+    cells = distances.filter("grams IS NOT NULL").withColumn("cell", cell)
     # Blocks of BLOCK documents in order of the distance; ranks run per (cell, distance), never over a whole cell.
     steps = cells.filter(apart).groupBy("cell", "gap").agg(F.count(F.lit(1)).alias("n"))
     running = Window.partitionBy("cell").orderBy("gap").rowsBetween(Window.unboundedPreceding, 0)
@@ -365,13 +360,16 @@ def jaccard_classes(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFr
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows of ``docs`` without all but one of each class of near copies.
 
-    Five words and a similarity of 0.8.  The smallest id of a class stays; rows that repeat
-    this id stay as one.  Rows with a null id stay.
+    Five words and a similarity of 0.8.  The smallest id of a class stays; of rows that
+    repeat an id and its text one stays.  Rows with a null id stay.
     """
     _, classes = jaccard_classes(docs.select(F.col("doc_id").alias("doc"), "text"), 5, 8, 10)
-    node = fresh(docs, "near_node")
+    node, nth = fresh(docs, "near_node"), fresh(docs, "near_nth")
     gone = classes.filter(F.col("node") != F.col("component")).select(F.col("node").alias(node))
-    return docs.join(gone, docs["doc_id"] == gone[node], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    left = docs.filter("doc_id IS NOT NULL").join(gone, docs["doc_id"] == gone[node], "left_anti")
+    first = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id"))
+    left = left.withColumn(nth, first).filter(F.col(nth) == 1).drop(nth)
+    return left.unionByName(docs.filter("doc_id IS NULL"))
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
