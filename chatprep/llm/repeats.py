@@ -17,22 +17,17 @@ from pyspark.sql import functions as F
 KEYED, LOCAL = 0, 1
 
 
-def _arrays(columns: list[np.ndarray], nulls: np.ndarray | None) -> list[pa.Array]:
-    out = [pa.array(c) for c in columns[:-2]]
-    return out + [pa.array(columns[-2], mask=nulls), pa.array(columns[-1])]
-
-
-def keyed_batches(key: np.ndarray, check: np.ndarray, doc: np.ndarray, null: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
+def keyed_batches(key: np.ndarray, check: np.ndarray, doc: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows (kind, key, check, doc, place) of one batch, ready for ``repeated``."""
     order = np.lexsort((place, doc, check, key))
-    key, check, doc, null, place = (c[order] for c in (key, check, doc, null, place))
+    key, check, doc, place = (c[order] for c in (key, check, doc, place))
     first = np.concatenate(([True], (key[1:] != key[:-1]) | (check[1:] != check[:-1])))
     again = ~first | np.concatenate((~first[1:], [False]))
     names = ["kind", "key", "check", "doc", "place"]
     for kind, chosen in ((KEYED, first), (LOCAL, again)):
         if chosen.any():
             columns = [np.full(chosen.sum(), kind, np.int8), key[chosen], check[chosen], doc[chosen], place[chosen]]
-            yield pa.RecordBatch.from_arrays(_arrays(columns, null[chosen]), names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,8 +18,8 @@ Windows are judged on the input.  Word sequences are compared by 64-bit hashes o
 words (whole windows of large groups by 128 bits).
 
 Ids are integers.  Null and empty texts have no words.  Repeated rows repeat each other's
-windows.  Rows with a null id, or with an id that other rows have too, are told apart by
-their texts.  An empty table gives an empty result.
+windows.  Rows without an id go by the hash of their text, and rows that share an id are
+told apart by it.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -85,16 +85,15 @@ def _anchor_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH):
-                keys, docs, nulls, places = [], [], [], []
+                keys, docs, places = [], [], []
                 for i, text in zip(whole.column(0).slice(at, BATCH).to_pylist(), whole.column(1).slice(at, BATCH)):
                     where, gram, _ = anchors(_word_hashes(_words(text.as_py())), length)
                     keys.append(gram.view(np.int64))
-                    docs.append(np.full(len(where), i or 0, np.int64))
-                    nulls.append(np.full(len(where), i is None))
+                    docs.append(np.full(len(where), i, np.int64))
                     places.append(where.astype(np.int32))
                 key = np.concatenate(keys)
                 if len(key):
-                    yield from keyed_batches(key, np.zeros_like(key), *map(np.concatenate, (docs, nulls, places)))
+                    yield from keyed_batches(key, np.zeros_like(key), *map(np.concatenate, (docs, places)))
 
     return run
 
@@ -137,15 +136,15 @@ def _windows(words: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(views), run, place
 
 
-def _spans(doc, null, digest, start) -> pa.RecordBatch:
+def _spans(doc, digest, start) -> pa.RecordBatch:
     """Sorted distinct window starts joined to runs (doc, digest, first, last)."""
-    order = np.lexsort((start, digest, doc, null))
-    doc, null, digest, start = doc[order], null[order], digest[order], start[order]
-    cut = (doc[1:] != doc[:-1]) | (null[1:] != null[:-1]) | (digest[1:] != digest[:-1]) | (start[1:] > start[:-1] + 1)
+    order = np.lexsort((start, digest, doc))
+    doc, digest, start = doc[order], digest[order], start[order]
+    cut = (doc[1:] != doc[:-1]) | (digest[1:] != digest[:-1]) | (start[1:] > start[:-1] + 1)
     head = np.concatenate(([True], cut))
     tail = np.concatenate((cut, [True]))
     return pa.RecordBatch.from_arrays(
-        [pa.array(doc[head], mask=null[head]), pa.array(digest[head]), pa.array(start[head]), pa.array(start[tail])],
+        [pa.array(doc[head]), pa.array(digest[head]), pa.array(start[head]), pa.array(start[tail])],
         names=["doc", "digest", "first", "last"],
     )
 
@@ -163,12 +162,11 @@ def _subtrees(length: int):
         deep = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
         if not len(deep):
             return None
-        doc = np.array([d or 0 for _, d, *_ in held], np.int64)
-        null = np.array([d is None for _, d, *_ in held])
+        doc = np.array([d for _, d, *_ in held], np.int64)
         digest = np.array([g for _, _, g, *_ in held], np.int64)
         first = np.array([f for *_, f, _ in held], np.int64)
         at = run[deep]
-        return _spans(doc[at], null[at], digest[at], first[at] + place[deep])
+        return _spans(doc[at], digest[at], first[at] + place[deep])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -199,21 +197,24 @@ def _long_prefixes(length: int):
                     rows.append(np.full(len(keys[-1]), row, np.int64))
                     places.append((first + np.arange(len(keys[-1]))).astype(np.int32))
                 row = np.concatenate(rows)
-                yield from keyed_batches(*map(np.concatenate, (keys, checks)), row, np.zeros(len(row), bool), np.concatenate(places))
+                yield from keyed_batches(*map(np.concatenate, (keys, checks)), row, np.concatenate(places))
 
     return run
 
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc, digest, spans): for (doc, text) rows with repeats, runs of starts of repeated windows."""
-    docs = docs.select("doc", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("digest"))
+    """(doc, digest, spans): for (doc, digest, text) rows with repeats, runs of starts of repeated windows.
+
+    ``doc`` is never null; rows with the same (doc, digest) are copies.
+    """
+    docs = docs.select("doc", "digest", F.col("text").cast("binary").alias("text"))
     found = stage(repeated(docs.select("doc", "text"), _anchor_rows(length)), "repeated-prefixes")
     large = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > GROUP).select("key", F.lit(True).alias("large"))
     marked = found.join(large, "key", "left")
     places = marked.groupBy(F.col("doc").alias("id")).agg(
         F.collect_set("place").alias("places"), F.collect_set(F.when(F.col("large"), F.col("place"))).alias("large")
     )
-    chosen = docs.join(places, docs["doc"].eqNullSafe(places["id"])).select("doc", "digest", "text", "places", "large")
+    chosen = docs.join(places, docs["doc"] == places["id"]).select("doc", "digest", "text", "places", "large")
     suffixes = stage(
         chosen.mapInArrow(_suffixes(length), "anchor bigint, large boolean, doc bigint, digest bigint, first int, words binary"),
         "suffixes",
@@ -258,10 +259,11 @@ def _remove(length: int):
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc, n_words, n_removed, kept) of every (doc, text) row; kept words are joined by blanks."""
-    spans = stage(repeated_windows(docs, length), "repeated-windows").withColumnRenamed("doc", "id").withColumnRenamed("digest", "mark")
-    rows = docs.select("doc", "text", F.xxhash64("text").alias("digest"))
-    joined = rows.join(spans, rows["doc"].eqNullSafe(spans["id"]) & (rows["digest"] == spans["mark"]), "left")
-    return joined.select("doc", F.col("text").cast("binary"), "spans").mapInArrow(
+    digest = F.xxhash64("text")
+    rows = docs.select(F.col("doc").alias("id"), F.coalesce("doc", digest).alias("doc"), digest.alias("digest"), "text")
+    spans = stage(repeated_windows(rows, length), "repeated-windows")
+    joined = rows.join(spans, ["doc", "digest"], "left")
+    return joined.select("id", F.col("text").cast("binary"), "spans").mapInArrow(
         _remove(length), "doc bigint, n_words bigint, n_removed bigint, kept string"
     )
 
