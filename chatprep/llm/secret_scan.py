@@ -6,8 +6,8 @@ states are merged while their outgoing frequencies are statistically compatible
 with Hoeffding bounds); the result is a small probabilistic automaton of the format.
 Every other long token of every text is a candidate and is scored by its log likelihood
 per character under the best automaton, against a bigram model of ordinary long tokens.
-A candidate that beats it by more than nearly all labelled credentials do is a span of
-kind ``format``.
+A candidate that beats it by at least half of what the median labelled credential does is
+a span of kind ``format``.
 
 One pass reads the texts and stores spans and candidates; training takes
 ``SAMPLE`` values of a kind and ``ORDINARY`` ordinary tokens at most, chosen by hash.
@@ -141,14 +141,17 @@ class Automaton:
 
 
 class Bigrams:
-    """Ordinary long tokens: each character given the one before."""
+    """Ordinary long tokens: each character given the one before.
+
+    A pair seen once counts as unseen: it may come from a credential among the tokens.
+    """
 
     def __init__(self, tokens: list[str]):
-        self.pairs, self.heads = Counter(), Counter()
-        for t in tokens:
-            for a, b in zip("^" + t, t + "$"):
-                self.pairs[a, b] += 1
-                self.heads[a] += 1
+        seen = Counter(pair for t in tokens for pair in zip("^" + t[:LONGEST], t[:LONGEST] + "$"))
+        self.pairs = Counter({pair: n - 1 for pair, n in seen.items()})
+        self.heads = Counter()
+        for (a, _), n in self.pairs.items():
+            self.heads[a] += n
 
     def per_character(self, s: str) -> float:
         s = s[:LONGEST]
@@ -162,7 +165,7 @@ class Formats:
         self.automata = [Automaton(v) for _, v in sorted(credentials.items()) if v]
         self.ordinary = Bigrams(ordinary)
         reached = sorted(self.likelihood(s) for v in credentials.values() for s in v)
-        self.least = max(MARGIN, reached[len(reached) // 20]) if reached else math.inf
+        self.least = max(MARGIN, reached[len(reached) // 2] / 2) if reached else math.inf
 
     def likelihood(self, token: str) -> float:
         """By how much the best format explains a token better than ordinary writing, per character."""
@@ -209,7 +212,9 @@ def learn_formats(scanned: DataFrame, sample: int = SAMPLE, ordinary: int = ORDI
     values = scanned.select(F.explode("labelled").alias("x")).select("x.kind", "x.value").distinct()
     nth = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value"))
     chosen = values.withColumn("nth", nth).filter(F.col("nth") <= sample).select("kind", "value").collect()
-    tokens = scanned.select(F.explode("others.token").alias("token")).distinct().orderBy(F.xxhash64("token"), "token").limit(ordinary)
+    # Occurrences, not distinct tokens: what is written often is ordinary.
+    tokens = scanned.select("doc_id", F.explode("others").alias("x")).select("x.token", F.xxhash64("doc_id", "x.start").alias("draw"))
+    tokens = tokens.orderBy("draw", "token").limit(ordinary)
     credentials = defaultdict(list)
     for row in sorted(chosen):
         credentials[row["kind"]].append(row["value"])
