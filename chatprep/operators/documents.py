@@ -2,31 +2,15 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from chatprep.functions.facts import category, fact_feature, fact_name, fact_url
-from chatprep.operators.groups import (
-    CELL_CHARS,
-    PIECE_ROWS,
-    group_sizes,
-    piece_of,
-    split_by_size,
-)
+from chatprep.operators.groups import in_one_cell
 
 KEY = ["_name"]
 FIELDS = ["title", "categories", "feature", "url", "answer"]
 
 
-class Knowledge(NamedTuple):
-    """``documents``: one row per document; ``text`` is null where it is too long for one
-    row.  ``parts``: the text of those, as ``doc_seq, part, text`` that join in order."""
-
-    documents: DataFrame
-    parts: DataFrame
-
-
 def extract_facts(df: DataFrame, column: str) -> DataFrame:
     """Add ``name``, ``feature`` and ``url`` found in an answer, ``''`` where missing."""
     text = F.col(column)
@@ -45,7 +29,6 @@ def _first_filled(column: str, order: str) -> Column:
 
 
 def _facts(order: str) -> list[Column]:
-    """Group-level fields, combinable: partial results aggregate to the same values."""
     return [
         F.min_by("title", order).alias("title"),
         _first_filled("feature", order).alias("feature"),
@@ -118,74 +101,24 @@ def _questions() -> Column:
     return F.array_join(F.transform(ordered, lambda x: x["user"]), " ")
 
 
-def _whole(rows: DataFrame) -> DataFrame:
+def _named(rows: DataFrame) -> DataFrame:
+    """Rows of one name are collected map-side and meet in the document's row only."""
     grouped = rows.groupBy(*KEY).agg(
         F.min("seq").alias("doc_seq"),
         *_facts("seq"),
         F.array_sort(F.collect_set("category")).alias("categories"),
         _questions().alias("_questions"),
+        F.sum(F.length("user") + 1).alias("_chars"),
     )
-    return _with_text(grouped.select(*_fields(), "_questions"), "_questions")
-
-
-def _split(rows: DataFrame, piece_rows: int) -> Knowledge:
-    """Documents too large for one row: per piece first, then per document."""
-    pieces = (
-        rows.withColumn("_piece", piece_of("seq", piece_rows))
-        .groupBy(*KEY, "_piece")
-        .agg(
-            F.min("seq").alias("_first"),
-            *_facts("seq"),
-            F.collect_set("category").alias("categories"),
-            _questions().alias("_questions"),
-        )
-    )
-    documents = (
-        pieces.drop("_questions")
-        .groupBy(*KEY)
-        .agg(
-            F.min("_first").alias("doc_seq"),
-            *_facts("_first"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("categories")))).alias(
-                "categories"
-            ),
-        )
-        .select(*KEY, *_fields())
-    )
-    # Positions come from (document, piece) numbers alone, without the texts.
-    in_document = Window.partitionBy(*KEY).orderBy("_piece")
-    positions = pieces.select(*KEY, "_piece").select(
-        "*",
-        (F.row_number().over(in_document) - 1).alias("part"),
-        F.lead("_piece").over(in_document).isNull().alias("_last"),
-    )
-    placed = pieces.select(*KEY, "_piece", "_questions").join(positions, [*KEY, "_piece"])
-    # One row per over-limit document: total text / limit of them at most.
-    joined = placed.join(F.broadcast(documents), KEY)
-    text = F.concat(
-        F.when(F.col("part") == 0, F.concat_ws("\n", *_head(), F.lit(""))).otherwise(F.lit(" ")),
-        F.col("_questions"),
-        F.when(F.col("_last"), F.concat(F.lit("\n"), F.col("answer"))).otherwise(F.lit("")),
-    )
-    return Knowledge(
-        documents.select("doc_seq", *FIELDS, F.lit(None).cast("string").alias("text")),
-        joined.select("doc_seq", "part", text.alias("text")),
-    )
+    whole = in_one_cell(F.col("_questions"), F.col("_chars"), F.col("_name")).alias("_questions")
+    return _with_text(grouped.select(*_fields(), whole), "_questions")
 
 
-def build_knowledge(
-    pairs: DataFrame, *, cell_chars: int = CELL_CHARS, piece_rows: int = PIECE_ROWS
-) -> Knowledge:
-    """Group ``seq, user, assistant`` by the name in the answer."""
+def build_documents(pairs: DataFrame) -> DataFrame:
+    """Group ``seq, user, assistant`` by the name in the answer: one row per document.
+
+    Rows without a name are documents of their own and are never grouped.
+    """
     rows = _fact_rows(pairs)
-    named = rows.filter(F.col("_name") != "")
-    weight = F.length("user") + F.length(F.coalesce("category", F.lit(""))) + 32
-    within, beyond = split_by_size(named, KEY, group_sizes(named, KEY, weight), cell_chars)
-    large = _split(beyond, piece_rows)
     unnamed = _unnamed(rows.filter(F.col("_name") == ""))
-    documents = unnamed.unionByName(_whole(within)).unionByName(large.documents)
-    return Knowledge(documents, large.parts)
-
-
-def build_documents(pairs: DataFrame) -> DataFrame:
-    return build_knowledge(pairs).documents
+    return unnamed.unionByName(_named(rows.filter(F.col("_name") != "")))

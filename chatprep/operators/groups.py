@@ -1,52 +1,27 @@
-"""Groups that are too large to be held in one row."""
+"""Groups and keys that hold a large share of all rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Characters one assembled cell may hold.  A cell lives in one task's memory.
-CELL_CHARS = 1 << 26
+# Characters that a cell of the engine can hold: 2 GB, at up to four bytes a character.
+CELL_CHARS = 1 << 29
 
 # A key with more than 1/HOT_SHARE of all rows is spread over several join keys; there
 # are fewer than HOT_SHARE such keys.
 HOT_SHARE = 10_000
 
-# Consecutive order values that share one piece of a split group.
-PIECE_ROWS = 1 << 16
 
-
-def group_sizes(rows: DataFrame, keys: list[str], weight: Column, item: str | None = None):
-    """``_group, _weight``: total weight per 8-byte digest of the keys, summed map-side.
-
-    With ``item``, equal items of a group count once.
-    """
-    group = F.xxhash64(*keys).alias("_group")
-    if item is None:
-        return rows.groupBy(group).agg(F.sum(weight).alias("_weight"))
-    once = rows.groupBy(group, F.xxhash64(item).alias("_item")).agg(F.max(weight).alias("_weight"))
-    return once.groupBy("_group").agg(F.sum("_weight").alias("_weight"))
-
-
-def split_by_size(
-    rows: DataFrame, keys: list[str], sizes: DataFrame, limit: int = CELL_CHARS
-) -> tuple[DataFrame, DataFrame]:
-    """(rows of groups within the limit, rows of larger groups); ``sizes`` as above.
-
-    Only digests of over-limit groups are broadcast: at most ``total weight / limit``
-    of them, 12 MB for 100 TB of text at the default limit.  Two groups with one
-    digest are merely measured together, which can only send them down the path for
-    large groups.
-    """
-    large = F.broadcast(sizes.filter(F.col("_weight") > limit).select("_group"))
-    marked = rows.withColumn("_group", F.xxhash64(*keys))
-    within = marked.join(large, "_group", "left_anti").drop("_group")
-    beyond = marked.join(large, "_group", "left_semi").drop("_group")
-    return within, beyond
-
-
-def piece_of(order: str, rows: int = PIECE_ROWS) -> Column:
-    """Piece number of a row: neighbours in order share a piece of at most ``rows`` rows."""
-    return F.floor(F.col(order) / F.lit(rows)).cast("bigint")
+def in_one_cell(value: Column, chars: Column, key: Column) -> Column:
+    """The assembled value; the job fails with the key and size where no cell can hold it."""
+    told = F.concat(
+        F.lit("group "),
+        F.coalesce(key.cast("string"), F.lit("null")),
+        F.lit(" has "),
+        chars.cast("string"),
+        F.lit(" characters, more than a cell can hold"),
+    )
+    return F.when(F.coalesce(chars, F.lit(0)) > CELL_CHARS, F.raise_error(told)).otherwise(value)
 
 
 def hot_keys(counts: DataFrame, key: str, count: str, share: int = HOT_SHARE) -> DataFrame:

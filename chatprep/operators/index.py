@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from chatprep.functions.terms import (
     GRAM_LENGTHS,
@@ -29,7 +29,7 @@ class Index(NamedTuple):
     term_stats: DataFrame
 
 
-def _coded_terms(df: DataFrame, keys: list[str], text: str, after: Column | None) -> DataFrame:
+def _coded_terms(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     """One ``<keys>, _term`` row per word and n-gram, the term as code points.
 
     Every row of the last step is one slice of the text or one of its words, so no
@@ -39,13 +39,12 @@ def _coded_terms(df: DataFrame, keys: list[str], text: str, after: Column | None
     texts = df.select(
         *keys,
         fold(F.col(text)).alias("_text"),
-        (F.lit("") if after is None else after).alias("_after"),
     ).withColumn("_own", drop_whitespace(F.col("_text")))
     coded = texts.select(
         *keys,
         words("_text").alias("_words"),
         F.length("_own").alias("_length"),
-        code_points(F.concat("_own", "_after")).alias("_points"),
+        code_points(F.col("_own")).alias("_points"),
     )
     # Blank texts keep one empty piece: a filter on the length would be moved down to the
     # scan and clean every text there a second time.
@@ -86,7 +85,7 @@ def tokenize_terms(df: DataFrame, key: str | list[str], text: str) -> DataFrame:
     N-grams run over the text without white space.
     """
     keys = _keys(key)
-    coded = _coded_terms(df, keys, text, None)
+    coded = _coded_terms(df, keys, text)
     return coded.select(*keys, from_code_points("_term").alias("term"))
 
 
@@ -99,29 +98,7 @@ def _counted(coded: DataFrame, keys: list[str]) -> DataFrame:
 def term_counts(df: DataFrame, key: str | list[str], text: str) -> DataFrame:
     """``<key>, term, tf``: the bag of terms of every row's text."""
     keys = _keys(key)
-    return _counted(_coded_terms(df, keys, text, None), keys)
-
-
-def part_term_counts(parts: DataFrame) -> DataFrame:
-    """``doc_seq, term, tf`` of texts that span several rows (``doc_seq, part, text``).
-
-    Every part is at least one character without white space, so the heads of the
-    next two parts hold all that an n-gram can reach into.
-    """
-    reach = max(GRAM_LENGTHS) - 1
-    in_document = Window.partitionBy("doc_seq").orderBy("part")
-    # The window sees a few characters per part, never the texts.
-    heads = parts.select(
-        "doc_seq",
-        "part",
-        F.substring(drop_whitespace(fold(F.col("text"))), 1, reach).alias("_head"),
-    )
-    ahead = [F.coalesce(F.lead("_head", i + 1).over(in_document), F.lit("")) for i in range(reach)]
-    following = heads.select(
-        "doc_seq", "part", F.substring(F.concat(*ahead), 1, reach).alias("_following")
-    )
-    joined = parts.join(following, ["doc_seq", "part"])
-    return _counted(_coded_terms(joined, ["doc_seq"], "text", F.col("_following")), ["doc_seq"])
+    return _counted(_coded_terms(df, keys, text), keys)
 
 
 def document_frequency(postings: DataFrame) -> DataFrame:
@@ -154,17 +131,15 @@ def spread_documents(
     return texts.repartition(tasks, "doc_seq"), tasks
 
 
-def document_postings(documents: DataFrame, parts: DataFrame | None = None) -> DataFrame:
-    """``doc_seq, term, tf`` of all documents; ``parts`` holds texts that span several rows."""
-    postings = term_counts(spread_documents(documents)[0], "doc_seq", "text")
-    return postings if parts is None else postings.unionByName(part_term_counts(parts))
+def document_postings(documents: DataFrame) -> DataFrame:
+    """``doc_seq, term, tf`` of all documents."""
+    return term_counts(spread_documents(documents)[0], "doc_seq", "text")
 
 
-def build_index(documents: DataFrame, parts: DataFrame | None = None) -> Index:
+def build_index(documents: DataFrame) -> Index:
     """Index of ``doc_seq, text``.  Both tables of it come from the postings: store those
     first (as ``write_index`` does) where both are to be written."""
-    postings = document_postings(documents, parts)
-    return index_of(postings, documents)
+    return index_of(document_postings(documents), documents)
 
 
 def index_of(postings: DataFrame, documents: DataFrame) -> Index:

@@ -4,30 +4,19 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Window, functions as F
-
-from chatprep.functions.answers import (
-    ANSWERS_HEADER,
-    SHOPS_HEADER,
-    answer_line,
-    merged_answer,
-    shop_line,
-)
+from pyspark.sql import DataFrame, functions as F
+
+from chatprep.functions.answers import merged_answer
 from chatprep.functions.conversations import pair_messages
-from chatprep.functions.facts import fact_name, has_name
 from chatprep.functions.text import clean, is_blank
-from chatprep.operators.groups import (
-    CELL_CHARS,
-    PIECE_ROWS,
-    group_sizes,
-    piece_of,
-    split_by_size,
-)
+from chatprep.operators.groups import in_one_cell
 from chatprep.operators.normalize import messages_to_pairs, non_pairs, with_default_system
 from chatprep.operators.quality import drop_blank_pairs
 
-# Merged rows follow all rows that pass through: file order keys stay below this.
-MERGED_FROM = 1 << 62
+# The order key of conversations is a decimal here, so that merged rows can follow all
+# rows that pass through whatever those are numbered.
+ORDER = "decimal(38,0)"
+MERGED_FROM = 10**37
 
 QUESTION = ["system", "user"]
 
@@ -48,81 +37,21 @@ def _keyed(pairs: DataFrame) -> DataFrame:
     return pairs.select("seq", clean(F.col("system")).alias("system"), "user", "assistant")
 
 
-def _merge_within(answers: DataFrame) -> DataFrame:
-    """Groups that fit one row."""
-    listed = F.array_sort(
-        F.collect_list(F.when(~is_blank("assistant"), F.struct("seq", "assistant")))
-    )
+def _merge(answers: DataFrame) -> DataFrame:
+    """One row per question; answers are collected map-side and meet in its row only."""
+    filled = ~is_blank("assistant")
+    listed = F.array_sort(F.collect_list(F.when(filled, F.struct("seq", "assistant"))))
     grouped = answers.groupBy(*QUESTION).agg(
-        F.min("seq").alias("seq"), F.transform(listed, lambda x: x["assistant"]).alias("_answers")
+        F.min("seq").alias("seq"),
+        F.transform(listed, lambda x: x["assistant"]).alias("_answers"),
+        F.sum(F.when(filled, F.length("assistant") + 32)).alias("_chars"),
     )
     found = F.col("_answers")
-    return grouped.select(
-        "seq",
-        *QUESTION,
-        F.when(F.size(found) > 1, merged_answer(found))
-        .otherwise(F.coalesce(F.get(found, F.lit(0)), F.lit("")))
-        .alias("assistant"),
-    )
-
-
-def _merge_beyond(answers: DataFrame, piece_rows: int) -> DataFrame:
-    """Groups too large for one row, as ordered parts.
-
-    Items are numbered from per-piece counts, so no task sees a whole group.
-    """
-    filled = answers.filter(~is_blank("assistant")).withColumn("_piece", piece_of("seq", piece_rows))
-    counts = filled.groupBy(*QUESTION, "_piece").agg(F.count(F.lit(1)).alias("_n"))
-    pieces_so_far = Window.partitionBy(*QUESTION).orderBy("_piece")
-    offsets = counts.select(
-        *QUESTION,
-        "_piece",
-        (F.sum("_n").over(pieces_so_far) - F.col("_n")).alias("_before"),
-        (F.row_number().over(pieces_so_far) - 1).alias("part"),
-    )
-    names = (
-        filled.groupBy(*QUESTION, fact_name("assistant").alias("_name"))
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.count_if(~has_name("assistant")).alias("_unnamed"),
-        )
-        .groupBy(*QUESTION)
-        .agg(
-            F.sum("_rows").alias("_answers"),
-            ((F.sum("_rows") == F.count(F.lit(1))) & (F.sum("_unnamed") == 0)).alias("_shops"),
-        )
+    text = F.when(F.size(found) > 1, merged_answer(found)).otherwise(
+        F.coalesce(F.get(found, F.lit(0)), F.lit(""))
     )
-    first = answers.groupBy(*QUESTION).agg(F.min("seq").alias("_first"))
-    in_piece = Window.partitionBy(*QUESTION, "_piece").orderBy("seq")
-    number = F.col("_before") + F.row_number().over(in_piece)
-    # At most one row per over-limit group and per piece of one: small next to the texts.
-    lines = (
-        filled.join(offsets, [*QUESTION, "_piece"])
-        .withColumn("_number", number)
-        .join(F.broadcast(names.join(first, QUESTION)), QUESTION)
-    )
-    answer = F.col("assistant")
-    line = (
-        F.when(F.col("_answers") == 1, answer)
-        .when(F.col("_shops"), shop_line(F.col("_number"), answer))
-        .otherwise(answer_line(F.col("_number"), answer))
-    )
-    header = F.when(F.col("_answers") == 1, F.lit("")).otherwise(
-        F.concat(F.when(F.col("_shops"), SHOPS_HEADER).otherwise(ANSWERS_HEADER), F.lit("\n"))
-    )
-    return (
-        lines.select("*", line.alias("_line"), header.alias("_header"))
-        .groupBy(*QUESTION, "_first", "part", "_header")
-        .agg(F.array_sort(F.collect_list(F.struct("_number", "_line"))).alias("_lines"))
-        .select(
-            F.col("_first").alias("seq"),
-            *QUESTION,
-            "part",
-            F.concat(
-                F.when(F.col("part") == 0, F.col("_header")).otherwise(F.lit("\n")),
-                F.array_join(F.transform("_lines", lambda x: x["_line"]), "\n"),
-            ).alias("text"),
-        )
+    return grouped.select(
+        "seq", *QUESTION, in_one_cell(text, F.col("_chars"), F.col("seq")).alias("assistant")
     )
 
 
@@ -157,64 +86,44 @@ class Merged:
     """Result of merging ``seq, system, user, assistant`` pairs.
 
     * ``rows``: one row per (system, user)
-    * ``oversized``: merged answers too long for one row, in ordered parts (``seq,
-      system, user, part, text``); their texts joined in order are the answer
     * ``stats``: the one-row counters
 
     Each plan is built when it is asked for.
     """
 
-    def __init__(self, pairs: DataFrame, cell_chars: int = CELL_CHARS, piece_rows: int = PIECE_ROWS):
+    def __init__(self, pairs: DataFrame):
         self.pairs = pairs
-        self._cell_chars = cell_chars
-        self._piece_rows = piece_rows
-
-    @cached_property
-    def _by_size(self) -> tuple[DataFrame, DataFrame]:
-        weight = F.length("assistant") + 32
-        sizes = group_sizes(_keyed(self.pairs), QUESTION, weight, item="assistant")
-        return split_by_size(distinct_answers(self.pairs), QUESTION, sizes, self._cell_chars)
 
     @cached_property
     def rows(self) -> DataFrame:
-        return _merge_within(self._by_size[0])
-
-    @cached_property
-    def oversized(self) -> DataFrame:
-        return _merge_beyond(self._by_size[1], self._piece_rows)
+        return _merge(distinct_answers(self.pairs))
 
     @cached_property
     def stats(self) -> DataFrame:
         return merge_stats(self.pairs)
 
 
-def merge_pairs(
-    pairs: DataFrame, *, cell_chars: int = CELL_CHARS, piece_rows: int = PIECE_ROWS
-) -> Merged:
+def merge_pairs(pairs: DataFrame) -> Merged:
     """One row per (system, user) with the distinct answers in order."""
-    return Merged(pairs, cell_chars, piece_rows)
+    return Merged(pairs)
 
 
 class MergedConversations(Merged):
     """``rows`` are conversations: those that are no single pair first, then the merged."""
 
-    def __init__(self, conversations: DataFrame, default_system: str | None, **sizes):
-        super().__init__(messages_to_pairs(conversations), **sizes)
+    def __init__(self, conversations: DataFrame, default_system: str | None):
+        super().__init__(messages_to_pairs(conversations))
         self._passed = non_pairs(conversations)
         self._default_system = default_system
 
     @cached_property
     def rows(self) -> DataFrame:
-        merged = _merge_within(self._by_size[0]).select(
-            (F.col("seq") + F.lit(MERGED_FROM)).alias("seq"),
+        merged = _merge(distinct_answers(self.pairs)).select(
+            (F.col("seq").cast(ORDER) + F.lit(str(MERGED_FROM)).cast(ORDER)).cast(ORDER).alias("seq"),
             pair_messages(F.col("user"), F.col("assistant"), F.col("system")).alias("messages"),
         )
-        return self._passed.unionByName(with_default_system(merged, self._default_system))
-
-    @cached_property
-    def oversized(self) -> DataFrame:
-        parts = _merge_beyond(self._by_size[1], self._piece_rows)
-        return parts.withColumn("seq", F.col("seq") + F.lit(MERGED_FROM))
+        passed = self._passed.select(F.col("seq").cast(ORDER).alias("seq"), "messages")
+        return passed.unionByName(with_default_system(merged, self._default_system))
 
     @cached_property
     def stats(self) -> DataFrame:
@@ -222,20 +131,14 @@ class MergedConversations(Merged):
 
 
 def merge_same_user(
-    conversations: DataFrame,
-    default_system: str | None = None,
-    *,
-    cell_chars: int = CELL_CHARS,
-    piece_rows: int = PIECE_ROWS,
+    conversations: DataFrame, default_system: str | None = None
 ) -> MergedConversations:
     """Merge the single question/answer conversations that share system and question.
 
     Conversations must already carry the default system message; it is added again where
     merging left none.
     """
-    return MergedConversations(
-        conversations, default_system, cell_chars=cell_chars, piece_rows=piece_rows
-    )
+    return MergedConversations(conversations, default_system)
 
 
 def merge_same_user_pairs(pairs: DataFrame) -> Merged:

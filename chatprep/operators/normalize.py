@@ -65,74 +65,110 @@ def _as_text(text: Column, variant: Column) -> Column:
     return F.coalesce(spelled, F.lit(""))
 
 
-def _json_turns(list_text: Column, list_variant: Column, first: str, second: str) -> Column:
-    """A JSON list of turns to ``array<struct<first,second>>``; non-objects are dropped.
+def _turn_pairs(list_text: Column, list_variant: Column, first: str, second: str) -> Column:
+    """A JSON list as ``array<struct<fields,kind>>``: each turn's text parsed once, its kinds aside.
 
     The text is kept next to the variant because the variant alone rewrites numbers.
+    Turns that are no objects are dropped.
     """
     both = F.arrays_zip(
         F.from_json(list_text, "array<string>").alias("text"),
-        list_variant.cast("array<variant>").alias("kind"),
+        F.try_variant_get(list_variant, "$", "array<variant>").alias("kind"),
     )
-    objects = F.filter(both, lambda t: _is_object(t["kind"]))
+    fields = f"struct<`{first}`:string,`{second}`:string>"
+    return F.transform(
+        F.filter(both, lambda t: _is_object(t["kind"])),
+        lambda t: F.struct(F.from_json(t["text"], fields).alias("fields"), t["kind"].alias("kind")),
+    )
+
+
+def _turns(pairs: Column, first: str, second: str) -> Column:
+    """Parsed turns to ``array<struct<first,second>>`` of text."""
 
     def field(turn, name):
-        text = F.from_json(turn["text"], f"struct<`{name}`:string>")[name]
         kind = F.try_variant_get(turn["kind"], f"$.{name}", "variant")
-        return _as_text(text, kind).alias(name)
+        return _as_text(turn["fields"][name], kind).alias(name)
 
-    return F.transform(objects, lambda t: F.struct(field(t, first), field(t, second)))
+    return F.transform(pairs, lambda t: F.struct(field(t, first), field(t, second)))
 
 
-def _json_pair(raw: Column, variant: Column) -> Column:
-    """A flat JSON object to messages, or null when a side has no accepted key."""
-    entries = F.map_entries(F.from_json(raw, "map<string,string>"))
-    kinds = F.try_variant_get(variant, "$", "map<string,variant>")
+def _entry(entries: Column, names: list[str]) -> Column:
+    """The entry that gives a role its value: first accepted name, and of that the last key.
 
-    def under(name):
-        return F.filter(entries, lambda e: F.lower(e["key"]) == name)
+    Presence of the key decides, so a null value under it still wins.
+    """
+    accepted = F.array(*[F.lit(n) for n in names])
+    placed = F.transform(
+        entries,
+        lambda e, i: F.struct(
+            F.array_position(accepted, F.lower(e["key"])).alias("name"),
+            (-i).alias("last"),
+            e["key"].alias("key"),
+            e["value"].alias("value"),
+        ),
+    )
+    return F.array_min(F.filter(placed, lambda e: e["name"] > 0))
 
-    def value(names):
-        # Presence of the key decides, so a null value under it still wins.
-        chain = F
-        for name in names:
-            hits = under(name)
-            last = F.get(hits, F.size(hits) - 1)
-            chain = chain.when(
-                F.size(hits) > 0, _as_text(last["value"], F.try_element_at(kinds, last["key"]))
-            )
-        return chain.otherwise(F.lit(None).cast("string"))
 
-    user, assistant, system = value(USER_NAMES), value(ASSISTANT_NAMES), value(SYSTEM_NAMES)
-    return F.when(
-        user.isNotNull() & assistant.isNotNull(), pair_messages(user, assistant, system)
-    )
+def _under(entries: Column, key: str) -> Column:
+    """The last value under exactly this key."""
+    hits = F.filter(entries, lambda e: e["key"] == key)
+    return F.try_element_at(hits, F.lit(-1))["value"]
 
 
 def _json_messages(records: DataFrame) -> DataFrame:
+    """Every record is parsed once; each step is a table of its own, so that no parse is
+    repeated where its result is used several times."""
     prepare_session(records.sparkSession)
     parsed = records.select(
         "seq",
-        "raw",
         F.try_parse_json("raw").alias("_v"),
-        F.from_json("raw", "struct<messages:string,conversations:string>").alias("_t"),
-    ).select(
-        "*",
+        F.map_entries(F.from_json("raw", "map<string,string>")).alias("_entries"),
+    )
+    entries = F.col("_entries")
+    found = parsed.select(
+        "seq",
+        _is_object(F.col("_v")).alias("_object"),
         F.try_variant_get("_v", "$.messages", "variant").alias("_m"),
         F.try_variant_get("_v", "$.conversations", "variant").alias("_c"),
+        F.try_variant_get("_v", "$", "map<string,variant>").alias("_kinds"),
+        _under(entries, "messages").alias("_m_text"),
+        _under(entries, "conversations").alias("_c_text"),
+        _entry(entries, USER_NAMES).alias("_user"),
+        _entry(entries, ASSISTANT_NAMES).alias("_assistant"),
+        _entry(entries, SYSTEM_NAMES).alias("_system"),
+    )
+
+    def value(column):
+        entry = F.col(column)
+        text = _as_text(entry["value"], F.try_element_at("_kinds", entry["key"]))
+        return F.when(entry.isNotNull(), text).alias(column)
+
+    read = found.select(
+        "seq",
+        "_object",
+        _is_list(F.col("_m")).alias("_is_m"),
+        _is_list(F.col("_c")).alias("_is_c"),
+        _turn_pairs(F.col("_m_text"), F.col("_m"), "role", "content").alias("_m"),
+        _turn_pairs(F.col("_c_text"), F.col("_c"), "from", "value").alias("_c"),
+        value("_user"),
+        value("_assistant"),
+        value("_system"),
     )
-    v, t, m, c = F.col("_v"), F.col("_t"), F.col("_m"), F.col("_c")
     chat = F.transform(
-        _json_turns(t["messages"], m, "role", "content"),
+        _turns(F.col("_m"), "role", "content"),
         lambda x: message(fold(x["role"]), clean(x["content"])),
     )
-    sharegpt = sharegpt_messages(_json_turns(t["conversations"], c, "from", "value"))
-    return parsed.select(
+    user, assistant, system = F.col("_user"), F.col("_assistant"), F.col("_system")
+    pair = F.when(
+        user.isNotNull() & assistant.isNotNull(), pair_messages(user, assistant, system)
+    )
+    return read.select(
         "seq",
-        F.when(~_is_object(v), F.lit(None).cast(MESSAGES_TYPE))
-        .when(_is_list(m), chat)
-        .when(_is_list(c), sharegpt)
-        .otherwise(_json_pair(F.col("raw"), v))
+        F.when(~F.col("_object"), F.lit(None).cast(MESSAGES_TYPE))
+        .when(F.col("_is_m"), chat)
+        .when(F.col("_is_c"), sharegpt_messages(_turns(F.col("_c"), "from", "value")))
+        .otherwise(pair)
         .alias("messages"),
     )
 
@@ -148,12 +184,17 @@ def with_default_system(conversations: DataFrame, text: str | None) -> DataFrame
     )
 
 
-def normalize_conversations(records: DataFrame, default_system: str | None = None) -> DataFrame:
+def normalize_conversations(
+    records: DataFrame, default_system: str | None = None, *, json: bool | None = None
+) -> DataFrame:
     """Records (``seq, raw`` or ``seq, <csv columns>``) to ``seq, messages``.
 
-    ``messages`` is null where no question/answer pair was found.
+    ``messages`` is null where no question/answer pair was found.  ``json`` says whether
+    ``raw`` holds JSON; without it a table of nothing but ``raw`` is taken for JSON.
     """
-    if "raw" in records.columns and set(records.columns) <= {"seq", "source", "raw"}:
+    if json is None:
+        json = "raw" in records.columns and set(records.columns) <= {"seq", "source", "raw"}
+    if json:
         conversations = _json_messages(records)
     else:
         pairs = resolve_columns(records)

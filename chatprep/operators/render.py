@@ -19,7 +19,10 @@ def render_chat_text(
     turn_close: str = TURN_CLOSE,
     assistant_label: str = ASSISTANT_LABEL,
 ) -> DataFrame:
-    """Add ``text``: one string with all turns between their markers."""
+    """Add ``text``: one string with all turns between their markers.
+
+    Conversations without messages have no text and are left out.
+    """
     turns = F.transform(
         "messages",
         lambda m: F.concat(
@@ -31,16 +34,31 @@ def render_chat_text(
             F.lit("\n"),
         ),
     )
-    return conversations.withColumn("text", F.array_join(turns, ""))
+    usable = conversations.filter(F.col("messages").isNotNull())
+    return usable.withColumn("text", F.array_join(turns, ""))
 
 
 def response_mask_report(conversations: DataFrame) -> DataFrame:
-    """How much of each conversation is learned when only replies count."""
+    """How much of each conversation is learned when only replies count.
+
+    Nothing is learned of a conversation without messages.
+    """
     replies = F.filter("messages", lambda m: m["role"] == "assistant")
-    chars = total_chars(replies)
+    chars = F.coalesce(total_chars(replies), F.lit(0))
     return conversations.select(
         "seq",
         chars.alias("learned_chars"),
-        total_tokens(replies).alias("learned_tokens"),
+        F.coalesce(total_tokens(replies), F.lit(0)).alias("learned_tokens"),
         (chars > 0).alias("has_response"),
     )
+
+
+def learned_total(report: DataFrame) -> DataFrame:
+    """One row of a mask report: conversations, those with replies, and whether anything is learned."""
+    tokens = F.coalesce(F.sum("learned_tokens"), F.lit(0))
+    return report.agg(
+        F.count(F.lit(1)).alias("conversations"),
+        F.count_if("has_response").alias("with_response"),
+        tokens.alias("learned_tokens"),
+        (tokens > 0).alias("passed"),
+    )

@@ -10,7 +10,6 @@ from chatprep.operators.index import (
     Index,
     document_frequency,
     idf_table,
-    part_term_counts,
     spread_documents,
     term_counts,
 )
@@ -97,29 +96,20 @@ def top_k(scores: DataFrame, k: int = 6) -> DataFrame:
     )
 
 
-def search_documents(
-    queries: DataFrame, documents: DataFrame, k: int = 6, *, parts: DataFrame | None = None
-) -> DataFrame:
+def search_documents(queries: DataFrame, documents: DataFrame, k: int = 6) -> DataFrame:
     """Hits of ``query_id, text`` in ``doc_seq, text``, without a saved index.
 
     Texts are spread by ``doc_seq`` once; a document is then counted, scored and first
     ranked in one task.  Only postings of the queries' terms go on, through one shuffle
-    that document frequencies and scores share.  ``parts`` holds the texts that span
-    several rows.
+    that document frequencies and scores share.
     """
     broadcast = fits_broadcast(queries)
     query_terms = term_counts(queries, "query_id", "text")
     spread, tasks = spread_documents(documents)
     # Scoring has more to do per document than counting, hence twice the tasks.
-    sides = [_placed(term_counts(spread, "doc_seq", "text"), query_terms, broadcast, 2 * tasks)]
-    if parts is not None:
-        # Terms of one such document come from many tasks: scored apart, so that the
-        # others keep their placement.
-        sides.append(_placed(part_term_counts(parts), query_terms, broadcast, tasks))
-    postings = sides[0] if parts is None else sides[0].unionByName(sides[1])
+    postings = _placed(term_counts(spread, "doc_seq", "text"), query_terms, broadcast, 2 * tasks)
     stats = idf_table(document_frequency(postings), documents)
-    scores = [score_documents(query_terms, s, stats, broadcast=broadcast) for s in sides]
-    return top_k(scores[0] if parts is None else scores[0].unionByName(scores[1]), k)
+    return top_k(score_documents(query_terms, postings, stats, broadcast=broadcast), k)
 
 
 def search_index(queries: DataFrame, index: Index, k: int = 6) -> DataFrame:

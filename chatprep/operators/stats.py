@@ -17,8 +17,8 @@ def with_lengths(conversations: DataFrame) -> DataFrame:
 def dataset_stats(kept: DataFrame) -> DataFrame:
     """Count, averages (cut to integers), upper median and maxima; zeros when empty.
 
-    Needs ``chars`` and ``tokens`` or ``messages``.  Lengths are counted per distinct
-    value first, so the exact median works on a small table.
+    Needs ``chars`` and ``tokens`` or ``messages``.  The exact median keeps one count per
+    distinct length, added up map-side.
     """
     if not {"chars", "tokens"} <= set(kept.columns):
         kept = with_lengths(kept)

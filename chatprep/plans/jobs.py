@@ -7,9 +7,9 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chatprep.operators.documents import build_knowledge
+from chatprep.operators.documents import build_documents
 from chatprep.operators.merge import merge_same_user, merge_same_user_pairs
-from chatprep.operators.normalize import normalize_conversations, resolve_columns
+from chatprep.operators.normalize import resolve_columns
 from chatprep.operators.quality import tag_conversations, validate_conversations
 from chatprep.operators.render import render_chat_text, response_mask_report
 from chatprep.operators.search import (
@@ -25,23 +25,26 @@ from chatprep.operators.stats import dataset_stats, run_counters, size_guidance,
 from chatprep.sinks.writers import (
     read_index,
     write_index,
-    write_jsonl,
     write_merged_csv,
     write_training_bundle,
 )
-from chatprep.sources.files import read_csv_records, read_pairs, read_records, read_training_json
+from chatprep.sources.files import (
+    read_conversations,
+    read_csv_records,
+    read_pairs,
+    read_training_json,
+)
 from chatprep.staging import stage
 
 
 class Built(NamedTuple):
-    """Result of a build: kept conversations, rejects with reason, one-row report,
-    merge counters (None without merging) and merged answers too long for one row."""
+    """Result of a build: kept conversations, rejects with reason, one-row report and
+    merge counters (None without merging)."""
 
     kept: DataFrame
     rejects: DataFrame
     report: DataFrame
     merge: DataFrame | None
-    oversized: DataFrame | None
 
 
 def _tagged(conversations: DataFrame) -> DataFrame:
@@ -59,7 +62,7 @@ def _report(tagged: DataFrame, max_seq_length: int) -> DataFrame:
 def _result(tagged: DataFrame, max_seq_length: int) -> Built:
     kept = tagged.filter(F.col("reason").isNull()).select("seq", "messages", "chars", "tokens")
     rejects = tagged.filter(F.col("reason").isNotNull()).select("seq", "reason")
-    return Built(kept, rejects, _report(tagged, max_seq_length), None, None)
+    return Built(kept, rejects, _report(tagged, max_seq_length), None)
 
 
 def build_dataset(
@@ -72,13 +75,14 @@ def build_dataset(
     seed: int = 3407,
     max_seq_length: int = 1024,
     merge_same_user: bool = False,
+    **read_options,
 ) -> Built:
     """Records of one file (or folder of part files) to training files in ``out``.
 
-    Writes nothing when no conversation is kept.
+    Writes nothing when no conversation is kept.  ``read_options`` as in ``read_records``.
     """
     return build_from_conversations(
-        normalize_conversations(read_records(spark, path), system),
+        read_conversations(spark, path, system, **read_options),
         out,
         system=system,
         valid_frac=valid_frac,
@@ -107,17 +111,17 @@ def build_from_conversations(
     tagged = _tagged(conversations)
     result = _result(tagged, max_seq_length)
     if merged is not None:
-        result = result._replace(merge=merged.stats, oversized=merged.oversized)
+        result = result._replace(merge=merged.stats)
     if not result.kept.isEmpty():
         write_training_bundle(result.kept, out, valid_frac, seed)
-    if result.oversized is not None and not result.oversized.isEmpty():
-        write_jsonl(result.oversized, f"{out.rstrip('/')}/oversized_answers.jsonl")
     return result
 
 
-def validate_dataset(spark: SparkSession, path: str, *, max_seq_length: int = 1024) -> Built:
+def validate_dataset(
+    spark: SparkSession, path: str, *, max_seq_length: int = 1024, **read_options
+) -> Built:
     """Check a file; ``report`` gains ``passed``: something kept and nothing skipped."""
-    result = _result(_tagged(normalize_conversations(read_records(spark, path))), max_seq_length)
+    result = _result(_tagged(read_conversations(spark, path, **read_options)), max_seq_length)
     passed = (F.col("skipped") == 0) & (F.col("count") > 0)
     return result._replace(report=result.report.withColumn("passed", passed))
 
@@ -134,19 +138,11 @@ def search(
     ``prompts=True`` gives the model prompts of the queries with hits instead of the
     plain context.
     """
-    documents, parts = _stored_knowledge(pairs)
-    hits = search_documents(queries, documents, top_k, parts=parts)
+    documents = stage(build_documents(pairs), "documents")  # read several times
+    hits = search_documents(queries, documents, top_k)
     return _answers(queries, hits, documents, prompts)
 
 
-def _stored_knowledge(pairs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Documents, and the parts of those too long for one row if there are any.  Both are
-    read several times from here on."""
-    knowledge = build_knowledge(pairs)
-    parts = stage(knowledge.parts, "parts")
-    return stage(knowledge.documents, "documents"), None if parts.isEmpty() else parts
-
-
 def _answers(queries, hits, documents, prompts):
     # A query batch small enough for the scoring broadcast has small hits as well.
     found = attach_documents(hits, documents, small=fits_broadcast(queries))
@@ -154,15 +150,17 @@ def _answers(queries, hits, documents, prompts):
     return build_prompts(queries, contexts) if prompts else answer_queries(queries, contexts)
 
 
-def search_file(spark: SparkSession, path: str, queries: DataFrame, **options) -> DataFrame:
+def search_file(
+    spark: SparkSession, path: str, queries: DataFrame, *, multi_line: bool = True, **options
+) -> DataFrame:
     """``search`` over a question/answer CSV."""
-    return search(queries, stage(read_pairs(spark, path), "pairs"), **options)
+    pairs = stage(read_pairs(spark, path, multi_line=multi_line), "pairs")
+    return search(queries, pairs, **options)
 
 
 def save_index(pairs: DataFrame, path: str) -> None:
     """Build the knowledge documents of the pairs and store them with their index."""
-    documents, parts = _stored_knowledge(pairs)
-    write_index(documents, path, parts=parts)
+    write_index(stage(build_documents(pairs), "documents"), path)
 
 
 def search_saved(
@@ -179,30 +177,33 @@ def search_saved(
 
 
 def prepare_from_csv_or_jsonl(
-    spark: SparkSession, source: str, out: str = "out", *, merge: bool = True
+    spark: SparkSession,
+    source: str,
+    out: str = "out",
+    *,
+    merge: bool = True,
+    multi_line: bool = True,
 ) -> str:
     """A CSV is merged and built; any other file is used as it is.  Returns the path of
     the training file."""
     if PurePosixPath(source).suffix.lower() != ".csv":
         return source
     if merge:
-        source = merge_csv(spark, source, f"{out.rstrip('/')}/merged.csv")
-    built = build_dataset(spark, source, out)
+        source = merge_csv(spark, source, f"{out.rstrip('/')}/merged.csv", multi_line=multi_line)
+    built = build_dataset(spark, source, out, multi_line=multi_line)
     if built.kept.isEmpty():
         raise ValueError(f"{source}: no usable conversation")
     return f"{out.rstrip('/')}/train_sharegpt.jsonl"
 
 
-def merge_csv(spark: SparkSession, source: str, target: str) -> str:
+def merge_csv(spark: SparkSession, source: str, target: str, *, multi_line: bool = True) -> str:
     """Merge the repeated questions of a CSV; the source path when there are none."""
-    pairs = resolve_columns(read_csv_records(spark, source))
+    pairs = resolve_columns(read_csv_records(spark, source, multi_line=multi_line))
     if not {"user", "assistant"} <= set(pairs.columns):
         return source
     merged = merge_same_user_pairs(stage(pairs, "pairs"))
     if merged.stats.first()["merged_prompt_groups"] == 0:
         return source
-    if not merged.oversized.isEmpty():
-        write_jsonl(merged.oversized, f"{target}.oversized.jsonl")
     write_merged_csv(merged.rows, target)
     return target
 

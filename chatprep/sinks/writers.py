@@ -43,23 +43,16 @@ def write_merged_csv(pairs: DataFrame, path: str, *, mode: str = "overwrite") ->
     )
 
 
-def write_index(
-    documents: DataFrame,
-    path: str,
-    *,
-    parts: DataFrame | None = None,
-    mode: str = "overwrite",
-) -> None:
+def write_index(documents: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     """Index documents and store postings, term statistics and documents.
 
     Terms are counted once: the counts are stored as they come, and statistics and the
-    final order are made from the stored table.  Postings are laid out by term, then
-    document: a lookup skips row groups of other terms, and a term that is in every
-    document is spread over several files.
+    final order are made from the stored table.  Postings are in order of term, then
+    document, so a term that is in every document is spread over several files.
     """
     base = path.rstrip("/")
     documents.write.mode(mode).parquet(f"{base}/documents")
-    postings = stage(document_postings(documents, parts), "postings")
+    postings = stage(document_postings(documents), "postings")
     index = index_of(postings, documents)
     in_order(index.postings, "term", "doc_seq").write.mode(mode).parquet(f"{base}/postings")
     index.term_stats.write.mode(mode).parquet(f"{base}/term_stats")

@@ -13,7 +13,7 @@ from chatprep.operators.normalize import (
     resolve_columns,
 )
 from chatprep.operators.quality import drop_blank_pairs
-from chatprep.sources.order import with_order_columns, with_seq
+from chatprep.sources.order import ORDER_COLUMNS, with_order_columns, with_seq
 
 
 def _csv_reader(spark: SparkSession, multi_line: bool):
@@ -26,15 +26,22 @@ def read_csv_records(spark: SparkSession, path: str, *, multi_line: bool = True)
     """Header CSV to ``seq, source, <columns>``, all text.
 
     ``multi_line=False`` lets Spark split large files; use it when no cell holds a
-    line break.  Of columns whose names differ only in case the last one is kept.
+    line break.  Of columns whose names differ only in case the last one is kept.  Files
+    of a folder must have the same header.
     """
     header = _csv_reader(spark, multi_line).csv(path, header=False).first()
     if header is None:
         raise ValueError(f"{path}: CSV has no header row")
     names = ["" if name is None else name for name in header]
     last = {name.lower(): i for i, name in enumerate(names)}
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
-    scan = with_order_columns(_csv_reader(spark, multi_line).schema(schema).csv(path, header=True))
+    # With different names Spark compares the header of every file and fails where one
+    # differs; repeated names can only be read by position.
+    compared = len(last) == len(names) and "" not in names
+    fields = names if compared else [f"_c{i}" for i in range(len(names))]
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in fields])
+    reader = _csv_reader(spark, multi_line).option("enforceSchema", not compared).schema(schema)
+    read = reader.csv(path, header=True)
+    scan = with_order_columns(read).toDF(*[f"_c{i}" for i in range(len(names))], *ORDER_COLUMNS)
     numbered = with_seq(spark, path, scan, whole_files=multi_line)
     kept = [
         F.col(f"_c{i}").alias(names[i])
@@ -60,10 +67,17 @@ def is_json_value(text: Column) -> Column:
 
 
 def _is_document(spark: SparkSession, path: str) -> bool:
-    """One JSON document rather than JSON Lines? Looks at two lines at most."""
+    """Is the whole text one JSON value, rather than JSON Lines?
+
+    A first line that is a value, with another line after it, settles it.  Only a first
+    line that is none is ambiguous: the texts are then parsed as a whole.
+    """
     lines = spark.read.text(path).filter(~is_blank("value"))
     flags = [r["ok"] for r in lines.select(is_json_value(F.col("value")).alias("ok")).take(2)]
-    return bool(flags) and (len(flags) == 1 or not flags[0])
+    if not flags or flags[0]:
+        return len(flags) == 1
+    whole = spark.read.text(path, wholetext=True).filter(~is_blank("value"))
+    return whole.filter(~is_json_value(strip(F.col("value")))).isEmpty()
 
 
 def _read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -71,7 +85,7 @@ def _read_lines(spark: SparkSession, path: str) -> DataFrame:
     where = F.concat(
         F.lit("Line "),
         (F.col("_place") + 1).cast("string"),
-        F.when(F.col("_block") > 0, F.concat(F.lit(" after MB "), F.col("_block").cast("string")))
+        F.when(F.col("_block") > 0, F.concat(F.lit(" after byte "), F.col("_block").cast("string")))
         .otherwise(F.lit("")),
         F.lit(" of "),
         F.col("_file"),
@@ -126,25 +140,40 @@ def read_json_records(spark: SparkSession, path: str, *, layout: str = "auto") -
     return with_seq(spark, path, scan, whole_files=document)
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Choose the reader by file extension."""
+def is_json_path(path: str) -> bool:
+    """By the file extension; an unknown one is an error."""
     extension = PurePosixPath(path).suffix.lower()
-    if extension == ".csv":
-        return read_csv_records(spark, path)
-    if extension in (".jsonl", ".json", ".ndjson"):
-        return read_json_records(spark, path)
-    raise ValueError(f"Unknown file type {extension!r}. Use .csv, .jsonl, .json or .ndjson")
+    if extension not in (".csv", ".jsonl", ".json", ".ndjson"):
+        raise ValueError(f"Unknown file type {extension!r}. Use .csv, .jsonl, .json or .ndjson")
+    return extension != ".csv"
+
+
+def read_records(
+    spark: SparkSession, path: str, *, multi_line: bool = True, layout: str = "auto"
+) -> DataFrame:
+    """Choose the reader by file extension; ``multi_line`` is for CSV, ``layout`` for JSON."""
+    if is_json_path(path):
+        return read_json_records(spark, path, layout=layout)
+    return read_csv_records(spark, path, multi_line=multi_line)
+
+
+def read_conversations(
+    spark: SparkSession, path: str, default_system: str | None = None, **options
+) -> DataFrame:
+    """Records of a file as conversations; ``options`` as in ``read_records``."""
+    records = read_records(spark, path, **options)
+    return normalize_conversations(records, default_system, json=is_json_path(path))
 
 
-def read_pairs(spark: SparkSession, path: str) -> DataFrame:
+def read_pairs(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
     """Question/answer CSV to stripped ``seq, user, assistant``; blank sides are dropped."""
-    records = resolve_columns(read_csv_records(spark, path))
+    records = resolve_columns(read_csv_records(spark, path, multi_line=multi_line))
     missing = {"user", "assistant"} - set(records.columns)
     if missing:
         raise ValueError(f"{path}: CSV needs user/assistant columns")
     return drop_blank_pairs(records.select("seq", "user", "assistant"))
 
 
-def read_training_json(spark: SparkSession, path: str) -> DataFrame:
+def read_training_json(spark: SparkSession, path: str, *, layout: str = "auto") -> DataFrame:
     """A prepared JSON Lines file back as conversations."""
-    return normalize_conversations(read_json_records(spark, path))
+    return normalize_conversations(read_json_records(spark, path, layout=layout), json=True)

@@ -1,59 +1,50 @@
 """The ``seq`` order key of file sources.
 
-Order carries meaning here (first occurrence wins), so each record gets a ``BIGINT``
-that rises in file order.  It packs, from high to low: the running megabyte at which
-the record's file split starts (files taken in path order) and the record's place in
-its scan task.  That needs one narrow pass and no shuffle, and gives the same number
-again when a lost task is run anew.
+Order carries meaning here (first occurrence wins), so each record gets a number that
+rises in file order: the running byte at which the record's file split starts (files taken
+in path order) and, below it, the record's place in its scan task.  A byte starts one split
+only, so numbers are unique however Spark cuts the files.  That needs one narrow pass and no
+shuffle, and gives the same number again when a lost task is run anew.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 PLACE_BITS = 33  # rows of one scan task, as in monotonically_increasing_id
-BLOCK_BITS = 20  # splits are told apart by megabyte
-MAX_BLOCK = 1 << 29  # keeps seq below 2**62
 BROADCAST_FILES = 100_000
+ORDER = "decimal(38,0)"
 
 ORDER_COLUMNS = ["_file", "_block", "_place"]
 
 
 def with_order_columns(scan: DataFrame) -> DataFrame:
-    """Add file, split start and place; must sit directly on the file scan."""
+    """Add file, first byte of the split and place; must sit directly on the file scan."""
     place_mask = F.lit((1 << PLACE_BITS) - 1)
     return scan.select(
         "*",
         F.col("_metadata.file_path").alias("_file"),
-        F.shiftright(F.col("_metadata.file_block_start"), BLOCK_BITS).alias("_block"),
+        F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().bitwiseAND(place_mask).alias("_place"),
     )
 
 
-def _listing(spark: SparkSession, path) -> list[tuple[str, int]]:
-    """(file, size) in path order; file names and sizes only, never content."""
-    files = (
-        spark.read.format("binaryFile")
-        .load(path)
-        .select("_metadata.file_path", "_metadata.file_size")
-        .collect()
-    )
-    return sorted((f["file_path"], f["file_size"]) for f in files)
-
+def _first_bytes(spark: SparkSession, path) -> DataFrame:
+    """``_file, _size, _first``: the running byte at which each file starts; no content is read.
 
-def _first_blocks(files: list[tuple[str, int]]) -> list[tuple[str, int]]:
-    """(file, running megabyte of its start)."""
-    starts, block = [], 0
-    for name, size in files:
-        starts.append((name, block))
-        block += (size >> BLOCK_BITS) + 1
-    if block > MAX_BLOCK:
-        raise ValueError(f"more than {MAX_BLOCK} MB of input in one read")
-    return starts
+    One row per file: the running sum is one small task.
+    """
+    files = spark.read.format("binaryFile").load(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_size").alias("_size")
+    )
+    before = Window.partitionBy(F.lit(0)).orderBy("_file").rowsBetween(Window.unboundedPreceding, 0)
+    return files.withColumn("_first", F.sum(F.col("_size") + 1).over(before) - F.col("_size") - 1)
 
 
-def _pack(block: Column) -> Column:
-    return F.shiftleft(block.cast("bigint"), PLACE_BITS) + F.col("_place")
+def _pack(first: Column) -> Column:
+    """(first byte, place) as one number."""
+    scale = F.lit(1 << PLACE_BITS).cast("decimal(12,0)")
+    return (first.cast("decimal(20,0)") * scale + F.col("_place").cast("decimal(12,0)")).cast(ORDER)
 
 
 def with_seq(spark: SparkSession, path, scan: DataFrame, *, whole_files: bool = False) -> DataFrame:
@@ -62,22 +53,18 @@ def with_seq(spark: SparkSession, path, scan: DataFrame, *, whole_files: bool =
     ``whole_files`` says Spark reads each file in one task: the records of large files
     are then spread, so that what follows is not done by those few tasks.
     """
-    task_bytes = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    if task_bytes < 1 << BLOCK_BITS:
-        raise ValueError("spark.sql.files.maxPartitionBytes must be 1 MB or more")
-    files = _listing(spark, path)
-    starts = _first_blocks(files)
-    if len(starts) <= 1:
+    files = _first_bytes(spark, path)
+    count, largest, total = files.agg(F.count(F.lit(1)), F.max("_size"), F.sum("_size")).first()
+    if count <= 1:
         numbered = scan.withColumn("seq", _pack(F.col("_block")))
     else:
-        table = spark.createDataFrame(starts, "_file string, _first bigint")
-        if len(starts) <= BROADCAST_FILES:
-            table = F.broadcast(table)
-        numbered = scan.join(table, "_file").withColumn(
-            "seq", _pack(F.col("_first") + F.col("_block"))
-        )
-    if whole_files and max((size for _, size in files), default=0) > task_bytes:
-        numbered = numbered.repartition(-(-sum(size for _, size in files) // task_bytes), "seq")
+        starts = files.select("_file", "_first")
+        if count <= BROADCAST_FILES:
+            starts = F.broadcast(starts)
+        numbered = scan.join(starts, "_file").withColumn("seq", _pack(F.col("_first") + F.col("_block")))
+    task_bytes = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    if whole_files and (largest or 0) > task_bytes:
+        numbered = numbered.repartition(-(-total // task_bytes), "seq")
     others = [c for c in scan.columns if c not in ORDER_COLUMNS]
     return numbered.select("seq", F.col("_file").alias("source"), *[F.col(f"`{c}`") for c in others])
 

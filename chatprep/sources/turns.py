@@ -2,39 +2,30 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import DataFrame, functions as F
 
 from chatprep.functions.conversations import message
 from chatprep.functions.text import clean, fold
-from chatprep.operators.groups import CELL_CHARS, group_sizes, split_by_size
-
-
-class Assembled(NamedTuple):
-    """``oversized`` holds the turns of conversations too long for one row, as they came."""
-
-    conversations: DataFrame
-    oversized: DataFrame
-
-
-def assemble_conversations(turns: DataFrame, *, cell_chars: int = CELL_CHARS) -> Assembled:
-    """``conv_id, turn, role, text`` to ``seq, messages``; ``seq`` is the ``conv_id``."""
-    sizes = group_sizes(turns, ["conv_id"], F.length(F.coalesce("text", F.lit(""))) + 32)
-    within, beyond = split_by_size(turns, ["conv_id"], sizes, cell_chars)
-    return Assembled(_assemble(within), beyond)
+from chatprep.operators.groups import in_one_cell
 
 
 def chat_turns_to_conversations(turns: DataFrame) -> DataFrame:
-    return assemble_conversations(turns).conversations
-
+    """``conv_id, turn, role, text`` to ``seq, messages``; ``seq`` is the ``conv_id``.
 
-def _assemble(turns: DataFrame) -> DataFrame:
+    Turns are collected map-side first.  A conversation that no cell can hold fails with
+    its id and size.
+    """
     ordered = F.array_sort(
         F.collect_list(
             F.struct("turn", fold(F.col("role")).alias("role"), clean(F.col("text")).alias("content"))
         )
     )
-    return turns.groupBy(F.col("conv_id").alias("seq")).agg(
-        F.transform(ordered, lambda t: message(t["role"], t["content"])).alias("messages")
+    grouped = turns.groupBy("conv_id").agg(ordered.alias("_turns"), F.sum(F.length("text")).alias("_chars"))
+    return grouped.select(
+        F.col("conv_id").alias("seq"),
+        in_one_cell(
+            F.transform("_turns", lambda t: message(t["role"], t["content"])),
+            F.col("_chars"),
+            F.col("conv_id"),
+        ).alias("messages"),
     )

@@ -18,7 +18,8 @@ from chatprep.sources.files import (
     read_records,
     read_training_json,
 )
-from chatprep.sources.turns import assemble_conversations
+from chatprep.operators.render import learned_total, render_chat_text, response_mask_report
+from chatprep.sources.turns import chat_turns_to_conversations
 from conftest import talks
 
 HI = [("user", "hi"), ("assistant", "yo")]
@@ -116,16 +117,13 @@ def test_order_over_files_and_splits(spark, tmp_path):
     want = [u for _, body in sorted(rows) for u in body]
     default = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
-        for size in (default, "1m"):
+        for size in (default, "1m", "20000"):
             spark.conf.set("spark.sql.files.maxPartitionBytes", size)
             records = read_json_records(spark, str(tmp_path / "in"), layout="lines")
             got = normalize_conversations(records).orderBy("seq").collect()
             assert [r["messages"][0]["content"] for r in got] == want
             assert len({r["seq"] for r in got}) == len(want)
         assert records.rdd.getNumPartitions() > 1
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
-        with pytest.raises(ValueError, match="maxPartitionBytes"):
-            read_json_records(spark, str(tmp_path / "in"), layout="lines")
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", default)
 
@@ -180,7 +178,7 @@ def test_build_with_merging(spark, tmp_path):
     path = put(tmp_path, "a.csv", "user,assistant\nq,A\nq,B\nr,C\nr,C\n")
     built = build_dataset(spark, path, str(tmp_path / "out"), merge_same_user=True)
     assert tuple(built.merge.first()) == (1, 2, 2)
-    assert built.report.first()["input_rows"] == 2 and built.oversized.count() == 0
+    assert built.report.first()["input_rows"] == 2
 
 
 def test_nothing_kept_writes_nothing(spark, tmp_path):
@@ -218,6 +216,59 @@ def test_turn_table(spark):
         [(1, 1, "Assistant", " yo "), (2, 0, "user", "x" * 200), (1, 0, "user", None), (2, 1, "user", "z")],
         "conv_id bigint, turn bigint, role string, text string",
     )
-    got = assemble_conversations(turns, cell_chars=150)
-    assert talks(got.conversations) == {1: [("user", ""), ("assistant", "yo")]}
-    assert sorted(r["turn"] for r in got.oversized.collect()) == [0, 1]
+    got = talks(chat_turns_to_conversations(turns))
+    assert got == {
+        1: [("user", ""), ("assistant", "yo")],
+        2: [("user", "x" * 200), ("user", "z")],
+    }
+
+
+def test_order_is_unique_however_files_are_cut(spark, tmp_path):
+    body = "".join(f'{{"user":"q{i}","assistant":"{"a" * 80}"}}\n' for i in range(8000))
+    for name in ("a.jsonl", "b.jsonl"):
+        put(tmp_path, name, body)
+    for option, value in (("openCostInBytes", "65536"), ("maxPartitionBytes", "100000")):
+        spark.conf.set(f"spark.sql.files.{option}", value)
+    try:
+        rows = read_json_records(spark, str(tmp_path)).select("seq", "raw").orderBy("seq").collect()
+    finally:
+        for option in ("openCostInBytes", "maxPartitionBytes"):
+            spark.conf.unset(f"spark.sql.files.{option}")
+    assert len({r["seq"] for r in rows}) == 16000
+    asked = [r["raw"].split('"')[3] for r in rows]
+    assert asked == [f"q{i}" for i in range(8000)] * 2
+
+
+def test_folder_with_two_headers_fails(spark, tmp_path):
+    put(tmp_path, "a.csv", "user,assistant\nq1,a1\n")
+    put(tmp_path, "b.csv", "assistant,user\na2,q2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv_records(spark, str(tmp_path)).collect()
+
+
+def test_csv_with_a_raw_column_only_is_no_json(spark, tmp_path):
+    path = put(tmp_path, "a.csv", 'raw\n"{""user"":""q"",""assistant"":""A""}"\n')
+    built = build_dataset(spark, path, str(tmp_path / "out"))
+    assert tuple(r["reason"] for r in built.rejects.collect()) == ("no user/assistant pair found",) or built.rejects.count() == 1
+    assert built.kept.count() == 0
+
+
+def test_bad_first_line_is_named(spark, tmp_path):
+    path = put(tmp_path, "a.jsonl", '{"user": oops\n{"user":"q","assistant":"A"}\n')
+    with pytest.raises(Exception, match="Line 1 of"):
+        read_json_records(spark, path).collect()
+
+
+def test_pretty_printed_document(spark, tmp_path):
+    path = put(tmp_path, "a.json", '[\n  {\n "user": "q",\n "assistant": "A"\n },\n {"user": "r", "assistant": "B"}\n]\n')
+    got = talks(read_training_json(spark, path))
+    assert [m[0] for m in got.values()] == [("user", "q"), ("user", "r")]
+
+
+def test_nothing_learned(spark, conversations):
+    data = conversations([("user", "q")], None, [("user", "q"), ("assistant", "abcd")])
+    report = response_mask_report(data)
+    assert {r["seq"]: (r["learned_chars"], r["has_response"]) for r in report.collect()} == {0: (0, False), 1: (0, False), 2: (4, True)}
+    assert tuple(learned_total(report).first()) == (3, 1, 1, True)
+    assert not learned_total(report.filter("seq < 2")).first()["passed"]
+    assert render_chat_text(data).count() == 2

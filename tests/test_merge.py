@@ -98,23 +98,35 @@ def test_table_variant(pairs):
     assert merge_same_user_pairs(named).rows.columns == ["seq", "user", "assistant", "system"]
 
 
-@pytest.mark.parametrize("kind", ["plain", "shops", "one"])
-def test_group_too_large_for_a_row(pairs, kind):
-    """The split path gives, joined, the same text as the one-row path."""
-    if kind == "one":
-        rows = [("hot", "only answer" * 9)] * 5
-    else:
-        make = (lambda i: shop(f"n{i}", f"f{i}")) if kind == "shops" else (lambda i: f"answer {i}")
-        rows = [("hot", make(i % 30)) for i in range(60)] + [("hot", "")]
-    rows += [("cool", "x"), ("cool", "y")]
-    data = pairs(*rows)
-    whole = merged(data)
-    split = merge_pairs(data, cell_chars=100, piece_rows=7)
-    assert {r["user"] for r in split.rows.collect()} == {"cool"}
-    parts = sorted(split.oversized.collect(), key=lambda r: r["part"])
-    assert "".join(r["text"] for r in parts) == whole["hot"]
-    assert {r["seq"] for r in parts} == {0} and len(parts) > (1 if kind != "one" else 0)
-    assert split.stats.first() == merge_pairs(data).stats.first()
+@pytest.mark.parametrize("kind", ["plain", "shops"])
+def test_one_group_of_many_answers_with_sparse_order(spark, kind):
+    """Every answer of a large group is in its row, whatever the order values are."""
+    make = (lambda i: shop(f"n{i}", f"f{i}")) if kind == "shops" else (lambda i: f"answer {i}")
+    rows = [(i * 1_000_003, None, "hot", make(i % 700)) for i in range(3000)] + [(1, None, "cool", "x")]
+    data = spark.createDataFrame(rows, "seq bigint, system string, user string, assistant string").repartition(7)
+    got = {r["user"]: r["assistant"].split("\n") for r in merge_pairs(data).rows.collect()}
+    numbered = [line for line in got["hot"][1:] if line[0].isdigit()]
+    assert len(numbered) == 700 and numbered[699].startswith("700. ")
+    assert got["cool"] == ["x"]
+    assert tuple(merge_pairs(data).stats.first()) == (1, 3000, 2)
+
+
+def test_a_group_no_cell_can_hold_is_named(pairs, monkeypatch):
+    monkeypatch.setattr("chatprep.operators.groups.CELL_CHARS", 100)
+    with pytest.raises(Exception, match="group 0 has .* characters"):
+        merge_pairs(pairs(("hot", "a" * 90), ("hot", "b" * 90))).rows.collect()
+
+
+def test_any_order_value_can_be_merged(spark):
+    last = (1 << 63) - 1
+    rows = [
+        (last, [("user", "q"), ("assistant", "A")]),
+        (-5, [("user", "q"), ("assistant", "B")]),
+        (last - 1, [("user", "x"), ("assistant", "y"), ("user", "z"), ("assistant", "w")]),
+    ]
+    data = spark.createDataFrame(rows, "seq bigint, messages array<struct<role:string,content:string>>")
+    got = [r["messages"][0]["content"] for r in merge_same_user(data).rows.orderBy("seq").collect()]
+    assert got == ["x", "q"]
 
 
 def test_merging_twice_changes_nothing(pairs):

@@ -38,3 +38,12 @@ def test_search_scores_documents_in_place(spark):
 def test_scan_reads_only_needed_columns(spark):
     text = plan(q._documents(spark, FOLDER))
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
+
+
+def test_json_is_parsed_once(spark):
+    from chatprep.operators.normalize import normalize_conversations
+
+    records = spark.createDataFrame([(0, "{}")], "seq bigint, raw string")
+    plan = normalize_conversations(records, "s")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") + plan.count("fromjson") <= 5
+    assert plan.count("try_parse_json") + plan.count("parseJson") <= 1

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chatprep.operators import groups, index as index_module
 from chatprep.operators import search as search_module
-from chatprep.operators.documents import build_documents, build_knowledge, extract_category
+from chatprep.operators.documents import build_documents, extract_category
 from chatprep.operators.index import (
     build_index,
     spread_documents,
@@ -171,29 +171,15 @@ def test_first_matching_pattern_decides(spark):
     assert got == ["", "A", "", "b"]
 
 
-def test_document_too_large_for_a_row(pairs, spark):
-    """Split texts join to the whole text and are found with the same scores."""
-    hot = [(f"q{i} 人気の{'カフェ' if i % 2 else 'パン'}のお店", "「hot」 answer" + "!" * (i % 3)) for i in range(40)]
-    hot[3] = ("x", "「hot」（特徴：late）")
-    hot[4] = ("y", "「hot」")
-    data = pairs(*hot, *SHOPS)
-    whole = build_documents(data)
-    split = build_knowledge(data, cell_chars=400, piece_rows=3)
-    cut = {r["doc_seq"]: r for r in split.documents.collect()}
-    for row in whole.collect():
-        assert row.asDict() | {"text": None} == cut[row["doc_seq"]].asDict() | {"text": None}
-    assert cut[0]["text"] is None and cut[44]["text"] is not None
-    parts = sorted(split.parts.collect(), key=lambda r: r["part"])
-    text = whole.filter("doc_seq = 0").first()["text"]
-    assert len(parts) > 3 and "".join(r["text"] for r in parts) == text
-    questions = table(spark, "query_id", ["カフェ", "q1 人気", "x y", "寿司"])
-    want = found(search_documents(questions, whole, 3))
-    assert found(search_documents(questions, split.documents, 3, parts=split.parts)) == want
-    stored = build_index(split.documents, split.parts)
-    assert found(search_index(questions, stored, 3)) == want
-    assert {tuple(r) for r in stored.term_stats.collect()} == {
-        tuple(r) for r in build_index(whole).term_stats.collect()
-    }
+def test_one_document_of_many_questions(pairs, spark):
+    """A name that most rows share keeps all of its questions in its text."""
+    hot = [(f"q{i} 人気の{'カフェ' if i % 2 else 'パン'}のお店", "「hot」 answer" + "!" * (i % 3)) for i in range(2000)]
+    documents = build_documents(pairs(*hot, *SHOPS).repartition(5))
+    text = documents.filter("doc_seq = 0").first()["text"]
+    assert all(q in text for q, _ in hot[::97]) and text.count("人気") == 2000
+    assert documents.filter("text IS NULL").count() == 0
+    questions = table(spark, "query_id", ["q1999 人気"])
+    assert found(search_documents(questions, documents, 3)) == found(search_index(questions, build_index(documents), 3))
 
 
 def test_context_prompt_and_fallback(pairs, spark, tmp_path):
