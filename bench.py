@@ -17,8 +17,18 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from chatprep.operators.search import search_index  # noqa: E402
 from chatprep.plans import queries as q  # noqa: E402
-from chatprep.plans.jobs import build_from_conversations  # noqa: E402
-from chatprep.sinks.writers import read_index, write_index  # noqa: E402
+from chatprep.operators.normalize import messages_to_sharegpt  # noqa: E402
+from chatprep.plans.jobs import (  # noqa: E402
+    build_dataset,
+    build_from_conversations,
+    validate_dataset,
+)
+from chatprep.sinks.writers import (  # noqa: E402
+    read_index,
+    write_index,
+    write_jsonl,
+    write_merged_csv,
+)
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -80,7 +90,18 @@ def main() -> None:
         stored, _ = read_index(spark, f"{out}/index")
         run(search_index(q._questions(spark, FOLDER), stored))
 
+    def build_file(path, merge):
+        build_dataset(spark, path, f"{out}/file-set", merge_same_user=merge).report.collect()
+
+    # Inputs of the file jobs, written before the clock starts.
+    turns = messages_to_sharegpt(q._conversations(spark, FOLDER)).select("conversations")
+    write_jsonl(turns, f"{out}/talks.jsonl")
+    write_merged_csv(q._part_pairs(spark, FOLDER), f"{out}/pairs.csv")
     spark.range(1000).selectExpr("sum(id)").collect()
+    timed("build_json_file", lambda: build_file(f"{out}/talks.jsonl", False))
+    timed("build_json_file_merged", lambda: build_file(f"{out}/talks.jsonl", True))
+    timed("build_csv_file_merged", lambda: build_file(f"{out}/pairs.csv", True))
+    timed("validate_json_file", lambda: validate_dataset(spark, f"{out}/talks.jsonl").report.collect())
     timed("build_dataset", lambda: build(False))
     timed("build_dataset_merged", lambda: build(True))
     for name in REGISTERED:

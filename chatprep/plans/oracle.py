@@ -464,6 +464,7 @@ FROM questions JOIN contexts USING (query_id)""",
 FROM turns GROUP BY seq""",
     ),
     "json_lines_file": query(TURNS, DIALOGS, select="SELECT dialog FROM dialogs"),
+    "json_list_file": query(TURNS, DIALOGS, select="SELECT dialog FROM dialogs"),
     "csv_file": query(PART_PAIRS, select='SELECT "user", assistant FROM part_pairs'),
     "csv_pairs": query(PART_PAIRS, FILLED, select='SELECT "user", assistant FROM filled'),
     "rendered_file": query(
@@ -518,3 +519,6 @@ ORACLE["validation_report"] = query(
   skipped = 0 AND n > 0 AS passed FROM counted""",
 )
 ORACLE["search_stored_index"] = ORACLE["search_topk"]
+ORACLE["learned"] = f"""SELECT count(*) AS conversations, count(*) FILTER (has_response) AS with_response,
+  CAST(coalesce(sum(learned_tokens), 0) AS BIGINT) AS learned_tokens, coalesce(sum(learned_tokens), 0) > 0 AS passed
+FROM ({ORACLE["response_mask"]})"""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from chatprep.functions.conversations import sharegpt_turns
 from chatprep.operators.documents import build_documents, extract_category, extract_facts
 from chatprep.operators.index import build_index, document_frequency, idf_table, term_counts
-from chatprep.operators.merge import merge_pairs, merge_same_user, merge_same_user_pairs
+from chatprep.operators.merge import MERGED_FROM, ORDER, merge_pairs, merge_same_user, merge_same_user_pairs
 from chatprep.operators.normalize import (
     messages_to_pairs,
     messages_to_sharegpt,
@@ -31,7 +31,7 @@ from chatprep.operators.quality import (
     tag_conversations,
     validate_conversations,
 )
-from chatprep.operators.render import render_chat_text, response_mask_report
+from chatprep.operators.render import learned_total, render_chat_text, response_mask_report
 from chatprep.operators.search import lookup_idf, search_documents, search_index
 from chatprep.operators.split import split_train_valid
 from chatprep.operators.stats import dataset_stats, run_counters, size_guidance, with_lengths
@@ -302,7 +302,11 @@ def merged_conversations(spark, folder):
         "seq", F.col("seq") + F.lit(PAIRS_FROM)
     )
     together = with_default_system(plain.unionByName(asked), SYSTEM)
-    return _dialog(merge_same_user(together, SYSTEM).rows)
+    rows = merge_same_user(together, SYSTEM).rows
+    # The SQL numbers merged rows from 2**62 on.
+    merged = F.col("seq") >= F.lit(str(MERGED_FROM)).cast(ORDER)
+    number = F.when(merged, F.col("seq") % F.lit(str(MERGED_FROM)).cast(ORDER) + F.lit(1 << 62)).otherwise(F.col("seq"))
+    return _dialog(rows.withColumn("seq", number.cast("bigint")))
 
 
 def merged_table(spark, folder):
@@ -394,6 +398,10 @@ def chat_text(spark, folder):
     return render_chat_text(_conversations(spark, folder)).select("seq", "text")
 
 
+def learned(spark, folder):
+    return learned_total(response_mask(spark, folder))
+
+
 def response_mask(spark, folder):
     return response_mask_report(chat_turns_to_conversations(_faulty_turns(spark, folder)))
 
@@ -418,6 +426,19 @@ def json_lines_file(spark, folder):
     return _dialog(normalize_conversations(read_records(spark, path))).select("dialog")
 
 
+def json_list_file(spark, folder):
+    """Lists of up to a hundred conversations, one JSON document per file."""
+    rows = messages_to_sharegpt(_conversations(spark, folder))
+    record = F.to_json(F.struct("conversations"))
+    lists = rows.groupBy(F.floor(F.col("seq") / 100).alias("part")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(record), ","), F.lit("]")).alias("value")
+    )
+    path = f"{_new_path(spark, 'lists')}.json"
+    lists.write.partitionBy("part").text(path)
+    records = read_records(spark, path, layout="document")
+    return _dialog(normalize_conversations(records, json=True)).select("dialog")
+
+
 def csv_file(spark, folder):
     path = f"{_new_path(spark, 'pairs')}.csv"
     write_merged_csv(_part_pairs(spark, folder), path)
@@ -506,7 +527,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         search_prompts,
         chat_text,
         response_mask,
+        learned,
         json_lines_file,
+        json_list_file,
         csv_file,
         csv_pairs,
         built_report,
