@@ -10,7 +10,10 @@ in the Jaccard metric.  Components are the classes of linked documents.
    n-grams, so cutting the n-gram space into D + 1 slices leaves one slice without any
    difference: a region is all documents of a shell that agree on a slice.  Random
    documents share no n-gram, are at distance 1 from every pivot, and would be copied into
-   every Voronoi cell; this step keeps them apart, and it loses no link.
+   every Voronoi cell; this step keeps them apart, and it loses no link.  There are
+   ``SPARE`` times D + 1 slices, so linked documents agree on more than one, and each leaves
+   out as many of its most crowded slices as that allows: documents that share no more than
+   a common passage do not meet in it.
 2. Pivots.  Each region takes as pivot the member that shares most slices with others (in
    a group of edited copies that is the original).  All members measure their distance to
    the pivot: a Voronoi cell of documents per pivot, with documents near several pivots
@@ -35,6 +38,7 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,10 +51,12 @@ from chatprep.llm.common import fresh, read_table, stage
 from chatprep.llm.components import connected_components
 
 SHELL = 0.1  # smallest over largest size of a shell is the similarity less this
+SPARE = 1.5  # slices over the number that makes one agree
 SALT = 512  # members of a cell that one task measures
 BLOCK = 512  # documents held while a window streams past
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-SLICE, LOCAL, SIZE = 0, 1, 2
+SLICE, LOCAL, SIZE, SHELL_OF = 0, 1, 2, 3
+SHELL_BITS = 3  # low bits of a slice hash tell the shells of a document apart
 BATCH = 2048
 
 
@@ -84,16 +90,30 @@ def _shells(size: int, num: int, den: int) -> list[tuple[int, int]]:
     return found
 
 
+def _most_differences(size: int, num: int, den: int) -> int:
+    """D: the largest symmetric difference of two linked sets of this size."""
+    return (den - num) * 2 * size // (den + num)
+
+
+def _slice_count(high: int, num: int, den: int) -> tuple[int, int]:
+    """(slices of a shell, how many of them linked sets agree on beyond one)."""
+    least = _most_differences(high, num, den) + 1
+    slices = math.ceil(SPARE * least)
+    return slices, slices - least
+
+
 def slice_hashes(grams: np.ndarray, num: int, den: int) -> np.ndarray:
     """One hash per slice of every shell of the set."""
     out = []
     inside = np.concatenate(([np.uint64(0)], np.cumsum(_mix(grams))))
     for number, high in _shells(len(grams), num, den):
-        slices = np.uint64((den - num) * 2 * high // (den + num) + 1)
+        slices = np.uint64(_slice_count(high, num, den)[0])
         place = ((grams >> np.uint64(32)) * slices) >> np.uint64(32)
         edges = np.searchsorted(place, np.arange(int(slices) + 1, dtype=np.uint64))
         tag = np.arange(int(slices), dtype=np.uint64) + np.uint64(number << 32)
-        out.append(_mix((inside[edges[1:]] - inside[edges[:-1]]) * M1 + _mix(tag)))
+        key = _mix((inside[edges[1:]] - inside[edges[:-1]]) * M1 + _mix(tag))
+        shell = np.uint64(number % (1 << SHELL_BITS))
+        out.append(key >> np.uint64(SHELL_BITS) << np.uint64(SHELL_BITS) | shell)
     return np.concatenate(out).view(np.int64)
 
 
@@ -106,13 +126,16 @@ def _slices(n: int, num: int, den: int):
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH):
                 ids = whole.column(0).slice(at, BATCH).to_pylist()
-                sizes, docs, hashes = [], [], []
+                sizes, docs, hashes, shells = [], [], [], []
                 for i, text in zip(ids, whole.column(1).slice(at, BATCH)):
                     grams = ngram_set(text.as_py(), n)
                     sizes.append(len(grams))
                     if i is not None and len(grams):
                         hashes.append(slice_hashes(grams, num, den))
                         docs.append(np.full(len(hashes[-1]), i, np.int64))
+                        for number, high in _shells(len(grams), num, den):
+                            spare = _slice_count(high, num, den)[1]
+                            shells.append(((spare << SHELL_BITS) + number % (1 << SHELL_BITS), i))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(ids), SIZE, np.int8)),
@@ -123,6 +146,8 @@ def _slices(n: int, num: int, den: int):
                 )
                 if not hashes:
                     continue
+                spare, owner = (np.array(c, np.int64) for c in zip(*shells))
+                yield _batch(kind=np.full(len(spare), SHELL_OF, np.int8), slice=spare, doc=owner)
                 key, doc = np.concatenate(hashes), np.concatenate(docs)
                 order = np.lexsort((doc, key))
                 key, doc = key[order], doc[order]
@@ -279,14 +304,32 @@ def _links(links: list[tuple]) -> pa.RecordBatch:
     return _batch(u=np.array(u, np.int64), v=np.array(v, np.int64))
 
 
-def _regions(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """(doc, size) of every row, and (slice, doc) of every slice that several documents share."""
+def _regions(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc, size) of every row, (slice, doc) of every slice that several documents share, and shells."""
     rows = docs.mapInArrow(_slices(n, num, den), "kind tinyint, slice bigint, doc bigint")
     target = F.when(F.col("kind") == SLICE, F.col("slice")).otherwise(F.xxhash64("doc"))
     sorted_rows = rows.repartition(target).sortWithinPartitions("kind", "slice", "doc")
     found = stage(sorted_rows.mapInArrow(_repeated, "kind tinyint, slice bigint, doc bigint"), "jaccard-regions")
     sizes = found.filter(F.col("kind") == SIZE).select("doc", F.col("slice").alias("size"))
-    return sizes, found.filter(F.col("kind") != SIZE).select("slice", "doc").distinct()
+    shells = found.filter(F.col("kind") == SHELL_OF).select("slice", "doc")
+    return sizes, found.filter(F.col("kind") < SIZE).select("slice", "doc").distinct(), shells
+
+
+def _prefixes(members: DataFrame, shells: DataFrame) -> DataFrame:
+    """The members without those slices of each document that every partner can spare.
+
+    Linked sets agree on more than ``spare`` slices of each shell they share, so with all
+    slices in one order a document may leave its last ``spare`` ones out: the others still
+    meet.  The most crowded slices come last.  ``shells`` has a row (doc, slice) per shell
+    of a document: the shell in the low bits, above them the number to spare.
+    """
+    members = stage(members, "jaccard-members")
+    held = members.groupBy("slice").agg(F.count(F.lit(1)).alias("held"))
+    low = F.col("slice").bitwiseAND(F.lit((1 << SHELL_BITS) - 1)).alias("shell")
+    spares = shells.groupBy("doc", low).agg(F.min(F.shiftright("slice", SHELL_BITS)).alias("spare"))
+    last = Window.partitionBy("doc", "shell").orderBy(F.col("held").desc(), F.col("slice").desc())
+    ranked = members.join(held, "slice").select("doc", low, "slice", "held").withColumn("nth", F.row_number().over(last))
+    return ranked.join(spares, ["doc", "shell"]).filter("nth > spare").select("slice", "doc")
 
 
 def _cells(members: DataFrame) -> DataFrame:
@@ -294,7 +337,7 @@ def _cells(members: DataFrame) -> DataFrame:
 
     ``crowded`` tells whether a region of both has a third member.
     """
-    members = stage(members, "jaccard-members")
+    members = stage(members, "jaccard-prefixes")
     shared = members.groupBy("doc").agg(F.count(F.lit(1)).alias("shared"))
     weighed = members.join(shared, "doc")
     pivots = weighed.groupBy("slice").agg(
@@ -351,8 +394,8 @@ def _inner_links(distances: DataFrame, num: int, den: int) -> DataFrame:
 def jaccard_classes(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """(doc, size) of every row of (doc, text), and (node, component) of every linked document."""
     docs = docs.select("doc", F.col("text").cast("binary").alias("text"))
-    sizes, members = _regions(docs, n, num, den)
-    distances = _distances(docs, _cells(members), n, num, den)
+    sizes, members, shells = _regions(docs, n, num, den)
+    distances = _distances(docs, _cells(_prefixes(members, shells)), n, num, den)
     direct = distances.filter("linked").select(F.col("doc").alias("u"), F.col("pivot").alias("v"))
     return sizes, connected_components(direct.unionByName(_inner_links(distances, num, den)))
 
