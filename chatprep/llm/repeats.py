@@ -17,28 +17,32 @@ from pyspark.sql import functions as F
 KEYED, LOCAL = 0, 1
 
 
-def keyed_batches(key: np.ndarray, check: np.ndarray, doc: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows (kind, key, check, doc, place) of one batch, ready for ``repeated``."""
-    order = np.lexsort((place, doc, check, key))
-    key, check, doc, place = (c[order] for c in (key, check, doc, place))
+def first_and_again(key: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by key; and in that order the first row of each key, and all rows of repeated keys."""
+    order = np.lexsort((check, key))
+    key, check = key[order], check[order]
     first = np.concatenate(([True], (key[1:] != key[:-1]) | (check[1:] != check[:-1])))
-    again = ~first | np.concatenate((~first[1:], [False]))
-    names = ["kind", "key", "check", "doc", "place"]
-    for kind, chosen in ((KEYED, first), (LOCAL, again)):
-        if chosen.any():
-            columns = [np.full(chosen.sum(), kind, np.int8), key[chosen], check[chosen], doc[chosen], place[chosen]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+    return order, first, ~first | np.concatenate((~first[1:], [False]))
+
+
+def keyed(kind: int, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """A batch of one kind: key and check first, then the payload."""
+    rows = len(columns["key"])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(rows, kind, np.int8)), *map(pa.array, columns.values())], names=["kind", *columns]
+    )
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by (kind, key, check): those whose key has a neighbour, and all local ones."""
     last, given = None, False  # the last keyed row as a batch of one, and whether it went out
     for batch in batches:
-        keyed = batch.column(0).to_numpy(zero_copy_only=False) == KEYED
-        rest = batch.filter(pa.array(~keyed))
+        by_key = batch.column(0).to_numpy(zero_copy_only=False) == KEYED
+        payload = [n for n in batch.schema.names if n not in ("kind", "check")]
+        rest = batch.filter(pa.array(~by_key))
         if rest.num_rows:
-            yield rest.select(["key", "doc", "place"])
-        mine = batch.filter(pa.array(keyed))
+            yield rest.select(payload)
+        mine = batch.filter(pa.array(by_key))
         if not mine.num_rows:
             continue
         if last is not None:
@@ -51,15 +55,16 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out[0] = False
         last, given = mine.slice(mine.num_rows - 1), tail
         if out.any():
-            yield mine.filter(pa.array(out)).select(["key", "doc", "place"])
+            yield mine.filter(pa.array(out)).select(payload)
 
 
-def repeated(rows: DataFrame, batches: Callable) -> DataFrame:
-    """(key, doc, place) of repeated keys; ``batches`` turns Arrow batches of ``rows`` into keyed ones.
+def repeated(rows: DataFrame, batches: Callable, payload: str) -> DataFrame:
+    """(key, payload) of repeated keys; ``batches`` turns Arrow batches of ``rows`` into keyed ones.
 
     A row may come twice.
     """
-    keyed = rows.mapInArrow(batches, "kind tinyint, key bigint, check bigint, doc bigint, place int")
-    target = F.when(F.col("kind") == KEYED, F.col("key")).otherwise(F.xxhash64("doc", "place"))
-    laid = keyed.repartition(target).sortWithinPartitions("kind", "key", "check")
-    return laid.mapInArrow(_runs, "key bigint, doc bigint, place int")
+    found = rows.mapInArrow(batches, f"kind tinyint, key bigint, check bigint, {payload}")
+    names = [column.split()[0] for column in payload.split(", ")]
+    target = F.when(F.col("kind") == KEYED, F.col("key")).otherwise(F.xxhash64(*names))
+    laid = found.repartition(target).sortWithinPartitions("kind", "key", "check")
+    return laid.mapInArrow(_runs, f"key bigint, {payload}")

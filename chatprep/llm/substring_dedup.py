@@ -11,8 +11,8 @@ starts anywhere else are removed.
    that belong to the anchor.  A group of up to ``GROUP`` suffixes fits in memory; the
    prefix of a larger one is lengthened to the whole window, which makes every group a
    single node of the tree and needs no memory at all.
-3. Subtrees.  A task sorts the suffixes of its groups; neighbours whose common prefix
-   reaches ``length`` words hang below one deep inner node and are a repeat.
+3. Subtrees.  A task numbers the nodes of its groups' trees at depths 1, 2, 4, ... and
+   ``length``; a node at that depth with two suffixes or more is a repeat.
 
 Windows are judged on the input.  Word sequences are compared by 64-bit hashes of their
 words (whole windows of large groups by 128 bits).
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatprep.llm.common import read_table, stage
-from chatprep.llm.repeats import keyed_batches, repeated
+from chatprep.llm.repeats import KEYED, LOCAL, first_and_again, keyed, repeated
 
 LENGTH = 35
 PREFIX = 8
@@ -91,9 +91,11 @@ def _anchor_rows(length: int):
                     keys.append(gram.view(np.int64))
                     docs.append(np.full(len(where), i, np.int64))
                     places.append(where.astype(np.int32))
-                key = np.concatenate(keys)
+                key, doc, place = map(np.concatenate, (keys, docs, places))
                 if len(key):
-                    yield from keyed_batches(key, np.zeros_like(key), *map(np.concatenate, (docs, places)))
+                    order, first, again = first_and_again(key, np.zeros_like(key))
+                    for kind, rows in ((KEYED, order[first]), (LOCAL, order[again])):
+                        yield keyed(kind, {"key": key[rows], "check": np.zeros(len(rows), np.int64), "doc": doc[rows], "place": place[rows]})
 
     return run
 
@@ -103,7 +105,7 @@ def _suffixes(length: int, prefix: int = PREFIX):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["anchor", "large", "doc", "digest", "first", "words"]
-        types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 rows = []
@@ -128,76 +130,87 @@ def _suffixes(length: int, prefix: int = PREFIX):
     return run
 
 
-def _windows(words: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All windows of the word runs as rows, the run of each, and its place in the run."""
-    views = [np.lib.stride_tricks.sliding_window_view(w, length) for w in words]
-    run = np.repeat(np.arange(len(words)), [len(v) for v in views])
-    place = np.concatenate([np.arange(len(v)) for v in views])
-    return np.concatenate(views), run, place
+def _flat(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of all suffixes in one array; of each full window its start there, its suffix, its place in the text."""
+    column = batch.column("words")
+    edges = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] // 8
+    words = np.frombuffer(column.buffers()[2], np.uint64, int(edges[-1]))[edges[0] :]
+    edges = edges - edges[0]
+    sizes = np.diff(edges)
+    suffix = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(words)) - edges[suffix]
+    starts = np.flatnonzero(place <= sizes[suffix] - length)
+    first = batch.column("first").to_numpy().astype(np.int64)
+    return words, starts, suffix[starts], first[suffix[starts]] + place[starts]
 
 
-def _spans(doc, digest, start) -> pa.RecordBatch:
-    """Sorted distinct window starts joined to runs (doc, digest, first, last)."""
+def _spans(batch: pa.RecordBatch, suffix: np.ndarray, start: np.ndarray) -> dict[str, np.ndarray]:
+    """Window starts joined to runs (doc, digest, first, last)."""
+    doc, digest = (batch.column(c).to_numpy()[suffix] for c in ("doc", "digest"))
     order = np.lexsort((start, digest, doc))
     doc, digest, start = doc[order], digest[order], start[order]
     cut = (doc[1:] != doc[:-1]) | (digest[1:] != digest[:-1]) | (start[1:] > start[:-1] + 1)
-    head = np.concatenate(([True], cut))
-    tail = np.concatenate((cut, [True]))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(doc[head]), pa.array(digest[head]), pa.array(start[head]), pa.array(start[tail])],
-        names=["doc", "digest", "first", "last"],
-    )
+    head, tail = np.concatenate(([True], cut)), np.concatenate((cut, [True]))
+    return {"doc": doc[head], "digest": digest[head], "first": start[head], "last": start[tail]}
+
+
+def nodes_at_depth(words: np.ndarray, depth: int) -> np.ndarray:
+    """For every suffix of the array that has ``depth`` words, the number of its node at that depth.
+
+    Suffixes share a node if they share as many words.  Nodes at depth 2d are pairs of nodes
+    at depth d, so the numbers are exact and take log(depth) sorts.
+    """
+    nodes, done = np.unique(words, return_inverse=True)[1], 1
+    while done < depth:
+        step = min(done, depth - done)
+        pairs = nodes[: len(nodes) - step] * np.int64(len(words)) + nodes[step:]
+        nodes, done = np.unique(pairs, return_inverse=True)[1], done + step
+    return nodes
 
 
 def _subtrees(length: int):
-    """Rows (anchor, doc, digest, first, words) sorted by anchor to runs of repeated windows."""
-
-    def repeats(held):
-        words = [np.frombuffer(w, np.uint64) for *_, w in held]
-        rows, run, place = _windows(words, length)
-        # Suffixes in order; equal neighbours share a node at depth ``length``.
-        text = np.ascontiguousarray(rows).view(np.dtype((np.void, 8 * length))).ravel()
-        order = np.argsort(text, kind="stable")
-        same = (rows[order[1:]] == rows[order[:-1]]).all(axis=1)
-        deep = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
-        if not len(deep):
+    """Suffixes sorted by anchor to runs of windows that share a node at depth ``length``."""
+
+    def repeats(held: pa.RecordBatch) -> pa.RecordBatch | None:
+        words, starts, suffix, place = _flat(held, length)
+        node = nodes_at_depth(words, length)[starts]
+        deep = np.bincount(node)[node] > 1
+        if not deep.any():
             return None
-        doc = np.array([d for _, d, *_ in held], np.int64)
-        digest = np.array([g for _, _, g, *_ in held], np.int64)
-        first = np.array([f for *_, f, _ in held], np.int64)
-        at = run[deep]
-        return _spans(doc[at], digest[at], first[at] + place[deep])
+        spans = _spans(held, suffix[deep], place[deep])
+        return pa.RecordBatch.from_arrays([pa.array(v) for v in spans.values()], names=list(spans))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        held = None
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if len(held) >= GROUP and row[0] != held[-1][0]:
-                    if (found := repeats(held)) is not None:
-                        yield found
-                    held = []
-                held.append(row)
-        if held and (found := repeats(held)) is not None:
+            held = batch if held is None else pa.concat_batches([held, batch])
+            anchor = held.column("anchor").to_numpy()
+            cut = int(np.searchsorted(anchor, anchor[-1]))  # the last group may go on
+            if cut:
+                if (found := repeats(held.slice(0, cut))) is not None:
+                    yield found
+                held = held.slice(cut)
+        if held is not None and held.num_rows and (found := repeats(held)) is not None:
             yield found
 
     return run
 
 
 def _long_prefixes(length: int):
-    """Suffixes of large groups to one keyed row per window; the digest travels in the place of the id."""
+    """Suffixes of large groups to one keyed row per window, or to runs where a batch repeats them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, BATCH):
-                keys, checks, rows, places = [], [], [], []
-                for row, first, words in zip(*(batch.column(k).slice(at, BATCH).to_pylist() for k in range(3))):
-                    words = np.frombuffer(words, np.uint64)
-                    keys.append(_window_hashes(words, length, P).view(np.int64))
-                    checks.append(_window_hashes(words, length, Q).view(np.int64))
-                    rows.append(np.full(len(keys[-1]), row, np.int64))
-                    places.append((first + np.arange(len(keys[-1]))).astype(np.int32))
-                row = np.concatenate(rows)
-                yield from keyed_batches(*map(np.concatenate, (keys, checks)), row, np.concatenate(places))
+            words, starts, suffix, place = _flat(batch, length)
+            key, check = (_window_hashes(words, length, seed)[starts].view(np.int64) for seed in (P, Q))
+            order, first, again = first_and_again(key, check)
+            one = order[first]
+            doc, digest = (batch.column(c).to_numpy()[suffix[one]] for c in ("doc", "digest"))
+            yield keyed(KEYED, {"key": key[one], "check": check[one], "doc": doc, "digest": digest, "first": place[one], "last": place[one]})
+            if again.any():
+                spans = _spans(batch, suffix[order[again]], place[order[again]])
+                none = np.zeros(len(spans["doc"]), np.int64)
+                yield keyed(LOCAL, {"key": none, "check": none, **spans})
 
     return run
 
@@ -208,7 +221,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     ``doc`` is never null; rows with the same (doc, digest) are copies.
     """
     docs = docs.select("doc", "digest", F.col("text").cast("binary").alias("text"))
-    found = stage(repeated(docs.select("doc", "text"), _anchor_rows(length)), "repeated-prefixes")
+    found = stage(repeated(docs.select("doc", "text"), _anchor_rows(length), "doc bigint, place int"), "repeated-prefixes")
     large = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > GROUP).select("key", F.lit(True).alias("large"))
     marked = found.join(large, "key", "left")
     places = marked.groupBy(F.col("doc").alias("id")).agg(
@@ -216,17 +229,13 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     )
     chosen = docs.join(places, docs["doc"] == places["id"]).select("doc", "digest", "text", "places", "large")
     suffixes = stage(
-        chosen.mapInArrow(_suffixes(length), "anchor bigint, large boolean, doc bigint, digest bigint, first int, words binary"),
+        chosen.mapInArrow(_suffixes(length), "anchor bigint, large boolean, doc bigint, digest bigint, first bigint, words binary"),
         "suffixes",
     )
     spans = "doc bigint, digest bigint, first bigint, last bigint"
     groups = suffixes.filter("NOT large").drop("large").repartition("anchor").sortWithinPartitions("anchor")
     trees = groups.mapInArrow(_subtrees(length), spans)
-    # Rows of large groups go by a number of their own, so that equal rows repeat each other.
-    numbered = suffixes.filter("large").select(F.monotonically_increasing_id().alias("row"), "doc", "digest", "first", "words")
-    nodes = repeated(numbered.select("row", "first", "words"), _long_prefixes(length)).distinct()
-    nodes = nodes.join(numbered.select("row", F.col("doc").alias("id"), "digest"), nodes["doc"] == F.col("row"))
-    nodes = nodes.select(F.col("id").alias("doc"), "digest", F.col("place").cast("bigint").alias("first"), F.col("place").cast("bigint").alias("last"))
+    nodes = repeated(suffixes.filter("large").drop("large", "anchor"), _long_prefixes(length), spans).drop("key")
     return trees.unionByName(nodes).groupBy("doc", "digest").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
 
