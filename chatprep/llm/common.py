@@ -33,6 +33,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
         spark.conf.set(setting, before) if before is not None else spark.conf.unset(setting)
 
 
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Marked for broadcast if it is counted to have no more rows than the limit."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z and nothing else; null becomes the empty text."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())

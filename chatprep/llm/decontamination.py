@@ -7,8 +7,8 @@ those tokens only; a match fixes where the window would start, the length and po
 bounds drop windows that would stand out of the document, and what remains is compared
 word by word.
 
-The benchmark side is broadcast only when its rows are counted and within
-``BROADCAST_ROWS``; beyond that Spark joins by shuffle.  Each document row gives rows for
+The benchmark side is broadcast only when it is counted to have 200,000 rows or fewer;
+beyond that Spark joins by shuffle.  Each document row gives rows for
 its own matches only, so a passage that a third of all documents quote costs its
 occurrences and no more.
 
@@ -22,23 +22,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatprep.llm.common import fresh, group_key, lower_ascii, read_table, split_words, stage
+from chatprep.llm.common import broadcast_if_small, fresh, group_key, lower_ascii, read_table, split_words, stage
 
 # Word characters are digits, letters a-z and everything beyond ASCII.
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
-BROADCAST_ROWS = 200_000
 
 
 def content_words(text: Column) -> Column:
     return split_words(lower_ascii(text), BREAKS)
 
 
-def _small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Marked for broadcast if it is counted to be small enough."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
 def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     """(window_id, item_ids as rows) stored: window_id, item_id, words of every distinct window."""
     words = items.filter("item_id IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), content_words(F.col("text")).alias("w"))
@@ -57,7 +51,7 @@ def rarest_tokens(windows: DataFrame, docs: DataFrame) -> DataFrame:
     distinct = windows.dropDuplicates(["window_id"]).select("window_id", "words")
     vocabulary = distinct.select(F.explode("words").alias("token")).distinct()
     held = docs.select(F.explode(F.array_distinct(content_words(F.col("text")))).alias("token"))
-    spread = held.join(_small(vocabulary), "token").groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    spread = held.join(broadcast_if_small(vocabulary), "token").groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     places = distinct.select("window_id", F.posexplode("words").alias("place", "token"))
     rarity = F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token", "place")
     first = places.join(spread, "token", "left").groupBy("window_id").agg(F.min(rarity).alias("first"))
@@ -75,7 +69,7 @@ def window_hits(docs: DataFrame, tokens: DataFrame) -> DataFrame:
     spots = words.select("key", "digest", "w", F.posexplode("w").alias("pos", "token"))
     start = F.col("pos") - F.col("place") + 1
     return (
-        spots.join(_small(tokens), "token")
+        spots.join(broadcast_if_small(tokens), "token")
         .filter((start >= 1) & (start + F.col("size") - 1 <= F.size("w")))
         .filter(F.slice("w", start, F.col("size")) == F.col("words"))
         .select("key", "digest", start.alias("start"), "size", "window_id")

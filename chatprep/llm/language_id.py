@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chatprep.llm.common import fresh, is_held_out, read_table, seeded_hash
+from chatprep.llm.common import broadcast_if_small, fresh, is_held_out, read_table, seeded_hash
 
 UNKNOWN = "und"
 PER_LANGUAGE = 300
@@ -103,10 +103,14 @@ def fit(labelled: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: floa
 def train(docs: DataFrame, label: Column, per_language: int = PER_LANGUAGE) -> LanguageModel | None:
     """Fit on up to ``per_language`` rows of each label; rows with a null label are left out."""
     drawn = docs.select("doc_id", label.alias("lang"), seeded_hash(5, F.col("doc_id")).alias("draw"), F.xxhash64("text").alias("digest"))
+    drawn = drawn.filter("lang IS NOT NULL AND doc_id IS NOT NULL")
+    # Of each language only draws low enough for a few times the sample are ranked, so that
+    # a common language is no large task.
+    counts = drawn.groupBy("lang").agg((F.lit(4.0 * per_language * (1 << 52)) / F.count(F.lit(1))).alias("ceiling"))
+    drawn = drawn.join(broadcast_if_small(counts), "lang").filter("draw <= ceiling").drop("ceiling")
     first = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "digest"))
     sample = (
-        drawn.filter("lang IS NOT NULL AND doc_id IS NOT NULL")
-        .withColumn("nth", first)
+        drawn.withColumn("nth", first)
         .filter(F.col("nth") <= per_language)
         .drop("draw")
     )
