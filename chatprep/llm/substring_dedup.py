@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatprep.llm.common import read_table, stage
+from chatprep.llm.common import broadcast_if_small, read_table, stage
 from chatprep.llm.repeats import KEYED, LOCAL, first_and_again, keyed, repeated
 
 LENGTH = 35
@@ -223,7 +223,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     docs = docs.select("doc", "digest", F.col("text").cast("binary").alias("text"))
     found = stage(repeated(docs.select("doc", "text"), _anchor_rows(length), "doc bigint, place int"), "repeated-prefixes")
     large = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > GROUP).select("key", F.lit(True).alias("large"))
-    marked = found.join(large, "key", "left")
+    marked = found.join(broadcast_if_small(stage(large, "large-groups")), "key", "left")
     places = marked.groupBy(F.col("doc").alias("id")).agg(
         F.collect_set("place").alias("places"), F.collect_set(F.when(F.col("large"), F.col("place"))).alias("large")
     )
