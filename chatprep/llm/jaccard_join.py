@@ -355,7 +355,7 @@ def _distances(docs: DataFrame, cells: DataFrame, n: int, num: int, den: int) ->
     others = cells.join(pivots, "pivot").select("pivot", salt, F.lit(1).alias("role"), "doc", "crowded")
     laid = (
         own.unionByName(others)
-        .join(docs, "doc")
+        .join(docs.hint("merge"), "doc")  # one plan for few and many cells
         .select("pivot", "salt", "role", "doc", "crowded", "text")
         .repartition("pivot", "salt")
         .sortWithinPartitions("pivot", "salt", "role")
