@@ -9,8 +9,9 @@ per character under the best automaton, against a bigram model of ordinary long
 A candidate that beats it by at least half of what the median labelled credential does is
 a span of kind ``format``.
 
-One pass reads the texts and stores spans and candidates; training takes
-``SAMPLE`` values of a kind and ``ORDINARY`` ordinary tokens at most, chosen by hash.
+One pass reads the texts and stores spans and candidates.  The automata are fitted on at
+most ``SAMPLE`` labelled values of a kind, chosen by hash; the bigrams count the character
+pairs of all candidates, summed in the tasks, so only the counts reach the driver.
 
 Null texts are empty.  Without labelled credentials there are no automata and no added
 spans.  Repeated rows get equal results; an empty table gives an empty result.
@@ -23,6 +24,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -37,7 +39,6 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # maximal runs, as the shorter ones fail
 TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 SAMPLE = 200
-ORDINARY = 2000
 LONGEST = 128  # characters of a credential that a grammar learns and scores
 ALPHA = 0.05
 FLOOR = 1e-4
@@ -143,11 +144,11 @@ class Automaton:
 class Bigrams:
     """Ordinary long tokens: each character given the one before.
 
+    ``seen`` has the counts of pairs, with ^ before the first character and $ after the last.
     A pair seen once counts as unseen: it may come from a credential among the tokens.
     """
 
-    def __init__(self, tokens: list[str]):
-        seen = Counter(pair for t in tokens for pair in zip("^" + t[:LONGEST], t[:LONGEST] + "$"))
+    def __init__(self, seen: dict[tuple[str, str], int]):
         self.pairs = Counter({pair: n - 1 for pair, n in seen.items()})
         self.heads = Counter()
         for (a, _), n in self.pairs.items():
@@ -161,7 +162,7 @@ class Bigrams:
 class Formats:
     """Automata of all kinds, the ordinary tokens, and the margin a credential must reach."""
 
-    def __init__(self, credentials: dict[str, list[str]], ordinary: list[str]):
+    def __init__(self, credentials: dict[str, list[str]], ordinary: dict[tuple[str, str], int]):
         self.automata = [Automaton(v) for _, v in sorted(credentials.items()) if v]
         self.ordinary = Bigrams(ordinary)
         reached = sorted(self.likelihood(s) for v in credentials.values() for s in v)
@@ -207,18 +208,38 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, f.type) for c, f in zip((base, labelled, others), list(schema)[1:]))], schema=schema)
 
 
-def learn_formats(scanned: DataFrame, sample: int = SAMPLE, ordinary: int = ORDINARY) -> Formats:
-    """Automata from a bounded sample of distinct credentials of each kind."""
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lists of candidates to the counts of their character pairs: the alphabet squared at most."""
+    total = np.zeros(1 << 14, np.int64)
+    for batch in batches:
+        tokens = batch.column(0).flatten().field("token")
+        for at in range(0, len(tokens), 512):
+            text = "".join(f"^{t}$" for t in tokens.slice(at, 512).to_pylist())
+            codes = np.frombuffer(text.encode("ascii"), np.uint8).astype(np.int64)
+            total += np.bincount(codes[:-1] << 7 | codes[1:], minlength=1 << 14)
+    total[ord("$") << 7 | ord("^")] = 0  # from one token to the next
+    held = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["pair", "n"])
+
+
+def character_pairs(scanned: DataFrame) -> dict[tuple[str, str], int]:
+    """How often each pair of characters stands in the candidates of all texts.
+
+    Occurrences, not distinct tokens: what is written often is ordinary.
+    """
+    counts = scanned.select("others").mapInArrow(_pairs, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    return {(chr(r["pair"] >> 7), chr(r["pair"] & 127)): r["n"] for r in counts.collect()}
+
+
+def learn_formats(scanned: DataFrame, sample: int = SAMPLE) -> Formats:
+    """Automata from a bounded sample of distinct credentials of each kind, bigrams of all candidates."""
     values = scanned.select(F.explode("labelled").alias("x")).select("x.kind", "x.value").distinct()
     nth = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value"))
     chosen = values.withColumn("nth", nth).filter(F.col("nth") <= sample).select("kind", "value").collect()
-    # Occurrences, not distinct tokens: what is written often is ordinary.
-    tokens = scanned.select("doc_id", F.explode("others").alias("x")).select("x.token", F.xxhash64("doc_id", "x.start").alias("draw"))
-    tokens = tokens.orderBy("draw", "token").limit(ordinary)
     credentials = defaultdict(list)
     for row in sorted(chosen):
         credentials[row["kind"]].append(row["value"])
-    return Formats(credentials, sorted(r["token"] for r in tokens.collect()))
+    return Formats(credentials, character_pairs(scanned))
 
 
 def _added(formats: Formats):

@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -76,6 +77,16 @@ def test_automaton_separates_formats():
     assert automaton.per_character("AK123456789012") > automaton.per_character("someordinaryword") + 1
 
 
+def test_bigrams_count_every_candidate(spark):
+    draw = random.Random(3)
+    tokens = ["".join(draw.choices("abcdefghij/-_", k=draw.randrange(16, 40))) for _ in range(5000)]
+    rows = [(i, " ".join(tokens[5 * i : 5 * i + 5])) for i in range(1000)] + [(1001, None), (1002, "none")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = secret_scan.learn_formats(docs.repartition(7).mapInArrow(secret_scan._scan, secret_scan.SCAN)).ordinary
+    seen = Counter(pair for t in tokens for pair in zip("^" + t, t + "$"))
+    assert found.pairs == Counter({pair: n - 1 for pair, n in seen.items()})
+
+
 def test_weak_labels_accept_spans_with_support_only(spark):
     rows = [(i, f"call tel +1 (499) 555-{1000 + i} now") for i in range(80)]
     rows += [(200 + i, f"call phone (499) 555-{2000 + i} now") for i in range(20)]
