@@ -7,10 +7,12 @@ with Hoeffding bounds); the result is a small probabilistic automaton of the for
 Every other long token of every text is a candidate and is scored by its log likelihood
 per character under the best automaton, against a bigram model of ordinary long tokens.
 A candidate that beats it by at least half of what the median labelled credential does is
-a span of kind ``format``.
+a span of kind ``format``.  A candidate that does not, say a path or a URL, is taken apart
+at its separators, the weak ones last, and each piece that does is a span.  Tokens and
+pieces are scored from end to end, whatever their length.
 
 One pass reads the texts and stores spans and candidates.  The automata are fitted on at
-most ``SAMPLE`` labelled values of a kind, chosen by hash; the bigrams count the character
+most ``SAMPLE`` whole labelled values of a kind, with ``CHARACTERS`` in all, chosen by hash; the bigrams count the character
 pairs of all candidates, summed in the tasks, so only the counts reach the driver.
 
 Null texts are empty.  Without labelled credentials there are no automata and no added
@@ -39,7 +41,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # maximal runs, as the shorter ones fail
 TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 SAMPLE = 200
-LONGEST = 128  # characters of a credential that a grammar learns and scores
+CHARACTERS = 200_000  # of the labelled values that one grammar is fitted on
+PIECES = [TOKEN, *(re.compile(p) for p in (r"[^/=]{16,}", r"[^/=.]{16,}", r"[^/=._+-]{16,}"))]
 ALPHA = 0.05
 FLOOR = 1e-4
 MARGIN = 0.5
@@ -64,7 +67,7 @@ class Automaton:
         for s in strings:
             state = 0
             self.count[0] += 1
-            for c in s[:LONGEST]:
+            for c in s:
                 self.taken[state][c] += 1
                 if c not in self.next[state]:
                     self.next[state][c] = len(self.count)
@@ -125,11 +128,14 @@ class Automaton:
             else:
                 red.append(state)
             blue = [(s, k) for s in red for k in sorted(self.next[s]) if self.next[s][k] not in red]
-        self.red = red
+        # Only these can be reached.
+        number = {s: k for k, s in enumerate(red)}
+        self.count, self.final, self.taken = ([x[s] for s in red] for x in (self.count, self.final, self.taken))
+        self.next = [{c: number[k] for c, k in self.next[s].items()} for s in red]
+        self.red = list(range(len(red)))
 
     def per_character(self, s: str) -> float:
         """Mean log likelihood of the characters and of the end."""
-        s = s[:LONGEST]
         state, total = 0, 0.0
         for c in s:
             n = self.count[state] or 1
@@ -155,7 +161,6 @@ class Bigrams:
             self.heads[a] += n
 
     def per_character(self, s: str) -> float:
-        s = s[:LONGEST]
         return sum(math.log((self.pairs[a, b] + 0.1) / (self.heads[a] + 10)) for a, b in zip("^" + s, s + "$")) / (len(s) + 1)
 
 
@@ -174,6 +179,20 @@ class Formats:
             return -math.inf
         return max(a.per_character(token) for a in self.automata) - self.ordinary.per_character(token)
 
+    def spans(self, token: str) -> list[tuple[int, int]]:
+        """(start, end) of the token if it reaches the margin, or else of its pieces that do."""
+        found, todo = [], [(0, len(token))]
+        for pattern in PIECES:
+            parts = [(part, m.span()) for part in todo for m in pattern.finditer(token, *part)]
+            todo = []
+            for whole, (start, end) in parts:
+                seen = pattern is not TOKEN and whole == (start, end)
+                if not seen and self.likelihood(token[start:end]) >= self.least:
+                    found.append((start, end))
+                else:
+                    todo.append((start, end))
+        return sorted(found)
+
 
 SCAN = f"doc_id bigint, base array<{SPAN}>, labelled array<struct<kind:string,value:string>>, others array<struct<start:int,end:int,token:string>>"
 
@@ -234,12 +253,15 @@ def character_pairs(scanned: DataFrame) -> dict[tuple[str, str], int]:
 def learn_formats(scanned: DataFrame, sample: int = SAMPLE) -> Formats:
     """Automata from a bounded sample of distinct credentials of each kind, bigrams of all candidates."""
     values = scanned.select(F.explode("labelled").alias("x")).select("x.kind", "x.value").distinct()
+    values = values.filter(F.length("value") <= CHARACTERS)
     nth = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value"))
-    chosen = values.withColumn("nth", nth).filter(F.col("nth") <= sample).select("kind", "value").collect()
-    credentials = defaultdict(list)
-    for row in sorted(chosen):
-        credentials[row["kind"]].append(row["value"])
-    return Formats(credentials, character_pairs(scanned))
+    chosen = values.withColumn("nth", nth).filter(F.col("nth") <= sample).select("kind", "nth", "value").collect()
+    credentials, left = defaultdict(list), defaultdict(lambda: CHARACTERS)
+    for kind, _, value in sorted(chosen):
+        if len(value) <= left[kind]:
+            left[kind] -= len(value)
+            credentials[kind].append(value)
+    return Formats({k: sorted(v) for k, v in credentials.items()}, character_pairs(scanned))
 
 
 def _added(formats: Formats):
@@ -248,7 +270,7 @@ def _added(formats: Formats):
         for others in batches:
             yield pd.Series(
                 [
-                    [{"kind": "format", "start": o["start"], "end": o["end"]} for o in row if formats.likelihood(o["token"]) >= formats.least]
+                    [{"kind": "format", "start": o["start"] + s, "end": o["start"] + e} for o in row for s, e in formats.spans(o["token"])]
                     for row in others
                 ]
             )

@@ -87,6 +87,31 @@ def test_bigrams_count_every_candidate(spark):
     assert found.pairs == Counter({pair: n - 1 for pair, n in seen.items()})
 
 
+def test_tokens_are_scored_from_end_to_end(spark):
+    draw = random.Random(4)
+
+    def key(k):
+        return "".join(draw.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=k))
+
+    plain = "internationalization/misunderstanding/incomprehensibilities"
+    path = "/".join([plain] * 4)
+    rows = [(i, f"{path} token = {key(32)} and more") for i in range(150)]
+    rows += [(1000, f"see {path}/{key(32)} here"), (1001, f"see {path} here"), (1002, f"see {path}/v1.{key(40)}/{plain}")]
+    rows += [(1003, key(40) + "internationalization" * 20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in secret_scan.find_secrets(docs).collect()}
+    at = len(f"see {path}/")
+    assert found[1000] == [("format", at, at + 32)] and found[1001] == []
+    assert found[1002] in ([("format", at, at + 43)], [("format", at + 3, at + 43)])
+    assert found[1003] == []  # only its first characters look like a credential
+    assert all([s[0] for s in found[i]] == ["assign"] for i in range(150))
+
+
+def test_long_credentials_are_learnt_to_their_end():
+    automaton = secret_scan.Automaton(["ab" * 100 + "c" for _ in range(200)])
+    assert automaton.per_character("ab" * 100 + "c") > automaton.per_character("ab" * 64) + 0.02
+
+
 def test_weak_labels_accept_spans_with_support_only(spark):
     rows = [(i, f"call tel +1 (499) 555-{1000 + i} now") for i in range(80)]
     rows += [(200 + i, f"call phone (499) 555-{2000 + i} now") for i in range(20)]
