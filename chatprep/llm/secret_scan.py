@@ -133,16 +133,20 @@ class Automaton:
         self.count, self.final, self.taken = ([x[s] for s in red] for x in (self.count, self.final, self.taken))
         self.next = [{c: number[k] for c, k in self.next[s].items()} for s in red]
         self.red = list(range(len(red)))
+        self.usual = [self.next[s][max(sorted(self.next[s]), key=self.taken[s].__getitem__)] if self.next[s] else 0 for s in self.red]
 
     def per_character(self, s: str) -> float:
-        """Mean log likelihood of the characters and of the end."""
+        """Mean log likelihood of the characters and of the end.
+
+        A character that its state has not seen costs one floor and stands for the most
+        frequent one there, so what follows is scored as well; after a state without any
+        successor it is scored from the start.
+        """
         state, total = 0, 0.0
         for c in s:
             n = self.count[state] or 1
             total += math.log(max(self.taken[state][c] / n, FLOOR))
-            state = self.next[state].get(c)
-            if state is None:
-                return (total + (len(s) - s.index(c)) * math.log(FLOOR)) / (len(s) + 1)
+            state = self.next[state].get(c, self.usual[state])
         total += math.log(max(self.final[state] / (self.count[state] or 1), FLOOR))
         return total / (len(s) + 1)
 

@@ -1,5 +1,6 @@
 """Secret and personal-data spans against the patterns as they are written down."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -112,6 +113,14 @@ def test_long_credentials_are_learnt_to_their_end():
     assert automaton.per_character("ab" * 100 + "c") > automaton.per_character("ab" * 64) + 0.02
 
 
+def test_unseen_transitions_cost_their_own_characters():
+    automaton = secret_scan.Automaton(["ab" * 16 for _ in range(200)])
+    whole, floor = automaton.per_character("ab" * 16), math.log(secret_scan.FLOOR) / 33
+    assert automaton.per_character("ab" * 15 + "aa") >= whole + 2 * floor
+    assert automaton.per_character("ab" * 8 + "xb" + "ab" * 7) >= whole + 2 * floor
+    assert automaton.per_character("x" * 32) < whole + 30 * floor
+
+
 def test_weak_labels_accept_spans_with_support_only(spark):
     rows = [(i, f"call tel +1 (499) 555-{1000 + i} now") for i in range(80)]
     rows += [(200 + i, f"call phone (499) 555-{2000 + i} now") for i in range(20)]
