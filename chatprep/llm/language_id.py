@@ -28,13 +28,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chatprep.llm.common import broadcast_if_small, fresh, is_held_out, read_table, seeded_hash
+from chatprep.llm.common import broadcast_if_small, is_held_out, read_table, seeded_hash
 
 UNKNOWN = "und"
 PER_LANGUAGE = 300
 LANDMARKS = 32
 RIDGE = 1e-2
 BATCH = 256
+FLOOR_TEXTS = 20  # labelled texts of a size that give it a floor
+FLOOR_SHARE = 0.1
 
 
 def spectrum(text: str) -> np.ndarray:
@@ -100,8 +102,8 @@ def fit(labelled: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: floa
     return LanguageModel(languages, grams, held @ (nystroem @ w), level - middle @ w)
 
 
-def train(docs: DataFrame, label: Column, per_language: int = PER_LANGUAGE) -> LanguageModel | None:
-    """Fit on up to ``per_language`` rows of each label; rows with a null label are left out."""
+def labelled_sample(docs: DataFrame, label: Column, per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
+    """(language, text) of up to ``per_language`` rows of each label; rows with a null label are left out."""
     drawn = docs.select("doc_id", label.alias("lang"), seeded_hash(5, F.col("doc_id")).alias("draw"), F.xxhash64("text").alias("digest"))
     drawn = drawn.filter("lang IS NOT NULL AND doc_id IS NOT NULL")
     # Of each language only draws low enough for a few times the sample are ranked, so that
@@ -116,7 +118,12 @@ def train(docs: DataFrame, label: Column, per_language: int = PER_LANGUAGE) -> L
     )
     texts = docs.select("doc_id", F.xxhash64("text").alias("digest"), "text").filter("text IS NOT NULL")
     rows = texts.join(F.broadcast(sample), ["doc_id", "digest"]).select("lang", "nth", "text").distinct()
-    return fit([(r["lang"], r["text"]) for r in sorted(rows.collect(), key=lambda r: (r["lang"], r["nth"]))])
+    return [(r["lang"], r["text"]) for r in sorted(rows.collect(), key=lambda r: (r["lang"], r["nth"]))]
+
+
+def train(docs: DataFrame, label: Column, per_language: int = PER_LANGUAGE) -> LanguageModel | None:
+    """Fit on the labelled sample."""
+    return fit(labelled_sample(docs, label, per_language))
 
 
 def predictor(model: LanguageModel | None):
@@ -139,12 +146,60 @@ def predictor(model: LanguageModel | None):
     return predict
 
 
+def best_scores(model: LanguageModel, spectra: list[np.ndarray]) -> np.ndarray:
+    """The highest score of each spectrum, none of them empty."""
+    parts = [model.scores(spectra[at : at + BATCH]).max(axis=1) for at in range(0, len(spectra), BATCH)]
+    return np.concatenate(parts) if parts else np.empty(0)
+
+
+def score_floors(model: LanguageModel, labelled: list[tuple[str, str]], least: int = FLOOR_TEXTS, share: float = FLOOR_SHARE) -> np.ndarray:
+    """The score that a text of a learned language reaches, by the bit length of its number of n-grams.
+
+    It lies above the score of a text without any known n-gram by ``share`` of the way to the
+    lowest of the labelled texts of the size.  There is no floor where labelled texts score
+    no better than that, as the shortest do.  A size with fewer than ``least`` of them goes
+    by the next smaller one, whose texts have less evidence.
+    """
+    spectra = [spectrum(text) for _, text in labelled if text]
+    sizes, best = np.array([len(s).bit_length() for s in spectra]), best_scores(model, spectra)
+    floors, unknown = np.full(64, -np.inf), model.base.max()
+    for size in range(1, len(floors)):
+        mine = best[sizes == size]
+        if len(mine) < least:
+            floors[size] = floors[size - 1]
+        elif mine.min() > unknown:
+            floors[size] = unknown + share * (mine.min() - unknown)
+    return floors
+
+
+def is_known(model: LanguageModel | None, floors: np.ndarray | None):
+    """A column function of the text: whether it has a letter and, with a model, a score from the floor up."""
+
+    @F.pandas_udf("boolean")
+    def known(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for series in batches:
+            texts = series.to_numpy(dtype=object)
+            out = np.array([isinstance(t, str) and any(map(str.isalpha, t)) for t in texts], bool)
+            lettered = np.flatnonzero(out) if model else []
+            for at in range(0, len(lettered), BATCH):
+                part = lettered[at : at + BATCH]
+                spectra = [spectrum(texts[i]) for i in part]
+                out[part] = best_scores(model, spectra) >= floors[[len(s).bit_length() for s in spectra]]
+            yield pd.Series(out)
+
+    return known
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows of ``docs`` whose language is known; null texts and texts without letters go."""
-    model = train(docs, F.col("lang"))
-    found = fresh(docs, "language_found")
-    judged = docs.withColumn(found, predictor(model)(F.col("text")))
-    return judged.filter(F.col(found)["lang_pred"] != UNKNOWN).drop(found)
+    """The rows of ``docs`` in a language that the labelled rows teach.
+
+    Null texts and texts without letters go, and so do texts that score below the floor of
+    their size.  Without labelled rows every text with a letter stays.
+    """
+    labelled = labelled_sample(docs, F.col("lang"))
+    model = fit(labelled)
+    floors = score_floors(model, labelled) if model else None
+    return docs.filter(is_known(model, floors)(F.col("text")))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Language and quality models: held-out accuracy and edge cases."""
 
 import os
+import random
 
 import numpy as np
 import pytest
@@ -51,6 +52,19 @@ def test_texts_without_letters_are_unknown(spark):
     assert {r["p"]["lang_pred"] for r in none} == {"und"}
 
 
+def test_stage_goes_by_the_score(spark):
+    draw = random.Random(5)
+    words = {"en": "the cat and dog that was one house tree with water".split(), "de": "der hund und katze das war ein haus baum mit wasser".split()}
+    rows = [(i, " ".join(draw.choices(words[lang], k=30)), lang) for i, lang in enumerate(["en", "de"] * 60)]
+    rows += [(900, "съешь же ещё этих мягких французских булок да выпей чаю " * 2, None), (901, "the", None), (902, "42 !", None), (903, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    kept = {r["doc_id"] for r in language_id.language_stage(spark, docs, "").collect()}
+    assert kept == {*range(120), 901}
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = {r["doc_id"] for r in language_id.language_stage(spark, unlabelled, "").collect()}
+    assert kept == {*range(120), 900, 901}
+
+
 def test_compiled_rules_score_like_the_fitted_ones(spark):
     draw = np.random.default_rng(0)
     x = draw.random((600, len(quality_classifier.STATISTICS)))
