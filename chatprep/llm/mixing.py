@@ -102,16 +102,18 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, with the columns of ``docs``.
 
-    The mix is decided on ids and sizes; the copies then join the documents by id.  Rows
-    with the same id are taken as one document of their summed size for this, so that all
-    of them get the same number of copies.
+    The mix is decided on ids, hashes of the texts and sizes; the copies then join the
+    documents.  Rows with the same id, text and source are copies of one document of their
+    summed size, so that all of them are taken as often.  Different texts with one id, or
+    without one, are documents of their own, each in its source.
     """
     size = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("bigint")
     key, number = fresh(docs, "mix_key"), fresh(docs, "mix_copies")
-    slim = docs.select(group_key(F.col("doc_id")).alias("doc_id"), "source", size.alias("size"))
-    slim = slim.groupBy("doc_id").agg(F.min("source").alias("source"), F.sum("size").alias("size"))
+    one = F.struct(group_key(F.col("doc_id")).alias("id"), F.xxhash64("text").alias("text"), group_key(F.col("source")).alias("source"))
+    slim = docs.select(one.alias("doc_id"), "source", size.alias("size"))
+    slim = slim.groupBy("doc_id", "source").agg(F.sum("size").alias("size"))
     copies = take_copies(slim, ["doc_id"]).select(F.col("doc_id").alias(key), F.col("copies").alias(number))
-    taken = docs.withColumn(key, group_key(F.col("doc_id"))).join(copies.filter(F.col(number) > 0), key)
+    taken = docs.withColumn(key, one).join(copies.filter(F.col(number) > 0), key)
     return taken.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col(number))).alias(number)).drop(number)
 
 

@@ -69,6 +69,18 @@ def test_stage_repeats_rows(spark):
     assert max(Counter(r["doc_id"] for r in out.collect()).values()) <= 3
 
 
+def test_stage_takes_texts_without_an_id_one_by_one(spark):
+    rows = [((None, 7)[i // 2 % 2], f"s{i % 2}", f"text number {i}") for i in range(600)] + [(None, "s0", "copy of one")] * 2
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    out = Counter((r["source"], r["text"]) for r in mixing.mix_stage(spark, docs, "").collect())
+    words = Counter()
+    for (source, _), n in out.items():
+        words[source] += 3 * n
+    whole = 3 * len(rows)
+    assert abs(words["s0"] - whole / 3) <= 6 and abs(words["s1"] - 2 * whole / 3) <= 6
+    assert out["s0", "copy of one"] % 2 == 0
+
+
 def test_lines_of_many_documents_go_and_copies_count_once(spark):
     boiler = "all rights reserved by somebody in some place under some law"
     rows = [(i, "h", f"{boiler}\n" + (f"text {chr(97 + i % 26) * (i + 1)} with enough words of its own to stay here alone and well" if i % 2 else f"short{i}")) for i in range(100)]
