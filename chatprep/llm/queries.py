@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from chatprep.llm import decontamination, jaccard_join, language_id, mixing, pii, quality_classifier, quality_rules, secret_scan, sharding, substring_dedup
+from chatprep.llm import (
+    bitplane_clustering,
+    decontamination,
+    jaccard_join,
+    language_id,
+    mixing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    sharding,
+    simhash_join,
+    substring_dedup,
+)
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
@@ -15,6 +28,8 @@ QUERIES = {
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_pii": pii.op10_pii,
+    "op11_simhash_join": simhash_join.op11_simhash_join,
+    "op13_bitplane_clustering": bitplane_clustering.op13_bitplane_clustering,
 }
 
 ORACLE = {
@@ -24,4 +39,5 @@ ORACLE = {
     "op7_mixing": mixing.ORACLE,
     "op8_quality_rules": quality_rules.ORACLE,
     "op9_decontamination": decontamination.ORACLE,
+    "op13_bitplane_clustering": bitplane_clustering.ORACLE,
 }
