@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from chatprep.llm import (
     bitplane_clustering,
+    conversation_trie,
     decontamination,
     jaccard_join,
     language_id,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_pii": pii.op10_pii,
     "op11_simhash_join": simhash_join.op11_simhash_join,
+    "op12_conversation_trie": conversation_trie.op12_conversation_trie,
     "op13_bitplane_clustering": bitplane_clustering.op13_bitplane_clustering,
 }
 
@@ -39,5 +41,6 @@ ORACLE = {
     "op7_mixing": mixing.ORACLE,
     "op8_quality_rules": quality_rules.ORACLE,
     "op9_decontamination": decontamination.ORACLE,
+    "op12_conversation_trie": conversation_trie.ORACLE,
     "op13_bitplane_clustering": bitplane_clustering.ORACLE,
 }
