@@ -85,17 +85,20 @@ def _anchor_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH):
-                keys, docs, places = [], [], []
-                for i, text in zip(whole.column(0).slice(at, BATCH).to_pylist(), whole.column(1).slice(at, BATCH)):
+                keys, docs, digests, places = [], [], [], []
+                ids, marks, texts = (whole.column(k).slice(at, BATCH) for k in range(3))
+                for i, digest, text in zip(ids.to_pylist(), marks.to_pylist(), texts):
                     where, gram, _ = anchors(_word_hashes(_words(text.as_py())), length)
                     keys.append(gram.view(np.int64))
                     docs.append(np.full(len(where), i, np.int64))
+                    digests.append(np.full(len(where), digest, np.int64))
                     places.append(where.astype(np.int32))
-                key, doc, place = map(np.concatenate, (keys, docs, places))
+                key, doc, mark, place = map(np.concatenate, (keys, docs, digests, places))
                 if len(key):
                     order, first, again = first_and_again(key, np.zeros_like(key))
                     for kind, rows in ((KEYED, order[first]), (LOCAL, order[again])):
-                        yield keyed(kind, {"key": key[rows], "check": np.zeros(len(rows), np.int64), "doc": doc[rows], "place": place[rows]})
+                        none = np.zeros(len(rows), np.int64)
+                        yield keyed(kind, {"key": key[rows], "check": none, "doc": doc[rows], "digest": mark[rows], "place": place[rows]})
 
     return run
 
@@ -221,13 +224,14 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     ``doc`` is never null; rows with the same (doc, digest) are copies.
     """
     docs = docs.select("doc", "digest", F.col("text").cast("binary").alias("text"))
-    found = stage(repeated(docs.select("doc", "text"), _anchor_rows(length), "doc bigint, place int"), "repeated-prefixes")
+    found = stage(repeated(docs, _anchor_rows(length), "doc bigint, digest bigint, place int"), "repeated-prefixes")
     large = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > GROUP).select("key", F.lit(True).alias("large"))
     marked = found.join(broadcast_if_small(stage(large, "large-groups")), "key", "left")
-    places = marked.groupBy(F.col("doc").alias("id")).agg(
+    # Texts that share an id have places of their own: two suffixes of one prefix go the same way, whoever holds them.
+    places = marked.groupBy("doc", "digest").agg(
         F.collect_set("place").alias("places"), F.collect_set(F.when(F.col("large"), F.col("place"))).alias("large")
     )
-    chosen = docs.join(places, docs["doc"] == places["id"]).select("doc", "digest", "text", "places", "large")
+    chosen = docs.join(places, ["doc", "digest"]).select("doc", "digest", "text", "places", "large")
     suffixes = stage(
         chosen.mapInArrow(_suffixes(length), "anchor bigint, large boolean, doc bigint, digest bigint, first bigint, words binary"),
         "suffixes",

@@ -1,5 +1,6 @@
 """Substring dedup against counting all windows."""
 
+import hashlib
 import random
 from collections import Counter
 
@@ -50,3 +51,21 @@ def test_a_very_long_text_that_repeats_itself(spark):
     text = " ".join(f"a{i % 5000}" for i in range(12000))
     row = remove_repeats(spark.createDataFrame([(1, text)], "doc bigint, text string"), 35).collect()[0]
     assert (row["n_words"], row["n_removed"]) == (12000, 12000)
+
+
+def test_texts_that_share_an_id_and_a_prefix(spark, monkeypatch):
+    """One text is in a large group, the other in a small one, at the same places of one id."""
+    monkeypatch.setattr(substring_dedup, "GROUP", 3)
+    often, twice = (" ".join(f"{a}{i}" for i in range(12)) for a in "xy")
+    rows = [(i, often) for i in range(6)] + [(7, often), (7, twice), (8, twice)]
+    got = [(r["doc"], r["n_words"], r["n_removed"], r["kept"]) for r in remove_repeats(spark.createDataFrame(rows, "doc bigint, text string"), 12).collect()]
+    assert sorted(got, key=repr) == brute(rows, 12)
+    assert all(r[2] == 12 for r in got)
+
+
+def test_query_against_counting(spark, tmp_path):
+    rows = corpus(5) + [(300, " ".join(f"r{i % 900}" for i in range(100_000)))]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = substring_dedup.op2_substring_dedup(spark, str(tmp_path)).collect()
+    want = [(i, n, gone, hashlib.sha256(kept.encode()).hexdigest()) for i, n, gone, kept in brute(rows, 35)]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
