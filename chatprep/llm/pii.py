@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatprep.llm.common import read_table, stage
-from chatprep.llm.spans import SPAN, listed, of_kind, overlaps
+from chatprep.llm.spans import SPAN, Taken, listed, of_kind
 
 KINDS = ["email", "ip", "card", "phone", "identity"]
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -62,6 +62,12 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if c in "0123456789")
 
 
+def _is_byte(digits: str) -> bool:
+    """At most 255, however many zeros come first."""
+    left = digits.lstrip("0")
+    return len(left) <= 3 and int(left or "0") <= 255
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     end, at = 0, text.find("@")
     while at >= 0:
@@ -77,7 +83,7 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of the strict patterns, by kind and then start."""
     found = [("email", s, e) for s, e in _emails(text)]
-    found += [("ip", m.start(), m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    found += [("ip", m.start(), m.end()) for m in IP.finditer(text) if all(_is_byte(p) for p in m[0].split("."))]
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 13 and 13 <= len(d := _digits(m[0])) <= 19 and luhn(d):
             found.append(("card", m.start(), m.end()))
@@ -87,12 +93,13 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def proposed_spans(text: str, taken: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
+    """Looser matches that touch no span of ``taken`` nor a proposal of a kind before."""
     found, used = [], list(taken)
     for kind, pattern in PROPOSERS:
-        for m in pattern.finditer(text):
-            if not overlaps(m.start(), m.end(), used):
-                found.append((kind, m.start(), m.end()))
-                used.append((m.start(), m.end()))
+        held = Taken(used)  # matches of one pattern never overlap each other
+        mine = [m.span() for m in pattern.finditer(text) if not held.overlaps(*m.span())]
+        found += [(kind, *span) for span in mine]
+        used += mine
     return found
 
 

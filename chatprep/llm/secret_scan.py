@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chatprep.llm.common import read_table, stage
-from chatprep.llm.spans import SPAN, listed, of_kind, overlaps
+from chatprep.llm.spans import SPAN, Taken, listed, of_kind
 
 KINDS = ["assign", "access", "hex", "format"]
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -216,7 +216,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for text in batch.column(1).slice(at, 512):
                 text = text.as_py() or ""
                 spans = sorted(base_spans(text), key=lambda s: (s[1], KINDS.index(s[0])))
-                taken = [s[1:] for s in spans]
+                taken = Taken(s[1:] for s in spans)
                 values = [(k, ASSIGN.match(text, s)[2] if k == "assign" else text[s:e]) for k, s, e in spans]
                 base.append([{"kind": k, "start": s, "end": e} for k, s, e in spans])
                 labelled.append([{"kind": k, "value": v} for k, v in values])
@@ -224,7 +224,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     [
                         {"start": m.start(), "end": m.end(), "token": m[0]}
                         for m in TOKEN.finditer(text)
-                        if not overlaps(m.start(), m.end(), taken)
+                        if not taken.overlaps(*m.span())
                     ]
                 )
             ids = batch.column(0).slice(at, 512)

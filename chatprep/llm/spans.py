@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,5 +20,19 @@ def of_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
 
 
-def overlaps(start: int, end: int, taken: list[tuple[int, int]]) -> bool:
-    return any(start < e and s < end for s, e in taken)
+class Taken:
+    """Places that spans hold; asked in the logarithm of their number, whatever the text holds."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted(spans):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def overlaps(self, start: int, end: int) -> bool:
+        nth = bisect_right(self.ends, start)
+        return nth < len(self.starts) and self.starts[nth] < end

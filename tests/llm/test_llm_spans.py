@@ -1,13 +1,17 @@
 """Secret and personal-data spans against the patterns as they are written down."""
 
+import hashlib
 import math
+import os
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
 
 from chatprep.llm import pii, secret_scan
+from chatprep.llm.spans import Taken
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 
@@ -31,7 +35,7 @@ def personal(text):
     found += [
         ("ip", m.start(), m.end())
         for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
-        if all(int(p) <= 255 for p in m[0].split("."))
+        if all(re.fullmatch("0*[0-9]{1,3}", p) and int(p[-3:]) <= 255 for p in m[0].split("."))
     ]
     for kind, pattern, low, high in (("card", r"[0-9]([\x20-]?[0-9])+", 13, 19), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 9, 15)):
         for m in re.finditer(pattern, text):
@@ -146,3 +150,95 @@ def test_reliabilities_follow_the_majority():
 def test_redaction():
     assert secret_scan.redact("a bb c", [(2, 4)]) == "a [SECRET] c"
     assert secret_scan.redact("abcdef", [(1, 4), (2, 5)]) == "a[SECRET]f"
+
+
+def test_spans_that_are_taken():
+    draw = random.Random(5)
+    spans = [(s, s + draw.randrange(1, 9)) for s in draw.choices(range(400), k=60)]
+    taken = Taken(spans)
+    for _ in range(2000):
+        start = draw.randrange(420)
+        end = start + draw.randrange(1, 12)
+        assert taken.overlaps(start, end) == any(start < e and s < end for s, e in spans)
+    assert not Taken([]).overlaps(0, 9)
+
+
+def of_kinds(found, kinds):
+    return [sum(k == kind for k, *_ in found) for kind in kinds]
+
+
+def marked(found):
+    return hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in found).encode()).hexdigest()
+
+
+def odd_texts():
+    draw = random.Random(11)
+    texts = ["".join(draw.choices(PIECES, k=draw.randrange(0, 14))) for _ in range(300)] + [None, "", " "]
+    texts += [" ".join(f"token = {draw.randrange(10**9)}x user{i}@host.org +1 (499) 555-{i:04} 10.0.0.{i % 256}" for i in range(3000))]
+    return texts + ["0" * 5000 + ".1.1.1", "0" * 1_000_000, "1" * 1_000_000 + ".2.3.4", "+1" + "2" * 1_000_000, "4" * 999_999 + "@" + "5" * 9 + ".6"]
+
+
+def test_secret_query_against_the_patterns(spark, tmp_path):
+    rows = list(enumerate(odd_texts())) + [(None, "token: abcdefgh"), (3, "token: abcdefgh")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = secret_scan.op6_secret_scan(spark, str(tmp_path)).collect()
+    order = ["assign", "access", "hex"]
+    want = Counter()
+    for i, text in rows:
+        found = sorted(secrets(text or ""), key=lambda s: (s[1], order.index(s[0])))
+        want[(i, *of_kinds(found, order), marked(found))] += 1
+    assert Counter((r["doc_id"], r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]) for r in got) == want
+    for r in got:
+        kept = [s for s in r["spans"].split(",") if s and not s.startswith("format")]
+        assert hashlib.sha256(",".join(kept).encode()).hexdigest() == r["base_sha256"]
+
+
+def test_personal_query_against_the_patterns(spark, tmp_path):
+    rows = list(enumerate(odd_texts())) + [(None, "a@b.org"), (3, "a@b.org")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = pii.op10_pii(spark, str(tmp_path)).collect()
+    order = ["email", "ip", "card", "phone"]
+    want = Counter()
+    for i, text in rows:
+        found = linear_personal(text or "")
+        want[(i, *of_kinds(found, order), marked(found))] += 1
+    assert Counter((r["doc_id"], *(r[f"n_{k}"] for k in order), r["base_sha256"]) for r in got) == want
+
+
+def linear_personal(text):
+    """The patterns as they are written, but for texts on which they take quadratic time."""
+    return personal(text) if len(text) < 400_000 else pii.base_spans(text)
+
+
+@pytest.mark.parametrize("text, found", [("0" * 5000 + ".1.1.1", [("ip", 0, 5006)]), ("0" * 1_000_000, []), ("+1" + "2" * 1_000_000, []), ("9" * 1_000_000 + ".1.1.1", [])])
+def test_long_runs_of_digits(text, found):
+    assert pii.base_spans(text) == found
+
+
+def test_many_spans_in_one_text_take_seconds():
+    text = " ".join(f"api_key = {i:08}abc {'deadbeef' * 3} user{i}@host.org (499) 555-{i % 10_000:04}" for i in range(100_000))
+    start = time.perf_counter()
+    spans = secret_scan.base_spans(text)
+    taken = Taken(s[1:] for s in spans)
+    others = [m for m in secret_scan.TOKEN.finditer(text) if not taken.overlaps(*m.span())]
+    more = pii.proposed_spans(text, [s[1:] for s in pii.base_spans(text)])
+    assert len(spans) == 200_000 and len(more) >= 90_000 and not others
+    assert time.perf_counter() - start < 30
+
+
+TABLES = "/root/testdata/sf0.1"
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="no test tables")
+def test_credentials_without_their_keyword_are_found(spark):
+    """Half of the assigned values of the table stand alone in other texts, and teach nothing."""
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "text")
+    values = sorted({m[2] for r in docs.collect() for m in secret_scan.ASSIGN.finditer(r["text"] or "") if len(m[2]) >= 16})
+    bare = {v: 10**9 + n for n, v in enumerate(values) if n % 2}
+    alone = spark.createDataFrame([(i, f"see {v} there") for v, i in bare.items()], "doc_id bigint, text string")
+    known = docs.collect()
+    clean = [(r["doc_id"], r["text"]) for r in known if not any(v in (r["text"] or "") for v in bare)]
+    found = secret_scan.find_secrets(spark.createDataFrame(clean, "doc_id bigint, text string").unionByName(alone))
+    hits = {r["doc_id"] for r in found.collect() if r["doc_id"] >= 10**9 and r["spans"]}
+    assert len(bare) > 20
+    assert len(hits) >= 0.9 * len(bare), (len(hits), len(bare))
