@@ -108,8 +108,10 @@ def simhash_classes(prints: DataFrame) -> DataFrame:
     nodes = stage(prints.groupBy("print").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("copies")), "prints")
     linked = connected_components(near_prints(nodes.select("print")))
     named = stage(nodes.join(linked, nodes["print"] == linked["node"], "left").drop("node"), "linked-prints")
-    names = named.filter("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("name"))
-    return named.join(names, "component", "left").select("print", "copies", F.coalesce("name", "least").alias("component"))
+    alone, met = named.filter("component IS NULL"), named.filter("component IS NOT NULL")
+    names = met.groupBy("component").agg(F.min("least").alias("name"))
+    both = met.join(names, "component").select("print", "copies", F.col("name").alias("component"))
+    return both.unionByName(alone.select("print", "copies", F.col("least").alias("component")))
 
 
 def simhash_join(docs: DataFrame, doc: str = "doc_id", text: str = "text", width: int = SHINGLE) -> DataFrame:
