@@ -1,13 +1,16 @@
 """Sharding by proportional stratified interleaving.
 
 Rows of each source are put in a seeded random order.  Row r of n in its source has the
-fractional rank (2r - 1) / 2n; sorting all rows by it interleaves the sources in
-proportion, and cutting the sorted sequence into equal pieces gives shards that each
-match the mixture and whose row counts are at most one apart.
+fractional rank (r - u) / n with a random start u of its own for every source; sorting all
+rows by it interleaves the sources in proportion, and cutting the sorted sequence into
+equal pieces gives shards that each match the mixture and whose row counts are at most one
+apart.  The starts spread sources of one or few rows evenly over the shards, so a long
+tail of them is part of the mixture like a large source.
 
 Nothing is sorted in one task: both rankings count rows per slice of an evenly spread key
 (4,096 slices), add the counts up, and number rows only within a slice.  A source that
-holds a third of all rows is 4,096 slices like any other.
+holds a third of all rows is 4,096 slices like any other, and so is a crowd of rows that
+share an id or have none, as the order is drawn from all of ``ids``.
 
 Null sources are a source of their own.  Null and empty texts are rows like others.  Rows
 with equal ids are ordered by size and checksum; rows equal in these too are alike.
@@ -25,6 +28,11 @@ SLICE_BITS = 12
 HASH_BITS = 52
 
 
+def start_of(seed: int, strat: Column) -> Column:
+    """A number above 0 and below 1 for every source."""
+    return (seeded_hash(seed, strat).cast("double") + 0.5) / float(1 << HASH_BITS)
+
+
 def interleaved(rows: DataFrame, source: Column, ids: list[Column], shards: int, seed: int = 17) -> DataFrame:
     """The rows with ``shard`` and ``slot`` (position in the shard, from 0, no gaps).
 
@@ -35,7 +43,7 @@ def interleaved(rows: DataFrame, source: Column, ids: list[Column], shards: int,
     strat, draw, slice_, place, below, total, rank, cut, start = names
     keyed = stage(
         rows.withColumn(strat, group_key(source))
-        .withColumn(draw, seeded_hash(seed, *ids[:1]))
+        .withColumn(draw, seeded_hash(seed, *ids))
         .withColumn(slice_, F.shiftright(F.col(draw), HASH_BITS - SLICE_BITS).cast("int")),
         "shard-rows",
     )
@@ -51,7 +59,7 @@ def interleaved(rows: DataFrame, source: Column, ids: list[Column], shards: int,
     ranked = (
         keyed.withColumn(place, within)
         .join(counts, [strat, slice_])
-        .withColumn(rank, (2 * (F.col(below) + F.col(place)) - 1).cast("double") / (2 * F.col(total)).cast("double"))
+        .withColumn(rank, ((F.col(below) + F.col(place)).cast("double") - start_of(seed, F.col(strat))) / F.col(total).cast("double"))
         .withColumn(cut, F.least(F.floor(F.col(rank) * (1 << SLICE_BITS)), F.lit((1 << SLICE_BITS) - 1)).cast("int"))
         .drop(place, below, total, slice_, draw)
     )
@@ -130,12 +138,13 @@ WITH bytes AS (
       lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])), 4294967295) AS text_crc32
   FROM bytes, crc
 ), drawn AS (
-  SELECT *, CAST('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) AS draw,
+  SELECT *, CAST('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || size || ':' || text_crc32), 1, 13) AS BIGINT) AS draw,
     CASE WHEN source IS NULL THEN 'null' ELSE '=' || source END AS strat
   FROM slim
 ), ranked AS (
-  SELECT *, CAST(2 * row_number() OVER (PARTITION BY strat ORDER BY draw, doc_id, size, text_crc32) - 1 AS DOUBLE)
-    / CAST(2 * count(*) OVER (PARTITION BY strat) AS DOUBLE) AS f
+  SELECT *, (CAST(row_number() OVER (PARTITION BY strat ORDER BY draw, doc_id, size, text_crc32) AS DOUBLE)
+      - (CAST(CAST('0x' || substr(md5('17:' || strat), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496)
+    / CAST(count(*) OVER (PARTITION BY strat) AS DOUBLE) AS f
   FROM drawn
 ), placed AS (
   SELECT *, row_number() OVER (ORDER BY f, strat) - 1 AS place, count(*) OVER () AS total FROM ranked
