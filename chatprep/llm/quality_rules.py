@@ -2,17 +2,18 @@
 
 Per document: counts of words, symbols, repeated lines and repeated 5-word windows, and
 the base rules on them.  Across documents: lines are normalised (ASCII lower case, digits
-to 0, runs of white space to one blank) and hashed; the distinct texts that hold a line
-are counted per host.  A line above the limit of its host is removed, and a document that
+to 0, runs of white space to one blank) and hashed; the documents that hold a line are
+counted per host.  A line above the limit of its host is removed, and a document that
 keeps too few words after that is rejected.
 
-The limit is ``LINE_SHARE`` of the host's distinct texts and at least ``LINE_DOCS``.  Exact
-copies count as one text: copies are the business of de-duplication, and a clean page must
-not lose its lines for having been copied.
+The limit is ``LINE_SHARE`` of the host's documents, at least ``LINE_DOCS`` and at most
+``LINE_MOST`` of them, however large the host.  Every row is a document, so the lines of a
+page that is repeated word for word count as often as the page.
 
-Everything is a column expression; the text is read once and only hashes travel.  Copies
-are folded before any line is exploded, and counts are summed on the map side, so one line
-or host with a third of all rows is a few partial sums.
+Everything is a column expression; the text is read once and only hashes travel.  Rows of
+one host and text are folded with their number before any line is exploded, and counts are
+summed on the map side, so one line, text or host with a third of all rows is a few partial
+sums.
 
 Null and empty texts have no words and fail the base rules.  Null hosts are one host.
 Repeated rows get equal results; an empty table gives an empty result.
@@ -30,6 +31,7 @@ MIN_WORDS = 10
 REPEAT_PERCENT = 20
 LINE_SHARE = 0.02
 LINE_DOCS = 20
+LINE_MOST = 1000
 KEPT_PERCENT = 30
 DIGITS = "0123456789"
 
@@ -88,17 +90,18 @@ def document_counts(docs: DataFrame) -> DataFrame:
     return stage(df, "document-counts")
 
 
-def frequent_lines(texts: DataFrame, share: float = LINE_SHARE, least: int = LINE_DOCS) -> DataFrame:
-    """(host, line) above the limit of the host; ``texts`` has one row per host and text."""
-    hosts = texts.groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
-    held = texts.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
-    counts = held.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > least)
-    return counts.join(hosts, "host").filter(F.col("n") > share * F.col("texts")).select("host", "line")
+def frequent_lines(texts: DataFrame, share: float = LINE_SHARE, least: int = LINE_DOCS, most: int = LINE_MOST) -> DataFrame:
+    """(host, line) above the limit of the host; ``texts`` has a row per host and text, held by ``docs`` documents."""
+    hosts = texts.groupBy("host").agg(F.sum("docs").alias("of_host"))
+    held = texts.select("host", "docs", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
+    counts = held.groupBy("host", "line").agg(F.sum("docs").alias("n")).filter(F.col("n") > least)
+    limit = F.least(share * F.col("of_host"), F.lit(float(most)))
+    return counts.join(hosts, "host").filter(F.col("n") > limit).select("host", "line")
 
 
 def depletion(counted: DataFrame) -> DataFrame:
     """(host, digest, removed): words in removed lines, for texts that lose any."""
-    texts = counted.groupBy("host", "digest").agg(F.first("lines").alias("lines"))
+    texts = counted.groupBy("host", "digest").agg(F.first("lines").alias("lines"), F.count(F.lit(1)).alias("docs"))
     texts = stage(texts, "distinct-texts")
     lines = texts.select("host", "digest", F.explode("lines").alias("x")).select("host", "digest", "x.line", "x.words")
     return (
@@ -134,23 +137,23 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = r"""
 WITH d AS (
-  SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS text, text AS raw,
+  SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS text,
     CASE WHEN source IS NULL THEN 'null' ELSE '=' || source END AS host,
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
   FROM documents
 ), l AS (
-  SELECT rn, host, raw, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+  SELECT rn, host, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
     trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789', 'abcdefghijklmnopqrstuvwxyz0000000000'),
       '[\x20\x09-\x0D]+', ' ', 'g')) AS normal
-  FROM (SELECT rn, host, raw, unnest(string_split(text, chr(10))) AS line FROM d)
+  FROM (SELECT rn, host, unnest(string_split(text, chr(10))) AS line FROM d)
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ), dup AS (
   SELECT rn, count(*) - count(DISTINCT line) AS n_dup_lines FROM l GROUP BY rn
 ), hosts AS (
-  SELECT host, count(DISTINCT raw) + max(CASE WHEN raw IS NULL THEN 1 ELSE 0 END) AS texts FROM d GROUP BY host
+  SELECT host, count(*) AS docs FROM d GROUP BY host
 ), frequent AS (
-  SELECT host, normal FROM (SELECT host, normal, count(DISTINCT raw) AS n FROM l GROUP BY host, normal) JOIN hosts USING (host)
-  WHERE n > 20 AND n > 0.02 * texts
+  SELECT host, normal FROM (SELECT host, normal, count(DISTINCT rn) AS n FROM l GROUP BY host, normal) JOIN hosts USING (host)
+  WHERE n > 20 AND n > least(0.02 * docs, 1000)
 ), lost AS (
   SELECT rn, sum(words) AS removed FROM l JOIN frequent USING (host, normal) GROUP BY rn
 ), grams AS (
