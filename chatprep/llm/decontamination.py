@@ -7,10 +7,12 @@ those tokens only; a match fixes where the window would start, the length and po
 bounds drop windows that would stand out of the document, and what remains is compared
 word by word.
 
-The benchmark side is broadcast only when it is counted to have 200,000 rows or fewer;
-beyond that Spark joins by shuffle.  Each document row gives rows for
-its own matches only, so a passage that a third of all documents quote costs its
-occurrences and no more.
+Texts are cut into words once, and the words stored.  The prefixes are broadcast when they
+are counted to be 200,000 or fewer; then a document gives rows for its own matches only.
+Beyond that, places and tokens are shuffled to the prefixes (a few bytes a word, never the
+words of the document), the matches are folded per document and text, and the words are
+read again, once per document, to verify them.  A passage that a third of all documents
+quote costs its occurrences and no more.
 
 Null and empty texts have no words and no hits.  Items without id or words are left out;
 an id that occurs twice counts once.  Repeated document rows get equal results.  Without
@@ -22,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatprep.llm.common import broadcast_if_small, fresh, group_key, lower_ascii, read_table, split_words, stage
+from chatprep.llm.common import BROADCAST_ROWS, broadcast_if_small, fresh, group_key, lower_ascii, read_table, split_words, stage
 
 # Word characters are digits, letters a-z and everything beyond ASCII.
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -46,11 +48,17 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     return stage(pairs.withColumn("window_id", F.sha2(F.array_join("words", " "), 256)), "item-windows")
 
 
-def rarest_tokens(windows: DataFrame, docs: DataFrame) -> DataFrame:
+def document_words(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, digest, w, n_words) of every document, stored: the one pass that cuts texts into words."""
+    rows = docs.select("doc_id", group_key(F.col("doc_id")).alias("key"), F.xxhash64("text").alias("digest"), content_words(F.col("text")).alias("w"))
+    return stage(rows.withColumn("n_words", F.size("w").cast("bigint")), "document-words")
+
+
+def rarest_tokens(windows: DataFrame, words: DataFrame) -> DataFrame:
     """(token, place, size, words, window_id): the necessary prefix of each distinct window."""
     distinct = windows.dropDuplicates(["window_id"]).select("window_id", "words")
     vocabulary = distinct.select(F.explode("words").alias("token")).distinct()
-    held = docs.select(F.explode(F.array_distinct(content_words(F.col("text")))).alias("token"))
+    held = words.select(F.explode(F.array_distinct("w")).alias("token"))
     spread = held.join(broadcast_if_small(vocabulary), "token").groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     places = distinct.select("window_id", F.posexplode("words").alias("place", "token"))
     rarity = F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token", "place")
@@ -61,25 +69,29 @@ def rarest_tokens(windows: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
-def window_hits(docs: DataFrame, tokens: DataFrame) -> DataFrame:
+def window_hits(words: DataFrame, tokens: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """(key, digest, start, size, window_id) of every occurrence; start counts from 1."""
-    words = docs.select(
-        group_key(F.col("doc_id")).alias("key"), F.xxhash64("text").alias("digest"), content_words(F.col("text")).alias("w")
-    )
-    spots = words.select("key", "digest", "w", F.posexplode("w").alias("pos", "token"))
+    small = tokens.limit(limit + 1).count() <= limit
+    held = ["w"] if small else []
+    spots = words.select("key", "digest", "n_words", *held, F.posexplode("w").alias("pos", "token"))
     start = F.col("pos") - F.col("place") + 1
-    return (
-        spots.join(broadcast_if_small(tokens), "token")
-        .filter((start >= 1) & (start + F.col("size") - 1 <= F.size("w")))
-        .filter(F.slice("w", start, F.col("size")) == F.col("words"))
-        .select("key", "digest", start.alias("start"), "size", "window_id")
-    )
-
-
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(key, digest, n_hit, item_ids sorted) of every document text with a hit."""
+    met = spots.join(F.broadcast(tokens) if small else tokens.hint("merge"), "token")
+    met = met.filter((start >= 1) & (start + F.col("size") - 1 <= F.col("n_words")))
+    if small:
+        met = met.filter(F.slice("w", start, F.col("size")) == F.col("words"))
+        return met.select("key", "digest", start.alias("start"), "size", "window_id")
+    claim = F.struct(start.alias("start"), "size", "window_id", "words")
+    claims = met.groupBy("key", "digest").agg(F.collect_set(claim).alias("claims"))
+    texts = words.groupBy("key", "digest").agg(F.first("w").alias("w"))
+    true = F.filter("claims", lambda c: F.slice("w", c["start"], c["size"]) == c["words"])
+    found = texts.join(claims, ["key", "digest"]).select("key", "digest", F.explode(true).alias("c"))
+    return found.select("key", "digest", "c.start", "c.size", "c.window_id")
+
+
+def contamination(words: DataFrame, items: DataFrame, window: int = WINDOW, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """(key, digest, n_hit, item_ids sorted) of every document text with a hit, from ``document_words``."""
     windows = item_windows(items, window)
-    hits = stage(window_hits(docs, rarest_tokens(windows, docs)), "window-hits")
+    hits = stage(window_hits(words, rarest_tokens(windows, words), limit), "window-hits")
     reach = F.flatten(F.transform(F.collect_set(F.struct("start", "size")), lambda s: F.sequence(s["start"], s["start"] + s["size"] - 1)))
     covered = hits.groupBy("key", "digest").agg(F.size(F.array_distinct(reach)).cast("bigint").alias("n_hit"))
     named = hits.select("key", "digest", "window_id").distinct().join(windows.select("window_id", "item_id"), "window_id")
@@ -89,7 +101,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows of ``docs`` with no word inside a benchmark window."""
-    dirty = contamination(docs, read_table(spark, sf_dir, "benchmark"))
+    dirty = contamination(document_words(docs), read_table(spark, sf_dir, "benchmark"))
     key, digest = fresh(docs, "deco_key"), fresh(docs, "deco_digest")
     dirty = dirty.select(F.col("key").alias(key), F.col("digest").alias(digest))
     marked = docs.withColumn(key, group_key(F.col("doc_id"))).withColumn(digest, F.xxhash64("text"))
@@ -97,14 +109,9 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    found = contamination(docs, read_table(spark, sf_dir, "benchmark"))
-    rows = docs.select(
-        "doc_id",
-        group_key(F.col("doc_id")).alias("key"),
-        F.xxhash64("text").alias("digest"),
-        F.size(content_words(F.col("text"))).cast("bigint").alias("n_words"),
-    )
+    words = document_words(read_table(spark, sf_dir, "documents"))
+    found = contamination(words, read_table(spark, sf_dir, "benchmark"))
+    rows = words.select("doc_id", "key", "digest", "n_words")
     ids = F.coalesce("item_ids", F.array().cast("array<string>"))
     return rows.join(found, ["key", "digest"], "left").select(
         "doc_id",

@@ -1,5 +1,6 @@
 """Sharding, mixing, decontamination and line frequency: laws and plans."""
 
+import re
 from collections import Counter
 
 import pytest
@@ -39,6 +40,24 @@ def test_fewer_rows_than_shards(spark):
     assert {r["slot"] for r in sharding.shard_documents(docs, 24).collect()} == {0}
 
 
+def test_a_tail_of_small_sources_is_spread(spark):
+    """As many rows in sources of one row as in one large source: every shard has both."""
+    rows = [(i, "large" if i < 2400 else f"s{i}", "x") for i in range(4800)]
+    placed = sharding.shard_documents(spark.createDataFrame(rows, "doc_id bigint, source string, text string"), 24).collect()
+    small = Counter(r["shard"] for r in placed if r["source"] != "large")
+    assert set(small) == set(range(24)) and all(60 <= n <= 140 for n in small.values())  # 100 expected, deviation about 10
+
+
+def test_no_slice_holds_a_crowd(spark):
+    """Small sources don't share a rank, nor rows without an id a place in the order."""
+    rows = [(None if i % 2 else i, "one" if i < 4000 else f"s{i}", f"text {i}") for i in range(8000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    draw = sharding.seeded_hash(17, F.col("doc_id"), F.octet_length("text") + 8, F.crc32("text"))
+    slices = df.filter("source = 'one'").groupBy(F.shiftright(draw, 40)).count()
+    starts = df.filter("source != 'one'").groupBy(F.floor(sharding.start_of(17, F.col("source")) * 4096)).count()
+    assert slices.agg(F.max("count")).first()[0] < 12 and starts.agg(F.max("count")).first()[0] < 12
+
+
 def test_written_shards(spark, many, tmp_path):
     sharding.write_shards(sharding.shard_documents(many, 4), str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).groupBy("shard").count().count() == 4
@@ -81,15 +100,31 @@ def test_stage_takes_texts_without_an_id_one_by_one(spark):
     assert out["s0", "copy of one"] % 2 == 0
 
 
-def test_lines_of_many_documents_go_and_copies_count_once(spark):
+def own(i):
+    return f"text {chr(97 + i % 26) * (i + 1)} with enough words of its own to stay here alone and well"
+
+
+def test_lines_of_many_documents_go(spark):
     boiler = "all rights reserved by somebody in some place under some law"
-    rows = [(i, "h", f"{boiler}\n" + (f"text {chr(97 + i % 26) * (i + 1)} with enough words of its own to stay here alone and well" if i % 2 else f"short{i}")) for i in range(100)]
+    rows = [(i, "h", f"{boiler}\n" + (own(i) if i % 2 else f"short{i}")) for i in range(100)]
     copied = "\n".join(" ".join(f"{a}{k}" for k in "klmnopqrst") for a in "abcde")
-    rows += [(1000 + i, "h", copied) for i in range(60)]
+    rows += [(1000 + i, "h", copied) for i in range(60)] + [(2000 + i, "few", copied) for i in range(20)]
     docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
     kept = {r["doc_id"]: r["kept"] for r in quality_rules.judge(docs).collect()}
     assert all(kept[i] == (i % 2 == 1) for i in range(100))
-    assert all(kept[1000 + i] for i in range(60))
+    assert not any(kept[1000 + i] for i in range(60))  # one page, word for word, above the limit
+    assert all(kept[2000 + i] for i in range(20))  # and not above it
+
+
+def test_the_limit_of_a_large_host_is_bounded(spark):
+    """A line in 0.2 % of a host's documents is below the share, but above the largest limit."""
+    docs = spark.range(60_000).select(
+        F.col("id").alias("doc_id"),
+        F.lit("hot").alias("source"),
+        F.expr("concat('line ', translate(hex(id * 7919 + 13), '0123456789', 'ghijklmnop'), ' of one page', CASE WHEN id % 50 = 0 THEN '\nshared by many pages of one host that say so in a row of words' ELSE '' END)").alias("text"),
+    )
+    removed = {r["removed_words"]: r["count"] for r in quality_rules.judge(docs).groupBy("removed_words").count().collect()}
+    assert removed == {0: 58_800, 15: 1200}
 
 
 def test_repeated_windows_of_one_row(spark):
@@ -104,10 +139,45 @@ def test_windows_at_the_edges_and_short_items(spark):
         "doc_id bigint, text string",
     )
     items = spark.createDataFrame([(7, "red green blue"), (8, "Red green   blue"), (9, None), (None, "x")], "item_id bigint, text string")
-    got = {r["key"]: (r["n_hit"], r["item_ids"]) for r in decontamination.contamination(docs, items).collect()}
+    got = {r["key"]: (r["n_hit"], r["item_ids"]) for r in decontamination.contamination(decontamination.document_words(docs), items).collect()}
     assert got == {"=1": (3, ["7", "8"]), "=2": (3, ["7", "8"]), "=5": (6, ["7", "8"])}
 
 
+@pytest.mark.parametrize("limit", [0, 200_000])
+def test_large_benchmarks_give_the_same_rows(spark, limit):
+    words = [f"w{i % 90}" for i in range(4000)]
+    rows = [(i, " ".join(words[i : i + 40 + i % 9]) + " END") for i in range(0, 3000, 7)] + [(1, "w3 w4"), (1, "w8 other"), (None, "w3 w4 w5"), (2, None)]
+    items = [(i, " ".join(words[i * 11 : i * 11 + 15])) for i in range(30)] + [(99, "w3 w4"), (98, "w999 w4")]
+    docs, bench = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    cut = decontamination.document_words(docs)
+    tokens = decontamination.rarest_tokens(decontamination.item_windows(bench), cut)
+    plan = decontamination.window_hits(cut, tokens, limit)._jdf.queryExecution().executedPlan().toString()
+    got = {(r["key"], r["digest"]): (r["n_hit"], r["item_ids"]) for r in decontamination.contamination(cut, bench, limit=limit).collect()}
+    want = {}
+    gram = lambda w: {tuple(w[k : k + 10]) for k in range(max(len(w) - 9, 1))}
+    windows = {i: gram(t.split()) for i, t in items}
+    for r in cut.collect():
+        hit, of = set(), set()
+        for i, grams in windows.items():
+            for g in grams:
+                for k in range(len(r["w"]) - len(g) + 1):
+                    if tuple(r["w"][k : k + len(g)]) == g:
+                        hit |= set(range(k, k + len(g)))
+                        of.add(str(i))
+        if hit:
+            want[r["key"], r["digest"]] = (len(hit), sorted(of))
+    assert got == want and len(got) > 300
+    if not limit:  # words move once per document at most, never with each of them
+        exploded = re.findall(r"Generate posexplode\((w#\d+)\), \[([^]]*)\]", plan)
+        assert exploded and not any(w in kept for w, kept in exploded)
+
+
 def test_no_python_on_the_main_path(spark, many):
-    for df in (sharding.shard_documents(many), mixing.mix_documents(many), quality_rules.judge(many)):
+    items = many.limit(3).select(F.col("doc_id").alias("item_id"), "text")
+    for df in (
+        sharding.shard_documents(many),
+        mixing.mix_documents(many),
+        quality_rules.judge(many),
+        decontamination.contamination(decontamination.document_words(many), items),
+    ):
         assert "Python" not in df._jdf.queryExecution().toString()
