@@ -174,7 +174,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> RuleEnsem
         .limit(sample)
         .select("doc_id", "label")
     )
-    rows = with_statistics(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
+    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # Of ids that stand on many rows not all rows are learnt from.
+    drawn = joined.withColumn("draw", seeded_hash(SEED, F.col("doc_id"), F.xxhash64("text")))
+    rows = with_statistics(drawn.orderBy("draw", "doc_id", "label").limit(sample).drop("draw"))
     data = sorted(tuple(r) for r in rows.select("doc_id", "label", *STATISTICS).collect())
     return fit(np.array([r[2:] for r in data], float), np.array([r[1] for r in data], float))
 

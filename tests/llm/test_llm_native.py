@@ -71,10 +71,39 @@ def test_sources_come_near_their_targets(many):
         taken = sum(r["copies"] * r["size"] for r in mine)
         assert abs(taken - mine[0]["target"]) <= largest
         assert mine[0]["target"] <= 3 * mine[0]["source_size"] and max(r["copies"] for r in mine) <= 3
-        assert max(r["copies"] for r in mine) - min(r["copies"] for r in mine if r["size"]) <= 1
+        for digits in {len(str(r["size"])) for r in mine}:  # equal weights, equal copies but for the sample
+            same = [r["copies"] for r in mine if len(str(r["size"])) == digits]
+            assert max(same) - min(same) <= 1
     assert abs(sum({r["source"]: r["target"] for r in rows}.values()) - sum(r["size"] for r in rows)) < 1e-3
 
 
+def test_inclusion_follows_the_weights(spark):
+    """Over seeds a document is sampled as often as its probability says, unequal in one source."""
+    rows = spark.createDataFrame(
+        [(i, "s" if i < 1440 else "t", 10 + i % 7, 1 + i % 3) for i in range(2400)], "doc_id bigint, source string, size bigint, w bigint"
+    )
+    taken, chance, members = Counter(), {}, Counter()
+    for seed in range(6):
+        for r in mixing.take_copies(rows, ["doc_id"], seed, inclusion_weight=F.col("w")).collect():
+            key = r["source"], r["w"]
+            chance[key] = r["p"]
+            taken[key] += r["copies"] - r["certain"]
+            members[key] += 1
+    assert len({round(p, 6) for p in chance.values() if 0 < p < 1}) == 6
+    for key, p in chance.items():
+        assert abs(taken[key] / members[key] - p) < 0.04, (key, p)
+
+
+def test_a_crowd_of_sources_and_of_rows_without_an_id(spark):
+    rows = [(None, f"s{i:05}", f"text {i}") for i in range(3000)] + [(None, "big", f"other text {i}") for i in range(3000)]
+    mixed = mixing.mix_documents(spark.createDataFrame(rows, "doc_id bigint, source string, text string")).collect()
+    targets = {r["source"]: r["target"] for r in mixed}
+    assert len(mixed) == 6000 and abs(sum(targets.values()) - 15_000) < 1e-3
+    assert abs(sum(r["copies"] * r["size"] for r in mixed if r["source"] == "big") - targets["big"]) <= 3
+    asked = [targets[f"s{i:05}"] for i in range(3000)]
+    assert asked[2] < asked[0] <= asked[1] and asked[3] == asked[0]  # weights 2, 3, 1, 2, ... after "big"
+
+
 def test_full_sources_pass_their_excess_on(spark):
     sizes = spark.createDataFrame([("a", "a", 10, 1), ("b", "b", 10, 5), ("c", "c", 980, 1)], "strat string, source string, source_size bigint, weight int")
     got = {r["source"]: r["target"] for r in mixing.source_targets(sizes).collect()}
