@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from chatprep.functions.terms import (
     GRAM_LENGTHS,
@@ -23,10 +23,27 @@ TASK_CHARS = 1 << 24
 
 
 class Index(NamedTuple):
-    """``postings``: doc_seq, term, tf.  ``term_stats``: term, df, idf."""
+    """``postings``: doc_seq, term, tf.  ``term_stats``: term, df, idf.
+
+    Stored tables also have ``bucket``, the partition a term is in; there are ``buckets``.
+    """
 
     postings: DataFrame
     term_stats: DataFrame
+    buckets: int = 0
+
+    def of_terms(self, terms: DataFrame) -> Index:
+        """The partitions of both tables in which these terms are, known before any is read."""
+        if not self.buckets:
+            return self
+        # At most as many numbers as there are partitions.
+        found = terms.select(term_bucket(F.col("term"), self.buckets).alias("bucket")).distinct().collect()
+        here = F.col("bucket").isin(sorted(r["bucket"] for r in found))
+        return Index(self.postings.filter(here), self.term_stats.filter(here))
+
+
+def term_bucket(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
 def _coded_terms(df: DataFrame, keys: list[str], text: str) -> DataFrame:

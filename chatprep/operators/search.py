@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from chatprep.functions.conversations import message
+from chatprep.operators.grid import BLOCK_WEIGHTS, grid_scores
 from chatprep.operators.groups import hot_keys, salted_join
 from chatprep.operators.index import (
     Index,
@@ -13,10 +14,10 @@ from chatprep.operators.index import (
     spread_documents,
     term_counts,
 )
+from chatprep.staging import stage
 
-# Query text, in characters, up to which its terms (at most three per character,
-# 150 MB) are broadcast.
-BROADCAST_CHARS = 1_000_000
+# Hits (queries x k) up to which they are broadcast to the documents.
+BROADCAST_HITS = 100_000
 
 # Labels of a context block, the answer when nothing is found, and the
 # prompt around question and context.
@@ -32,12 +33,6 @@ SYSTEM_TEXT = (
 QUESTION_TEMPLATE = "質問: {query}\n\nCSV検索結果:\n{context}\n\nこの情報だけで日本語で答えてください。"
 
 
-def fits_broadcast(queries: DataFrame, limit: int = BROADCAST_CHARS) -> bool:
-    """Measure the query text (one column, one sum) before choosing the join."""
-    chars = queries.agg(F.sum(F.length("text") + 1)).first()[0]
-    return (chars or 0) <= limit
-
-
 def lookup_idf(query_terms: DataFrame, term_stats: DataFrame) -> DataFrame:
     """``query_id, term, weight``: query count times idf, for terms some document has."""
     return query_terms.join(term_stats, "term").select(
@@ -45,38 +40,34 @@ def lookup_idf(query_terms: DataFrame, term_stats: DataFrame) -> DataFrame:
     )
 
 
-def _damped(postings: DataFrame) -> DataFrame:
-    """Replace ``tf`` by its share in a score, once per posting and not once per match."""
-    return postings.select("doc_seq", "term", (F.lit(1.0) + F.log("tf")).alias("_share"))
-
-
-def _sum_scores(matches: DataFrame) -> DataFrame:
-    return matches.groupBy("query_id", "doc_seq").agg(
-        F.sum(F.col("weight") * F.col("_share")).alias("score")
-    )
+def numbered_terms(query_terms: DataFrame) -> DataFrame:
+    """``term, tid``: the distinct terms that queries ask for, stored with a number each."""
+    return stage(query_terms.select("term").distinct().withColumn("tid", F.monotonically_increasing_id()), "asked-terms")
 
 
 def score_documents(
-    query_terms: DataFrame, postings: DataFrame, term_stats: DataFrame, *, broadcast: bool
+    query_terms: DataFrame,
+    postings: DataFrame,
+    term_stats: DataFrame,
+    k: int | None = None,
+    *,
+    terms: DataFrame | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """``query_id, doc_seq, score`` for every pair that shares a term.
 
-    With ``broadcast`` the weights go to every task, and postings that are
-    partitioned by ``doc_seq`` are scored in place.  Without it both sides are
-    shuffled by term, with frequent terms salted.
+    With ``k`` only the best ``k`` documents per query and bucket of documents.  Queries
+    are cut into blocks of about ``BLOCK_WEIGHTS`` terms and documents into ``buckets``;
+    pairs are scored and ranked where a block and a bucket meet.
     """
-    weights = lookup_idf(query_terms, term_stats)
-    postings = _damped(postings)
-    if broadcast:
-        by_term = weights.groupBy("term").agg(
-            F.collect_list(F.struct("query_id", "weight")).alias("_asked")
-        )
-        matches = postings.join(F.broadcast(by_term), "term").select(
-            "doc_seq", "_share", F.inline("_asked")
-        )
-        return _sum_scores(matches)
-    hot = hot_keys(term_stats, "term", "df")
-    return _sum_scores(salted_join(postings, weights, "term", "doc_seq", hot))
+    terms = numbered_terms(query_terms) if terms is None else terms
+    weights = lookup_idf(query_terms, term_stats).join(terms, "term").select("query_id", "tid", "weight")
+    weights = stage(weights, "query-weights")
+    share = (F.lit(1.0) + F.log("tf")).alias("share")
+    asked = postings if "tid" in postings.columns else postings.join(terms, "term")
+    blocks = max(1, -(-weights.count() // BLOCK_WEIGHTS))
+    buckets = buckets or int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return grid_scores(weights, asked.select("doc_seq", "tid", share), blocks, buckets, k)
 
 
 def top_k(scores: DataFrame, k: int = 6) -> DataFrame:
@@ -99,45 +90,47 @@ def top_k(scores: DataFrame, k: int = 6) -> DataFrame:
 def search_documents(queries: DataFrame, documents: DataFrame, k: int = 6) -> DataFrame:
     """Hits of ``query_id, text`` in ``doc_seq, text``, without a saved index.
 
-    Texts are spread by ``doc_seq`` once; a document is then counted, scored and first
-    ranked in one task.  Only postings of the queries' terms go on, through one shuffle
-    that document frequencies and scores share.
+    Texts are spread by ``doc_seq`` once and a document is counted in one task.  Only
+    postings of the queries' terms go on; document frequencies and scores share them.
     """
-    broadcast = fits_broadcast(queries)
-    query_terms = term_counts(queries, "query_id", "text")
+    query_terms = stage(term_counts(queries, "query_id", "text"), "query-terms")
+    terms = numbered_terms(query_terms)
     spread, tasks = spread_documents(documents)
-    # Scoring has more to do per document than counting, hence twice the tasks.
-    postings = _placed(term_counts(spread, "doc_seq", "text"), query_terms, broadcast, 2 * tasks)
+    postings = stage(_asked(term_counts(spread, "doc_seq", "text"), terms), "asked-postings")
     stats = idf_table(document_frequency(postings), documents)
-    return top_k(score_documents(query_terms, postings, stats, broadcast=broadcast), k)
+    # Scoring has more to do per document than counting, hence twice the tasks.
+    return top_k(score_documents(query_terms, postings, stats, k, terms=terms, buckets=2 * tasks), k)
 
 
 def search_index(queries: DataFrame, index: Index, k: int = 6) -> DataFrame:
-    """Hits of ``query_id, text`` in a saved index."""
-    broadcast = fits_broadcast(queries)
-    query_terms = term_counts(queries, "query_id", "text")
-    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    postings = _placed(index.postings, query_terms, broadcast, tasks)
-    return top_k(score_documents(query_terms, postings, index.term_stats, broadcast=broadcast), k)
+    """Hits of ``query_id, text`` in an index.
+
+    Of a stored index only the partitions of the queries' terms are read.
+    """
+    query_terms = stage(term_counts(queries, "query_id", "text"), "query-terms")
+    terms = numbered_terms(query_terms)
+    asked = index.of_terms(terms)
+    postings = _asked(asked.postings, terms)
+    return top_k(score_documents(query_terms, postings, asked.term_stats, k, terms=terms), k)
 
 
-def _placed(postings: DataFrame, query_terms: DataFrame, broadcast: bool, tasks: int) -> DataFrame:
-    """The postings some query asks for, brought together by document.
+def _asked(postings: DataFrame, terms: DataFrame) -> DataFrame:
+    """The postings that some query asks for.
 
-    Scores are then summed and first ranked in place instead of shuffling a row per
-    match.  The filter is an inner join with distinct terms: a semi join would be moved
-    ahead of the counting of terms, to every single occurrence.  With a query table too
-    large to broadcast the postings stay as they are and the scoring join filters them.
+    An inner join with distinct terms: a semi join would be moved ahead of the counting of
+    terms, to every single occurrence.  Spark broadcasts the terms if they are few.
     """
-    if not broadcast:
-        return postings
-    asked = F.broadcast(query_terms.select("term").distinct())
-    found = postings.join(asked, "term").select("doc_seq", "term", "tf")
-    return found.repartition(tasks, "doc_seq")
+    return postings.join(terms, "term").select("doc_seq", "term", "tid", "tf")
+
+
+def few_hits(queries: DataFrame, k: int, limit: int = BROADCAST_HITS) -> bool:
+    """Are there so few queries that ``k`` hits of each stay within the limit?"""
+    most = limit // max(k, 1)
+    return queries.select("query_id").limit(most + 1).count() <= most
 
 
 def attach_documents(hits: DataFrame, documents: DataFrame, *, small: bool) -> DataFrame:
-    """Document fields for hits; ``small`` says the hits are known to fit a broadcast.
+    """Document fields for hits; ``small`` says the hits are known to be few (``few_hits``).
 
     Otherwise a document that many queries hit is joined in several tasks.
     """

@@ -16,7 +16,7 @@ from chatprep.operators.search import (
     answer_queries,
     attach_documents,
     build_prompts,
-    fits_broadcast,
+    few_hits,
     make_context,
     search_documents,
     search_index,
@@ -140,12 +140,11 @@ def search(
     """
     documents = stage(build_documents(pairs), "documents")  # read several times
     hits = search_documents(queries, documents, top_k)
-    return _answers(queries, hits, documents, prompts)
+    return _answers(queries, hits, documents, top_k, prompts)
 
 
-def _answers(queries, hits, documents, prompts):
-    # A query batch small enough for the scoring broadcast has small hits as well.
-    found = attach_documents(hits, documents, small=fits_broadcast(queries))
+def _answers(queries, hits, documents, top_k, prompts):
+    found = attach_documents(hits, documents, small=few_hits(queries, top_k))
     contexts = make_context(found)
     return build_prompts(queries, contexts) if prompts else answer_queries(queries, contexts)
 
@@ -173,7 +172,7 @@ def search_saved(
 ) -> DataFrame:
     """``search`` in a stored index."""
     index, documents = read_index(spark, path)
-    return _answers(queries, search_index(queries, index, top_k), documents, prompts)
+    return _answers(queries, search_index(queries, index, top_k), documents, top_k, prompts)
 
 
 def prepare_from_csv_or_jsonl(

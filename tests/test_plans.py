@@ -17,7 +17,7 @@ def plan(df):
 @pytest.mark.parametrize(
     "name",
     ["conversations_checked", "dedup_kept", "counters", "dataset_statistics", "merged_conversations",
-     "knowledge_documents", "json_shapes", "document_idf", "search_topk", "search_context"],
+     "knowledge_documents", "json_shapes", "document_idf"],
 )
 def test_no_python_rows_cartesian_or_single_task_windows(spark, name):
     text = plan(q.QUERIES[name](spark, FOLDER))
@@ -27,12 +27,19 @@ def test_no_python_rows_cartesian_or_single_task_windows(spark, name):
         assert " ASC" not in window and " DESC" not in window  # a partition key comes first
 
 
-def test_search_scores_documents_in_place(spark):
+@pytest.mark.parametrize("name", ["search_topk", "search_context"])
+def test_searches_have_no_cartesian_or_single_task_windows(spark, name):
+    text = plan(q.QUERIES[name](spark, FOLDER))
+    assert "CartesianProduct" not in text and "windowspecdefinition(ROW" not in text
+
+
+def test_search_scores_and_ranks_in_cells(spark):
     hits = search_documents(q._questions(spark, FOLDER), q._documents(spark, FOLDER))
     text = plan(hits)
-    # Text, postings and ranked hits move; matches do not.
-    above_scores = text[: text.index("BroadcastHashJoin")]
-    assert above_scores.count("Exchange") == 1 and "WindowGroupLimit" in above_scores
+    # Above the cells only ranked hits move; below them weights and postings, once.
+    above, below = text.split("MapInArrow")
+    assert above.count("Exchange") == 1 and "WindowGroupLimit" in above
+    assert below.count("Exchange") == 1 and "BatchEval" not in text
 
 
 def test_scan_reads_only_needed_columns(spark):

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from chatprep.operators import groups, index as index_module
+from chatprep.operators import grid, groups, index as index_module
 from chatprep.operators import search as search_module
 from chatprep.operators.documents import build_documents, extract_category
 from chatprep.operators.index import (
@@ -19,6 +19,7 @@ from chatprep.operators.search import (
     answer_queries,
     attach_documents,
     build_prompts,
+    few_hits,
     make_context,
     score_documents,
     search_documents,
@@ -26,6 +27,7 @@ from chatprep.operators.search import (
     top_k,
 )
 from chatprep.plans.jobs import save_index, search, search_saved
+from chatprep.sinks.writers import read_index, write_index
 
 TEXTS = [
     "ab",
@@ -97,11 +99,11 @@ def test_search_matches_brute_force(spark, partitions):
     assert found(search_documents(questions, documents, 0)) == {}
 
 
-def test_large_query_tables_take_the_salted_join(spark, monkeypatch):
-    monkeypatch.setattr(
-        search_module, "hot_keys", lambda counts, key, n: groups.hot_keys(counts, key, n, 50)
-    )
-    monkeypatch.setattr(search_module, "fits_broadcast", lambda q: False)
+@pytest.mark.parametrize("weights, entries", [(4, 1 << 20), (1 << 18, 3), (7, 40)])
+def test_many_blocks_and_small_cells(spark, monkeypatch, weights, entries):
+    """Queries in several blocks and groups; documents in steps of a few."""
+    monkeypatch.setattr(search_module, "BLOCK_WEIGHTS", weights)
+    monkeypatch.setattr(grid, "ENTRIES", entries)
     documents = table(spark, "doc_seq", TEXTS)
     questions = table(spark, "query_id", QUESTIONS)
     want = ranking(QUESTIONS, TEXTS, 3)
@@ -109,6 +111,53 @@ def test_large_query_tables_take_the_salted_join(spark, monkeypatch):
     assert found(search_index(questions, build_index(documents), 3)) == want
 
 
+def test_every_document_as_a_query(spark):
+    texts = [f"{t} {i % 4}" for i, t in enumerate(TEXTS * 3)]
+    documents = table(spark, "doc_seq", texts).withColumn("doc_seq", F.col("doc_seq").cast("decimal(38,0)"))
+    questions = table(spark, "query_id", texts).withColumn("query_id", F.concat(F.lit("q"), "query_id"))
+    got = {(int(q[1:]), r): (int(d), s) for (q, r), (d, s) in found(search_documents(questions, documents, 4)).items()}
+    assert got == ranking(texts, texts, 4)
+
+
+def test_all_pairs_without_a_limit(spark):
+    documents, questions = table(spark, "doc_seq", TEXTS), table(spark, "query_id", QUESTIONS)
+    index = build_index(documents)
+    terms = term_counts(questions, "query_id", "text")
+    scores = score_documents(terms, index.postings, index.term_stats)
+    assert found(top_k(scores, 100)) == ranking(QUESTIONS, TEXTS, 100)
+    assert scores.count() == len(ranking(QUESTIONS, TEXTS, 100))
+
+
+def test_a_stored_index_is_pruned(spark, tmp_path):
+    """Both tables are filtered by partition, and few terms read few files."""
+    texts = [f"{w} {w * 2}" for w in ("alpha", "beta", "gamma", "delta", "omega") for _ in range(9)]
+    documents = table(spark, "doc_seq", texts)
+    write_index(documents, str(tmp_path / "index"), bucket_rows=16)
+    stored, _ = read_index(spark, str(tmp_path / "index"))
+    assert stored.buckets > 20
+    files = {}
+    for name, asked in (("few", ["beta"]), ("many", texts)):
+        questions = table(spark, "query_id", asked)
+        terms = search_module.numbered_terms(term_counts(questions, "query_id", "text"))
+        pruned = stored.of_terms(terms)
+        for df in pruned[:2]:
+            filters = re.search(r"PartitionFilters: \[([^]]*)\]", df._jdf.queryExecution().executedPlan().toString())
+            assert "bucket" in filters[1]
+        files[name] = pruned.postings.select(F.input_file_name()).distinct().count()
+        assert found(search_index(questions, stored, 3)) == ranking(asked, texts, 3)
+    assert files["few"] < files["many"] / 2
+
+
+def test_hits_are_broadcast_only_when_few(spark):
+    questions = table(spark, "query_id", QUESTIONS)
+    assert few_hits(questions, 6) and few_hits(questions, 0) and not few_hits(questions, 100_000)
+    documents = table(spark, "doc_seq", TEXTS).withColumn("title", F.lit("t"))
+    hits = search_documents(questions, documents, 2)
+    for small in (True, False):
+        plan = attach_documents(hits, documents, small=small)._jdf.queryExecution().optimizedPlan().toString()
+        assert ("strategy=broadcast" in plan.split("Join")[1]) == small
+
+
 def test_hot_keys_are_split_and_joined_whole(spark):
     many = spark.createDataFrame(
         [("hot" if i % 2 else f"k{i % 9}", i) for i in range(400)], "key string, i bigint"
