@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -13,6 +14,7 @@ from chatprep.operators.normalize import (
     resolve_columns,
 )
 from chatprep.operators.quality import drop_blank_pairs
+from chatprep.sources.quoted import csv_records
 from chatprep.sources.order import ORDER_COLUMNS, with_order_columns, with_seq
 
 
@@ -25,24 +27,27 @@ def _csv_reader(spark: SparkSession, multi_line: bool):
 def read_csv_records(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
     """Header CSV to ``seq, source, <columns>``, all text.
 
-    ``multi_line=False`` lets Spark split large files; use it when no cell holds a
-    line break.  Of columns whose names differ only in case the last one is kept.  Files
-    of a folder must have the same header.
+    Large files are read by many tasks, also where cells hold line breaks;
+    ``multi_line=False`` says that none does, and saves a pass.  Of columns whose names
+    differ only in case the last one is kept.  Files of a folder must have the same header.
     """
     header = _csv_reader(spark, multi_line).csv(path, header=False).first()
     if header is None:
         raise ValueError(f"{path}: CSV has no header row")
     names = ["" if name is None else name for name in header]
     last = {name.lower(): i for i, name in enumerate(names)}
-    # With different names Spark compares the header of every file and fails where one
-    # differs; repeated names can only be read by position.
+    # Repeated and empty names can only be read by position.
     compared = len(last) == len(names) and "" not in names
-    fields = names if compared else [f"_c{i}" for i in range(len(names))]
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in fields])
-    reader = _csv_reader(spark, multi_line).option("enforceSchema", not compared).schema(schema)
-    read = reader.csv(path, header=True)
-    scan = with_order_columns(read).toDF(*[f"_c{i}" for i in range(len(names))], *ORDER_COLUMNS)
-    numbered = with_seq(spark, path, scan, whole_files=multi_line)
+    if multi_line and not _lone_returns(spark, path):
+        read, whole_files = _quoted_csv(spark, path, names if compared else None, len(names)), False
+    else:
+        # With different names Spark compares the header of every file and fails where one differs.
+        fields = names if compared else [f"_c{i}" for i in range(len(names))]
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in fields])
+        reader = _csv_reader(spark, multi_line).option("enforceSchema", not compared).schema(schema)
+        read, whole_files = with_order_columns(reader.csv(path, header=True)), multi_line
+    scan = read.toDF(*[f"_c{i}" for i in range(len(names))], *ORDER_COLUMNS)
+    numbered = with_seq(spark, path, scan, whole_files=whole_files)
     kept = [
         F.col(f"_c{i}").alias(names[i])
         for name, i in last.items()
@@ -51,6 +56,31 @@ def read_csv_records(spark: SparkSession, path: str, *, multi_line: bool = True)
     return numbered.select("seq", "source", *kept)
 
 
+def _lone_returns(spark: SparkSession, path: str) -> bool:
+    """Do carriage returns alone end the lines?  Such files are read whole, a task each."""
+    first = spark.read.option("lineSep", "\n").text(path).first()
+    return first is not None and "\r" in re.sub('"[^"]*"?', "", first["value"]).rstrip("\r")
+
+
+def _quoted_csv(spark: SparkSession, path: str, header: list[str] | None, width: int) -> DataFrame:
+    """The cells of every record behind the header, as columns, and the order columns."""
+    records = csv_records(spark, path)
+    record = F.when(F.col("head"), F.regexp_replace("record", "^\ufeff", "")).otherwise(F.col("record"))
+    # One cell more than the header has tells a header that is longer.
+    schema = ", ".join(f"_c{i} string" for i in range(width + 1))
+    cells = F.from_csv(record, schema, {"quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE"})
+    parsed = records.select(cells.alias("_cells"), "head", *ORDER_COLUMNS)
+    if header is not None:
+        expected = F.col(f"_cells._c{width}").isNull()
+        for i, name in enumerate(header):
+            expected &= F.col(f"_cells._c{i}").eqNullSafe(F.lit(name))
+        told = F.concat(F.col("_file"), F.lit(": the header differs from that of other files"))
+        keep = F.when(~F.col("head"), F.lit(True)).when(expected, F.lit(False)).otherwise(F.raise_error(told).cast("boolean"))
+    else:
+        keep = ~F.col("head")
+    return parsed.filter(keep).select(*[F.col(f"_cells._c{i}") for i in range(width)], *ORDER_COLUMNS)
+
+
 def is_json_value(text: Column) -> Column:
     """Is the text exactly one JSON value?
 

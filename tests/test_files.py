@@ -1,7 +1,10 @@
+import csv
 import json
+import random
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from chatprep.operators.normalize import normalize_conversations, resolve_columns
 from chatprep.plans.jobs import (
@@ -18,6 +21,7 @@ from chatprep.sources.files import (
     read_records,
     read_training_json,
 )
+from chatprep.sources.quoted import INSIDE, OUTSIDE, _after
 from chatprep.operators.render import learned_total, render_chat_text, response_mask_report
 from chatprep.sources.turns import chat_turns_to_conversations
 from conftest import talks
@@ -272,3 +276,82 @@ def test_nothing_learned(spark, conversations):
     assert tuple(learned_total(report).first()) == (3, 1, 1, True)
     assert not learned_total(report.filter("seq < 2")).first()["passed"]
     assert render_chat_text(data).count() == 2
+
+
+# Files in many splits.
+
+
+@pytest.fixture
+def small_splits(spark):
+    default = spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    def use(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+    yield use
+    spark.conf.set("spark.sql.files.maxPartitionBytes", default)
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def quoted_rows(n):
+    draw = random.Random(n)
+    cells = ["plain", "", 'say "hi"', "a,b", "line\nbreak", "two\r\nbreaks\n\n", '"', '"",\n"', "x" * 90, "\n" * 40, "ende\u00e9\U0001f600"]
+    return [(f"q{i} {draw.choice(cells)}", draw.choice(cells), draw.choice(cells)) for i in range(n)]
+
+
+def as_csv(rows, end):
+    quoted = lambda c: '"' + c.replace('"', '""') + '"' if any(x in c for x in '",\n\r') or len(c) % 3 == 0 and c else c
+    return "".join(",".join(map(quoted, r)) + end for r in rows)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("size", ["100", "777", "9000", "64m"])
+def test_quoted_csv_in_many_splits(spark, tmp_path, small_splits, end, size):
+    """Line breaks, quotes and empty lines in cells, wherever the file is cut."""
+    rows = quoted_rows(400)
+    rows[200] = ("long", "a\n" * 3000, "b")  # one cell over many splits
+    text = "user,assistant,note" + end + as_csv(rows[:100], end) + end + as_csv(rows[100:], end)
+    path = put(tmp_path, "a.csv", "\ufeff" + text)
+    small_splits(size)
+    got = [tuple(r)[2:] for r in read_csv_records(spark, path).orderBy("seq").collect()]
+    assert got == [tuple(c if c else None if '""' not in as_csv([(c,)], "") else "" for c in r) for r in rows]
+
+
+def test_quoted_csv_is_read_by_many_tasks_without_moving_text(spark, tmp_path, small_splits):
+    path = put(tmp_path, "a.csv", "user,assistant\n" + as_csv([r[:2] for r in quoted_rows(2000)], "\n"))
+    small_splits("5000")
+    df = read_csv_records(spark, path)
+    assert df.select(F.spark_partition_id()).distinct().count() > 10
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    whole = plan.split("Union")[1].split("Filter (kind")[0] if "Filter (kind" in plan else plan
+    assert "Exchange hashpartitioning" not in whole.split("MapInArrow")[0]
+
+
+def test_quoted_csv_over_files(spark, tmp_path, small_splits):
+    small_splits("300")
+    rows = quoted_rows(60)
+    for k, name in enumerate("abc"):
+        put(tmp_path / "in", f"{name}.csv", "user,assistant,note\n" + as_csv(rows[20 * k : 20 * k + 20], "\n"))
+    got = [r["user"] for r in read_csv_records(spark, str(tmp_path / "in")).orderBy("seq").collect()]
+    assert got == [r[0] for r in rows]
+    put(tmp_path / "in", "d.csv", "user,assistant,other\n1,2,3\n")
+    with pytest.raises(PySparkException, match="header"):
+        read_csv_records(spark, str(tmp_path / "in")).collect()
+
+
+def test_csv_of_lone_returns_and_open_quotes(spark, tmp_path):
+    path = put(tmp_path, "a.csv", "user,assistant\r1,2\r3,4\r")
+    assert [tuple(r)[2:] for r in read_csv_records(spark, path).orderBy("seq").collect()] == [("1", "2"), ("3", "4")]
+    path = put(tmp_path, "b.csv", 'user,assistant\nin "the" middle,x"y\n"closed" then,"",\n')
+    assert [tuple(r)[2:] for r in read_csv_records(spark, path).orderBy("seq").collect()][0] == ('in "the" middle', 'x"y')
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_state_of_lines_against_a_csv_parser(seed):
+    draw = random.Random(seed)
+    for _ in range(3000):
+        line = "".join(draw.choices('a",', k=draw.randrange(0, 9)))
+        rows = list(csv.reader([line + "\n", "END\n"]))
+        # If the cell is open, the next line is part of the same record.
+        assert (_after(line, OUTSIDE) == INSIDE) == (len(rows) == 1), line
