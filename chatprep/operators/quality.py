@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from chatprep.functions.conversations import MESSAGES_TYPE, NO_PAIR, problems, total_tokens
 from chatprep.functions.text import is_blank
+from chatprep.staging import stage
+
+# Different repeated conversations up to which their digests are broadcast (100 MB).
+BROADCAST_GROUPS = 1_000_000
 
 
 def drop_blank_pairs(pairs: DataFrame) -> DataFrame:
@@ -40,13 +44,43 @@ def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     return kept, rejects
 
 
-def dedup_conversations(kept: DataFrame) -> DataFrame:
+def _repeated(conversations: DataFrame, digest: str, limit: int) -> DataFrame | None:
+    """``digest, first, copies`` of the conversations that occur twice or more, if there are
+    no more than the limit of different ones.
+
+    Digests travel, texts do not; repeats are combined map-side.
+    """
+    counts = conversations.groupBy(digest).agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("copies"))
+    found = stage(counts.filter(F.col("copies") > 1), "repeated")
+    return found if found.limit(limit + 1).count() <= limit else None
+
+
+def _first_of_each(conversations: DataFrame, digest: str, repeated: DataFrame) -> DataFrame:
+    """Adds ``copies`` and drops all but the first of each repeated conversation, in place."""
+    joined = conversations.join(F.broadcast(repeated), digest, "left")
+    first = F.col("first").isNull() | (F.col("first") == F.col("seq"))
+    return joined.filter(first).withColumn("copies", F.coalesce("copies", F.lit(1).cast("bigint")))
+
+
+def message_digest(messages: Column) -> Column:
+    """SHA-256 of the messages: equal digests stand for equal messages."""
+    return F.sha2(F.coalesce(F.to_json(messages), F.lit("")), 256)
+
+
+def dedup_conversations(kept: DataFrame, limit: int = BROADCAST_GROUPS) -> DataFrame:
     """First of each set of equal conversations by ``seq``, with the number of ``copies``.
 
-    Copies meet as partial counts, so a conversation repeated a billion times sends
+    Only digests are shuffled, and the repeated ones (different ones, however many copies
+    each has) go to the texts.  Where those are more than the limit, texts are grouped:
+    copies then meet as partial counts, so a conversation repeated a billion times sends
     one row per map task.
     """
-    return kept.groupBy("messages").agg(
+    # Stored once; counting then reads the digests alone.
+    marked = stage(kept.withColumn("_digest", message_digest(F.col("messages"))), "digests")
+    repeated = _repeated(marked, "_digest", limit)
+    if repeated is not None:
+        return _first_of_each(marked, "_digest", repeated).select("seq", "messages", "copies")
+    return marked.groupBy("messages").agg(
         F.min("seq").alias("seq"), F.count(F.lit(1)).alias("copies")
     ).select("seq", "messages", "copies")
 
@@ -56,24 +90,29 @@ def duplicate_rows(kept: DataFrame) -> DataFrame:
     return kept.join(dedup_conversations(kept).select("seq"), "seq", "left_anti")
 
 
-def tag_conversations(checked: DataFrame) -> DataFrame:
-    """One pass and one shuffle from checked conversations to their outcome.
+def tag_conversations(checked: DataFrame, limit: int = BROADCAST_GROUPS) -> DataFrame:
+    """Checked conversations to their outcome, de-duplicated like ``dedup_conversations``.
 
     ``seq, messages, reason, copies``: ``reason`` is null for kept conversations;
-    rejects keep a row each, without their text.
+    rejects keep a row each, without their text.  The texts are stored once, and what is
+    read from the result comes from there.
     """
     reason = F.get("problems", F.lit(0))
-    return (
-        checked.select(
-            "seq",
-            F.when(reason.isNull(), F.col("messages")).alias("messages"),
-            reason.alias("reason"),
-            F.when(reason.isNotNull(), F.col("seq")).alias("_reject"),
-        )
+    told = checked.select("seq", F.when(reason.isNull(), F.col("messages")).alias("messages"), reason.alias("reason"))
+    # Rejects are told apart by their number.
+    digest = F.when(F.col("reason").isNull(), message_digest(F.col("messages"))).otherwise(F.col("seq").cast("string"))
+    marked = stage(told.withColumn("_digest", digest), "checked")
+    repeated = _repeated(marked, "_digest", limit)
+    if repeated is not None:
+        first = _first_of_each(marked, "_digest", repeated)
+        return first.select("seq", F.col("messages").cast(MESSAGES_TYPE), "reason", "copies")
+    grouped = (
+        marked.withColumn("_reject", F.when(F.col("reason").isNotNull(), F.col("seq")))
         .groupBy("messages", "reason", "_reject")
         .agg(F.min("seq").alias("seq"), F.count(F.lit(1)).alias("copies"))
         .select("seq", F.col("messages").cast(MESSAGES_TYPE), "reason", "copies")
     )
+    return stage(grouped, "tagged")
 
 
 def flag_too_long(conversations: DataFrame, max_seq_length: int = 1024) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from pathlib import PurePosixPath
 from typing import NamedTuple
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chatprep.operators.documents import build_documents
@@ -29,6 +31,7 @@ from chatprep.sinks.writers import (
     write_training_bundle,
 )
 from chatprep.sources.files import (
+    line_in_file,
     read_conversations,
     read_csv_records,
     read_pairs,
@@ -47,9 +50,21 @@ class Built(NamedTuple):
     merge: DataFrame | None
 
 
+@contextmanager
+def _lines_named(spark: SparkSession, path: str):
+    """A bad JSON line fails the job with its number in the file."""
+    try:
+        yield
+    except PySparkException as error:
+        told = line_in_file(spark, path, error)
+        if told is None:
+            raise
+        raise ValueError(told) from error
+
+
 def _tagged(conversations: DataFrame) -> DataFrame:
-    """Checked and de-duplicated outcome of every conversation, stored with its lengths."""
-    return stage(with_lengths(tag_conversations(validate_conversations(conversations))), "tagged")
+    """Checked and de-duplicated outcome of every conversation, with its lengths."""
+    return with_lengths(tag_conversations(validate_conversations(conversations)))
 
 
 def _report(tagged: DataFrame, max_seq_length: int) -> DataFrame:
@@ -81,15 +96,16 @@ def build_dataset(
 
     Writes nothing when no conversation is kept.  ``read_options`` as in ``read_records``.
     """
-    return build_from_conversations(
-        read_conversations(spark, path, system, **read_options),
-        out,
-        system=system,
-        valid_frac=valid_frac,
-        seed=seed,
-        max_seq_length=max_seq_length,
-        merge=merge_same_user,
-    )
+    with _lines_named(spark, path):
+        return build_from_conversations(
+            read_conversations(spark, path, system, **read_options),
+            out,
+            system=system,
+            valid_frac=valid_frac,
+            seed=seed,
+            max_seq_length=max_seq_length,
+            merge=merge_same_user,
+        )
 
 
 def build_from_conversations(
@@ -121,7 +137,8 @@ def validate_dataset(
     spark: SparkSession, path: str, *, max_seq_length: int = 1024, **read_options
 ) -> Built:
     """Check a file; ``report`` gains ``passed``: something kept and nothing skipped."""
-    result = _result(_tagged(read_conversations(spark, path, **read_options)), max_seq_length)
+    with _lines_named(spark, path):
+        result = _result(_tagged(read_conversations(spark, path, **read_options)), max_seq_length)
     passed = (F.col("skipped") == 0) & (F.col("count") > 0)
     return result._replace(report=result.report.withColumn("passed", passed))
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from chatprep.functions import conversations as c, text as t
 from chatprep.functions.answers import ANSWERS_HEADER, SHOPS_HEADER
 from chatprep.operators import search as s
-from chatprep.plans.queries import PAIRS_FROM, SYSTEM
+from chatprep.plans.queries import PAIRS_FROM, QUESTION_FORMS, SYSTEM
 
 # White space: as a string to trim and as a regular-expression class.
 BLANKS = "'" + t.WHITESPACE + "'"
@@ -258,11 +258,7 @@ DOCUMENT_STATS = """count(*) AS "count",
 RENDERED = f"""string_agg('<|turn>' || CASE WHEN role = 'assistant' THEN 'model' ELSE role END
   || chr(10) || content || '<turn|>' || chr(10), '' ORDER BY turn) AS text"""
 
-MERGED_CONVERSATIONS = query(
-    PART_PAIRS,
-    TURNS,
-    PAIRS_OF_TURNS,
-    f"""passed AS (
+MERGED_INPUT = f"""passed AS (
   SELECT seq, turn, role, content FROM turns WHERE seq NOT IN (SELECT seq FROM conv_pairs)
   UNION ALL
   SELECT seq, -1, 'system', {quoted(SYSTEM)} FROM turns
@@ -270,7 +266,13 @@ MERGED_CONVERSATIONS = query(
 asked AS (
   SELECT seq, coalesce(system, {quoted(SYSTEM)}) AS system, "user", assistant FROM conv_pairs
   UNION ALL
-  SELECT seq + {PAIRS_FROM}, {quoted(SYSTEM)}, "user", assistant FROM part_pairs)""",
+  SELECT seq + {PAIRS_FROM}, {quoted(SYSTEM)}, "user", assistant FROM part_pairs)"""
+
+MERGED_CONVERSATIONS = query(
+    PART_PAIRS,
+    TURNS,
+    PAIRS_OF_TURNS,
+    MERGED_INPUT,
     merged("asked"),
     select=f"""SELECT seq, string_agg(role || ': ' || content, chr(10) ORDER BY turn) AS dialog
 FROM passed GROUP BY seq
@@ -494,18 +496,63 @@ _BUILT = [
     + TOKENS.format("content")
     + """) AS BIGINT) AS tokens
   FROM with_system JOIN checked USING (seq) WHERE problems = '' GROUP BY seq),
-once AS (SELECT dialog, any_value(chars) AS chars, any_value(tokens) AS tokens
+once AS (SELECT dialog, min(seq) AS seq, any_value(chars) AS chars, any_value(tokens) AS tokens
   FROM kept GROUP BY dialog)""",
 ]
 
 ORACLE["built_sharegpt"] = query(*_BUILT, select="SELECT dialog FROM once")
 ORACLE["built_report"] = query(
     *_BUILT,
-    select=f"""SELECT {DOCUMENT_STATS},
+    f"stats AS (SELECT {DOCUMENT_STATS} FROM once)",
+    select="""SELECT *, CASE WHEN "count" = 0 THEN 'error' WHEN "count" < 10 THEN 'barely changes'
+    WHEN "count" < 30 THEN 'small' ELSE 'ok' END AS level,
+  max_tokens > 1024 AS over_length,
+  CASE WHEN "count" BETWEEN 30 AND 60 THEN '8-10' WHEN "count" BETWEEN 100 AND 300 THEN '4-6'
+       WHEN "count" >= 500 THEN '2-3' END AS epochs,
   2 * (SELECT count(*) FROM checked) AS input_rows,
   2 * (SELECT count(*) FROM checked WHERE problems <> '') AS skipped,
-  2 * (SELECT count(*) FROM kept) - count(*) AS duplicates FROM once""",
+  2 * (SELECT count(*) FROM kept) - "count" AS duplicates FROM stats""",
+)
+ORACLE["built_merged"] = query(
+    PART_PAIRS,
+    TURNS,
+    PAIRS_OF_TURNS,
+    MERGED_INPUT,
+    merged("asked"),
+    PROBLEMS,
+    select=f"""SELECT DISTINCT dialog FROM (
+  SELECT string_agg(role || ': ' || content, chr(10) ORDER BY turn) AS dialog
+  FROM passed JOIN checked USING (seq) WHERE problems = '' GROUP BY seq
+  UNION ALL
+  SELECT 'system: ' || system || chr(10) || 'user: ' || "user" || chr(10) || 'assistant: ' || assistant
+  FROM groups WHERE assistant <> '' AND "user" <> '')""",
+)
+ORACLE["written_order"] = query(*_BUILT, select="SELECT row_number() OVER (ORDER BY seq) - 1 AS place, dialog FROM once")
+ORACLE["written_sides"] = query(
+    *_BUILT,
+    "total AS (SELECT count(*) AS n FROM once)",
+    """sizes AS (
+  SELECT n, CASE WHEN n < 2 THEN n
+    ELSE least(greatest(1, CAST(round_even(n * 0.1, 0) AS BIGINT)), n - 1) END AS v FROM total)""",
+    select="""SELECT 'train_sharegpt' AS side, n FROM sizes
+UNION ALL SELECT 'train', CASE WHEN n < 2 THEN n ELSE n - v END FROM sizes
+UNION ALL SELECT 'valid', v FROM sizes
+UNION ALL SELECT 'found', n FROM sizes""",
+)
+ORACLE["validation_passed"] = query(
+    TURNS,
+    PROBLEMS,
+    DIALOGS,
+    select="""SELECT count(DISTINCT dialog) AS "count", count(*) AS input_rows, CAST(0 AS BIGINT) AS skipped,
+  count(*) - count(DISTINCT dialog) AS duplicates, count(*) > 0 AS passed
+FROM dialogs JOIN checked USING (seq) WHERE problems = ''""",
 )
+ORACLE["json_object_file"] = ORACLE["json_list_file"]
+ORACLE["rendered_mask"] = f"""SELECT learned_chars, learned_tokens, has_response
+FROM ({ORACLE["response_mask"].replace(FAULTY, TURNS)}), (VALUES (0), (1)) c(copy)"""
+ORACLE["question_categories"] = f"""SELECT p_partkey, CAST(form AS INTEGER) AS form, {CATEGORY.format("question")} AS category FROM (
+  SELECT p_partkey, form, a || p_brand || ' ' || p_size || b AS question
+  FROM part, (VALUES {", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(QUESTION_FORMS))}) f(form, a, b))"""
 ORACLE["validation_report"] = query(
     TURNS,
     PROBLEMS,

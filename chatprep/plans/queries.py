@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -46,6 +47,7 @@ from chatprep.staging import stage, staging_folder
 from chatprep.sinks.writers import (
     in_order,
     read_index,
+    with_place,
     write_index,
     write_jsonl,
     write_merged_csv,
@@ -53,7 +55,7 @@ from chatprep.sinks.writers import (
 from chatprep.sources.files import read_csv_records, read_pairs, read_records
 from chatprep.sources.turns import chat_turns_to_conversations
 
-SYSTEM = "You are a friendly guide."
+SYSTEM = "Reply in short sentences and name your sources."
 
 # Part rows used as pairs come after the conversations in order.
 PAIRS_FROM = 10_000_000_000
@@ -63,6 +65,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# The forms of questions whose subject is a category, and one that is none.
+QUESTION_FORMS = [("おすすめの", "のお店"), ("神戸で", "を食べるなら"), ("", "が食べたい"), ("人気の", "のお店"), ("", "?")]
+
+
 # Inputs ------------------------------------------------------------------------------
 
 
@@ -326,6 +332,15 @@ def question_category(spark, folder):
     return extract_category(_knowledge_pairs(spark, folder), "user").select("seq", "category")
 
 
+def question_categories(spark, folder):
+    """Every part asked for in each of the known forms, and in one that none matches."""
+    part = table(spark, folder, "part").select("p_partkey", F.concat("p_brand", F.lit(" "), "p_size").alias("thing"))
+    forms = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in QUESTION_FORMS])
+    asked = part.select("p_partkey", "thing", F.posexplode(forms).alias("form", "f"))
+    questions = asked.select("p_partkey", "form", F.concat("f.a", "thing", "f.b").alias("question"))
+    return extract_category(questions, "question").select("p_partkey", "form", "category")
+
+
 def knowledge_documents(spark, folder):
     return build_documents(_knowledge_pairs(spark, folder)).withColumn(
         "categories", F.array_join("categories", ",")
@@ -439,6 +454,16 @@ def json_list_file(spark, folder):
     return _dialog(normalize_conversations(records, json=True)).select("dialog")
 
 
+def json_object_file(spark, folder):
+    """One file per conversation, holding a single object over several lines."""
+    rows = messages_to_sharegpt(_conversations(spark, folder))
+    value = F.concat(F.lit("{\n"), F.lit(' "conversations":\n'), F.to_json("conversations"), F.lit("\n}"))
+    path = f"{_new_path(spark, 'objects')}.json"
+    rows.select("seq", value.alias("value")).write.partitionBy("seq").text(path)
+    records = read_records(spark, path, layout="document")
+    return _dialog(normalize_conversations(records, json=True)).select("dialog")
+
+
 def csv_file(spark, folder):
     path = f"{_new_path(spark, 'pairs')}.csv"
     write_merged_csv(_part_pairs(spark, folder), path)
@@ -458,9 +483,7 @@ def _conversation_file(spark, folder):
 
 def built_report(spark, folder):
     path = _conversation_file(spark, folder)
-    return build_dataset(spark, path, _new_path(spark, "out"), system=SYSTEM).report.drop(
-        "level", "epochs", "over_length"
-    )
+    return build_dataset(spark, path, _new_path(spark, "out"), system=SYSTEM).report
 
 
 def built_sharegpt(spark, folder):
@@ -470,6 +493,44 @@ def built_sharegpt(spark, folder):
     return _dialog(written).select("dialog")
 
 
+def built_merged(spark, folder):
+    """A build that merges: conversations, and parts that are asked for several times."""
+    asked = pairs_to_messages(_part_pairs(spark, folder)).withColumn("seq", F.col("seq") + F.lit(PAIRS_FROM))
+    rows = in_order(_conversations(spark, folder).unionByName(asked), "seq")
+    path, out = _as_file(spark, rows.select("messages"), "messages"), _new_path(spark, "out")
+    build_dataset(spark, path, out, system=SYSTEM, merge_same_user=True)
+    written = normalize_conversations(read_records(spark, f"{out}/train_sharegpt.jsonl"))
+    return _dialog(written).select("dialog")
+
+
+def written_order(spark, folder):
+    """The place of every conversation in the training file: that of its first copy."""
+    path, out = _conversation_file(spark, folder), _new_path(spark, "out")
+    build_dataset(spark, path, out, system=SYSTEM)
+    written = read_records(spark, f"{out}/train_sharegpt.jsonl")
+    return with_place(_dialog(normalize_conversations(written)), "seq").select("place", "dialog")
+
+
+def written_sides(spark, folder):
+    """Lines of the three files, and how many conversations of the first are in one of the others."""
+    path, out = _conversation_file(spark, folder), _new_path(spark, "out")
+    build_dataset(spark, path, out, system=SYSTEM)
+    whole, train, valid = (
+        _dialog(normalize_conversations(read_records(spark, f"{out}/{name}.jsonl"))) for name in ("train_sharegpt", "train", "valid")
+    )
+    split = train.select("dialog").unionByName(valid.select("dialog"))
+    sides = [("train_sharegpt", whole), ("train", train), ("valid", valid), ("found", whole.join(split.distinct(), "dialog"))]
+    counted = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("side"), "n") for name, df in sides]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def validation_passed(spark, folder):
+    """A file in which nothing is wrong."""
+    rows = in_order(_kept(spark, folder), "seq")
+    path = _as_file(spark, rows.select("messages"), "messages")
+    return validate_dataset(spark, path).report.select("count", "input_rows", "skipped", "duplicates", "passed")
+
+
 def validation_report(spark, folder):
     return validate_dataset(spark, _conversation_file(spark, folder)).report.select(
         "count", "input_rows", "skipped", "duplicates", "passed"
@@ -481,6 +542,11 @@ def rendered_file(spark, folder):
     return text.select("text")
 
 
+def rendered_mask(spark, folder):
+    _, mask = render_training_text(spark, _conversation_file(spark, folder))
+    return mask.select("learned_chars", "learned_tokens", "has_response")
+
+
 def prepared_csv(spark, folder):
     path, out = f"{_new_path(spark, 'pairs')}.csv", _new_path(spark, "out")
     write_merged_csv(_part_pairs(spark, folder), path)
@@ -517,6 +583,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         merged_table,
         answer_facts,
         question_category,
+        question_categories,
         knowledge_documents,
         benchmark_terms,
         document_idf,
@@ -530,12 +597,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         learned,
         json_lines_file,
         json_list_file,
+        json_object_file,
         csv_file,
         csv_pairs,
         built_report,
         built_sharegpt,
+        built_merged,
+        written_order,
+        written_sides,
         validation_report,
+        validation_passed,
         rendered_file,
+        rendered_mask,
         prepared_csv,
     ]
 }

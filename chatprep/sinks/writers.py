@@ -5,7 +5,7 @@ Spark writes a folder of part files under the given name.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from chatprep.operators.index import Index, document_postings, index_of, term_bucket
 from chatprep.operators.normalize import messages_to_sharegpt
@@ -21,6 +21,21 @@ def in_order(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
+def with_place(df: DataFrame, *keys: str) -> DataFrame:
+    """Add ``place``: how many rows come before in key order.
+
+    Rows are numbered within the ranges of the order, which go on from the counts of the
+    ranges before: one row per range.  Keys must tell all rows apart.
+    """
+    laid = stage(df.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = laid.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.select("_range", (F.sum("_rows").over(before) - F.col("_rows")).alias("_before"))
+    here = F.row_number().over(Window.partitionBy("_range").orderBy(*keys))
+    numbered = laid.join(F.broadcast(counts), "_range").withColumn("place", (F.col("_before") + here - 1).cast("bigint"))
+    return numbered.select(*df.columns, "place")
+
+
 def write_jsonl(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     """One JSON object per line; text outside ASCII is written as it is."""
     df.write.mode(mode).option("ignoreNullFields", False).json(path)

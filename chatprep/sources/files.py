@@ -14,8 +14,10 @@ from chatprep.operators.normalize import (
     resolve_columns,
 )
 from chatprep.operators.quality import drop_blank_pairs
-from chatprep.sources.quoted import csv_records
+from chatprep.sources.json_lists import list_elements, list_splits
 from chatprep.sources.order import ORDER_COLUMNS, with_order_columns, with_seq
+from chatprep.sources.quoted import csv_records
+from chatprep.staging import stage
 
 
 def _csv_reader(spark: SparkSession, multi_line: bool):
@@ -96,16 +98,14 @@ def is_json_value(text: Column) -> Column:
     return one & (in_object["value"].isNotNull() | (strip(text) == "null"))
 
 
-def _is_document(spark: SparkSession, path: str) -> bool:
-    """Is the whole text one JSON value, rather than JSON Lines?
-
-    A first line that is a value, with another line after it, settles it.  Only a first
-    line that is none is ambiguous: the texts are then parsed as a whole.
-    """
+def _first_lines(spark: SparkSession, path: str) -> list[bool]:
+    """Of the first two lines with text, whether each is a JSON value."""
     lines = spark.read.text(path).filter(~is_blank("value"))
-    flags = [r["ok"] for r in lines.select(is_json_value(F.col("value")).alias("ok")).take(2)]
-    if not flags or flags[0]:
-        return len(flags) == 1
+    return [r["ok"] for r in lines.select(is_json_value(F.col("value")).alias("ok")).take(2)]
+
+
+def _all_documents(spark: SparkSession, path: str) -> bool:
+    """Is every file as a whole a JSON value?  For files that are no lists."""
     whole = spark.read.text(path, wholetext=True).filter(~is_blank("value"))
     return whole.filter(~is_json_value(strip(F.col("value")))).isEmpty()
 
@@ -127,7 +127,38 @@ def _read_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.filter(good).withColumnRenamed("value", "raw")
 
 
+FAULT = re.compile(r"Line (\d+)(?: after byte (\d+))? of (\S+) is not valid JSON")
+
+
+def line_in_file(spark: SparkSession, path: str, error: Exception) -> str | None:
+    """The error of a bad line with its number in the file; None for other errors.
+
+    The reader knows where in a file split the line is.  Only now that there is one, the
+    lines before it are counted: those of the splits before and those of its own.
+    """
+    found = FAULT.search(str(error))
+    if found is None:
+        return None
+    place, block, file = int(found[1]) - 1, int(found[2] or 0), found[3]
+    lines = with_order_columns(spark.read.text(path))
+    before = (F.col("_block") < block) | ((F.col("_block") == block) & (F.col("_place") <= place))
+    number = lines.filter((F.col("_file") == file) & before).count()
+    return f"Line {number} of {file} is not valid JSON"
+
+
+def _read_lists(spark: SparkSession, path: str, splits: DataFrame) -> DataFrame:
+    """The elements of files that are lists, by many tasks."""
+    elements = list_elements(spark, path, splits)
+    told = F.concat(F.col("_file"), F.lit(" is not valid JSON"))
+    text = strip(F.col("element"))
+    good = F.when(is_json_value(text), F.lit(True)).otherwise(F.raise_error(told).cast("boolean"))
+    # Only objects are records; other elements stay as rows without usable text.
+    raw = F.when(text.startswith("{"), text)
+    return elements.filter(good).select("_file", "_block", "_place", raw.alias("raw"))
+
+
 def _read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Files of one value each, read whole."""
     whole = with_order_columns(spark.read.text(path, wholetext=True)).filter(~is_blank("value"))
     text = strip(F.col("value"))
     items = F.when(text.startswith("["), F.from_json(text, "array<string>")).otherwise(
@@ -156,6 +187,7 @@ def _read_documents(spark: SparkSession, path: str) -> DataFrame:
 def read_json_records(spark: SparkSession, path: str, *, layout: str = "auto") -> DataFrame:
     """JSON document, list of records or JSON Lines to ``seq, source, raw``.
 
+    Lists and JSON Lines are read by many tasks; a file that is one object is one record.
     ``layout`` is ``auto``, ``document`` or ``lines``.  A folder with several files is
     taken as JSON Lines unless told otherwise.  A bad line fails the job that reads it
     and is named in the error.
@@ -163,11 +195,17 @@ def read_json_records(spark: SparkSession, path: str, *, layout: str = "auto") -
     prepare_session(spark)
     if layout not in ("auto", "document", "lines"):
         raise ValueError(f"unknown layout {layout!r}")
-    if layout == "auto":
-        layout = "document" if _is_document(spark, path) else "lines"
-    document = layout == "document"
-    scan = _read_documents(spark, path) if document else _read_lines(spark, path)
-    return with_seq(spark, path, scan, whole_files=document)
+    # A first line that is a value, with another line after it, is one of JSON Lines.  A
+    # first line that is none starts a document, or is a fault.
+    first = _first_lines(spark, path) if layout == "auto" else []
+    if layout == "lines" or (layout == "auto" and first[:1] != [False] and len(first) != 1):
+        return with_seq(spark, path, _read_lines(spark, path))
+    splits = stage(list_splits(spark, path), "list-splits")
+    if splits.filter((F.col("_block") == 0) & (F.col("opens") != "[")).isEmpty():
+        return with_seq(spark, path, _read_lists(spark, path, splits))
+    if layout == "auto" and len(first) == 2 and not _all_documents(spark, path):
+        return with_seq(spark, path, _read_lines(spark, path))
+    return with_seq(spark, path, _read_documents(spark, path), whole_files=True)
 
 
 def is_json_path(path: str) -> bool:

@@ -355,3 +355,59 @@ def test_state_of_lines_against_a_csv_parser(seed):
         rows = list(csv.reader([line + "\n", "END\n"]))
         # If the cell is open, the next line is part of the same record.
         assert (_after(line, OUTSIDE) == INSIDE) == (len(rows) == 1), line
+
+
+def list_text(records, draw):
+    """A JSON list with white space of all kinds between its elements."""
+    space = lambda: draw.choice(["", "", " ", "\n", "\r\n\t "])
+    return space() + "[" + ",".join(space() + json.dumps(r, ensure_ascii=draw.random() < 0.5) + space() for r in records) + "]" + space()
+
+
+@pytest.mark.parametrize("size", ["70", "333", "5000", "64m"])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_json_list_in_many_splits(spark, tmp_path, small_splits, size, seed):
+    draw = random.Random(seed)
+    texts = ["a", 'say "x"', "}", "{", "}, {", "[1, 2", "\\", '\\"', "\n", "é\U0001f600", "],[", "", "x" * 200]
+    records = [draw.choice([{"user": draw.choice(texts), "assistant": draw.choice(texts), "n": [i, {"k": [draw.choice(texts)]}]}, [i, {}], i, "s}" + draw.choice(texts), None]) for i in range(150)]
+    records[70] = {"user": "u", "assistant": 'long }"{[' * 400}
+    path = put(tmp_path, "a.json", list_text(records, draw))
+    small_splits(size)
+    rows = read_json_records(spark, path).orderBy("seq").collect()
+    assert len({r["seq"] for r in rows}) == len(rows)
+    assert [json.loads(r["raw"]) if r["raw"] is not None else None for r in rows] == [r if isinstance(r, dict) else None for r in records]
+
+
+def test_json_list_is_read_by_many_tasks(spark, tmp_path, small_splits):
+    records = [{"user": f"u{i}", "assistant": "y" * 300} for i in range(2000)]
+    path = put(tmp_path, "a.json", json.dumps(records))  # one line
+    small_splits("20000")
+    df = read_json_records(spark, path)
+    assert df.select(F.spark_partition_id()).distinct().count() > 20
+    assert [json.loads(r["raw"])["user"] for r in df.orderBy("seq").collect()] == [r["user"] for r in records]
+
+
+@pytest.mark.parametrize(
+    "bad", ["[", "[1,]", "[,1]", "[1,,2]", '[{"a":1]', '[{"a":1}', '[{"a":1}]]', "[1] 2", '[{"a":"}]', '["a]', "[1}", '[{"a":1}}', '[{"a" 1}]']
+)
+def test_bad_lists(spark, tmp_path, small_splits, bad):
+    for size in ("3", "64m"):
+        small_splits(size)
+        with pytest.raises(PySparkException, match="not valid JSON"):
+            read_json_records(spark, put(tmp_path, "a.json", bad), layout="document").collect()
+
+
+@pytest.mark.parametrize("text, rows", [("[]", 0), (" [ \n ] ", 0), ("[[]]", 1), ("[{}]", 1), ('["]"]', 1)])
+def test_small_lists(spark, tmp_path, text, rows):
+    assert len(read_json_records(spark, put(tmp_path, "a.json", text), layout="document").collect()) == rows
+
+
+def test_line_number_over_splits_and_files(spark, tmp_path, small_splits):
+    good = [json.dumps({"user": f"u{i}", "assistant": "y" * 100}) for i in range(2000)]
+    for name in ("a", "c"):
+        put(tmp_path / "in", f"{name}.jsonl", "\n".join(good[:50]) + "\n")
+    put(tmp_path / "in", "b.jsonl", "\n".join([*good[:700], "", "{broken", *good[700:]]) + "\n")
+    for size in ("3000", "20000", "64m"):  # splits of one file, and files that share a task
+        small_splits(size)
+        for job in (lambda: build_dataset(spark, str(tmp_path / "in") + "/*.jsonl", str(tmp_path / "out"), layout="lines"), lambda: validate_dataset(spark, str(tmp_path / "in") + "/*.jsonl", layout="lines")):
+            with pytest.raises(ValueError, match="Line 702 of .*b.jsonl"):
+                job()

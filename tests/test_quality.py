@@ -1,7 +1,10 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from chatprep.functions import conversations as c
+from chatprep.operators import quality
 from chatprep.operators.quality import (
     dedup_conversations,
     duplicate_rows,
@@ -12,6 +15,7 @@ from chatprep.operators.quality import (
     validate_conversations,
 )
 from chatprep.operators.stats import dataset_stats, run_counters, size_guidance, with_lengths
+from chatprep.staging import stage
 from conftest import by_seq, talks
 
 U, A = ("user", "u"), ("assistant", "a")
@@ -86,6 +90,28 @@ def test_first_copy_stays(conversations, partitions):
     assert by_seq(dedup_conversations(once.drop("copies")), "copies") == {0: 1, 3: 1}
 
 
+def test_above_the_limit_texts_are_grouped(conversations):
+    data = conversations([U, A], [A], [U, A], [U, ("assistant", "b")], [A], [U, A], [U, ("assistant", "b")])
+    good, _ = split_valid(validate_conversations(data))
+    for limit in (0, 1, 2):
+        tagged = tag_conversations(validate_conversations(data), limit)
+        assert by_seq(tagged, "reason", "copies") == {0: (None, 3), 3: (None, 2), 1: (c.MUST_START_WITH_USER, 1), 4: (c.MUST_START_WITH_USER, 1)}
+        assert by_seq(dedup_conversations(good, limit), "copies") == {0: 3, 3: 2}
+
+
+def test_only_digests_are_shuffled(conversations, monkeypatch):
+    """The texts are read in place; what is exchanged is a digest, a number and a count."""
+    good, _ = split_valid(validate_conversations(conversations([U, A], [U, A], [U, ("assistant", "b")])))
+    plans = []
+    monkeypatch.setattr(quality, "stage", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or stage(df, name))
+    plans.append(dedup_conversations(good)._jdf.queryExecution().executedPlan().toString())
+    assert sum("Exchange hashpartitioning(_digest" in p for p in plans) == 1
+    for text in plans:
+        assert not re.search(r"Exchange hashpartitioning\((?!_digest)", text) and "Exchange rangepartitioning" not in text
+        if "Exchange hashpartitioning(_digest" in text:
+            assert "messages" not in text
+
+
 def test_stats(conversations):
     data = conversations(*[[("user", "x" * n)] for n in (1, 2, 3, 4)])
     got = dataset_stats(data).first()
