@@ -24,6 +24,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_WEIGHTS = 1 << 18  # weights a task holds
 ENTRIES = 1 << 20  # numbers in a matrix of terms and queries, documents and terms, or documents and queries
+MOST_TASKS = 20_000  # beyond it a task works on several cells
 DIGITS = 1e9  # scores that agree to nine digits are ties
 
 
@@ -141,15 +142,17 @@ def _score_cells(k: int | None):
         here, cell = None, _Cell(k)
         for batch in batches:
             number, role = batch.column("cell").to_numpy(), batch.column("role").to_numpy()
-            here = number[0] if here is None else here
-            if (number != here).any():
-                raise ValueError("two cells of the grid in one task")
-            postings = int(np.searchsorted(role, 1))
-            if postings:
-                cell.add_weights(batch.slice(0, postings))
-            if postings < batch.num_rows:
-                cell.add_postings(batch.slice(postings))
-                yield from cell.rows(last=False)
+            cuts = np.flatnonzero((number[1:] != number[:-1]) | (role[1:] != role[:-1])) + 1
+            for start, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if number[start] != here:
+                    yield from cell.rows(last=True)
+                    here, cell = number[start], _Cell(k)
+                part = batch.slice(start, end - start)
+                if role[start]:
+                    cell.add_postings(part)
+                    yield from cell.rows(last=False)
+                else:
+                    cell.add_weights(part)
         yield from cell.rows(last=True)
 
     return run
@@ -165,16 +168,19 @@ def grid_scores(weights: DataFrame, postings: DataFrame, blocks: int, buckets: i
     def cells(df, own, others, cell):
         return df.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(others - 1)))).withColumn("cell", cell)
 
-    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
-    bucket = F.pmod(F.xxhash64("doc_seq"), F.lit(buckets)).cast("int")
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    bucket = F.pmod(F.xxhash64("doc_seq"), F.lit(buckets))
     left = cells(weights, block, buckets, F.col("_own") * buckets + F.col("_other")).select(
         "cell", F.lit(0).cast("int").alias("role"), "query_id", F.lit(None).cast(doc_type).alias("doc_seq"), "tid", F.col("weight").alias("value")
     )
     right = cells(postings.filter("doc_seq IS NOT NULL"), bucket, blocks, F.col("_other") * buckets + F.col("_own")).select(
         "cell", F.lit(1).cast("int").alias("role"), F.lit(None).cast(query_type).alias("query_id"), "doc_seq", "tid", F.col("share").alias("value")
     )
-    laid = left.unionByName(right).repartitionById(blocks * buckets, F.col("cell"))
-    # Weights have no document and come first.  One key: Spark sorts numbers by radix.
-    laid = laid.sortWithinPartitions(F.col("doc_seq").asc_nulls_first())
+    tasks = min(blocks * buckets, MOST_TASKS)
+    laid = left.unionByName(right).repartitionById(tasks, (F.col("cell") % tasks).cast("int"))
+    # Weights have no document and come first.  A single key, where a task has one cell:
+    # Spark sorts numbers by radix.
+    cell = [F.col("cell")] if tasks < blocks * buckets else []
+    laid = laid.sortWithinPartitions(*cell, F.col("doc_seq").asc_nulls_first())
     schema = T.StructType([T.StructField("query_id", query_type), T.StructField("doc_seq", doc_type), T.StructField("score", T.DoubleType())])
     return laid.mapInArrow(_score_cells(k), schema)

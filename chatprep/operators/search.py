@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from chatprep.functions.conversations import message
-from chatprep.operators.grid import BLOCK_WEIGHTS, grid_scores
+from chatprep.operators.grid import BLOCK_WEIGHTS, MOST_TASKS, grid_scores
 from chatprep.operators.groups import hot_keys, salted_join
 from chatprep.operators.index import (
     Index,
@@ -67,6 +67,7 @@ def score_documents(
     asked = postings if "tid" in postings.columns else postings.join(terms, "term")
     blocks = max(1, -(-weights.count() // BLOCK_WEIGHTS))
     buckets = buckets or int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(1, min(buckets, MOST_TASKS // blocks))  # many blocks are tasks enough
     return grid_scores(weights, asked.select("doc_seq", "tid", share), blocks, buckets, k)
 
 

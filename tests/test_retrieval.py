@@ -99,9 +99,10 @@ def test_search_matches_brute_force(spark, partitions):
     assert found(search_documents(questions, documents, 0)) == {}
 
 
-@pytest.mark.parametrize("weights, entries", [(4, 1 << 20), (1 << 18, 3), (7, 40)])
-def test_many_blocks_and_small_cells(spark, monkeypatch, weights, entries):
-    """Queries in several blocks and groups; documents in steps of a few."""
+@pytest.mark.parametrize("weights, entries, tasks", [(4, 1 << 20, 1000), (1 << 18, 3, 1000), (7, 40, 3)])
+def test_many_blocks_and_small_cells(spark, monkeypatch, weights, entries, tasks):
+    """Queries in several blocks and groups; documents in steps of a few; cells that share a task."""
+    monkeypatch.setattr(grid, "MOST_TASKS", tasks)
     monkeypatch.setattr(search_module, "BLOCK_WEIGHTS", weights)
     monkeypatch.setattr(grid, "ENTRIES", entries)
     documents = table(spark, "doc_seq", TEXTS)
