@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatprep.llm.common import stage
-
+from chatprep.llm.common import release, stage
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -31,7 +30,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     current = stage(edges.filter(F.col("u") != F.col("v")).select("u", "v").distinct(), "edges")
     before = None
     while True:
-        current = stage(_small_star(_large_star(current).distinct()).distinct(), "edges")
+        last, current = current, stage(_small_star(_large_star(current).distinct()).distinct(), "edges")
+        release(last)
         state = current.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u") % 65536)).first()
         if tuple(state) == before:
             break

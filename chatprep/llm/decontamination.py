@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatprep.llm.common import BROADCAST_ROWS, broadcast_if_small, fresh, group_key, lower_ascii, read_table, split_words, stage
+from chatprep.llm.common import BROADCAST_ROWS, broadcast_if_small, fresh, group_key, lower_ascii, read_table, split_words, stage, staged_tables
 
 # Word characters are digits, letters a-z and everything beyond ASCII.
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -101,7 +101,9 @@ def contamination(words: DataFrame, items: DataFrame, window: int = WINDOW, limi
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows of ``docs`` with no word inside a benchmark window."""
-    dirty = contamination(document_words(docs), read_table(spark, sf_dir, "benchmark"))
+    with staged_tables() as tables:
+        found = contamination(document_words(docs), read_table(spark, sf_dir, "benchmark"))
+        dirty = tables.keep(stage(found.select("key", "digest"), "contaminated"))
     key, digest = fresh(docs, "deco_key"), fresh(docs, "deco_digest")
     dirty = dirty.select(F.col("key").alias(key), F.col("digest").alias(digest))
     marked = docs.withColumn(key, group_key(F.col("doc_id"))).withColumn(digest, F.xxhash64("text"))

@@ -11,9 +11,12 @@ in the Jaccard metric.  Components are the classes of linked documents.
    difference: a region is all documents of a shell that agree on a slice.  Random
    documents share no n-gram, are at distance 1 from every pivot, and would be copied into
    every Voronoi cell; this step keeps them apart, and it loses no link.  There are
-   ``SPARE`` times D + 1 slices, so linked documents agree on more than one, and each leaves
-   out as many of its most crowded slices as that allows: documents that share no more than
-   a common passage do not meet in it.
+   ``SPARE`` times D + 1 slices.  Empty slices are no evidence of a link: if a set fills
+   more than D slices, it agrees with each partner on at least that many less D that are not
+   empty, and leaves out all but the last of these, the most crowded first; so documents
+   that share no more than a common passage do not meet in it.  Only if both sets fill at
+   most D slices may they differ in every one; such sets, some in a hundred, are cut
+   again by another hash, and so on (``CUTS``).
 2. Pivots.  Each region takes as pivot the member that shares most slices with others (in
    a group of edited copies that is the original).  All members measure their distance to
    the pivot: a Voronoi cell of documents per pivot, with documents near several pivots
@@ -25,7 +28,8 @@ in the Jaccard metric.  Components are the classes of linked documents.
    sets.  Documents of the ball within ``eps`` of its rim are copied into the outer part.
    Each part is cut into blocks by distance to the pivot; by the triangle inequality a
    block needs only members whose distance lies within a window around its own.  A task
-   holds the documents of one block (``BLOCK``) and streams the window past them.
+   holds the documents of one block (``BLOCK``) and streams the window past them; a wide
+   window is dealt to several tasks (``WINDOW``), each with the block.
 
 A pair is compared at most once per shared cell and only links that join two classes are
 written, so a group of copies gives as many links as members, not as pairs.  Slices that
@@ -47,16 +51,19 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chatprep.llm.common import fresh, read_table, stage
+from chatprep.llm.common import fresh, read_table, release, stage
 from chatprep.llm.components import connected_components
 
 SHELL = 0.1  # smallest over largest size of a shell is the similarity less this
 SPARE = 1.5  # slices over the number that makes one agree
 SALT = 512  # members of a cell that one task measures
 BLOCK = 512  # documents held while a window streams past
+WINDOW = 1024  # documents of a window that stream past in one task
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 SLICE, LOCAL, SIZE, SHELL_OF = 0, 1, 2, 3
-SHELL_BITS = 3  # low bits of a slice hash tell the shells of a document apart
+CUT_BITS = 3
+CUTS = 1 << CUT_BITS  # the last cut counts empty slices too: about one set in 10**12 gets there
+TAG_BITS = 3 + CUT_BITS  # low bits of a slice hash tell the shells and cuts of a document apart
 BATCH = 2048
 
 
@@ -95,26 +102,31 @@ def _most_differences(size: int, num: int, den: int) -> int:
     return (den - num) * 2 * size // (den + num)
 
 
-def _slice_count(high: int, num: int, den: int) -> tuple[int, int]:
-    """(slices of a shell, how many of them linked sets agree on beyond one)."""
-    least = _most_differences(high, num, den) + 1
-    slices = math.ceil(SPARE * least)
-    return slices, slices - least
-
-
-def slice_hashes(grams: np.ndarray, num: int, den: int) -> np.ndarray:
-    """One hash per slice of every shell of the set."""
-    out = []
-    inside = np.concatenate(([np.uint64(0)], np.cumsum(_mix(grams))))
+def slice_hashes(grams: np.ndarray, num: int, den: int) -> tuple[np.ndarray, list[int]]:
+    """One hash per slice of every shell and cut of the set; per shell and cut the number of
+    slices that can be left out, above the tag that is also in the low bits of their hashes."""
+    out, spares = [], []
+    mixed = _mix(grams)
     for number, high in _shells(len(grams), num, den):
-        slices = np.uint64(_slice_count(high, num, den)[0])
-        place = ((grams >> np.uint64(32)) * slices) >> np.uint64(32)
-        edges = np.searchsorted(place, np.arange(int(slices) + 1, dtype=np.uint64))
-        tag = np.arange(int(slices), dtype=np.uint64) + np.uint64(number << 32)
-        key = _mix((inside[edges[1:]] - inside[edges[:-1]]) * M1 + _mix(tag))
-        shell = np.uint64(number % (1 << SHELL_BITS))
-        out.append(key >> np.uint64(SHELL_BITS) << np.uint64(SHELL_BITS) | shell)
-    return np.concatenate(out).view(np.int64)
+        most = _most_differences(high, num, den)
+        slices = math.ceil(SPARE * (most + 1))
+        for cut in range(CUTS):
+            spot = grams if cut == 0 else _mix(grams ^ (np.uint64(cut) * M2))
+            order = np.argsort(spot, kind="stable")
+            place = ((spot[order] >> np.uint64(32)) * np.uint64(slices)) >> np.uint64(32)
+            edges = np.searchsorted(place, np.arange(slices + 1, dtype=np.uint64))
+            inside = np.concatenate(([np.uint64(0)], np.cumsum(mixed[order])))
+            filled = np.flatnonzero(edges[1:] > edges[:-1])
+            enough = len(filled) > most
+            kept = filled if enough or cut < CUTS - 1 else np.arange(slices)
+            tag = (number % 8) << CUT_BITS | cut
+            seed = kept.astype(np.uint64) + np.uint64(number << 32 | cut << 56)
+            key = _mix((inside[edges[1:]] - inside[edges[:-1]])[kept] * M1 + _mix(seed))
+            out.append(key >> np.uint64(TAG_BITS) << np.uint64(TAG_BITS) | np.uint64(tag))
+            spares.append(max(len(filled) - most - 1, 0) << TAG_BITS | tag)
+            if enough:
+                break
+    return np.concatenate(out).view(np.int64), spares
 
 
 def _batch(**columns) -> pa.RecordBatch:
@@ -131,11 +143,10 @@ def _slices(n: int, num: int, den: int):
                     grams = ngram_set(text.as_py(), n)
                     sizes.append(len(grams))
                     if i is not None and len(grams):
-                        hashes.append(slice_hashes(grams, num, den))
-                        docs.append(np.full(len(hashes[-1]), i, np.int64))
-                        for number, high in _shells(len(grams), num, den):
-                            spare = _slice_count(high, num, den)[1]
-                            shells.append(((spare << SHELL_BITS) + number % (1 << SHELL_BITS), i))
+                        mine, spares = slice_hashes(grams, num, den)
+                        hashes.append(mine)
+                        docs.append(np.full(len(mine), i, np.int64))
+                        shells += [(spare, i) for spare in spares]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(ids), SIZE, np.int8)),
@@ -250,7 +261,7 @@ def _measure(n: int, num: int, den: int):
 
 
 def _join_blocks(num: int, den: int):
-    """Rows (cell, block, role, doc, label, size, gap, grams), the block's own first, to links of classes."""
+    """Rows (cell, block, part, role, doc, label, size, grams), the block's own first, to links of classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, index, root, links = None, None, {}, []
@@ -269,9 +280,9 @@ def _join_blocks(num: int, den: int):
             sizes, kept = np.array([s for _, _, s, _ in own]), np.array([len(g) for *_, g in own])
             return elements[order], owner[order], sizes, kept
 
-        for cell, block, role, doc, label, size, grams in _rows(batches):
-            if (cell, block) != here:
-                here, index, root, own = (cell, block), None, {}, []
+        for *group, role, doc, label, size, grams in _rows(batches):
+            if group != here:
+                here, index, root, own = group, None, {}, []
             mine = np.frombuffer(grams, np.uint64)
             if role == 0:
                 own.append((doc, label, size, mine))
@@ -304,29 +315,32 @@ def _links(links: list[tuple]) -> pa.RecordBatch:
     return _batch(u=np.array(u, np.int64), v=np.array(v, np.int64))
 
 
-def _regions(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(doc, size) of every row, (slice, doc) of every slice that several documents share, and shells."""
+def _regions(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(doc, size) of every row, and (slice, doc) of every slice that several documents share."""
     rows = docs.mapInArrow(_slices(n, num, den), "kind tinyint, slice bigint, doc bigint")
     target = F.when(F.col("kind") == SLICE, F.col("slice")).otherwise(F.xxhash64("doc"))
     sorted_rows = rows.repartition(target).sortWithinPartitions("kind", "slice", "doc")
     found = stage(sorted_rows.mapInArrow(_repeated, "kind tinyint, slice bigint, doc bigint"), "jaccard-regions")
-    sizes = found.filter(F.col("kind") == SIZE).select("doc", F.col("slice").alias("size"))
-    shells = found.filter(F.col("kind") == SHELL_OF).select("slice", "doc")
-    return sizes, found.filter(F.col("kind") < SIZE).select("slice", "doc").distinct(), shells
+    sizes = stage(found.filter(F.col("kind") == SIZE).select("doc", F.col("slice").alias("size")), "jaccard-sizes")
+    members = stage(found.filter(F.col("kind") < SIZE).select("slice", "doc").distinct(), "jaccard-members")
+    shells = stage(found.filter(F.col("kind") == SHELL_OF).select("slice", "doc"), "jaccard-shells")
+    release(found)
+    prefixes = stage(_prefixes(members, shells), "jaccard-prefixes")
+    release(members, shells)
+    return sizes, prefixes
 
 
 def _prefixes(members: DataFrame, shells: DataFrame) -> DataFrame:
     """The members without those slices of each document that every partner can spare.
 
-    Linked sets agree on more than ``spare`` slices of each shell they share, so with all
-    slices in one order a document may leave its last ``spare`` ones out: the others still
-    meet.  The most crowded slices come last.  ``shells`` has a row (doc, slice) per shell
-    of a document: the shell in the low bits, above them the number to spare.
+    Linked sets agree on more slices than either can spare in some shell and cut they share,
+    so with all slices in one order a document may leave its last ``spare`` ones out: the
+    others still meet.  The most crowded slices come last.  ``shells`` has a row (doc, slice)
+    per shell and cut of a document: the tag in the low bits, above them the number to spare.
     """
-    members = stage(members, "jaccard-members")
     held = members.groupBy("slice").agg(F.count(F.lit(1)).alias("held"))
-    low = F.col("slice").bitwiseAND(F.lit((1 << SHELL_BITS) - 1)).alias("shell")
-    spares = shells.groupBy("doc", low).agg(F.min(F.shiftright("slice", SHELL_BITS)).alias("spare"))
+    low = F.col("slice").bitwiseAND(F.lit((1 << TAG_BITS) - 1)).alias("shell")
+    spares = shells.groupBy("doc", low).agg(F.min(F.shiftright("slice", TAG_BITS)).alias("spare"))
     last = Window.partitionBy("doc", "shell").orderBy(F.col("held").desc(), F.col("slice").desc())
     ranked = members.join(held, "slice").select("doc", low, "slice", "held").withColumn("nth", F.row_number().over(last))
     return ranked.join(spares, ["doc", "shell"]).filter("nth > spare").select("slice", "doc")
@@ -337,7 +351,6 @@ def _cells(members: DataFrame) -> DataFrame:
 
     ``crowded`` tells whether a region of both has a third member.
     """
-    members = stage(members, "jaccard-prefixes")
     shared = members.groupBy("doc").agg(F.count(F.lit(1)).alias("shared"))
     weighed = members.join(shared, "doc")
     pivots = weighed.groupBy("slice").agg(
@@ -377,16 +390,27 @@ def _inner_links(distances: DataFrame, num: int, den: int) -> DataFrame:
     own = own.withColumn("block", F.floor(F.col("before") / BLOCK) * 1_000_000 + part)
     blocks = own.groupBy("cell", "block").agg(F.min("gap").alias("low"), F.max("gap").alias("high"), F.max("size").alias("largest"))
     # Sets within eps differ by (den - num) / (den + num) of their summed sizes at most.
-    reach = F.floor((den - num) * (F.col("largest") + F.least(F.col("size"), F.col("largest") * den / num)) / (den + num)) + 1
-    window = cells.join(blocks, "cell").filter(
-        (F.col("gap") >= F.col("low") - reach) & (F.col("gap") <= F.col("high") + reach)
-    )
+    def reach(size):
+        return F.floor((den - num) * (F.col("largest") + size) / (den + num)) + 1
+
+    def inside(size):
+        return (F.col("gap") >= F.col("low") - reach(size)) & (F.col("gap") <= F.col("high") + reach(size))
+
+    top = F.col("largest") * den / num
+    # How many rows a window may have, by counts per distance, and into how many parts it is dealt.
+    counts = cells.groupBy("cell", "gap").agg(F.count(F.lit(1)).alias("n"))
+    loads = blocks.join(counts, "cell").filter(inside(top)).groupBy("cell", "block", "low", "high", "largest")
+    blocks = loads.agg(F.ceil(F.sum("n") / WINDOW).cast("int").alias("parts"))
+    window = cells.join(blocks, "cell").filter(inside(F.least(F.col("size"), top)))
+    window = window.withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
+    copies = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    own = own.join(blocks.select("cell", "block", "parts"), ["cell", "block"]).select("*", copies)
     label = F.when(F.col("linked"), F.col("pivot")).otherwise(F.col("doc")).alias("label")
     laid = (
-        own.select("cell", "block", F.lit(0).alias("role"), "doc", label, "size", "grams")
-        .unionByName(window.select("cell", "block", F.lit(1).alias("role"), "doc", label, "size", "grams"))
-        .repartition("cell", "block")
-        .sortWithinPartitions("cell", "block", "role")
+        own.select("cell", "block", "part", F.lit(0).alias("role"), "doc", label, "size", "grams")
+        .unionByName(window.select("cell", "block", "part", F.lit(1).alias("role"), "doc", label, "size", "grams"))
+        .repartition("cell", "block", "part")
+        .sortWithinPartitions("cell", "block", "part", "role")
     )
     return laid.mapInArrow(_join_blocks(num, den), "u bigint, v bigint")
 
@@ -394,10 +418,15 @@ def _inner_links(distances: DataFrame, num: int, den: int) -> DataFrame:
 def jaccard_classes(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """(doc, size) of every row of (doc, text), and (node, component) of every linked document."""
     docs = docs.select("doc", F.col("text").cast("binary").alias("text"))
-    sizes, members, shells = _regions(docs, n, num, den)
-    distances = _distances(docs, _cells(_prefixes(members, shells)), n, num, den)
+    sizes, members = _regions(docs, n, num, den)
+    cells = _cells(members)
+    release(members)
+    distances = _distances(docs, cells, n, num, den)
+    release(cells)
     direct = distances.filter("linked").select(F.col("doc").alias("u"), F.col("pivot").alias("v"))
-    return sizes, connected_components(direct.unionByName(_inner_links(distances, num, den)))
+    classes = connected_components(direct.unionByName(_inner_links(distances, num, den)))
+    release(distances)
+    return sizes, classes
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatprep.llm.common import broadcast_if_small, read_table, stage
+from chatprep.llm.common import broadcast_if_small, read_table, release, stage, staged_tables
 from chatprep.llm.repeats import KEYED, LOCAL, first_and_again, keyed, repeated
 
 LENGTH = 35
@@ -236,6 +236,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         chosen.mapInArrow(_suffixes(length), "anchor bigint, large boolean, doc bigint, digest bigint, first bigint, words binary"),
         "suffixes",
     )
+    release(found)
     spans = "doc bigint, digest bigint, first bigint, last bigint"
     groups = suffixes.filter("NOT large").drop("large").repartition("anchor").sortWithinPartitions("anchor")
     trees = groups.mapInArrow(_subtrees(length), spans)
@@ -274,7 +275,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc, n_words, n_removed, kept) of every (doc, text) row; kept words are joined by blanks."""
     digest = F.xxhash64("text")
     rows = docs.select(F.col("doc").alias("id"), F.coalesce("doc", digest).alias("doc"), digest.alias("digest"), "text")
-    spans = stage(repeated_windows(rows, length), "repeated-windows")
+    with staged_tables() as tables:
+        spans = tables.keep(stage(repeated_windows(rows, length), "repeated-windows"))
     joined = rows.join(spans, ["doc", "digest"], "left")
     return joined.select("id", F.col("text").cast("binary"), "spans").mapInArrow(
         _remove(length), "doc bigint, n_words bigint, n_removed bigint, kept string"

@@ -68,16 +68,26 @@ def test_same_as_all_pairs(spark, seed, n, num, den):
 
 def test_small_blocks_and_salts(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK", 2)
+    monkeypatch.setattr(jaccard_join, "WINDOW", 3)
     monkeypatch.setattr(jaccard_join, "SALT", 3)
     monkeypatch.setattr(jaccard_join, "BATCH", 7)
     rows = corpus(3)
     assert classes(spark, rows, 3, 85, 100) == brute(rows, 3, 85, 100)
 
 
-def test_linked_sets_share_a_slice():
+def by_tag(grams):
+    """tag -> (hashes, how many can be left out)"""
+    hashes, spares = slice_hashes(grams, 8, 10)
+    bits = jaccard_join.TAG_BITS
+    low = (1 << bits) - 1
+    return {s & low: ({h for h in hashes.tolist() if h & low == s & low}, s >> bits) for s in spares}
+
+
+def test_linked_sets_share_more_slices_than_they_can_spare():
     draw = random.Random(5)
-    for _ in range(300):
-        words = [f"v{draw.randrange(10**6)}" for _ in range(draw.randrange(1, 120))]
+    linked = 0
+    for _ in range(3000):
+        words = [f"v{draw.randrange(10**6)}" for _ in range(draw.choice([draw.randrange(1, 12), draw.randrange(1, 120)]))]
         other = list(words)
         for _ in range(draw.randrange(0, 4)):
             other[draw.randrange(len(other))] = "x"
@@ -85,7 +95,21 @@ def test_linked_sets_share_a_slice():
         a, b = (ngram_set(" ".join(w).encode(), 1) for w in (words, other))
         common, union = len({*a.tolist()} & {*b.tolist()}), len({*a.tolist()} | {*b.tolist()})
         if 10 * common >= 8 * union:
-            assert {*slice_hashes(a, 8, 10).tolist()} & {*slice_hashes(b, 8, 10).tolist()}
+            linked += 1
+            mine, yours = by_tag(a), by_tag(b)
+            assert any(len(mine[t][0] & yours[t][0]) > max(mine[t][1], yours[t][1]) for t in mine.keys() & yours.keys())
+    assert linked > 500
+
+
+def test_unrelated_short_sets_do_not_meet():
+    draw = random.Random(6)
+    seen, again = set(), 0
+    for _ in range(4000):
+        grams = ngram_set(" ".join(f"v{draw.randrange(10**9)}" for _ in range(draw.randrange(3, 30))).encode(), 1)
+        mine = set(slice_hashes(grams, 8, 10)[0].tolist())
+        again += len(mine & seen)
+        seen |= mine
+    assert again == 0
 
 
 def test_components_of_a_chain(spark):
