@@ -8,8 +8,9 @@ Spark column expression, so scoring is a projection of the scan.
 Training takes at most ``SAMPLE`` labelled rows, chosen by hash, and fits on the driver
 (only their statistics travel).  Statistics never look at language, source or id.
 
-Null and empty texts have all statistics 0 and get a score like any other.  Without labels
-every score is 0.5.  A document with several labels counts once per label.  Repeated rows
+Null and empty texts get a score like any other: shares and averages are over one character,
+word and line at least, so ``word_length`` is 1, ``line_words`` ln 2 and all else 0.  Without
+labels every score is 0.5.  A document with several labels counts once per label.  Repeated rows
 get equal results; an empty table gives an empty result.
 """
 
