@@ -58,6 +58,7 @@ class _Cell:
         term, weight = (rows.column(c).to_numpy()[order] for c in ("tid", "value"))
         ends = np.searchsorted(query, np.arange(1, len(self.queries) + 1))
         self.groups, q = [], 0
+        self.terms = np.unique(term)
         while q < len(self.queries):
             start, upto = (ends[q - 1] if q else 0), q + 1
             while upto < len(self.queries) and (ends[upto] - start) * (upto + 1 - q) <= ENTRIES:
@@ -65,9 +66,11 @@ class _Cell:
             mine = slice(start, ends[upto - 1])
             terms, place = np.unique(term[mine], return_inverse=True)
             flat = np.bincount(place * (upto - q) + query[mine] - q, weight[mine], len(terms) * (upto - q))
-            self.groups.append((q, upto, terms, flat.reshape(len(terms), upto - q)))
+            spot = np.full(len(self.terms), -1)  # of every term of the block, its row in the matrix
+            spot[np.searchsorted(self.terms, terms)] = np.arange(len(terms))
+            self.groups.append((q, upto, spot, flat.reshape(len(terms), upto - q)))
             q = upto
-        self.most = max(1, ENTRIES // max(len(self.queries), *(len(terms) for _, _, terms, _ in self.groups)))
+        self.most = max(1, ENTRIES // max(len(self.queries), *(len(weights) for *_, weights in self.groups)))
         self.least = np.full(len(self.queries), -np.inf)
 
     def add_weights(self, batch: pa.RecordBatch) -> None:
@@ -78,21 +81,24 @@ class _Cell:
             if not self.weights:
                 return
             self._prepare()
-        tid, share = batch.column("tid").to_numpy(), batch.column("value").to_numpy()
+        tid, share = batch.column("tid").to_numpy(), 1.0 + np.log(batch.column("value").to_numpy())
         docs, doc = _runs(batch.column("doc_seq"))
+        place = np.minimum(np.searchsorted(self.terms, tid), len(self.terms) - 1)
+        held = self.terms[place] == tid
+        doc, place, share = doc[held], place[held], share[held]
         ends = np.searchsorted(doc, np.arange(1, len(docs) + 1))
         for at in range(0, len(docs), self.most):
             upto = min(at + self.most, len(docs))
             mine = slice(ends[at - 1] if at else 0, ends[upto - 1])
-            self._score(docs.slice(at, upto - at), doc[mine] - at, tid[mine], share[mine])
+            self._score(docs.slice(at, upto - at), doc[mine] - at, place[mine], share[mine])
 
-    def _score(self, docs: pa.Array, doc: np.ndarray, tid: np.ndarray, share: np.ndarray) -> None:
+    def _score(self, docs: pa.Array, doc: np.ndarray, term: np.ndarray, share: np.ndarray) -> None:
         scores = np.empty((len(docs), len(self.queries)))
-        for first, last, terms, weights in self.groups:
-            spot = np.minimum(np.searchsorted(terms, tid), len(terms) - 1)
-            held = terms[spot] == tid
-            flat = np.bincount(doc[held] * len(terms) + spot[held], share[held], len(docs) * len(terms))
-            scores[:, first:last] = flat.reshape(len(docs), len(terms)) @ weights
+        for first, last, spots, weights in self.groups:
+            spot = spots[term]
+            held, width = spot >= 0, len(weights)
+            flat = np.bincount(doc[held] * width + spot[held], share[held], len(docs) * width)
+            scores[:, first:last] = flat.reshape(len(docs), width) @ weights
         if self.open_doc is not None:
             if docs[0] == self.open_doc[0]:
                 scores[0] += self.open_scores
@@ -137,10 +143,45 @@ class _Cell:
         self.out = []
 
 
+def _listed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A row per value of rows with lists of ``tid`` and ``value``, about ``ENTRIES`` of them at once."""
+    if not pa.types.is_list(batch.column("tid").type):
+        yield batch
+        return
+    sizes = pa.compute.list_value_length(batch.column("tid")).to_numpy()
+    number = np.cumsum(sizes, dtype=np.int64) // ENTRIES
+    cuts = np.flatnonzero(number[1:] != number[:-1]) + 1
+    for start, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+        part = batch.slice(start, end - start)
+        row = pa.array(np.repeat(np.arange(end - start), sizes[start:end]))
+        columns = [part.column(c).flatten() if c in ("tid", "value") else part.column(c).take(row) for c in part.schema.names]
+        yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
+
+
+def packed_schema(documents: DataFrame) -> T.StructType:
+    lists = [T.StructField("tid", T.ArrayType(T.LongType())), T.StructField("tf", T.ArrayType(T.DoubleType()))]
+    return T.StructType([T.StructField("doc_seq", documents.schema["doc_seq"].dataType), *lists])
+
+
+def pack_postings(postings: DataFrame) -> DataFrame:
+    """``doc_seq, tid, tf`` with lists of terms: neighbouring rows of a document become one row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                docs, doc = _runs(batch.column("doc_seq"))
+                offsets = pa.array(np.searchsorted(doc, np.arange(len(docs) + 1)), pa.int32())
+                lists = [pa.ListArray.from_arrays(offsets, batch.column(c)) for c in ("tid", "tf")]
+                yield pa.RecordBatch.from_arrays([docs, *lists], names=["doc_seq", "tid", "tf"])
+
+    rows = postings.select("doc_seq", "tid", F.col("tf").cast("double").alias("tf"))
+    return rows.mapInArrow(run, packed_schema(postings))
+
+
 def _score_cells(k: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, cell = None, _Cell(k)
-        for batch in batches:
+        for batch in (part for whole in batches for part in _listed(whole)):
             number, role = batch.column("cell").to_numpy(), batch.column("role").to_numpy()
             cuts = np.flatnonzero((number[1:] != number[:-1]) | (role[1:] != role[:-1])) + 1
             for start, end in zip([0, *cuts], [*cuts, batch.num_rows]):
@@ -161,20 +202,24 @@ def _score_cells(k: int | None):
 def grid_scores(weights: DataFrame, postings: DataFrame, blocks: int, buckets: int, k: int | None = None) -> DataFrame:
     """``query_id, doc_seq, score``: of every cell the best ``k`` documents per query, or all.
 
-    Postings without a document are left out.  ``weights`` has query_id, tid and weight, ``postings`` doc_seq, tid and share.
+    Postings without a document are left out.  ``weights`` has query_id, tid and weight,
+    ``postings`` doc_seq, tid and tf, or lists of the last two (``pack_postings``).
     """
     query_type, doc_type = weights.schema["query_id"].dataType, postings.schema["doc_seq"].dataType
 
     def cells(df, own, others, cell):
         return df.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(others - 1)))).withColumn("cell", cell)
 
+    packed = isinstance(postings.schema["tid"].dataType, T.ArrayType)
+    one = F.array if packed else F.col
+    value = F.col("tf") if packed else F.col("tf").cast("double")
     block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
     bucket = F.pmod(F.xxhash64("doc_seq"), F.lit(buckets))
     left = cells(weights, block, buckets, F.col("_own") * buckets + F.col("_other")).select(
-        "cell", F.lit(0).cast("int").alias("role"), "query_id", F.lit(None).cast(doc_type).alias("doc_seq"), "tid", F.col("weight").alias("value")
+        "cell", F.lit(0).cast("int").alias("role"), "query_id", F.lit(None).cast(doc_type).alias("doc_seq"), one("tid").alias("tid"), one("weight").alias("value")
     )
     right = cells(postings.filter("doc_seq IS NOT NULL"), bucket, blocks, F.col("_other") * buckets + F.col("_own")).select(
-        "cell", F.lit(1).cast("int").alias("role"), F.lit(None).cast(query_type).alias("query_id"), "doc_seq", "tid", F.col("share").alias("value")
+        "cell", F.lit(1).cast("int").alias("role"), F.lit(None).cast(query_type).alias("query_id"), "doc_seq", "tid", value.alias("value")
     )
     tasks = min(blocks * buckets, MOST_TASKS)
     laid = left.unionByName(right).repartitionById(tasks, (F.col("cell") % tasks).cast("int"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from chatprep.functions.terms import (
     GRAM_LENGTHS,
@@ -16,6 +16,8 @@ from chatprep.functions.terms import (
     words,
 )
 from chatprep.functions.text import drop_whitespace, fold
+from chatprep.operators.counting import Asked, counted_terms
+from chatprep.operators.grid import packed_schema
 
 
 # Document text, in characters, whose terms one task expands and counts.
@@ -106,23 +108,25 @@ def tokenize_terms(df: DataFrame, key: str | list[str], text: str) -> DataFrame:
     return coded.select(*keys, from_code_points("_term").alias("term"))
 
 
-def _counted(coded: DataFrame, keys: list[str]) -> DataFrame:
-    """Terms are counted in coded form and spelled out once per distinct term."""
-    counts = coded.groupBy(*keys, "_term").agg(F.count(F.lit(1)).alias("tf"))
-    return counts.select(*keys, from_code_points("_term").alias("term"), "tf")
+def _counted(df: DataFrame, keys: list[str], text: str, *, merge: bool) -> DataFrame:
+    """Terms counted per row, or with ``merge`` per run of rows with the same (single) key."""
+    texts = df.select(*keys, fold(F.col(text)).alias("_text"))
+    key_types = [f for f in texts.schema.fields if f.name in keys]
+    schema = T.StructType([*key_types, T.StructField("term", T.StringType()), T.StructField("tf", T.LongType())])
+    return texts.mapInArrow(counted_terms(keys, PIECE, merge), schema)
 
 
 def term_counts(df: DataFrame, key: str | list[str], text: str) -> DataFrame:
     """``<key>, term, tf``: the bag of terms of every row's text."""
     keys = _keys(key)
-    return _counted(_coded_terms(df, keys, text), keys)
+    counts = _counted(df, keys, text, merge=False)
+    return counts.groupBy(*keys, "term").agg(F.sum("tf").alias("tf"))
 
 
-def document_frequency(postings: DataFrame) -> DataFrame:
+def document_frequency(postings: DataFrame, term: str = "term") -> DataFrame:
     """``term, df``: in how many documents a term stands."""
-    # One per posting.  Reading tf keeps its column, so that where df and scores come
-    # from the same shuffled postings the two plans stay alike and share the shuffle.
-    return postings.groupBy("term").agg(F.sum(F.least("tf", F.lit(1))).alias("df"))
+    # One per posting.
+    return postings.groupBy(term).agg(F.sum(F.least("tf", F.lit(1))).alias("df"))
 
 
 def idf_table(frequencies: DataFrame, documents: DataFrame) -> DataFrame:
@@ -145,12 +149,23 @@ def spread_documents(
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     at_least = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(at_least, -(-chars // task_chars))
-    return texts.repartition(tasks, "doc_seq"), tasks
+    return texts.repartition(tasks, "doc_seq").sortWithinPartitions("doc_seq"), tasks
+
+
+def spread_postings(spread: DataFrame) -> DataFrame:
+    """``doc_seq, term, tf`` of texts laid out by ``spread_documents``."""
+    return _counted(spread, ["doc_seq"], "text", merge=True)
+
+
+def asked_postings(spread: DataFrame, numbers: dict[str, int]) -> DataFrame:
+    """``doc_seq, tid, tf`` with lists of the numbers of these terms: at least a row per document that has any."""
+    texts = spread.select("doc_seq", fold(F.col("text")).alias("_text"))
+    return texts.mapInArrow(counted_terms(["doc_seq"], PIECE, True, Asked(numbers)), packed_schema(texts))
 
 
 def document_postings(documents: DataFrame) -> DataFrame:
     """``doc_seq, term, tf`` of all documents."""
-    return term_counts(spread_documents(documents)[0], "doc_seq", "text")
+    return spread_postings(spread_documents(documents)[0])
 
 
 def build_index(documents: DataFrame) -> Index:

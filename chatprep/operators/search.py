@@ -5,17 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from chatprep.functions.conversations import message
-from chatprep.operators.grid import BLOCK_WEIGHTS, MOST_TASKS, grid_scores
+from chatprep.operators.grid import BLOCK_WEIGHTS, MOST_TASKS, grid_scores, pack_postings
 from chatprep.operators.groups import hot_keys, salted_join
 from chatprep.operators.index import (
     Index,
+    asked_postings,
     document_frequency,
     idf_table,
     spread_documents,
+    spread_postings,
     term_counts,
 )
 from chatprep.staging import stage
 
+# Different terms of all queries up to which they are sent to the tasks that count (8 MB).
+SENT_TERMS = 1 << 18
+
 # Hits (queries x k) up to which they are broadcast to the documents.
 BROADCAST_HITS = 100_000
 
@@ -63,12 +68,11 @@ def score_documents(
     terms = numbered_terms(query_terms) if terms is None else terms
     weights = lookup_idf(query_terms, term_stats).join(terms, "term").select("query_id", "tid", "weight")
     weights = stage(weights, "query-weights")
-    share = (F.lit(1.0) + F.log("tf")).alias("share")
     asked = postings if "tid" in postings.columns else postings.join(terms, "term")
     blocks = max(1, -(-weights.count() // BLOCK_WEIGHTS))
     buckets = buckets or int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(1, min(buckets, MOST_TASKS // blocks))  # many blocks are tasks enough
-    return grid_scores(weights, asked.select("doc_seq", "tid", share), blocks, buckets, k)
+    return grid_scores(weights, asked.select("doc_seq", "tid", "tf"), blocks, buckets, k)
 
 
 def top_k(scores: DataFrame, k: int = 6) -> DataFrame:
@@ -97,8 +101,14 @@ def search_documents(queries: DataFrame, documents: DataFrame, k: int = 6) -> Da
     query_terms = stage(term_counts(queries, "query_id", "text"), "query-terms")
     terms = numbered_terms(query_terms)
     spread, tasks = spread_documents(documents)
-    postings = stage(_asked(term_counts(spread, "doc_seq", "text"), terms), "asked-postings")
-    stats = idf_table(document_frequency(postings), documents)
+    known = terms.limit(SENT_TERMS + 1).count() <= SENT_TERMS
+    if known:
+        postings = asked_postings(spread, {r["term"]: r["tid"] for r in terms.collect()})
+    else:
+        postings = pack_postings(_asked(spread_postings(spread), terms))
+    postings = stage(postings, "asked-postings")
+    each = postings.select(F.explode("tid").alias("tid"), F.lit(1).alias("tf"))
+    stats = idf_table(document_frequency(each, "tid").join(terms, "tid"), documents)
     # Scoring has more to do per document than counting, hence twice the tasks.
     return top_k(score_documents(query_terms, postings, stats, k, terms=terms, buckets=2 * tasks), k)
 
