@@ -4,7 +4,7 @@ The code points of a batch stand in one array, which is walked in windows.  A wi
 n-grams and short words become numbers (document, then the places of up to three code
 points in the window's alphabet); one sort of them gives the counts.  Longer words are
 numbered by a dictionary.  No row per occurrence is made, and only distinct terms of a
-document leave the task.
+document leave the task, or, in blocks, distinct terms of many documents with lists of them.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ SHORT = max(GRAM_LENGTHS)  # words up to it are numbers like n-grams
 POINT_BITS = 21
 POINTS = 1 << POINT_BITS
 TEXT_BYTES = 1 << 20  # of texts that are laid out together
+BLOCK_POSTINGS = 1 << 21  # terms of documents after which a block ends
 
 
 def _points(text: str) -> np.ndarray:
@@ -263,6 +264,79 @@ class _Counting:
             yield from self._close()
 
 
+class _Blocks(_Counting):
+    """``term, part, block, df, docs, tfs``: terms of a run of documents with those they are in.
+
+    A document is in one block, and its neighbours in order follow it there; ``part`` comes
+    with the texts and is the same for all of a task, which numbers its blocks.
+    """
+
+    def __init__(self, keys: list[str], piece: int):
+        super().__init__(keys, piece, True, None)
+        self.part, self.number = None, 0
+        self._begin()
+
+    def _begin(self) -> None:
+        self.known, self.base, self.documents = None, 0, []  # rows of which a document's number is the place
+        self.coded, self.spelled, self.size, self.rows = [], [], 0, 0
+
+    def _out(self, keys: pa.RecordBatch, place: np.ndarray, terms: np.ndarray | pa.Array, counts) -> Iterator[pa.RecordBatch]:
+        if len(terms):
+            if keys is not self.known:
+                # Copied: a slice would keep the whole batch in memory.
+                self.documents.append(keys.column(0).take(pa.array(np.arange(keys.num_rows))))
+                self.known, self.base, self.rows = keys, self.rows, self.rows + keys.num_rows
+            held = self.coded if isinstance(terms, np.ndarray) else self.spelled
+            held.append(((place + self.base).astype(np.int32), terms, np.asarray(counts, np.int64)))
+            self.size += len(terms)
+        return iter(())
+
+    def add(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        if batch.num_rows:
+            self.part = batch.column("part")[0].as_py()
+        yield from super().add(batch)
+        if self.size >= BLOCK_POSTINGS:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        """All documents that have ended, as a block."""
+        if not self.size:
+            return
+        documents = pa.concat_arrays(self.documents)
+        if self.coded:
+            place, codes, counts = (np.concatenate(c) for c in zip(*self.coded))
+            order = np.argsort(codes, kind="stable")  # documents stay in order
+            yield self._block(documents, place[order], codes[order], counts[order], _texts)
+        if self.spelled:
+            place, counts = (np.concatenate([c[i] for c in self.spelled]) for i in (0, 2))
+            words = pa.concat_arrays([c[1] for c in self.spelled]).dictionary_encode()
+            numbers = words.indices.to_numpy()
+            order = np.argsort(numbers, kind="stable")
+            yield self._block(documents, place[order], numbers[order], counts[order], lambda n: words.dictionary.take(pa.array(n)))
+        self.number += 1
+        self._begin()
+
+    def _block(self, documents, place, terms, counts, spell) -> pa.RecordBatch:
+        first = np.flatnonzero(np.concatenate(([True], terms[1:] != terms[:-1])))
+        ends = np.append(first, len(terms))
+        same = np.ones(len(first), np.int64)
+        lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), c) for c in (documents.take(pa.array(place)), pa.array(counts))]
+        columns = [spell(terms[first]), pa.array(same * self.part), pa.array(same * self.number), pa.array(np.diff(ends)), *lists]
+        return pa.RecordBatch.from_arrays(columns, names=["term", "part", "block", "df", "docs", "tfs"])
+
+
+def term_blocks(key: str, piece: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counting = _Blocks([key], piece)
+        for batch in batches:
+            for part in _parts(batch):
+                yield from counting.add(part)
+        yield from counting._close()
+        yield from counting.flush()
+
+    return run
+
+
 def counted_terms(keys: list[str], piece: int, merge: bool, asked: Asked | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counting = _Counting(keys, piece, merge, asked)

@@ -229,3 +229,87 @@ def grid_scores(weights: DataFrame, postings: DataFrame, blocks: int, buckets: i
     laid = laid.sortWithinPartitions(*cell, F.col("doc_seq").asc_nulls_first())
     schema = T.StructType([T.StructField("query_id", query_type), T.StructField("doc_seq", doc_type), T.StructField("score", T.DoubleType())])
     return laid.mapInArrow(_score_cells(k), schema)
+
+
+def _postings(parts: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+    """The terms of a block with their lists, as postings in order of documents."""
+    lists = [pa.concat_arrays([p.column(c) for p in parts]) for c in ("docs", "value")]
+    sizes = pa.compute.list_value_length(lists[0]).to_numpy()
+    tid = np.repeat(np.concatenate([p.column("tid").flatten().to_numpy() for p in parts]), sizes)
+    docs, value = (c.flatten() for c in lists)
+    coded, value = docs.dictionary_encode(), value.to_numpy()
+    index = coded.indices.fill_null(-1).to_numpy()
+    sorting = pa.compute.sort_indices(coded.dictionary).to_numpy()
+    rank = np.empty(len(sorting) + 1, np.int64)
+    rank[sorting], rank[-1] = np.arange(len(sorting)), -1  # postings without a document
+    place = rank[index]
+    order = np.argsort(place, kind="stable")[np.count_nonzero(place < 0) :]
+    if not len(order):
+        return None
+    ordered = coded.dictionary.take(pa.array(sorting)).take(pa.array(place[order]))
+    return pa.RecordBatch.from_arrays([ordered, pa.array(tid[order]), pa.array(value[order])], names=["doc_seq", "tid", "value"])
+
+
+def _score_blocks(k: int | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, cell, parts = None, _Cell(k), []
+
+        def end():
+            nonlocal parts
+            if parts and (postings := _postings(parts)) is not None:
+                cell.add_postings(postings)
+            parts = []
+
+        for batch in batches:
+            number, block = (batch.column(c).to_numpy() for c in ("cell", "block"))
+            cuts = np.flatnonzero((number[1:] != number[:-1]) | (block[1:] != block[:-1])) + 1
+            for start, upto in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if start == upto:
+                    continue
+                if (number[start], block[start]) != here:
+                    end()
+                    if here is None or number[start] != here[0]:
+                        yield from cell.rows(last=True)
+                        cell = _Cell(k)
+                    else:
+                        yield from cell.rows(last=False)
+                    here = number[start], block[start]
+                part = batch.slice(start, upto - start)
+                if block[start] < 0:
+                    for weights in _listed(part.select(["query_id", "tid", "value"])):
+                        cell.add_weights(weights)
+                else:
+                    parts.append(part)
+        end()
+        yield from cell.rows(last=True)
+
+    return run
+
+
+def block_scores(weights: DataFrame, blocks: DataFrame, queries_in: int, parts: int, k: int | None = None) -> DataFrame:
+    """``query_id, doc_seq, score`` like ``grid_scores``, of ``part, block, tid, docs, tfs``.
+
+    A block of queries meets a part of the documents in a cell; the lists of a block of
+    documents stay together on the way and are put in order of documents there.
+    ``queries_in`` is the number of blocks of queries.
+    """
+    query_type, docs_type = weights.schema["query_id"].dataType, blocks.schema["docs"].dataType
+    own = F.pmod(F.xxhash64("query_id"), F.lit(queries_in)).cast("long")
+    listed = weights.groupBy("query_id").agg(F.collect_list("tid").alias("tid"), F.collect_list("weight").alias("value"))
+    left = listed.select("*", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part")).select(
+        (own * parts + F.col("_part")).alias("cell"), F.lit(-1).cast("long").alias("block"), "query_id", F.lit(None).cast(docs_type).alias("docs"), "tid", "value"
+    )
+    right = blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(queries_in - 1))).alias("_own")).select(
+        (F.col("_own").cast("long") * parts + F.col("part")).alias("cell"),
+        "block",
+        F.lit(None).cast(query_type).alias("query_id"),
+        "docs",
+        F.array("tid").alias("tid"),
+        F.col("tfs").cast("array<double>").alias("value"),
+    )
+    tasks = min(queries_in * parts, MOST_TASKS)
+    laid = left.unionByName(right).repartitionById(tasks, (F.col("cell") % tasks).cast("int"))
+    # Weights come first.
+    laid = laid.sortWithinPartitions("cell", "block")
+    schema = T.StructType([T.StructField("query_id", query_type), T.StructField("doc_seq", docs_type.elementType), T.StructField("score", T.DoubleType())])
+    return laid.mapInArrow(_score_blocks(k), schema)

@@ -16,7 +16,7 @@ from chatprep.functions.terms import (
     words,
 )
 from chatprep.functions.text import drop_whitespace, fold
-from chatprep.operators.counting import Asked, counted_terms
+from chatprep.operators.counting import Asked, counted_terms, term_blocks
 from chatprep.operators.grid import packed_schema
 
 
@@ -27,12 +27,16 @@ TASK_CHARS = 1 << 24
 class Index(NamedTuple):
     """``postings``: doc_seq, term, tf.  ``term_stats``: term, df, idf.
 
-    Stored tables also have ``bucket``, the partition a term is in; there are ``buckets``.
+    ``blocks`` are the same postings in lists, as ``block_postings`` has them, of documents
+    in ``parts`` partitions.  Stored tables also have ``bucket``, the partition a term is in;
+    there are ``buckets``.
     """
 
     postings: DataFrame
     term_stats: DataFrame
     buckets: int = 0
+    blocks: DataFrame | None = None
+    parts: int = 0
 
     def of_terms(self, terms: DataFrame) -> Index:
         """The partitions of both tables in which these terms are, known before any is read."""
@@ -41,7 +45,8 @@ class Index(NamedTuple):
         # At most as many numbers as there are partitions.
         found = terms.select(term_bucket(F.col("term"), self.buckets).alias("bucket")).distinct().collect()
         here = F.col("bucket").isin(sorted(r["bucket"] for r in found))
-        return Index(self.postings.filter(here), self.term_stats.filter(here))
+        blocks = None if self.blocks is None else self.blocks.filter(here)
+        return Index(self.postings.filter(here), self.term_stats.filter(here), blocks=blocks, parts=self.parts)
 
 
 def term_bucket(term: Column, buckets: int) -> Column:
@@ -124,7 +129,9 @@ def term_counts(df: DataFrame, key: str | list[str], text: str) -> DataFrame:
 
 
 def document_frequency(postings: DataFrame, term: str = "term") -> DataFrame:
-    """``term, df``: in how many documents a term stands."""
+    """``term, df``: in how many documents a term stands, of postings or of blocks of them."""
+    if "docs" in postings.columns:
+        return postings.groupBy(term).agg(F.sum("df").alias("df"))
     # One per posting.
     return postings.groupBy(term).agg(F.sum(F.least("tf", F.lit(1))).alias("df"))
 
@@ -163,16 +170,35 @@ def asked_postings(spread: DataFrame, numbers: dict[str, int]) -> DataFrame:
     return texts.mapInArrow(counted_terms(["doc_seq"], PIECE, True, Asked(numbers)), packed_schema(texts))
 
 
-def document_postings(documents: DataFrame) -> DataFrame:
-    """``doc_seq, term, tf`` of all documents."""
-    return spread_postings(spread_documents(documents)[0])
+def block_postings(spread: DataFrame) -> DataFrame:
+    """``term, part, block, df, docs, tfs`` of texts laid out by ``spread_documents``.
+
+    Per term and block of documents a list of those that have the term, in order, and how
+    often each has it.  A document is in one block of one part, however many terms it has.
+    """
+    # Not the number of the task: that counts on where tables are put together in a union.
+    part = F.spark_partition_id().cast("long").alias("part")
+    texts = spread.select("doc_seq", fold(F.col("text")).alias("_text"), part)
+    numbers = [T.StructField(name, T.LongType()) for name in ("part", "block", "df")]
+    docs = T.StructField("docs", T.ArrayType(texts.schema["doc_seq"].dataType))
+    schema = T.StructType([T.StructField("term", T.StringType()), *numbers, docs, T.StructField("tfs", T.ArrayType(T.LongType()))])
+    return texts.mapInArrow(term_blocks("doc_seq", PIECE), schema)
+
+
+def flat_postings(blocks: DataFrame) -> DataFrame:
+    """``doc_seq, term, tf`` of blocks, and their bucket where they are stored."""
+    others = [c for c in ("bucket",) if c in blocks.columns]
+    each = blocks.select("term", *others, F.explode(F.arrays_zip("docs", "tfs")).alias("_p"))
+    return each.select(F.col("_p.docs").alias("doc_seq"), "term", F.col("_p.tfs").alias("tf"), *others)
 
 
 def build_index(documents: DataFrame) -> Index:
-    """Index of ``doc_seq, text``.  Both tables of it come from the postings: store those
-    first (as ``write_index`` does) where both are to be written."""
-    return index_of(document_postings(documents), documents)
+    """Index of ``doc_seq, text``.  All of it comes from the texts: store the blocks first
+    (as ``write_index`` does) where several tables are to be written."""
+    spread, parts = spread_documents(documents)
+    blocks = block_postings(spread)
+    return Index(spread_postings(spread), block_stats(blocks, documents), blocks=blocks, parts=parts)
 
 
-def index_of(postings: DataFrame, documents: DataFrame) -> Index:
-    return Index(postings, idf_table(document_frequency(postings), documents))
+def block_stats(blocks: DataFrame, documents: DataFrame) -> DataFrame:
+    return idf_table(document_frequency(blocks), documents)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from chatprep.functions.conversations import message
-from chatprep.operators.grid import BLOCK_WEIGHTS, MOST_TASKS, grid_scores, pack_postings
+from chatprep.operators.grid import BLOCK_WEIGHTS, MOST_TASKS, block_scores, grid_scores, pack_postings
 from chatprep.operators.groups import hot_keys, salted_join
 from chatprep.operators.index import (
     Index,
@@ -50,6 +50,12 @@ def numbered_terms(query_terms: DataFrame) -> DataFrame:
     return stage(query_terms.select("term").distinct().withColumn("tid", F.monotonically_increasing_id()), "asked-terms")
 
 
+def _numbered_weights(query_terms: DataFrame, term_stats: DataFrame, terms: DataFrame) -> DataFrame:
+    """``query_id, tid, weight``, stored."""
+    weights = lookup_idf(query_terms, term_stats).join(terms, "term").select("query_id", "tid", "weight")
+    return stage(weights, "query-weights")
+
+
 def score_documents(
     query_terms: DataFrame,
     postings: DataFrame,
@@ -66,8 +72,7 @@ def score_documents(
     pairs are scored and ranked where a block and a bucket meet.
     """
     terms = numbered_terms(query_terms) if terms is None else terms
-    weights = lookup_idf(query_terms, term_stats).join(terms, "term").select("query_id", "tid", "weight")
-    weights = stage(weights, "query-weights")
+    weights = _numbered_weights(query_terms, term_stats, terms)
     asked = postings if "tid" in postings.columns else postings.join(terms, "term")
     blocks = max(1, -(-weights.count() // BLOCK_WEIGHTS))
     buckets = buckets or int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -121,8 +126,15 @@ def search_index(queries: DataFrame, index: Index, k: int = 6) -> DataFrame:
     query_terms = stage(term_counts(queries, "query_id", "text"), "query-terms")
     terms = numbered_terms(query_terms)
     asked = index.of_terms(terms)
-    postings = _asked(asked.postings, terms)
-    return top_k(score_documents(query_terms, postings, asked.term_stats, k, terms=terms), k)
+    known = terms.limit(SENT_TERMS + 1).count() <= SENT_TERMS
+    terms = F.broadcast(terms) if known else terms
+    if asked.blocks is None:
+        postings = _asked(asked.postings, terms)
+        return top_k(score_documents(query_terms, postings, asked.term_stats, k, terms=terms), k)
+    weights = _numbered_weights(query_terms, asked.term_stats, terms)
+    held = asked.blocks.join(terms, "term").select("part", "block", "tid", "docs", "tfs")
+    queries_in = max(1, -(-weights.count() // BLOCK_WEIGHTS))
+    return top_k(block_scores(weights, held, queries_in, asked.parts, k), k)
 
 
 def _asked(postings: DataFrame, terms: DataFrame) -> DataFrame:

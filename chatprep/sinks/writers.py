@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from chatprep.operators.index import Index, document_postings, index_of, term_bucket
+from chatprep.operators.index import Index, block_postings, block_stats, flat_postings, spread_documents, term_bucket
 from chatprep.operators.normalize import messages_to_sharegpt
 from chatprep.operators.split import split_train_valid
 from chatprep.staging import stage
@@ -64,31 +64,37 @@ def write_merged_csv(pairs: DataFrame, path: str, *, mode: str = "overwrite") ->
 def write_index(documents: DataFrame, path: str, *, mode: str = "overwrite", bucket_rows: int = BUCKET_ROWS) -> None:
     """Index documents and store postings, term statistics and documents.
 
-    Terms are counted once: the counts are stored as they come, and statistics and the
-    final order are made from the stored table.  Both tables are partitioned by the hash of
-    the term, into about one partition per ``bucket_rows`` postings, so a search reads the
-    partitions of its terms.  Postings are in order of term, then document, within and
+    Terms are counted once: blocks of postings are stored as they come, and statistics and
+    the final order are made from the stored table.  Both tables are partitioned by the hash
+    of the term, into about one partition per ``bucket_rows`` postings, so a search reads the
+    partitions of its terms.  Blocks are in order of term, then part and number, within and
     across the files of a partition, so a term that is in every document is spread over
     several files.
     """
     base = path.rstrip("/")
     documents.write.mode(mode).parquet(f"{base}/documents")
-    postings = stage(document_postings(documents), "postings")
-    index = index_of(postings, documents)
-    buckets = min(max(-(-postings.count() // bucket_rows), 1), MOST_BUCKETS)
+    spread, parts = spread_documents(documents)
+    blocks = stage(block_postings(spread), "postings")
+    count = blocks.agg(F.sum("df")).first()[0] or 0
+    buckets = min(max(-(-count // bucket_rows), 1), MOST_BUCKETS)
     bucket = term_bucket(F.col("term"), buckets)
-    for table, name, order in [(index.postings, "postings", ["term", "doc_seq"]), (index.term_stats, "term_stats", ["term"])]:
+    for table, name, order in [
+        (blocks, "postings", ["term", "part", "block"]),
+        (block_stats(blocks, documents), "term_stats", ["term"]),
+    ]:
         laid = in_order(table.withColumn("bucket", bucket), "bucket", *order)
         laid.write.mode(mode).partitionBy("bucket").parquet(f"{base}/{name}")
-    layout = documents.sparkSession.range(1).select(F.lit(buckets).alias("buckets"))
+    layout = documents.sparkSession.range(1).select(F.lit(buckets).alias("buckets"), F.lit(parts).alias("parts"))
     layout.write.mode(mode).parquet(f"{base}/layout")
 
 
 def read_index(spark: SparkSession, path: str) -> tuple[Index, DataFrame]:
     base = path.rstrip("/")
-    buckets = spark.read.parquet(f"{base}/layout").first()["buckets"]
+    layout = spark.read.parquet(f"{base}/layout").first()
     tables = []
     for name in ("postings", "term_stats"):
         found = spark.read.parquet(f"{base}/{name}")  # a table without rows has no partitions
         tables.append(found if "bucket" in found.columns else found.withColumn("bucket", F.lit(0)))
-    return Index(*tables, buckets), spark.read.parquet(f"{base}/documents")
+    blocks, stats = tables
+    index = Index(flat_postings(blocks), stats, layout["buckets"], blocks, layout["parts"])
+    return index, spark.read.parquet(f"{base}/documents")

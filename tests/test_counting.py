@@ -9,6 +9,7 @@ from chatprep.functions.text import WHITESPACE
 from chatprep.operators import counting, index as index_module, search as search_module
 from chatprep.operators.index import asked_postings, build_index, document_frequency, spread_documents, term_counts
 from chatprep.operators.search import search_documents, search_index
+from chatprep.sinks.writers import read_index, write_index
 from test_retrieval import QUESTIONS, TEXTS, bag, found, ranking, table
 
 
@@ -63,3 +64,39 @@ def _bag(text):
     dense = low.replace(" ", "")
     grams = [dense[i : i + n] for n in (2, 3) for i in range(len(dense) - n + 1)]
     return Counter(re.findall(WORD, low) + grams)
+
+
+@pytest.mark.parametrize("size", [1, 50, 1 << 21])
+def test_blocks_hold_every_posting(spark, monkeypatch, size):
+    """Blocks are the flat postings, each document in one of them; one row per term and block."""
+    monkeypatch.setattr(counting, "BLOCK_POSTINGS", size)
+    monkeypatch.setattr(counting, "TEXT_BYTES", 40)
+    texts = _texts(3, 80)
+    rows = spark.createDataFrame([(None if i % 9 == 0 else i % 31, t) for i, t in enumerate(texts)], "doc_seq bigint, text string")
+    index = build_index(rows)
+    # Put behind other rows: a block's part is one of the index all the same.
+    blocks = index.blocks.limit(0).unionByName(index.blocks).collect()
+    want = sorted((repr(r["doc_seq"]), r["term"], r["tf"]) for r in index.postings.collect())
+    assert want == sorted((repr(d), r["term"], n) for r in blocks for d, n in zip(r["docs"], r["tfs"], strict=True))
+    assert all(r["df"] == len(r["docs"]) and 0 <= r["part"] < index.parts for r in blocks)
+    assert len({(r["term"], r["part"], r["block"]) for r in blocks}) == len(blocks)
+    places = {}
+    for r in blocks:
+        for d in r["docs"]:
+            places.setdefault(d, set()).add((r["part"], r["block"]))
+    assert {len(p) for p in places.values()} == {1}
+    counted = [(r["term"], r["df"]) for f in (index.postings, index.blocks) for r in document_frequency(f).collect()]
+    assert len(counted) == 2 * len(set(counted))
+    questions = table(spark, "query_id", QUESTIONS)
+    assert found(search_documents(questions, rows, 4)) == found(search_index(questions, index, 4))
+
+
+def test_no_row_per_posting(spark, tmp_path):
+    """What is stored has a row per term and block, and a search moves those."""
+    documents = table(spark, "doc_seq", ["tea near the station"] * 200)
+    write_index(documents, str(tmp_path / "index"))
+    stored, _ = read_index(spark, str(tmp_path / "index"))
+    assert spark.read.parquet(str(tmp_path / "index" / "postings")).count() <= stored.parts * len(bag("tea near the station"))
+    assert stored.postings.count() == 200 * len(bag("tea near the station"))
+    plan = search_index(table(spark, "query_id", ["tea"]), stored, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "docs" in plan and "arrays_zip" not in plan
