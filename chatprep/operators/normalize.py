@@ -52,16 +52,19 @@ def pairs_to_messages(pairs: DataFrame) -> DataFrame:
 
 
 def _is_object(variant: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(variant).startswith("OBJECT"), F.lit(False))
+    # Not by the schema: that spells out all that is in the value.
+    return F.try_variant_get(variant, "$", "map<string,variant>").isNotNull()
 
 
 def _is_list(variant: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(variant).startswith("ARRAY"), F.lit(False))
+    return F.try_variant_get(variant, "$", "array<variant>").isNotNull()
 
 
 def _as_text(text: Column, variant: Column) -> Column:
     """Scalar text; booleans are written with a capital letter."""
-    spelled = F.when(F.schema_of_variant(variant) == "BOOLEAN", F.initcap(text)).otherwise(text)
+    # Other texts than these two are never looked up in the variant.
+    boolean = text.isin("true", "false") & (F.schema_of_variant(variant) == "BOOLEAN")
+    spelled = F.when(boolean, F.initcap(text)).otherwise(text)
     return F.coalesce(spelled, F.lit(""))
 
 

@@ -128,3 +128,27 @@ def test_normalizing_twice_changes_nothing(json_records):
     once = normalize_conversations(json_records(chat((" User ", " hi "), ("assistant", "yo"))), "s")
     again = once.select("seq", F.to_json(F.struct("messages")).alias("raw"))
     assert talks(normalize_conversations(again, "s")) == talks(once)
+
+
+def test_kinds_are_told_without_spelling_out_values(json_records):
+    """No schema of a whole record, list or turn; of texts only ``true`` and ``false`` are looked up."""
+    records = json_records(
+        chat(("user", "true"), ("assistant", True)),
+        chat(("user", {"a": False}), ("assistant", [True])),
+        {"user": "false", "assistant": False},
+        {"messages": {"role": "user"}, "user": "hi", "assistant": "yo"},
+        {"messages": None, "conversations": {}, "user": "hi", "assistant": "yo"},
+        {},
+    )
+    got = normalize_conversations(records)
+    assert talks(got) == {
+        0: [("user", "true"), ("assistant", "True")],
+        1: [("user", '{"a":false}'), ("assistant", "[true]")],
+        2: [("user", "false"), ("assistant", "False")],
+        3: HI,
+        4: HI,
+        5: None,
+    }
+    plan = got._jdf.queryExecution().optimizedPlan().toString().lower()
+    schemas = plan.count("schemaofvariant(") + plan.count("schema_of_variant(")
+    assert 0 < schemas == plan.count("in (true,false)")
