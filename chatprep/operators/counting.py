@@ -80,15 +80,52 @@ def _code(term: str) -> int:
 def _tallied(codes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct codes in order with their counts."""
     if counts is None:
-        codes = np.sort(codes)
-    else:
-        order = np.argsort(codes, kind="stable")
-        codes, counts = codes[order], counts[order]
+        return _runs(np.sort(codes))
+    order = np.argsort(codes, kind="stable")
+    return _runs(codes[order], counts[order])
+
+
+def _runs(codes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1]))) if len(codes) else np.zeros(0, np.int64)
     sums = np.diff(np.append(first, len(codes))) if counts is None else np.add.reduceat(counts, first) if len(first) else counts
     return codes[first], sums.astype(np.int64)
 
 
+def _joined(codes: np.ndarray, counts: np.ndarray, more: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two tallies as one: few ``more`` are looked up in the codes."""
+    place = np.searchsorted(codes, more)
+    known = np.zeros(len(more), bool)
+    known[place < len(codes)] = codes[place[place < len(codes)]] == more[place < len(codes)]
+    counts[place[known]] += sums[known]
+    return np.insert(codes, place[~known], more[~known]), np.insert(counts, place[~known], sums[~known])
+
+
+def _with_prefixes(codes: np.ndarray, counts: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tallied n-grams of full length (a point less where the text ends) and those a point shorter."""
+    if not len(codes):
+        return codes, counts
+    last = codes.dtype.type((1 << bits) - 1)
+    prefix = codes & ~last
+    first = np.flatnonzero(np.concatenate(([True], prefix[1:] != prefix[:-1])))
+    lacks = codes[first] != prefix[first]  # else the prefix stands there, where a text ends
+    head = first + np.cumsum(lacks) - lacks
+    old = np.ones(len(codes) + int(lacks.sum()), bool)
+    old[head[lacks]] = False
+    both, sums = np.empty(len(old), codes.dtype), np.empty(len(old), np.int64)
+    both[old], sums[old] = codes, counts
+    both[head], sums[head] = prefix[first], np.add.reduceat(counts, first)
+    return both, sums
+
+
+def _looked_up(table: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """``table[places]``; bytes are translated."""
+    if places.dtype != np.uint8:
+        return table[places]
+    whole = np.zeros(256, table.dtype)
+    whole[: len(table)] = table
+    return np.frombuffer(places.tobytes().translate(whole.tobytes()), table.dtype)
+
+
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Rows of a batch by about ``TEXT_BYTES``, so that long texts are not laid out together."""
     sizes = pa.compute.binary_length(batch.column("_text")).to_numpy()
@@ -113,46 +150,80 @@ class _Counting:
             self.kind[_points("".join(re.findall(p, plane)))] = i
         self.blank = np.zeros(POINTS, bool)
         self.blank[_points(WHITESPACE)] = True
-        self.seen, self.rank = np.zeros(POINTS, bool), np.zeros(POINTS, np.int64)
+        self.seen, self.rank = np.zeros(POINTS, bool), np.zeros(POINTS, np.int32)
         self.open = None  # the last document, which may go on: its keys, codes, counts, words
 
+    def _lay_out(self, texts: list[str]) -> None:
+        """The texts as places of code points in their alphabet, those not blank, and where words begin."""
+        sizes = np.array([len(t) for t in texts], np.int64)
+        self.points, self.ends = _points("".join(texts)), np.cumsum(sizes)
+        places = self.points.astype(np.intp)
+        self.seen[places] = True
+        self.alphabet = np.flatnonzero(self.seen)
+        self.seen[self.alphabet] = False
+        self.rank[self.alphabet] = np.arange(1, len(self.alphabet) + 1)
+        self.letters = np.append(0, self.alphabet + 1)
+        ranks = self.rank.take(places)
+        del places
+        if len(self.alphabet) < 256:
+            ranks = ranks.astype(np.uint8)
+        self.filled = _looked_up(np.append(True, ~self.blank[self.alphabet]), ranks)
+        filled_rows, starts = sizes > 0, self.ends - sizes
+        own_sizes = np.zeros(len(sizes), np.int64)
+        if len(ranks):
+            own_sizes[filled_rows] = np.add.reduceat(self.filled, starts[filled_rows], dtype=np.int64)
+        self.own_document = np.repeat(self.document.astype(np.int32), own_sizes)
+        self.own_lasts = (np.cumsum(own_sizes) - 1)[own_sizes > 0]
+        beyond = np.zeros(SHORT, ranks.dtype)
+        self.own, self.ranks = np.append(ranks.take(np.flatnonzero(self.filled)), beyond), np.append(ranks, beyond)
+        kind = _looked_up(np.append(0, self.kind[self.alphabet]).astype(np.uint8), ranks)
+        turns = np.ones(len(kind), bool)
+        np.not_equal(kind[1:], kind[:-1], out=turns[1:])
+        turns[starts[filled_rows]] = True
+        begins = np.flatnonzero(turns)
+        length, word = np.diff(np.append(begins, len(kind))), kind[begins] > 0
+        documents = np.repeat(self.document.astype(np.int32), sizes)[begins]
+        # Places of what holds are found before it is taken: a mask costs a jump a value.
+        short, long = np.flatnonzero(word & (length <= SHORT)), word & (length > SHORT)
+        self.short = begins.take(short), length.take(short), documents.take(short)
+        points, long = np.flatnonzero(np.repeat(long, length)), np.flatnonzero(long)
+        self.long = self.points.take(points), length.take(long), documents.take(long)
+
     def _window(self, start: int, end: int, first: int, last: int):
         """(document, code, count) of what starts at these points, of them non-blank ``first`` to ``last``."""
-        own, own_row = self.own[first : last + SHORT - 1], self.own_row[first : last + SHORT - 1]
-        begins, length = (w[slice(*np.searchsorted(self.short[0], (start, end)))] for w in self.short)
-        near = self.points[start : end + SHORT]
-        self.seen[near] = self.seen[own] = True
-        alphabet = np.flatnonzero(self.seen)
-        self.seen[alphabet] = False
-        bits = len(alphabet).bit_length()
-        low, high = self.document[self.row[start]], self.document[self.row[end - 1]]
-        if SHORT * bits + int(high - low).bit_length() > 63:
+        bits = len(self.alphabet).bit_length()
+        low, high = self.document[np.searchsorted(self.ends, (start, end - 1), "right")]
+        used = SHORT * bits + int(high - low).bit_length()
+        if used > 63:
             middle = (start + end) // 2
             cut = first + int(np.count_nonzero(self.filled[start:middle]))
             yield from self._window(start, middle, first, cut)
             yield from self._window(middle, end, cut, last)
             return
-        self.rank[alphabet] = np.arange(1, len(alphabet) + 1)
-        ranks, found = self.rank[own], []
-        top = (self.document[own_row[: last - first]] - low) << SHORT * bits
-        for n in GRAM_LENGTHS:
-            here = min(last - first, max(len(own) - n + 1, 0))
-            code = top[:here].copy()
-            for i in range(n):
-                code |= ranks[i : i + here] << (SHORT - 1 - i) * bits
-            found.append(code[own_row[:here] == own_row[n - 1 : n - 1 + here]])
-        ranks = np.append(self.rank[near], np.zeros(SHORT, np.int64))
-        code = (self.document[self.row[begins]] - low) << SHORT * bits
+        number = np.int32 if used < 32 else np.int64
+        mask = number((1 << bits) - 1)
+        code = (self.own_document[first:last] - number(low)).astype(number, copy=False)
         for i in range(SHORT):
-            code |= np.where(length > i, ranks[begins - start + i], 0) << (SHORT - 1 - i) * bits
-        found.append(code)
-        codes, counts = _tallied(np.concatenate(found))
-        spelled = np.concatenate(([0], alphabet + 1))
+            code <<= number(bits)
+            code |= self.own[first + i : last + i]
+        # A row's last point starts no n-gram, the one before it one of two points.
+        lasts = self.own_lasts[slice(*np.searchsorted(self.own_lasts, (first, last + 1)))]
+        code[lasts[lasts > first] - 1 - first] &= ~mask
+        ended = lasts[lasts < last] - first
+        code[ended] = np.iinfo(number).max
+        code.sort()  # those that start none come last
+        codes, counts = _with_prefixes(*_runs(code[: len(code) - len(ended)]), bits)
+        begins, length, document = (w[slice(*np.searchsorted(self.short[0], (start, end)))] for w in self.short)
+        code = (document - number(low)).astype(number, copy=False)
+        for i in range(SHORT):
+            code <<= number(bits)
+            code |= np.where(length > i, self.ranks[begins + i], 0).astype(number)
+        codes, counts = _joined(codes, counts, *_tallied(code))
         whole = np.zeros(len(codes), np.int64)
         for i in range(SHORT):
-            place = (codes >> (SHORT - 1 - i) * bits) & ((1 << bits) - 1)
-            whole |= spelled[place] << (SHORT - 1 - i) * POINT_BITS
-        document = low + (codes >> SHORT * bits)
+            whole <<= POINT_BITS
+            whole |= self.letters[(codes >> number((SHORT - 1 - i) * bits)) & mask]
+        document = low + (codes.astype(np.int64) >> SHORT * bits)
         if self.asked is not None:
             held = self.asked.has(whole)
             document, whole, counts = document[held], whole[held], counts[held]
@@ -160,11 +231,9 @@ class _Counting:
 
     def _long_words(self):
         """Different words, and (document, number of the word, count) in order."""
-        begins, length = self.long
-        ends = np.cumsum(length)
-        words = _strings(self.points[np.repeat(begins - ends + length, length) + np.arange(length.sum())], ends)
-        coded = words.dictionary_encode()
-        codes, counts = _tallied((self.document[self.row[begins]] << 32) | coded.indices.to_numpy())
+        points, length, documents = self.long
+        coded = _strings(points, np.cumsum(length)).dictionary_encode()
+        codes, counts = _tallied((documents.astype(np.int64) << 32) | coded.indices.to_numpy())
         document, word = codes >> 32, codes & ((1 << 32) - 1)
         if self.asked is not None:
             held = np.array([w in self.asked.words for w in coded.dictionary.to_pylist()], bool)[word]
@@ -215,16 +284,7 @@ class _Counting:
                 _, codes, counts, words = self.open
                 self.open = None
             yield from self._close()
-        self.row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-        self.points = _points("".join(texts))
-        self.filled = ~self.blank[self.points]
-        self.own, self.own_row = self.points[self.filled], self.row[self.filled]
-        kind = self.kind[self.points]
-        turns = np.flatnonzero((kind[1:] != kind[:-1]) | (self.row[1:] != self.row[:-1])) + 1
-        begins = np.concatenate(([0], turns)) if len(kind) else turns
-        length, word = np.diff(np.append(begins, len(kind))), kind[begins] > 0
-        short, long = word & (length <= SHORT), word & (length > SHORT)
-        self.short, self.long = (begins[short], length[short]), (begins[long], length[long])
+        self._lay_out(texts)
         now, last = 0, 0  # the document whose codes are held back
         for start in range(0, len(self.points), self.piece):
             end = min(start + self.piece, len(self.points))
@@ -325,9 +385,64 @@ class _Blocks(_Counting):
         return pa.RecordBatch.from_arrays(columns, names=["term", "part", "block", "df", "docs", "tfs"])
 
 
+class _Frequencies(_Counting):
+    """``term, df``: terms of all documents of a task with how many they are in.
+
+    A term comes once, or once for each ``BLOCK_POSTINGS`` different ones.
+    """
+
+    def __init__(self, keys: list[str], piece: int):
+        super().__init__(keys, piece, True, None)
+        self.coded, self.worded, self.size = [], [], 0
+        self._begin()
+
+    def _begin(self) -> None:
+        self.sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.words = pa.array([], pa.string()), np.zeros(0, np.int64)
+
+    def _out(self, keys: pa.RecordBatch, place: np.ndarray, terms: np.ndarray | pa.Array, counts) -> Iterator[pa.RecordBatch]:
+        (self.coded if isinstance(terms, np.ndarray) else self.worded).append(terms)
+        self.size += len(terms)
+        return iter(())
+
+    def add(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield from super().add(batch)
+        if self.size >= BLOCK_POSTINGS:
+            self._sum()
+            if len(self.sums[0]) + len(self.words[0]) >= BLOCK_POSTINGS:
+                yield from self.flush()
+
+    def _sum(self) -> None:
+        if self.coded:
+            held = _tallied(np.concatenate(self.coded))
+            self.sums = _tallied(*(np.concatenate(c) for c in zip(self.sums, held)))
+        if self.worded:
+            known, sums = self.words
+            words = pa.concat_arrays([known, *self.worded]).dictionary_encode()
+            total = np.bincount(words.indices.to_numpy())
+            total[: len(known)] += sums - 1  # different ones, which stand first
+            self.words = words.dictionary, total
+        self.coded, self.worded, self.size = [], [], 0
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        self._sum()
+        for terms, sums in ((_texts(self.sums[0]), self.sums[1]), self.words):
+            if len(terms):
+                yield pa.RecordBatch.from_arrays([terms, pa.array(sums)], names=["term", "df"])
+        self._begin()
+
+
 def term_blocks(key: str, piece: int):
+    return _flushed(_Blocks, key, piece)
+
+
+def term_frequencies(key: str, piece: int):
+    return _flushed(_Frequencies, key, piece)
+
+
+def _flushed(kind: type[_Blocks | _Frequencies], key: str, piece: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counting = _Blocks([key], piece)
+        counting = kind([key], piece)
         for batch in batches:
             for part in _parts(batch):
                 yield from counting.add(part)

@@ -16,7 +16,7 @@ from chatprep.functions.terms import (
     words,
 )
 from chatprep.functions.text import drop_whitespace, fold
-from chatprep.operators.counting import Asked, counted_terms, term_blocks
+from chatprep.operators.counting import Asked, counted_terms, term_blocks, term_frequencies
 from chatprep.operators.grid import packed_schema
 
 
@@ -28,8 +28,9 @@ class Index(NamedTuple):
     """``postings``: doc_seq, term, tf.  ``term_stats``: term, df, idf.
 
     ``blocks`` are the same postings in lists, as ``block_postings`` has them, of documents
-    in ``parts`` partitions.  Stored tables also have ``bucket``, the partition a term is in;
-    there are ``buckets``.
+    in ``parts`` partitions.  ``frequencies`` are theirs in an index that is not stored, as
+    ``task_frequencies`` has them.  Stored tables also have ``bucket``, the partition a term
+    is in; there are ``buckets``.
     """
 
     postings: DataFrame
@@ -37,6 +38,7 @@ class Index(NamedTuple):
     buckets: int = 0
     blocks: DataFrame | None = None
     parts: int = 0
+    frequencies: DataFrame | None = None
 
     def of_terms(self, terms: DataFrame) -> Index:
         """The partitions of both tables in which these terms are, known before any is read."""
@@ -129,8 +131,8 @@ def term_counts(df: DataFrame, key: str | list[str], text: str) -> DataFrame:
 
 
 def document_frequency(postings: DataFrame, term: str = "term") -> DataFrame:
-    """``term, df``: in how many documents a term stands, of postings or of blocks of them."""
-    if "docs" in postings.columns:
+    """``term, df``: in how many documents a term stands, of postings, blocks or counts by task."""
+    if "df" in postings.columns:
         return postings.groupBy(term).agg(F.sum("df").alias("df"))
     # One per posting.
     return postings.groupBy(term).agg(F.sum(F.least("tf", F.lit(1))).alias("df"))
@@ -185,6 +187,16 @@ def block_postings(spread: DataFrame) -> DataFrame:
     return texts.mapInArrow(term_blocks("doc_seq", PIECE), schema)
 
 
+def task_frequencies(spread: DataFrame) -> DataFrame:
+    """``term, df`` of texts laid out by ``spread_documents``: a row per term and task.
+
+    A document is in one task, so the rows of a term add up to its document frequency.
+    """
+    texts = spread.select("doc_seq", fold(F.col("text")).alias("_text"))
+    schema = T.StructType([T.StructField("term", T.StringType()), T.StructField("df", T.LongType())])
+    return texts.mapInArrow(term_frequencies("doc_seq", PIECE), schema)
+
+
 def flat_postings(blocks: DataFrame) -> DataFrame:
     """``doc_seq, term, tf`` of blocks, and their bucket where they are stored."""
     others = [c for c in ("bucket",) if c in blocks.columns]
@@ -196,8 +208,9 @@ def build_index(documents: DataFrame) -> Index:
     """Index of ``doc_seq, text``.  All of it comes from the texts: store the blocks first
     (as ``write_index`` does) where several tables are to be written."""
     spread, parts = spread_documents(documents)
-    blocks = block_postings(spread)
-    return Index(spread_postings(spread), block_stats(blocks, documents), blocks=blocks, parts=parts)
+    frequencies = task_frequencies(spread)
+    stats = idf_table(document_frequency(frequencies), documents)
+    return Index(spread_postings(spread), stats, blocks=block_postings(spread), parts=parts, frequencies=frequencies)
 
 
 def block_stats(blocks: DataFrame, documents: DataFrame) -> DataFrame:

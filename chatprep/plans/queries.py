@@ -356,7 +356,7 @@ def benchmark_terms(spark, folder):
 
 def document_idf(spark, folder):
     documents = _documents(spark, folder)
-    counts = document_frequency(build_index(documents).blocks)
+    counts = document_frequency(build_index(documents).frequencies)
     return idf_table(counts, documents).withColumn("idf", F.round("idf", 6))
 
 

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from chatprep.functions.terms import WORD
@@ -9,6 +10,7 @@ from chatprep.functions.text import WHITESPACE
 from chatprep.operators import counting, index as index_module, search as search_module
 from chatprep.operators.index import asked_postings, build_index, document_frequency, spread_documents, term_counts
 from chatprep.operators.search import search_documents, search_index
+from chatprep.plans import queries as registered
 from chatprep.sinks.writers import read_index, write_index
 from test_retrieval import QUESTIONS, TEXTS, bag, found, ranking, table
 
@@ -100,3 +102,35 @@ def test_no_row_per_posting(spark, tmp_path):
     assert stored.postings.count() == 200 * len(bag("tea near the station"))
     plan = search_index(table(spark, "query_id", ["tea"]), stored, 3)._jdf.queryExecution().optimizedPlan().toString()
     assert "docs" in plan and "arrays_zip" not in plan
+
+
+@pytest.mark.parametrize("size", [1, 50, 1 << 21])
+def test_frequencies_are_counted_in_the_tasks(spark, monkeypatch, size):
+    """A task gives a term's number of documents, whatever it sums up at a time; rows add up to the index's."""
+    monkeypatch.setattr(counting, "BLOCK_POSTINGS", size)
+    monkeypatch.setattr(counting, "TEXT_BYTES", 40)
+    rows = [(None if i % 9 == 0 else i % 31, t) for i, t in enumerate(_texts(5, 80))]
+    index = build_index(spark.createDataFrame(rows, "doc_seq bigint, text string"))
+    want = Counter(t for n in {r[0] for r in rows} for t in {t for m, x in rows if m == n for t in _bag(x)})
+    assert {r["term"]: r["df"] for r in document_frequency(index.frequencies).collect()} == want
+    assert {r["term"]: r["df"] for r in index.term_stats.collect()} == want
+    assert size < 100 or index.frequencies.count() <= index.parts * len(want)
+
+
+@pytest.mark.parametrize("name", ["document_idf", "query_weights"])
+def test_frequencies_make_no_lists(spark, name):
+    """Who only asks how many documents have a term makes no lists of them."""
+    plan = registered.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "docs" not in plan and "tfs" not in plan
+
+
+def test_alphabets_of_any_size():
+    """Alphabets of bytes, of numbers of 32 and of 64 bits, and windows of too many documents for these."""
+    for seed, points in enumerate([60, 300, 3_000, 70_000]):
+        dice = random.Random(seed)
+        alphabet = [chr(c) for c in range(0x30, 0x30 + points) if not 0xD800 <= c < 0xE000]
+        texts = ["".join(dice.choices(alphabet, k=dice.randint(0, 16))).lower() for _ in range(9_000)]
+        batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["doc_seq", "_text"])
+        rows = [r for b in counting.counted_terms(["doc_seq"], 65_536, False)([batch]) for r in b.to_pylist()]
+        assert {(r["doc_seq"], r["term"]): r["tf"] for r in rows} == {(i, t): n for i, x in enumerate(texts) for t, n in _bag(x).items()}
+        assert len(rows) == sum(len(_bag(x)) for x in texts)
