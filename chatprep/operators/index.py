@@ -204,12 +204,17 @@ def flat_postings(blocks: DataFrame) -> DataFrame:
     return each.select(F.col("_p.docs").alias("doc_seq"), "term", F.col("_p.tfs").alias("tf"), *others)
 
 
-def build_index(documents: DataFrame) -> Index:
+def build_index(documents: DataFrame, asked: DataFrame | None = None) -> Index:
     """Index of ``doc_seq, text``.  All of it comes from the texts: store the blocks first
-    (as ``write_index`` does) where several tables are to be written."""
+    (as ``write_index`` does) where several tables are to be written.
+
+    With ``asked`` (``term``) only those terms have statistics: what the counting tasks give
+    of others is not shuffled, where Spark broadcasts the terms.
+    """
     spread, parts = spread_documents(documents)
     frequencies = task_frequencies(spread)
-    stats = idf_table(document_frequency(frequencies), documents)
+    held = frequencies if asked is None else frequencies.join(asked, "term", "left_semi")
+    stats = idf_table(document_frequency(held), documents)
     return Index(spread_postings(spread), stats, blocks=block_postings(spread), parts=parts, frequencies=frequencies)
 
 

@@ -50,6 +50,17 @@ def numbered_terms(query_terms: DataFrame) -> DataFrame:
     return stage(query_terms.select("term").distinct().withColumn("tid", F.monotonically_increasing_id()), "asked-terms")
 
 
+def few_terms(terms: DataFrame) -> bool:
+    """Are these terms so few that they are sent to the tasks?"""
+    return terms.limit(SENT_TERMS + 1).count() <= SENT_TERMS
+
+
+def asked_terms(query_terms: DataFrame) -> DataFrame:
+    """``term``: the distinct terms that queries (a stored table) ask for, to be broadcast if they are few."""
+    terms = query_terms.select("term").distinct()
+    return F.broadcast(terms) if few_terms(terms) else terms
+
+
 def _numbered_weights(query_terms: DataFrame, term_stats: DataFrame, terms: DataFrame) -> DataFrame:
     """``query_id, tid, weight``, stored."""
     weights = lookup_idf(query_terms, term_stats).join(terms, "term").select("query_id", "tid", "weight")
@@ -106,8 +117,7 @@ def search_documents(queries: DataFrame, documents: DataFrame, k: int = 6) -> Da
     query_terms = stage(term_counts(queries, "query_id", "text"), "query-terms")
     terms = numbered_terms(query_terms)
     spread, tasks = spread_documents(documents)
-    known = terms.limit(SENT_TERMS + 1).count() <= SENT_TERMS
-    if known:
+    if few_terms(terms):
         postings = asked_postings(spread, {r["term"]: r["tid"] for r in terms.collect()})
     else:
         postings = pack_postings(_asked(spread_postings(spread), terms))
@@ -126,8 +136,7 @@ def search_index(queries: DataFrame, index: Index, k: int = 6) -> DataFrame:
     query_terms = stage(term_counts(queries, "query_id", "text"), "query-terms")
     terms = numbered_terms(query_terms)
     asked = index.of_terms(terms)
-    known = terms.limit(SENT_TERMS + 1).count() <= SENT_TERMS
-    terms = F.broadcast(terms) if known else terms
+    terms = F.broadcast(terms) if few_terms(terms) else terms
     if asked.blocks is None:
         postings = _asked(asked.postings, terms)
         return top_k(score_documents(query_terms, postings, asked.term_stats, k, terms=terms), k)

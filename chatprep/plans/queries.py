@@ -33,7 +33,7 @@ from chatprep.operators.quality import (
     validate_conversations,
 )
 from chatprep.operators.render import learned_total, render_chat_text, response_mask_report
-from chatprep.operators.search import lookup_idf, search_documents, search_index
+from chatprep.operators.search import asked_terms, lookup_idf, search_documents, search_index
 from chatprep.operators.split import split_train_valid
 from chatprep.operators.stats import dataset_stats, run_counters, size_guidance, with_lengths
 from chatprep.plans.jobs import (
@@ -362,8 +362,9 @@ def document_idf(spark, folder):
 
 def query_weights(spark, folder):
     """What each term of a question adds to a score, before the count in the document."""
-    asked = term_counts(_questions(spark, folder), "query_id", "text")
-    weights = lookup_idf(asked, build_index(_documents(spark, folder)).term_stats)
+    asked = stage(term_counts(_questions(spark, folder), "query_id", "text"), "query-terms")
+    index = build_index(_documents(spark, folder), asked_terms(asked))
+    weights = lookup_idf(asked, index.term_stats)
     return weights.withColumn("weight", F.round("weight", 6))
 
 

@@ -9,7 +9,7 @@ from chatprep.functions.terms import WORD
 from chatprep.functions.text import WHITESPACE
 from chatprep.operators import counting, index as index_module, search as search_module
 from chatprep.operators.index import asked_postings, build_index, document_frequency, spread_documents, term_counts
-from chatprep.operators.search import search_documents, search_index
+from chatprep.operators.search import asked_terms, search_documents, search_index
 from chatprep.plans import queries as registered
 from chatprep.sinks.writers import read_index, write_index
 from test_retrieval import QUESTIONS, TEXTS, bag, found, ranking, table
@@ -124,6 +124,25 @@ def test_frequencies_make_no_lists(spark, name):
     assert "MapInArrow" in plan and "docs" not in plan and "tfs" not in plan
 
 
+@pytest.mark.parametrize("sent", [0, 1 << 18])
+def test_statistics_of_asked_terms(spark, monkeypatch, sent):
+    """Asked for terms, an index gives their statistics as they are among all, broadcast or joined."""
+    monkeypatch.setattr(search_module, "SENT_TERMS", sent)
+    rows = spark.createDataFrame([(None if i % 9 == 0 else i % 31, t) for i, t in enumerate(_texts(7, 80))], "doc_seq bigint, text string")
+    asked = term_counts(table(spark, "query_id", ["word ラーメン", "word", "absent", ""]), "query_id", "text")
+    terms = {r["term"] for r in asked.collect()}
+    want = {r["term"]: (r["df"], r["idf"]) for r in build_index(rows).term_stats.collect() if r["term"] in terms}
+    index = build_index(rows, asked_terms(asked))
+    assert {r["term"]: (r["df"], r["idf"]) for r in index.term_stats.collect()} == want
+    assert len(want) == index.term_stats.count() > 0 and "absent" in terms - want.keys()
+
+
+def test_only_asked_terms_are_summed(spark):
+    """Counts of terms that no question has go no further than the task that counted them."""
+    plan = registered.QUERIES["query_weights"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("sum(df") < plan.index("LeftSemi") < plan.index("MapInArrow")
+
+
 def test_alphabets_of_any_size():
     """Alphabets of bytes, of numbers of 32 and of 64 bits, and windows of too many documents for these."""
     for seed, points in enumerate([60, 300, 3_000, 70_000]):
