@@ -44,6 +44,7 @@ from chatprep.plans.jobs import (
     validate_dataset,
 )
 from chatprep.staging import stage, staging_folder
+from chatprep.sinks.documents import write_documents
 from chatprep.sinks.writers import (
     in_order,
     read_index,
@@ -460,7 +461,7 @@ def json_object_file(spark, folder):
     rows = messages_to_sharegpt(_conversations(spark, folder))
     value = F.concat(F.lit("{\n"), F.lit(' "conversations":\n'), F.to_json("conversations"), F.lit("\n}"))
     path = f"{_new_path(spark, 'objects')}.json"
-    rows.select("seq", value.alias("value")).write.partitionBy("seq").text(path)
+    write_documents(rows.select(value.alias("value")), path)
     records = read_records(spark, path, layout="document")
     return _dialog(normalize_conversations(records, json=True)).select("dialog")
 

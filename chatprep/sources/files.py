@@ -15,7 +15,15 @@ from chatprep.operators.normalize import (
 )
 from chatprep.operators.quality import drop_blank_pairs
 from chatprep.sources.json_lists import list_elements, list_splits
-from chatprep.sources.order import ORDER_COLUMNS, with_order_columns, with_seq
+from chatprep.sources.order import (
+    ORDER_COLUMNS,
+    SMALL_FILE,
+    Files,
+    list_files,
+    scan_in_order,
+    with_order_columns,
+    with_seq,
+)
 from chatprep.sources.quoted import csv_records
 from chatprep.staging import stage
 
@@ -146,9 +154,9 @@ def line_in_file(spark: SparkSession, path: str, error: Exception) -> str | None
     return f"Line {number} of {file} is not valid JSON"
 
 
-def _read_lists(spark: SparkSession, path: str, splits: DataFrame) -> DataFrame:
+def _read_lists(spark: SparkSession, path: str, splits: DataFrame, files: Files) -> DataFrame:
     """The elements of files that are lists, by many tasks."""
-    elements = list_elements(spark, path, splits)
+    elements = list_elements(spark, path, splits, files)
     told = F.concat(F.col("_file"), F.lit(" is not valid JSON"))
     text = strip(F.col("element"))
     good = F.when(is_json_value(text), F.lit(True)).otherwise(F.raise_error(told).cast("boolean"))
@@ -157,9 +165,26 @@ def _read_lists(spark: SparkSession, path: str, splits: DataFrame) -> DataFrame:
     return elements.filter(good).select("_file", "_block", "_place", raw.alias("raw"))
 
 
-def _read_documents(spark: SparkSession, path: str) -> DataFrame:
+def _whole_files(spark: SparkSession, path: str, files: Files) -> DataFrame:
+    """One ``value`` per file.  Of many files the driver holds one list only, a kilobyte each."""
+    if files.many and files.plain == files.count:
+        return files.scan.withColumn("value", F.col("content").cast("string")).drop("content")
+    return spark.read.text(path, wholetext=True)
+
+
+def _other_than_list(spark: SparkSession, whole: DataFrame, files: Files) -> bool:
+    """Is one of many small files no list?  The first one found tells, without a pass over all."""
+    if not files.many:
+        return False  # unknown: the pass over all splits will tell
+    size = F.col("_metadata.file_size")
+    small = scan_in_order(spark, whole.filter((size > 0) & (size <= SMALL_FILE)), files)
+    opens = F.substring(F.ltrim(F.concat("value", F.lit("}")), F.lit("\ufeff \t\r\n")), 1, 1)
+    return not small.filter(opens != "[").isEmpty()
+
+
+def _read_documents(spark: SparkSession, whole: DataFrame, files: Files) -> DataFrame:
     """Files of one value each, read whole."""
-    whole = with_order_columns(spark.read.text(path, wholetext=True)).filter(~is_blank("value"))
+    whole = scan_in_order(spark, whole, files).filter(~is_blank("value"))
     text = strip(F.col("value"))
     items = F.when(text.startswith("["), F.from_json(text, "array<string>")).otherwise(
         F.array(text)
@@ -200,12 +225,15 @@ def read_json_records(spark: SparkSession, path: str, *, layout: str = "auto") -
     first = _first_lines(spark, path) if layout == "auto" else []
     if layout == "lines" or (layout == "auto" and first[:1] != [False] and len(first) != 1):
         return with_seq(spark, path, _read_lines(spark, path))
-    splits = stage(list_splits(spark, path), "list-splits")
-    if splits.filter((F.col("_block") == 0) & (F.col("opens") != "[")).isEmpty():
-        return with_seq(spark, path, _read_lists(spark, path, splits))
+    files = list_files(spark, path)
+    whole = _whole_files(spark, path, files)
+    if not _other_than_list(spark, whole, files):
+        splits = stage(list_splits(spark, path, files), "list-splits")
+        if splits.filter((F.col("_block") == 0) & (F.col("opens") != "[")).isEmpty():
+            return with_seq(spark, path, _read_lists(spark, path, splits, files), files=files)
     if layout == "auto" and len(first) == 2 and not _all_documents(spark, path):
         return with_seq(spark, path, _read_lines(spark, path))
-    return with_seq(spark, path, _read_documents(spark, path), whole_files=True)
+    return with_seq(spark, path, _read_documents(spark, whole, files), whole_files=True, files=files)
 
 
 def is_json_path(path: str) -> bool:

@@ -21,7 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from chatprep.functions.text import is_blank
-from chatprep.sources.order import with_order_columns
+from chatprep.sources.order import Files, scan_in_order
 
 # What runs in Python workers travels by value: executors need no copy of this module.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -154,18 +154,18 @@ def _brace(quoted: bool, depth: int) -> tuple[bool, int]:
     return quoted, depth if quoted else depth - 1
 
 
-def list_splits(spark: SparkSession, path: str) -> DataFrame:
+def list_splits(spark: SparkSession, path: str, files: Files) -> DataFrame:
     """One row per split of the files: what it does to the state, stored by the caller."""
-    return _pieces(spark, path).select("value", "_file", "_block").mapInArrow(
+    return _pieces(spark, path, files).select("value", "_file", "_block").mapInArrow(
         _split_functions, "_file string, _block bigint, turns int, outside bigint, inside bigint, opens string"
     )
 
 
-def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    return with_order_columns(spark.read.option("lineSep", "}").text(path))
+def _pieces(spark: SparkSession, path: str, files: Files) -> DataFrame:
+    return scan_in_order(spark, spark.read.option("lineSep", "}").text(path), files)
 
 
-def list_elements(spark: SparkSession, path: str, splits: DataFrame) -> DataFrame:
+def list_elements(spark: SparkSession, path: str, splits: DataFrame, files: Files) -> DataFrame:
     """``element`` and the order columns for every element of the lists; a bad file fails the job."""
     before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("_file")
@@ -179,7 +179,7 @@ def list_elements(spark: SparkSession, path: str, splits: DataFrame) -> DataFram
         (F.col("_block") == F.max("_block").over(whole)).alias("last"),
     )
     # One row per split: 100 TB are fewer than a million.
-    marked = _pieces(spark, path).join(F.broadcast(states), ["_file", "_block"])
+    marked = _pieces(spark, path, files).join(F.broadcast(states), ["_file", "_block"])
     cut = marked.select("value", "_file", "_block", "quoted", "depth", "last").mapInArrow(
         _elements, "_file string, _block bigint, _place bigint, kind int, opener string, closer string, element string"
     )

@@ -1,6 +1,7 @@
 import csv
 import json
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -13,6 +14,8 @@ from chatprep.plans.jobs import (
     render_training_text,
     validate_dataset,
 )
+from chatprep.plans.queries import QUERIES
+from chatprep.sinks.documents import write_documents
 from chatprep.sinks.writers import write_merged_csv
 from chatprep.sources.files import (
     read_csv_records,
@@ -23,6 +26,7 @@ from chatprep.sources.files import (
 )
 from chatprep.sources.quoted import INSIDE, OUTSIDE, _after
 from chatprep.operators.render import learned_total, render_chat_text, response_mask_report
+from chatprep.staging import staging_folder
 from chatprep.sources.turns import chat_turns_to_conversations
 from conftest import talks
 
@@ -408,3 +412,59 @@ def test_line_number_over_splits_and_files(spark, tmp_path, small_splits):
         for job in (lambda: build_dataset(spark, str(tmp_path / "in") + "/*.jsonl", str(tmp_path / "out"), layout="lines"), lambda: validate_dataset(spark, str(tmp_path / "in") + "/*.jsonl", layout="lines")):
             with pytest.raises(ValueError, match="Line 702 of .*b.jsonl"):
                 job()
+
+
+@pytest.mark.parametrize("ending", ["json", "dat"])
+@pytest.mark.parametrize("kind", ["objects", "lists", "mixed", "large"])
+def test_many_small_documents_share_tasks(spark, tmp_path, small_splits, ending, kind):
+    want = []
+    for i in range(400):
+        record = {"user": f"u{i}", "assistant": "y" * (1_500_000 if kind == "large" and i == 7 else 50)}
+        listed = kind == "lists" or (kind == "mixed" and i % 2 == 0)
+        records = [record, {**record, "assistant": "}"}] if listed else [record]
+        put(tmp_path / "in", f"{i:03}.{ending}", " \ufeff"[:1 + (i % 2 and listed)] + json.dumps(records if listed else record, indent=1) + "\n")
+        want += records
+    put(tmp_path / "in", f"empty.{ending}", "")
+    small_splits("1m")
+    spark.conf.unset("spark.sql.files.openCostInBytes")  # 4 MB
+    df = read_json_records(spark, str(tmp_path / "in"), layout="document")
+    assert df.rdd.getNumPartitions() < 100
+    rows = df.orderBy("seq").collect()
+    assert len({r["seq"] for r in rows}) == len(rows)
+    assert [json.loads(r["raw"]) for r in rows] == want
+
+
+def test_many_small_documents_with_a_fault(spark, tmp_path):
+    for i in range(300):
+        put(tmp_path / "in", f"{i}.json", PAIR if i != 150 else PAIR[:-1])
+    with pytest.raises(PySparkException, match="150.json is not valid JSON"):
+        read_json_records(spark, str(tmp_path / "in"), layout="document").collect()
+
+
+def test_write_documents(spark, tmp_path):
+    texts = ["a", 'b\n"b"', "é\U0001f600", "", None, "a"]
+    path = tmp_path / "out.json"
+    df = spark.createDataFrame([(t,) for t in texts], "value string").repartition(3)
+    write_documents(df, str(path))
+    files = [f for f in path.rglob("*") if f.is_file()]
+    assert sorted(f.read_text(encoding="utf-8") for f in files) == sorted((t or "") + "\n" for t in texts)
+    assert len(list(path.iterdir())) <= 3 and all(f.parent.name.startswith("part=") for f in files)
+    assert spark.read.text(str(path), wholetext=True).count() == len(texts)
+    with pytest.raises(FileExistsError):
+        write_documents(df, str(path))
+    write_documents(df.limit(0), str(tmp_path / "none.json"))
+    assert read_json_records(spark, str(tmp_path / "none.json"), layout="document").collect() == []
+
+
+def test_one_file_per_conversation_in_few_folders(spark, tmp_path):
+    talk = [(i * 7, turn, role, f"{role} {i}") for i in range(40) for turn, role in enumerate(["user", "assistant"])]
+    spark.createDataFrame(talk, "conv_id bigint, turn bigint, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    staging = Path(staging_folder(spark))
+    before = set(staging.glob("objects-*.json"))
+    got = QUERIES["json_object_file"](spark, str(tmp_path)).collect()
+    (written,) = set(staging.glob("objects-*.json")) - before
+    assert sorted(r["dialog"] for r in got) == sorted(f"user: user {i}\nassistant: assistant {i}" for i in range(40))
+    files = [f for f in written.glob("*/*") if f.name[0] not in "._"]
+    assert sorted(json.loads(f.read_text())["conversations"][0]["value"] for f in files) == sorted(f"user {i}" for i in range(40))
+    assert all(f.read_text().count("\n") > 2 for f in files)
+    assert len({f.parent for f in files}) <= 4  # a folder per task, not per conversation
